@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from popflow.config import DEFAULT_CONFIG, GameConfig
 from popflow.schemas import EVENT_REQUIRED, EVENT_SCHEMA
@@ -63,6 +64,9 @@ def game_events(spark: SparkSession, sf_dir: str,
 # JSON decode / encode (the stream's wire format)
 # --------------------------------------------------------------------------
 
+_CORRUPT = "_corrupt_record"
+
+
 @dataclass
 class Decoded:
     """Result of :func:`decode_events`: typed rows and rejected payloads."""
@@ -80,13 +84,17 @@ def decode_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
     into NULL rows. Works on batch and streaming DataFrames alike.
     """
     raw = F.col(value_col).cast("string")
-    parsed = df.select(raw.alias("_raw"),
-                       F.from_json(raw, schema).alias("_e"))
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
+    parsed = df.select(raw.alias("_raw"), F.from_json(
+        raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+        .alias("_e"))
     missing = [F.when(F.col(f"_e.{c}").isNull(), F.lit(c)) for c in required]
-    reason = (F.when(F.col("_e").isNull(), F.lit("malformed"))
+    reason = (F.when(F.col("_e").isNull() | F.col(f"_e.{_CORRUPT}").isNotNull(),
+                     F.lit("malformed"))
               .otherwise(F.concat_ws(",", *missing)))
     tagged = parsed.withColumn("_reason", reason)
-    ok = tagged.where(F.col("_reason") == "").select("_e.*")
+    ok = tagged.where(F.col("_reason") == "").select(
+        *[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields])
     bad = tagged.where(F.col("_reason") != "").select(
         F.col("_raw").alias("payload"), F.col("_reason").alias("reason"))
     return Decoded(ok, bad)
