@@ -216,6 +216,8 @@ class TableStore:
         (optionally as of a batch). The time partition column stays in the
         current view so time filters keep pruning partitions."""
         log = self.table(name)
+        canon = [f.name for f in TABLE_SCHEMAS[name]]
+        log = log.select(*canon, *[c for c in log.columns if c not in canon])
         if as_of_batch is not None:
             log = log.where(F.col("batch_id") <= F.lit(as_of_batch))
         if mode == "changelog":
@@ -224,10 +226,13 @@ class TableStore:
             raise ValueError("mode must be 'current' or 'changelog'")
         lay = LAYOUTS[name]
         keys = list(TABLE_KEYS[name])
-        if lay.time_part in log.columns:
+        # The derived time partition is a function of a key column only for the
+        # window tables; there it joins the key so time filters on it still
+        # reach the scan. Elsewhere (event_ts is a value) it is carried along.
+        if lay.time_col in keys and lay.time_part in log.columns:
             keys.append(lay.time_part)
         cur = latest_by_key(log, keys, ["batch_id"])
-        return cur.drop("batch_id")
+        return cur.select(*[c for c in log.columns if c != "batch_id"])
 
     def commit_log(self, name: str) -> DataFrame:
         """One row per stored micro-batch: rows written and their time span."""
