@@ -86,6 +86,32 @@ def color_performance(events: DataFrame, width: str = DEFAULT_WINDOW,
             .select("balloon_color", "avg_score_per_pop", "total_pops", *_window_cols()))
 
 
+def events_for_windows(events: DataFrame, width: str = DEFAULT_WINDOW, start=None,
+                       end=None, after=None) -> DataFrame:
+    """Restrict events to those that can fall in a window whose start lies in
+    ``[start, end]`` (or is ``> after``).
+
+    A window starting at ``ws`` holds events with ``ws <= event_ts < ws +
+    width``, so ``start <= event_ts < end + width`` keeps every event of
+    every qualifying window (a superset; windows straddling ``start`` are
+    removed by the exact filter on ``window_start`` after aggregation). The
+    predicate is on the raw timestamp, so it reaches the Parquet scan
+    (row-group / partition skipping) instead of aggregating all history.
+    """
+    from popflow.functions.expressions import ts_literal
+
+    ts = F.col("event_ts")
+    ts_type = dict(events.dtypes)["event_ts"]
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (ts >= ts_literal(start).cast(ts_type))
+    if end is not None:
+        cond = cond & (ts < ts_literal(end).cast(ts_type) + F.expr(f"INTERVAL {width}"))
+    if after is not None:
+        cond = cond & (ts > ts_literal(after).cast(ts_type))
+    return events.where(cond)
+
+
 VIEWS = {
     "leaderboard": leaderboard,
     "balloon_color_stats": color_stats,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popflow.config import DEFAULT_CONFIG
+from popflow.functions.expressions import ts_literal
 from popflow.operators import colors, leaderboard as lbp, performance as perf
 from popflow.operators import quality, views
 from popflow.operators.ranking import latest_by_key
@@ -90,8 +91,18 @@ def q_latest_per_player(spark, d):
 
 
 def q_scores_recent(spark, d):
-    now = _ge(spark, d).select(F.max("event_ts")).scalar()
-    return lbp.since(_rs(spark, d), RECENT, now=now)
+    ge = _ge(spark, d)
+    now = ge.select(F.max("event_ts")).scalar()
+    since = ts_literal(now) - F.expr(f"INTERVAL {RECENT}")
+    ev = views.events_for_windows(ge, PAGE_WIDTH, after=since)
+    return lbp.since(views.realtime_scores(ev, PAGE_WIDTH), RECENT, now=now)
+
+
+def _rs_in_range(spark, d):
+    """Windowed scores restricted to the page's time range; the range is
+    also applied to the raw event time so it reaches the scan."""
+    ev = views.events_for_windows(_ge(spark, d), PAGE_WIDTH, RANGE_START, RANGE_END)
+    return lbp.in_time_range(views.realtime_scores(ev, PAGE_WIDTH), RANGE_START, RANGE_END)
 
 
 def q_table_counts(spark, d):
@@ -147,10 +158,11 @@ QUERIES: dict[str, Query] = {
     "scoreboard": lambda s, d: lbp.scoreboard(_lb(s, d)),
     "scoreboard_top5": lambda s, d: lbp.scoreboard_top(_lb(s, d), TOP_K),
     "scores_top5_players": lambda s, d: lbp.scores_for_top_players(_rs(s, d), _lb(s, d), TOP_K),
-    "scores_in_range": lambda s, d: lbp.in_time_range(_rs(s, d), RANGE_START, RANGE_END),
+    "scores_in_range": _rs_in_range,
     "scores_recent": q_scores_recent,
     "score_trend": lambda s, d: lbp.score_trend(
-        _rs(s, d), lbp.top_players(_lb(s, d), TOP_K), RANGE_START, RANGE_END, "minutes"),
+        _rs_in_range(s, d), lbp.top_players(_lb(s, d), TOP_K), RANGE_START, RANGE_END,
+        "minutes"),
     "time_bounds": lambda s, d: lbp.time_bounds(_rs(s, d)),
     # colour page
     "color_stats_for_player": lambda s, d: colors.for_player(_cs(s, d), PLAYER),

@@ -85,9 +85,15 @@ def decode_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
     """
     raw = F.col(value_col).cast("string")
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.select(raw.alias("_raw"), F.from_json(
+    parsed_struct = F.from_json(
         raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-        .alias("_e"))
+    # Parse exactly once per payload. A plain projection would let the
+    # optimizer push the accept/reject filter below it and inline from_json
+    # into the predicate once per referenced field; filters on a generator's
+    # output stay above the generator, so the one-element ``inline`` pins the
+    # parse to a single evaluation.
+    parsed = df.select(F.inline(F.array(F.struct(raw.alias("_raw"),
+                                                 parsed_struct.alias("_e")))))
     missing = [F.when(F.col(f"_e.{c}").isNull(), F.lit(c)) for c in required]
     reason = (F.when(F.col("_e").isNull() | F.col(f"_e.{_CORRUPT}").isNotNull(),
                      F.lit("malformed"))
