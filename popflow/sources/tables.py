@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -234,6 +235,51 @@ class TableStore:
         cur = latest_by_key(log, keys, ["batch_id"])
         return cur.select(*[c for c in log.columns if c != "batch_id"])
 
+    def partitions(self, name: str) -> list[dict[str, str]]:
+        """Partition specs of a table, from catalog metadata (no data scan)."""
+        out = []
+        for r in self.spark.sql(f"SHOW PARTITIONS {self.qualified(name)}").collect():
+            spec = {}
+            for kv in r[0].split("/"):
+                k, _, v = kv.partition("=")
+                spec[unquote(k)] = unquote(v)
+            out.append(spec)
+        return out
+
+    def batches(self, name: str) -> list[int]:
+        """Stored batch ids."""
+        return sorted({int(p["batch_id"]) for p in self.partitions(name)})
+
+    def compact(self, name: str, upto_batch: int) -> int:
+        """Fold all batches ``<= upto_batch`` into batch ``upto_batch``.
+
+        The latest row per key among those batches is rewritten into the
+        partition ``batch_id=upto_batch`` and the older batch partitions are
+        dropped, so ``current`` and as-of reads at or after ``upto_batch``
+        are unchanged while the changelog shrinks to one row per key. As-of
+        reads before ``upto_batch`` are no longer possible (history expiry).
+        Only compact batches the stream has already committed.
+
+        Crash-safe: if the job stops after the rewrite but before the drops,
+        the rewritten rows carry the highest batch id among the old ones, so
+        every read still returns the same state; re-running finishes it.
+        Returns the number of batch partitions dropped.
+        """
+        if self.fmt == "iceberg":
+            raise NotImplementedError("use Iceberg's rewrite_data_files / expire_snapshots")
+        snap = self.read_table(name, "current", as_of_batch=upto_batch)
+        # Materialise (reliable checkpoint in the shared checkpoint folder) so
+        # the overwrite does not read the partition it replaces.
+        snap = snap.checkpoint(eager=True)
+        self.write_batch(name, snap, upto_batch)
+        old = [p for p in self.partitions(name) if int(p["batch_id"]) < upto_batch]
+        for i in range(0, len(old), 200):
+            specs = ", ".join(
+                "PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in p.items()) + ")"
+                for p in old[i:i + 200])
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS {specs}")
+        return len({p["batch_id"] for p in old})
+
     def commit_log(self, name: str) -> DataFrame:
         """One row per stored micro-batch: rows written and their time span."""
         lay = LAYOUTS[name]
