@@ -19,8 +19,8 @@ from popflow.operators import colors, leaderboard as lbp, performance as perf
 from popflow.operators import quality, views
 from popflow.operators.ranking import latest_by_key
 from popflow.operators.scoring import character_name, score_pops
-from popflow.sources.events import EVENT_TYPE_COLORS, OTHER_EVENT_COLOR, game_events
-from popflow.sources.events import decode_events, encode_events, read_table_file
+from popflow.sources.events import decode_events, encode_events, event_color_sql, game_events
+from popflow.sources.events import read_table_file, sql_string as _sql_str
 
 # Parameters of the registered page queries.
 PLAYER = "player_7"
@@ -195,21 +195,11 @@ QUERIES: dict[str, Query] = {
 # DuckDB oracle side
 # ---------------------------------------------------------------------------
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _color_case() -> str:
-    whens = " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(v)}"
-                     for k, v in EVENT_TYPE_COLORS.items())
-    return f"CASE event_type {whens} ELSE {_sql_str(OTHER_EVENT_COLOR)} END"
-
-
 GE = f"""ge AS (
   SELECT event_id,
          concat('player_', CAST(user_id AS VARCHAR)) AS player,
          CAST(user_id % {len(DEFAULT_CONFIG.characters)} AS INT) AS char_id,
-         {_color_case()} AS balloon_color,
+         {event_color_sql('event_type')} AS balloon_color,
          CAST(floor(value) AS INT) AS score,
          (CAST(json_extract(props, '$.k') AS INT) % 7 = 0) AS favorite_color_bonus,
          ts AS event_ts

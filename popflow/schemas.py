@@ -20,6 +20,20 @@ EVENT_SCHEMA = T.StructType(
 # Columns an event must carry to be accepted (everything else is optional).
 EVENT_REQUIRED = ("player", "balloon_color", "score", "event_ts")
 
+# Declared schemas of input tables read by path. Declaring them means a read
+# plans without first opening file footers to infer the schema (one job per
+# read otherwise); a file whose columns do not match fails at scan time.
+SOURCE_SCHEMAS: dict[str, T.StructType] = {
+    "events": T.StructType([
+        T.StructField("event_id", T.LongType(), True),
+        T.StructField("ts", T.TimestampNTZType(), True),
+        T.StructField("user_id", T.LongType(), True),
+        T.StructField("event_type", T.StringType(), True),
+        T.StructField("value", T.DoubleType(), True),
+        T.StructField("props", T.StringType(), True),
+    ]),
+}
+
 _S, _L, _TS = T.StringType(), T.LongType(), T.TimestampType()
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from popflow.config import DEFAULT_CONFIG, GameConfig
-from popflow.schemas import EVENT_REQUIRED, EVENT_SCHEMA
+from popflow.schemas import EVENT_REQUIRED, EVENT_SCHEMA, SOURCE_SCHEMAS
 
 # ISO-8601 with microseconds and a zone suffix ("Z" for UTC). The default
 # JSON timestamp format keeps milliseconds only.
@@ -27,14 +27,24 @@ OTHER_EVENT_COLOR = "black"
 
 
 def read_table_file(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet input table ``<sf_dir>/<name>.parquet``; tables with a
+    declared schema are read with it (no schema-inference job)."""
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _event_color(col: Column) -> Column:
-    expr = F
-    for etype, color in EVENT_TYPE_COLORS.items():
-        expr = expr.when(col == etype, F.lit(color))
-    return expr.otherwise(F.lit(OTHER_EVENT_COLOR))
+def sql_string(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def event_color_sql(col: str = "event_type") -> str:
+    """``CASE`` mapping an event type to its balloon colour."""
+    whens = " ".join(f"WHEN {sql_string(k)} THEN {sql_string(v)}"
+                     for k, v in EVENT_TYPE_COLORS.items())
+    return f"CASE {col} {whens} ELSE {sql_string(OTHER_EVENT_COLOR)} END"
 
 
 def game_events(spark: SparkSession, sf_dir: str,
@@ -43,20 +53,23 @@ def game_events(spark: SparkSession, sf_dir: str,
 
     Columns: event_id, player, char_id, balloon_color, score,
     favorite_color_bonus, event_ts (timestamp_ntz, as stored). A pure
-    projection: Catalyst prunes the scan to the six source columns and pushes
-    any later filter on ``event_ts`` into the Parquet reader.
+    projection: Catalyst prunes the scan to the source columns a query uses
+    (the JSON in ``props`` is only parsed when the bonus flag is needed) and
+    pushes any later filter on ``event_ts`` into the Parquet reader.
+
+    Written as SQL expressions: one analyzer call instead of a JVM round trip
+    per Column node, which is most of the time it takes to build a query.
     """
     ev = read_table_file(spark, sf_dir, "events")
     n_chars = len(config.characters)
-    return ev.select(
+    return ev.selectExpr(
         "event_id",
-        F.concat(F.lit("player_"), F.col("user_id").cast("string")).alias("player"),
-        (F.col("user_id") % n_chars).cast("int").alias("char_id"),
-        _event_color(F.col("event_type")).alias("balloon_color"),
-        F.floor("value").cast("int").alias("score"),
-        ((F.get_json_object("props", "$.k").cast("int") % 7) == 0).alias(
-            "favorite_color_bonus"),
-        F.col("ts").alias("event_ts"),
+        "concat('player_', CAST(user_id AS STRING)) AS player",
+        f"CAST(user_id % {n_chars} AS INT) AS char_id",
+        f"{event_color_sql('event_type')} AS balloon_color",
+        "CAST(floor(value) AS INT) AS score",
+        "(CAST(get_json_object(props, '$.k') AS INT) % 7 = 0) AS favorite_color_bonus",
+        "ts AS event_ts",
     )
 
 
