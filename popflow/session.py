@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit a per-batch changelog of state changes instead of uploading a
+    # RocksDB snapshot every micro-batch.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

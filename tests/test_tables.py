@@ -51,3 +51,47 @@ def test_view_tables_layouts(spark, tmp_path):
     assert s2.partition_cols("balloon_color_stats") == \
         ["batch_id", "event_day", "balloon_color", "player"]
     s1.drop_namespace()
+
+
+def _files_per_partition(root):
+    import os
+    out = {}
+    for d, _, files in os.walk(root):
+        n = sum(1 for f in files if f.endswith(".parquet"))
+        if n:
+            out[d] = n
+    return out
+
+
+def test_batch_write_clusters_partitions_and_splits_hot_hour(spark, tmp_path, monkeypatch):
+    import popflow.sources.tables as tables
+    from pyspark.sql import functions as F
+
+    store = TableStore(spark, "write_layout", location=str(tmp_path / "wh"))
+    store.create_view_tables(["realtime_scores"])
+    # a backfill batch over 48 hours, 40 players: one file per hour directory
+    spread = spark.range(48 * 40).select(
+        F.concat(F.lit("p"), (F.col("id") % 40).cast("string")).alias("player"),
+        F.col("id").alias("total_score"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp")
+         + F.make_dt_interval(hours=(F.col("id") / 40).cast("int"))).alias("window_start"))
+    spread = spread.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 15 SECONDS"))
+    store.write_batch("realtime_scores", spread, 0)
+    files = _files_per_partition(tmp_path / "wh" / "realtime_scores" / "batch_id=0")
+    assert len(files) == 48 and set(files.values()) == {1}
+    # a live batch: every row in one hour. With a small per-file target the
+    # hour is split over several writers instead of one task.
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 100)
+    hot = spread.withColumn("window_start", F.lit("2024-01-03 10:00:00").cast("timestamp")
+                            + F.make_dt_interval(secs=F.col("total_score") % 3600))
+    store.write_batch("realtime_scores", hot, 1)
+    files = _files_per_partition(tmp_path / "wh" / "realtime_scores" / "batch_id=1")
+    assert len(files) == 1 and list(files.values())[0] > 4
+    # rows are sorted by (player, window_start) inside each file
+    one = next(iter(files))
+    f = next(p for p in __import__("os").listdir(one) if p.endswith(".parquet"))
+    rows = [(r.player, r.window_start) for r in
+            spark.read.parquet(f"{one}/{f}").select("player", "window_start").collect()]
+    assert rows == sorted(rows)
+    assert store.read_table("realtime_scores", "changelog").count() == 2 * 48 * 40
+    store.drop_namespace()
