@@ -37,7 +37,8 @@ def top_k(df: DataFrame, k: int, order: Sequence) -> DataFrame:
     return df.orderBy(*_cols(order)).limit(k)
 
 
-def global_rank(df: DataFrame, order: Sequence, name: str = "position") -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence, name: str = "position",
+                num_partitions: int | None = None) -> DataFrame:
     """1-based position of every row in a total order, computed distributed.
 
     A window without ``partitionBy`` would move every row to one task. Here
@@ -45,9 +46,15 @@ def global_rank(df: DataFrame, order: Sequence, name: str = "position") -> DataF
     numbers its rows locally, and a per-partition row count (one row per
     partition, so its size is bounded by the partition count) gives each
     partition its offset. Both uses of the sorted data read the same shuffle
-    output (the exchange is reused), so counts and local numbers agree.
+    output (the exchange is reused). The range shuffle has an explicit
+    partition count, which AQE never coalesces, so both reads see the same
+    partition ids and counts and local numbers agree. With ``order`` ending
+    in a unique column, range bounds split even a score shared by a third of
+    all rows across partitions.
     """
-    ordered = df.orderBy(*_cols(order))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(max(n, 1), *_cols(order)).sortWithinPartitions(
+        *_cols(order))
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -117,6 +117,24 @@ def test_global_rank_matches_sort(spark):
     assert [(r.player, r.total_score, r.bonus_hits) for r in got] == expect
 
 
+def test_global_rank_hot_score_is_split(spark):
+    # a third of all rows share one (score, bonus): the unique player column
+    # in the order still lets range bounds split them over several tasks
+    rnd = random.Random(11)
+    rows = [(f"p{i:05d}", 42 if i % 3 == 0 else rnd.randint(0, 1000), 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "player string, total_score long, bonus_hits long") \
+        .repartition(5)
+    order = [F.desc("total_score"), F.desc("bonus_hits"), F.asc("player")]
+    ranked = global_rank(df, order, num_partitions=8)
+    got = sorted(ranked.collect(), key=lambda r: r.position)
+    expect = sorted(rows, key=lambda r: (-r[1], -r[2], r[0]))
+    assert [(r.player, r.total_score, r.bonus_hits) for r in got] == expect
+    assert [r.position for r in got] == list(range(1, len(rows) + 1))
+    hot_tasks = (df.repartitionByRange(8, *order).where("total_score = 42")
+                 .select(F.spark_partition_id()).distinct().count())
+    assert hot_tasks >= 2
+
+
 def test_top_k_ties_deterministic(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9), ("d", 1)],
                                "player string, total_score long")
