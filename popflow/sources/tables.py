@@ -9,11 +9,13 @@ Parquet). ``current`` = latest row per key; ``as_of_batch=N`` = latest row
 per key among batches <= N (time travel by batch).
 
 Layout. Time partitions are derived columns (``event_day`` or
-``window_hour``) because file tables cannot use hidden transforms; the
-``scalable`` layout adds colour where the reference partitions by it and
-leaves ``player`` to the in-file sort (identity partitioning by player
-explodes the directory count at scale). ``faithful`` adds ``player`` as the
-reference does. With ``fmt="iceberg"`` (needs the Iceberg runtime on the
+``window_hour``) because file tables cannot use hidden transforms. The
+``scalable`` layout partitions by batch and time only and leaves colour and
+player to the in-file sort order: identity partitioning by player explodes
+the directory count at scale, and colour multiplies the files every
+micro-batch writes (x12) for no page query, which filter by time or player,
+never by colour. ``faithful`` adds the reference's colour / player
+partitions. With ``fmt="iceberg"`` (needs the Iceberg runtime on the
 classpath) the DDL uses hidden ``days()``/``hours()`` transforms instead.
 """
 
@@ -44,24 +46,22 @@ class Layout:
     time_col: str            # column the time partition is derived from
     time_part: str           # derived partition column name
     time_grain: str          # "day" | "hour"
-    extra_parts: tuple[str, ...]
-    faithful_parts: tuple[str, ...]
+    faithful_parts: tuple[str, ...]     # the reference's other partitions
     sort: tuple[tuple[str, str], ...]   # (column, "asc"|"desc") within files
 
 
 LAYOUTS: dict[str, Layout] = {
-    "leaderboard": Layout("event_ts", "event_day", "day", (), ("player",),
+    "leaderboard": Layout("event_ts", "event_day", "day", ("player",),
                           (("total_score", "desc"), ("bonus_hits", "desc"))),
-    "balloon_color_stats": Layout("event_ts", "event_day", "day", ("balloon_color",),
-                                  ("player",),
+    "balloon_color_stats": Layout("event_ts", "event_day", "day", ("balloon_color", "player"),
                                   (("points_by_color", "desc"), ("balloon_pops", "desc"))),
-    "realtime_scores": Layout("window_start", "window_hour", "hour", (), (),
+    "realtime_scores": Layout("window_start", "window_hour", "hour", (),
                               (("player", "asc"), ("window_start", "asc"))),
-    "balloon_colored_pops": Layout("window_start", "window_hour", "hour", (), ("player",),
+    "balloon_colored_pops": Layout("window_start", "window_hour", "hour", ("player",),
                                    (("balloon_color", "asc"),)),
     "color_performance_trends": Layout("window_start", "window_hour", "hour",
-                                       ("balloon_color",), (),
-                                       (("balloon_color", "asc"),)),
+                                       ("balloon_color",),
+                                       (("balloon_color", "asc"), ("window_start", "asc"))),
 }
 
 
@@ -95,9 +95,9 @@ class TableStore:
 
     def partition_cols(self, name: str) -> list[str]:
         lay = LAYOUTS[name]
-        cols = [lay.time_part, *lay.extra_parts]
+        cols = [lay.time_part]
         if self.layout == "faithful":
-            cols += [c for c in lay.faithful_parts if c not in cols]
+            cols += list(lay.faithful_parts)
         return ["batch_id", *cols]
 
     # -- namespace (A6, A13, A14) -----------------------------------------------
@@ -180,7 +180,7 @@ class TableStore:
             lay = LAYOUTS[name]
             if self.fmt == "iceberg":
                 grain = "days" if lay.time_grain == "day" else "hours"
-                parts = ["batch_id", f"{grain}({lay.time_col})", *lay.extra_parts]
+                parts = ["batch_id", f"{grain}({lay.time_col})"]
                 if self.layout == "faithful":
                     parts += list(lay.faithful_parts)
                 self.create_table(name, TABLE_SCHEMAS[name].add("batch_id", T.LongType(), False),
