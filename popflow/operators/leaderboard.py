@@ -38,17 +38,23 @@ def current_leaderboard(lb: DataFrame) -> DataFrame:
     return latest_by_key(lb, ["player"], order)
 
 
-def scoreboard(lb: DataFrame) -> DataFrame:
-    """Per player totals from the latest leaderboard state."""
-    cur = current_leaderboard(lb)
-    return cur.groupBy("player").agg(
-        F.sum("total_score").cast("long").alias("total_score"),
-        F.sum("bonus_hits").cast("long").alias("bonus_hits"))
+def scoreboard(lb: DataFrame, values: Sequence[str] = ("total_score", "bonus_hits")) -> DataFrame:
+    """Per player totals of ``values`` from the latest leaderboard state.
+
+    Only the columns needed are carried into the latest-row pick: the
+    optimizer cannot prune fields inside the picked struct, so an unused
+    column there would still be computed (for a view, down to its source).
+    """
+    keep = ["player", "event_ts", "total_score", *values,
+            *(["batch_id"] if "batch_id" in lb.columns else [])]
+    cur = current_leaderboard(lb.select(*dict.fromkeys(keep)))
+    return cur.groupBy("player").agg(*[F.sum(v).cast("long").alias(v) for v in values])
 
 
-def scoreboard_top(lb: DataFrame, k: int = 5) -> DataFrame:
+def scoreboard_top(lb: DataFrame, k: int = 5,
+                   values: Sequence[str] = ("total_score", "bonus_hits")) -> DataFrame:
     """Top ``k`` of the scoreboard by total score (ties: player name)."""
-    return top_k(scoreboard(lb), k, [F.desc("total_score"), F.asc("player")])
+    return top_k(scoreboard(lb, values), k, [F.desc("total_score"), F.asc("player")])
 
 
 def leaderboard_sorted(lb: DataFrame) -> DataFrame:
@@ -145,7 +151,7 @@ def time_bounds(rs: DataFrame) -> DataFrame:
 
 def top_players(lb: DataFrame, k: int = 5) -> DataFrame:
     """Names of the top ``k`` scoreboard players (a bounded k-row frame)."""
-    return scoreboard_top(lb, k).select("player")
+    return scoreboard_top(lb, k, ("total_score",)).select("player")
 
 
 def scores_for_top_players(rs: DataFrame, lb: DataFrame, k: int = 5) -> DataFrame:
