@@ -134,6 +134,21 @@ def q_freshness(spark, d):
     }, now=FRESHNESS_NOW)
 
 
+def _stream_current(spark, d, name, width=None):
+    """A view maintained by the streaming path (file stream of the events'
+    JSON, update-mode stateful aggregation over several micro-batches,
+    changelog sink) and read back as current state; equal to the batch
+    view, so it is checked against the same oracle."""
+    from popflow.schemas import TABLE_SCHEMAS
+    from popflow.streaming.replay import replay_events
+
+    store = replay_events(_ge(spark, d), names=[name], width=width)
+    cur = store.read_table(name, "current")
+    return cur.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                        if f.name in ("event_ts", "window_start", "window_end")
+                        else F.col(f.name) for f in TABLE_SCHEMAS[name]])
+
+
 def q_null_report(spark, d):
     return quality.null_report(read_table_file(spark, d, "events"))
 
@@ -148,6 +163,10 @@ QUERIES: dict[str, Query] = {
     "colored_pops_6h": lambda s, d: _cp(s, d, PAGE_WIDTH),
     "color_performance": lambda s, d: _cpt(s, d, VIEW_WIDTH),
     "color_performance_6h": lambda s, d: _cpt(s, d, PAGE_WIDTH),
+    # the same views maintained by the streaming path
+    "stream_leaderboard": lambda s, d: _stream_current(s, d, "leaderboard"),
+    "stream_colored_pops_6h": lambda s, d: _stream_current(s, d, "balloon_colored_pops",
+                                                           PAGE_WIDTH),
     # ingestion and scoring
     "decode_props": q_decode_props,
     "event_roundtrip": q_event_roundtrip,
@@ -302,6 +321,8 @@ ORACLE: dict[str, str] = {
     "colored_pops_6h": _with(GE, CP(W6)) + "SELECT * FROM cp",
     "color_performance": _with(GE, CPT(W15)) + "SELECT * FROM cpt",
     "color_performance_6h": _with(GE, CPT(W6)) + "SELECT * FROM cpt",
+    "stream_leaderboard": _with(GE, LB) + "SELECT * FROM lb",
+    "stream_colored_pops_6h": _with(GE, CP(W6)) + "SELECT * FROM cp",
     "decode_props":
         "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events",
     "event_roundtrip": _with(GE) + """
