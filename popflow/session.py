@@ -19,6 +19,8 @@ BASE_CONF = {
     # Commit a per-batch changelog of state changes instead of uploading a
     # RocksDB snapshot every micro-batch.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Remove reliable-checkpoint files (compaction) once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -319,6 +319,8 @@ class TableStore:
         """
         if self.fmt == "iceberg":
             raise NotImplementedError("use Iceberg's rewrite_data_files / expire_snapshots")
+        if not any(b < upto_batch for b in self.batches(name)):
+            return 0  # already folded (e.g. a retried micro-batch)
         snap = self.read_table(name, "current", as_of_batch=upto_batch)
         # Materialise (reliable checkpoint in the shared checkpoint folder) so
         # the overwrite does not read the partition it replaces.

@@ -36,7 +36,8 @@ def stage_events(events: DataFrame, n_files: int = 4, base: str | None = None) -
     return base
 
 
-def drain(spark: SparkSession, base: str, names=None, width: str | None = None) -> TableStore:
+def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
+          compact_every: int | None = None) -> TableStore:
     """Run the views over the staged files as a stream (one file per
     micro-batch) until drained; returns the store with their changelogs."""
     run = base.rstrip("/").rsplit("/", 1)[-1]
@@ -45,12 +46,15 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None)
                                                     max_files_per_trigger=1))
     kwargs = {"width": width} if width else {}
     queries = start_views(stream.events, store, checkpoint_root=f"{base}/checkpoints",
-                          names=names, trigger={"availableNow": True}, **kwargs)
+                          names=names, trigger={"availableNow": True},
+                          compact_every=compact_every, **kwargs)
     await_all(queries)
     return store
 
 
 def replay_events(events: DataFrame, names=None, n_files: int = 4,
-                  base: str | None = None, width: str | None = None) -> TableStore:
+                  base: str | None = None, width: str | None = None,
+                  compact_every: int | None = None) -> TableStore:
     """Stage ``events`` as JSON files and drain them through the views."""
-    return drain(events.sparkSession, stage_events(events, n_files, base), names, width)
+    return drain(events.sparkSession, stage_events(events, n_files, base), names, width,
+                 compact_every)

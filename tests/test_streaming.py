@@ -143,3 +143,19 @@ def test_dashboard_pages_on_stored_tables(spark, replay):
     assert p2["totals"].count() == 1 and p2["by_metric"].count() > 0
     p3 = dash.performance_page()
     assert p3["summary"].collect()[0].total_pops == _events(spark).count()
+
+
+def test_sink_compaction_policy(spark, tmp_path):
+    src, ck = str(tmp_path / "src"), str(tmp_path / "ck")
+    store = TableStore(spark, "stream_autocompact", location=str(tmp_path / "wh"))
+    _write_files(spark, src, range(N_FILES))
+    names = ["leaderboard", "realtime_scores"]
+    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{src}/*",
+                                                    max_files_per_trigger=1))
+    await_all(start_views(stream.events, store, checkpoint_root=ck, names=names,
+                          trigger={"availableNow": True}, compact_every=2), 600)
+    for name in names:
+        # batches 0-1 were folded into 1 at batch 2, then 1-3 into 3 at batch 4
+        assert store.batches(name) == [3, 4, 5]
+        assert _rows(_current(store, name)) == _rows(_batch_view(name, _events(spark)))
+    store.drop_namespace()
