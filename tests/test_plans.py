@@ -53,6 +53,14 @@ def test_global_rank_has_no_single_partition_data_path(spark):
     # per partition) go through a single-partition window
     assert "rangepartitioning" in p
     assert "BroadcastExchange" in p
+    # an explicit partition count: AQE may not coalesce the range shuffle,
+    # so both reads of it see the same partition ids
+    assert "REPARTITION_BY_NUM" in p
+
+
+def test_top_players_do_not_read_bonus_source(spark):
+    p = _explain(lbp.top_players(views.leaderboard(game_events(spark, SF01)), 5))
+    assert "props" not in p and "get_json_object" not in p
 
 
 def test_time_range_prunes_partitions(spark, tmp_path):
