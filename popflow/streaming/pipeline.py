@@ -52,24 +52,40 @@ def start_views(events: DataFrame, store: TableStore,
                 names: Sequence[str] | None = None,
                 width: str = DEFAULT_WINDOW, watermark: str | None = None,
                 trigger: dict | None = None,
-                compact_every: int | None = None) -> dict[str, StreamingQuery]:
+                compact_every: int | None = None,
+                state_partitions: int | None = None) -> dict[str, StreamingQuery]:
     """Start one update-mode query per view, each sinking to its changelog
     table. ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
     ``{"processingTime": "5 seconds"}`` or ``{"availableNow": True}``);
-    ``compact_every`` enables the sink's compaction policy."""
+    ``compact_every`` enables the sink's compaction policy.
+
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query (default: ``spark.sql.shuffle.partitions``). Every micro-batch
+    commits each state partition, so for a low-volume live stream fewer
+    partitions means lower latency; size it to the state and cluster for
+    high volume. A restarted query keeps the count in its checkpoint.
+    """
     spark: SparkSession = events.sparkSession
     store.create_view_tables(names)
     root = checkpoint_root or shared_dir(spark, "streams", store.namespace)
     out = {}
-    for name in names or list(V.VIEWS):
-        w = (view_frame(name, events, width, watermark).writeStream
-             .queryName(f"{store.namespace}.{name}")
-             .outputMode("update")
-             .option("checkpointLocation", f"{root.rstrip('/')}/{name}")
-             .foreachBatch(changelog_writer(store, name, compact_every)))
-        if trigger:
-            w = w.trigger(**trigger)
-        out[name] = w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        # A query takes a copy of the session conf when it starts.
+        spark.conf.set(key, str(state_partitions))
+    try:
+        for name in names or list(V.VIEWS):
+            w = (view_frame(name, events, width, watermark).writeStream
+                 .queryName(f"{store.namespace}.{name}")
+                 .outputMode("update")
+                 .option("checkpointLocation", f"{root.rstrip('/')}/{name}")
+                 .foreachBatch(changelog_writer(store, name, compact_every)))
+            if trigger:
+                w = w.trigger(**trigger)
+            out[name] = w.start()
+    finally:
+        spark.conf.set(key, before)
     return out
 
 

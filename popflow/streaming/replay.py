@@ -37,7 +37,8 @@ def stage_events(events: DataFrame, n_files: int = 4, base: str | None = None) -
 
 
 def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
-          compact_every: int | None = None) -> TableStore:
+          compact_every: int | None = None,
+          state_partitions: int | None = None) -> TableStore:
     """Run the views over the staged files as a stream (one file per
     micro-batch) until drained; returns the store with their changelogs."""
     run = base.rstrip("/").rsplit("/", 1)[-1]
@@ -47,7 +48,8 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
     kwargs = {"width": width} if width else {}
     queries = start_views(stream.events, store, checkpoint_root=f"{base}/checkpoints",
                           names=names, trigger={"availableNow": True},
-                          compact_every=compact_every, **kwargs)
+                          compact_every=compact_every, state_partitions=state_partitions,
+                          **kwargs)
     await_all(queries)
     return store
 

@@ -152,8 +152,13 @@ def test_sink_compaction_policy(spark, tmp_path):
     names = ["leaderboard", "realtime_scores"]
     stream = read_events_stream(spark, StreamConfig(format="json", path=f"{src}/*",
                                                     max_files_per_trigger=1))
-    await_all(start_views(stream.events, store, checkpoint_root=ck, names=names,
-                          trigger={"availableNow": True}, compact_every=2), 600)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    qs = start_views(stream.events, store, checkpoint_root=ck, names=names,
+                     trigger={"availableNow": True}, compact_every=2, state_partitions=3)
+    await_all(qs, 600)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    for q in qs.values():
+        assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
     for name in names:
         # batches 0-1 were folded into 1 at batch 2, then 1-3 into 3 at batch 4
         assert store.batches(name) == [3, 4, 5]
