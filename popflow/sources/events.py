@@ -88,20 +88,27 @@ class Decoded:
     rejects: DataFrame
 
 
-def decode_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
-                  required=EVENT_REQUIRED) -> Decoded:
-    """Parse JSON payloads into typed rows; absent fields become NULL.
-
-    Malformed payloads and rows missing a required field go to ``rejects``
-    (with the raw payload and a reason) instead of being silently turned
-    into NULL rows. Works on batch and streaming DataFrames alike.
-    """
+# A decoded payload: the event fields, plus why it was rejected (NULL when
+# accepted) and the raw payload (kept for rejects only).
+REJECT_REASON = "reject_reason"
+PAYLOAD = "payload"
+TAGGED_SCHEMA = T.StructType(list(EVENT_SCHEMA.fields) + [
+    T.StructField(REJECT_REASON, T.StringType(), True),
+    T.StructField(PAYLOAD, T.StringType(), True),
+])
+
+
+def tag_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
+               required=EVENT_REQUIRED) -> DataFrame:
+    """Parse JSON payloads into typed rows (absent fields NULL), one row per
+    payload, with ``reject_reason`` set for malformed payloads or missing
+    required fields. Batch and streaming alike."""
     raw = F.col(value_col).cast("string")
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
     parsed_struct = F.from_json(
         raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     # Parse exactly once per payload. A plain projection would let the
-    # optimizer push the accept/reject filter below it and inline from_json
+    # optimizer push an accept/reject filter below it and inline from_json
     # into the predicate once per referenced field; filters on a generator's
     # output stay above the generator, so the one-element ``inline`` pins the
     # parse to a single evaluation.
@@ -110,15 +117,31 @@ def decode_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
     missing = [F.when(F.col(f"_e.{c}").isNull(), F.lit(c)) for c in required]
     reason = (F.when(F.col("_e").isNull() | F.col(f"_e.{_CORRUPT}").isNotNull(),
                      F.lit("malformed"))
-              .otherwise(F.concat_ws(",", *missing)))
-    tagged = parsed.withColumn("_reason", reason)
-    ok = tagged.where(F.col("_reason") == "").select(
-        *[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields])
-    bad = tagged.where(F.col("_reason") != "").select(
-        F.col("_raw").alias("payload"), F.col("_reason").alias("reason"))
+              .otherwise(F.nullif(F.concat_ws(",", *missing), F.lit(""))))
+    return parsed.select(*[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields],
+                         reason.alias(REJECT_REASON),
+                         F.when(reason.isNotNull(), F.col("_raw")).alias(PAYLOAD))
+
+
+def split_tagged(tagged: DataFrame, schema=EVENT_SCHEMA) -> Decoded:
+    """Accepted events and rejected payloads of a tagged frame."""
+    ok = tagged.where(F.col(REJECT_REASON).isNull()).select(*[f.name for f in schema.fields])
+    bad = tagged.where(F.col(REJECT_REASON).isNotNull()).select(
+        PAYLOAD, F.col(REJECT_REASON).alias("reason"))
     return Decoded(ok, bad)
 
 
+def decode_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
+                  required=EVENT_REQUIRED) -> Decoded:
+    """Parse JSON payloads into typed rows; absent fields become NULL.
+
+    Malformed payloads and rows missing a required field go to ``rejects``
+    (with the raw payload and a reason) instead of being silently turned
+    into NULL rows. Works on batch and streaming DataFrames alike.
+    """
+    return split_tagged(tag_events(df, value_col, schema, required), schema)
+
+
 def encode_events(df: DataFrame, key_col: str | None = "player") -> DataFrame:
     """Encode event rows as JSON ``value`` (and ``key``) columns.
 
@@ -154,8 +177,9 @@ class StreamConfig:
     max_offsets_per_trigger: int | None = None
 
 
-def read_events_stream(spark: SparkSession, cfg: StreamConfig) -> Decoded:
-    """Typed event stream (plus rejects), from Kafka or a JSON directory."""
+def read_raw_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """The undecoded payloads (``value`` column), from Kafka or a JSON
+    directory."""
     if cfg.format == "kafka":
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
@@ -163,15 +187,20 @@ def read_events_stream(spark: SparkSession, cfg: StreamConfig) -> Decoded:
                   .option("startingOffsets", cfg.starting_offsets))
         if cfg.max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
-        return decode_events(reader.load(), "value")
+        return reader.load()
     if cfg.format == "json":
         reader = spark.readStream.format("text")
         if cfg.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-        return decode_events(reader.load(cfg.path), "value")
+        return reader.load(cfg.path)
     raise ValueError(f"unsupported stream format {cfg.format!r}")
 
 
+def read_events_stream(spark: SparkSession, cfg: StreamConfig) -> Decoded:
+    """Typed event stream (plus rejects), from Kafka or a JSON directory."""
+    return decode_events(read_raw_stream(spark, cfg), "value")
+
+
 def write_events(df: DataFrame, cfg: StreamConfig, mode: str = "append") -> None:
     """Publish events (batch DataFrame) to Kafka or as JSON text files."""
     enc = encode_events(df)

@@ -164,3 +164,36 @@ def test_sink_compaction_policy(spark, tmp_path):
         assert store.batches(name) == [3, 4, 5]
         assert _rows(_current(store, name)) == _rows(_batch_view(name, _events(spark)))
     store.drop_namespace()
+
+
+def test_ingest_once_then_views(spark, tmp_path):
+    from popflow.sources.events import read_raw_stream
+    from popflow.streaming.ingest import read_ingested, read_ingested_table, start_ingest
+
+    src, table = str(tmp_path / "src"), str(tmp_path / "events")
+    _write_files(spark, src, range(N_FILES))
+    spark.createDataFrame([("{not json",), ('{"player": "x", "score": 1}',)], "value string") \
+        .coalesce(1).write.text(f"{src}/part=bad")
+    raw = read_raw_stream(spark, StreamConfig(format="json", path=f"{src}/*",
+                                              max_files_per_trigger=2))
+    ingest = start_ingest(raw, table, str(tmp_path / "ck_ingest"),
+                          trigger={"availableNow": True})
+    await_all({"ingest": ingest}, 600)
+    stored = read_ingested_table(spark, table)
+    assert _rows(stored.events) == _rows(_events(spark).select(
+        "player", "balloon_color", "score", F.lit(None).cast("int").alias("page_id"),
+        "favorite_color_bonus", "event_ts"))
+    assert sorted(r.reason for r in stored.rejects.collect()) == [
+        "balloon_color,event_ts", "malformed"]
+    # the views stream the typed table: no JSON parsing downstream
+    events = read_ingested(spark, table, max_files_per_trigger=3)
+    store = TableStore(spark, "stream_ingest", location=str(tmp_path / "wh"))
+    names = ["leaderboard", "balloon_colored_pops"]
+    qs = start_views(events.events, store, checkpoint_root=str(tmp_path / "ck"), names=names,
+                     trigger={"availableNow": True})
+    await_all(qs, 600)
+    plan = qs["leaderboard"].lastProgress["sources"][0]["description"]
+    assert "FileStreamSource" in plan
+    for name in names:
+        assert _rows(_current(store, name)) == _rows(_batch_view(name, _events(spark)))
+    store.drop_namespace()
