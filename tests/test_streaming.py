@@ -139,6 +139,11 @@ def test_dashboard_pages_on_stored_tables(spark, replay):
     expect = lbp.scoreboard_top(views.leaderboard(_events(spark)), 5).collect()
     assert p1["scoreboard"].collect() == expect
     assert p1["trend"].count() > 0
+    # trend and bounds read the changelog; equal to computing them on current state
+    cur = replay.read_table("realtime_scores", "current")
+    assert _rows(p1["trend"]) == _rows(lbp.score_trend(cur, lbp.top_players(
+        replay.read_table("leaderboard"), 5)))
+    assert _rows(p1["bounds"]) == _rows(lbp.time_bounds(cur))
     p2 = dash.color_page("player_1", "points_by_color")
     assert p2["totals"].count() == 1 and p2["by_metric"].count() > 0
     p3 = dash.performance_page()

@@ -311,3 +311,20 @@ def test_quality_checks(spark):
     req = quality.required_violations(a.withColumnRenamed("v", "total_score"),
                                       TABLE_SCHEMAS["leaderboard"]).collect()
     assert {x.column_name: x.null_count for x in req} == {"player": 0, "total_score": 1}
+
+
+def test_trend_and_bounds_on_changelog_equal_current(spark):
+    # windows updated over several batches: totals only grow (scores >= 0)
+    w0, w1 = ts("2024-01-01 00:00:00"), ts("2024-01-01 00:00:15")
+    e0, e1 = ts("2024-01-01 00:00:15"), ts("2024-01-01 00:00:30")
+    log = spark.createDataFrame([
+        ("a", 10, w0, e0, 0), ("a", 25, w0, e0, 1), ("a", 40, w0, e0, 3),
+        ("b", 5, w0, e0, 0), ("b", 5, w1, e1, 2), ("b", 90, w1, e1, 3),
+        ("a", 0, w1, e1, 2),
+    ], "player string, total_score long, window_start timestamp, window_end timestamp, "
+       "batch_id long")
+    cur = latest_by_key(log, ["player", "window_start", "window_end"], ["batch_id"])
+    assert cur.count() == 4 and log.count() == 7
+    trend = lambda df: sorted(tuple(r) for r in lbp.score_trend(df, ["a", "b"]).collect())
+    assert trend(log) == trend(cur)
+    assert lbp.time_bounds(log).collect() == lbp.time_bounds(cur).collect()
