@@ -249,7 +249,7 @@ class TableStore:
         cached = out.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             out = self.cluster_for_write(name, cached)
-            view = f"_popflow_batch_{name}"
+            view = f"_popflow_batch_{self.namespace}_{name}"
             table_cols = spark.table(self.qualified(name)).columns
             parts = self.partition_cols(name)
             data_cols = [c for c in table_cols if c not in parts]
@@ -257,7 +257,7 @@ class TableStore:
             spec = ", ".join([f"batch_id={int(batch_id)}", *parts[1:]])
             spark.sql(f"INSERT OVERWRITE TABLE {self.qualified(name)} PARTITION ({spec}) "
                       f"SELECT {', '.join('`%s`' % c for c in data_cols + parts[1:])} "
-                      f"FROM {view}")
+                      f"FROM `{view}`")
             spark.catalog.dropTempView(view)
         finally:
             cached.unpersist()
