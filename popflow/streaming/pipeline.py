@@ -96,10 +96,12 @@ def await_all(queries: dict[str, StreamingQuery], timeout: float | None = None)
             raise q.exception()
 
 
-def list_pipeline(spark: SparkSession, store: TableStore) -> dict[str, list]:
-    """Sources, running view queries and sink tables of the pipeline."""
+def list_pipeline(spark: SparkSession, store: TableStore,
+                  ingest_name: str = "popflow.ingest") -> dict[str, list]:
+    """Sources, running ingest and view queries and sink tables of the
+    pipeline."""
     active = [q for q in spark.streams.active
-              if (q.name or "").startswith(f"{store.namespace}.")]
+              if (q.name or "").startswith(f"{store.namespace}.") or q.name == ingest_name]
     return {
         "queries": [{"name": q.name, "id": str(q.id), "active": q.isActive,
                      "status": q.status.get("message")} for q in active],

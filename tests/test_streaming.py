@@ -202,3 +202,35 @@ def test_ingest_once_then_views(spark, tmp_path):
     for name in names:
         assert _rows(_current(store, name)) == _rows(_batch_view(name, _events(spark)))
     store.drop_namespace()
+
+
+def test_list_running_pipeline(spark, tmp_path):
+    import time
+
+    from popflow.sources.events import read_raw_stream
+    from popflow.streaming.ingest import read_ingested, start_ingest
+
+    src, table = str(tmp_path / "src"), str(tmp_path / "events")
+    _write_files(spark, src, range(2))
+    raw = read_raw_stream(spark, StreamConfig(format="json", path=f"{src}/*"))
+    ingest = start_ingest(raw, table, str(tmp_path / "ck_ingest"),
+                          trigger={"processingTime": "1 second"})
+    store = TableStore(spark, "stream_live", location=str(tmp_path / "wh"))
+    try:
+        deadline = time.time() + 120
+        while ingest.lastProgress is None and time.time() < deadline:
+            time.sleep(0.5)
+        qs = start_views(read_ingested(spark, table).events, store,
+                         checkpoint_root=str(tmp_path / "ck"), names=["leaderboard"],
+                         trigger={"processingTime": "1 second"})
+        while qs["leaderboard"].lastProgress is None and time.time() < deadline:
+            time.sleep(0.5)
+        info = list_pipeline(spark, store)
+        assert {q["name"] for q in info["queries"]} == {"popflow.ingest",
+                                                         "stream_live.leaderboard"}
+        assert all(q["active"] for q in info["queries"])
+        assert info["tables"] == ["leaderboard"]
+    finally:
+        for q in spark.streams.active:
+            q.stop()
+    store.drop_namespace()
