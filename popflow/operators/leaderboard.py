@@ -67,21 +67,21 @@ def for_players(df: DataFrame, players) -> DataFrame:
     """Keep rows of the given players.
 
     ``players`` is a Python list (an ``IN`` filter, pushed to the scan) or a
-    one-column DataFrame of player names with a known small size such as a
-    top-k result (broadcast left-semi join). Use :func:`for_players_table`
-    for an unbounded player table.
+    one-column DataFrame of player names (left-semi join). No broadcast hint:
+    the planner broadcasts the names only when their size estimate is under
+    ``spark.sql.autoBroadcastJoinThreshold``. A top-k list carries a proven
+    bound (its limit: k rows), so it is broadcast and the semi join is
+    pushed below the aggregation; a player table of unknown size gets a
+    shuffle join, or a broadcast chosen by AQE from its runtime size.
     """
     if isinstance(players, DataFrame):
         keys = players.select(F.col(players.columns[0]).alias("_p"))
-        return df.join(F.broadcast(keys), df["player"] == F.col("_p"), "left_semi")
+        return df.join(keys, df["player"] == F.col("_p"), "left_semi")
     return df.where(F.col("player").isin(list(players)))
 
 
-def for_players_table(df: DataFrame, players: DataFrame) -> DataFrame:
-    """Semi join against a player table of any size (planner picks the join;
-    AQE turns it into a broadcast when the runtime size is small)."""
-    keys = players.select(F.col(players.columns[0]).alias("_p")).distinct()
-    return df.join(keys, df["player"] == F.col("_p"), "left_semi")
+# Former name of the DataFrame form; kept for callers.
+for_players_table = for_players
 
 
 def hour_bounds(start, end):
