@@ -16,6 +16,8 @@ __all__ = [
     "ts_literal",
     "compose_datetime",
     "to_utc",
+    "utc_instant",
+    "utc_wall_clock",
     "time_of_day",
     "time_label",
     "age_seconds",
@@ -78,6 +80,23 @@ def to_utc(c, tz: str = "UTC") -> Column:
     return F.to_utc_timestamp(col_of(c), tz)
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def utc_instant(c) -> Column:
+    """Instant (``timestamp``) of a zone-less wall clock read as UTC,
+    whatever the session time zone (a plain cast would read it in the
+    session zone)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), col_of(c)))
+
+
+def utc_wall_clock(c) -> Column:
+    """Zone-less UTC wall clock (``timestamp_ntz``) of an instant, whatever
+    the session time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col_of(c)), _epoch_ntz())
+
+
 def time_of_day(c) -> Column:
     return F.date_format(col_of(c), "HH:mm:ss")
 

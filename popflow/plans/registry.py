@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popflow.config import DEFAULT_CONFIG
-from popflow.functions.expressions import ts_literal
+from popflow.functions.expressions import ts_literal, utc_wall_clock
 from popflow.operators import colors, leaderboard as lbp, performance as perf
 from popflow.operators import quality, views
 from popflow.operators.ranking import latest_by_key
@@ -144,7 +144,7 @@ def _stream_current(spark, d, name, width=None):
 
     store = replay_events(_ge(spark, d), names=[name], width=width)
     cur = store.read_table(name, "current")
-    return cur.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+    return cur.select(*[utc_wall_clock(f.name).alias(f.name)
                         if f.name in ("event_ts", "window_start", "window_end")
                         else F.col(f.name) for f in TABLE_SCHEMAS[name]])
 

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from popflow.functions.expressions import utc_instant
 from popflow.session import shared_dir
 from popflow.sources.events import StreamConfig, encode_events, read_events_stream
 from popflow.sources.events import read_raw_stream
@@ -29,8 +30,10 @@ def stage_events(events: DataFrame, n_files: int = 4, base: str | None = None) -
     checkpoint location)."""
     spark = events.sparkSession
     base = (base or shared_dir(spark, "replay")).rstrip("/") + f"/{uuid.uuid4().hex[:12]}"
-    ev = events.select(*[c for c in EVENT_COLUMNS if c != "event_ts"],
-                       F.col("event_ts").cast("timestamp").alias("event_ts"))
+    ts = F.col("event_ts")
+    if dict(events.dtypes)["event_ts"] == "timestamp_ntz":
+        ts = utc_instant(ts)    # zone-less event times are UTC wall clock
+    ev = events.select(*[c for c in EVENT_COLUMNS if c != "event_ts"], ts.alias("event_ts"))
     (encode_events(ev.repartitionByRange(n_files, "event_ts")
                    .sortWithinPartitions("event_ts"), key_col=None)
      .write.text(f"{base}/src"))

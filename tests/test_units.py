@@ -328,3 +328,20 @@ def test_trend_and_bounds_on_changelog_equal_current(spark):
     trend = lambda df: sorted(tuple(r) for r in lbp.score_trend(df, ["a", "b"]).collect())
     assert trend(log) == trend(cur)
     assert lbp.time_bounds(log).collect() == lbp.time_bounds(cur).collect()
+
+
+def test_utc_helpers_ignore_session_zone(spark):
+    from popflow.functions.expressions import utc_instant, utc_wall_clock
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 10, 5, 59, 59, 123456),)],
+                               "t timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(F.unix_micros(utc_instant("t")).alias("us"),
+                          utc_wall_clock(utc_instant("t")).alias("back")).first()
+            assert r.us == 1704866399123456           # 2024-01-10T05:59:59.123456Z
+            assert r.back == dt.datetime(2024, 1, 10, 5, 59, 59, 123456)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
