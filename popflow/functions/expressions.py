@@ -18,6 +18,7 @@ __all__ = [
     "to_utc",
     "utc_instant",
     "utc_wall_clock",
+    "ts_as",
     "time_of_day",
     "time_label",
     "age_seconds",
@@ -97,6 +98,20 @@ def utc_wall_clock(c) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(col_of(c)), _epoch_ntz())
 
 
+def ts_as(value, ts_type: str = "timestamp_ntz") -> Column:
+    """A time bound of type ``ts_type`` (``timestamp`` or
+    ``timestamp_ntz``): ``None`` is the current time, text or ``datetime`` is
+    read as UTC wall clock, a Column is cast. Unlike casting a zone-less
+    literal, the result does not depend on the session time zone."""
+    if isinstance(value, Column):
+        return value.cast(ts_type)
+    if value is None:
+        now = F.current_timestamp()
+        return now if ts_type == "timestamp" else utc_wall_clock(now)
+    lit = ts_literal(value)
+    return utc_instant(lit) if ts_type == "timestamp" else lit
+
+
 def time_of_day(c) -> Column:
     return F.date_format(col_of(c), "HH:mm:ss")
 

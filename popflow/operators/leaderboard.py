@@ -11,7 +11,8 @@ from popflow.functions.expressions import (
     compose_datetime,
     time_label,
     time_of_day,
-    ts_literal,
+    ts_as,
+    utc_instant,
 )
 from popflow.operators.ranking import global_rank, latest_by_key, top_k
 
@@ -84,20 +85,27 @@ def for_players(df: DataFrame, players) -> DataFrame:
 for_players_table = for_players
 
 
-def hour_bounds(start, end):
-    return F.date_trunc("hour", ts_literal(start)), F.date_trunc("hour", ts_literal(end))
+def _ts_type(df: DataFrame, col: str) -> str:
+    return dict(df.dtypes)[col]
+
+
+def hour_bounds(start, end, ts_type: str = "timestamp_ntz"):
+    return (F.date_trunc("hour", ts_as(start, ts_type)),
+            F.date_trunc("hour", ts_as(end, ts_type)))
 
 
 def in_time_range(df: DataFrame, start, end, col: str = "window_start",
                   hour_col: str | None = None) -> DataFrame:
-    """Rows with ``start <= col <= end`` (both inclusive, UTC wall clock).
+    """Rows with ``start <= col <= end`` (both inclusive; bounds read as UTC
+    wall clock whatever the session time zone).
 
     ``hour_col`` names a derived hour partition column of a stored table; the
     matching bound on it lets the scan prune partitions.
     """
-    cond = F.col(col).between(ts_literal(start), ts_literal(end))
+    t = _ts_type(df, col)
+    cond = F.col(col).between(ts_as(start, t), ts_as(end, t))
     if hour_col and hour_col in df.columns:
-        lo, hi = hour_bounds(start, end)
+        lo, hi = hour_bounds(start, end, _ts_type(df, hour_col))
         cond = cond & F.col(hour_col).between(lo, hi)
     return df.where(cond)
 
@@ -107,16 +115,16 @@ def in_date_time_range(df: DataFrame, start_date, start_time, end_date, end_time
     """As :func:`in_time_range`, with bounds given as separate date and time."""
     lo = compose_datetime(F.lit(str(start_date)), F.lit(str(start_time)))
     hi = compose_datetime(F.lit(str(end_date)), F.lit(str(end_time)))
+    if _ts_type(df, col) == "timestamp":
+        lo, hi = utc_instant(lo), utc_instant(hi)
     return df.where(F.col(col).between(lo, hi))
 
 
 def since(df: DataFrame, interval: str, now=None, col: str = "window_start") -> DataFrame:
     """Rows with ``col > now - interval``; ``now`` defaults to the current
-    time and may be a literal or a scalar Column (e.g. a subquery)."""
-    if now is None:
-        now_col = F.current_timestamp().cast("timestamp_ntz")
-    else:
-        now_col = ts_literal(now)
+    time and may be a literal (UTC wall clock) or a scalar Column (e.g. a
+    subquery)."""
+    now_col = ts_as(now, _ts_type(df, col))
     return df.where(F.col(col) > now_col - F.expr(f"INTERVAL {interval}"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from popflow.functions.expressions import age_seconds, ts_literal
+from popflow.functions.expressions import age_seconds, ts_as
 from popflow.operators.leaderboard import require_rows  # noqa: F401  (re-export)
 
 
@@ -55,8 +55,7 @@ def freshness(tables: Mapping[str, tuple[DataFrame, str]], now=None) -> DataFram
     parts = []
     for name, (df, col) in tables.items():
         ts_type = dict(df.dtypes)[col]
-        now_col = (F.current_timestamp().cast(ts_type) if now is None
-                   else ts_literal(now).cast(ts_type))
+        now_col = ts_as(now, ts_type)
         parts.append(df.agg(F.max(col).alias("latest_ts"))
                      .select(F.lit(name).alias("table_name"), "latest_ts",
                              age_seconds("latest_ts", now_col).alias("age_seconds")))

@@ -98,17 +98,17 @@ def events_for_windows(events: DataFrame, width: str = DEFAULT_WINDOW, start=Non
     predicate is on the raw timestamp, so it reaches the Parquet scan
     (row-group / partition skipping) instead of aggregating all history.
     """
-    from popflow.functions.expressions import ts_literal
+    from popflow.functions.expressions import ts_as
 
     ts = F.col("event_ts")
     ts_type = dict(events.dtypes)["event_ts"]
     cond = F.lit(True)
     if start is not None:
-        cond = cond & (ts >= ts_literal(start).cast(ts_type))
+        cond = cond & (ts >= ts_as(start, ts_type))
     if end is not None:
-        cond = cond & (ts < ts_literal(end).cast(ts_type) + F.expr(f"INTERVAL {width}"))
+        cond = cond & (ts < ts_as(end, ts_type) + F.expr(f"INTERVAL {width}"))
     if after is not None:
-        cond = cond & (ts > ts_literal(after).cast(ts_type))
+        cond = cond & (ts > ts_as(after, ts_type))
     return events.where(cond)
 
 

@@ -345,3 +345,21 @@ def test_utc_helpers_ignore_session_zone(spark):
             assert r.back == dt.datetime(2024, 1, 10, 5, 59, 59, 123456)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_time_bounds_read_as_utc_in_any_session_zone(spark):
+    from popflow.functions.expressions import utc_instant
+
+    ntz = spark.createDataFrame([(dt.datetime(2024, 1, 10, 0, 0),), (dt.datetime(2024, 1, 10, 8, 0),)],
+                                "window_start timestamp_ntz")
+    ltz = ntz.select(utc_instant("window_start").alias("window_start"))   # 00:00Z, 08:00Z
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for df in (ntz, ltz):
+            got = lbp.in_time_range(df, "2024-01-10 00:00:00", "2024-01-10 01:00:00")
+            assert got.count() == 1
+            assert lbp.in_time_range(df, "2024-01-10 07:00:00", "2024-01-10 09:00:00").count() == 1
+            assert lbp.since(df, "1 hour", now="2024-01-10 08:30:00").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
