@@ -57,6 +57,10 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
     from popflow.streaming.ingest import read_ingested, start_ingest
 
     timings = {} if timings is None else timings
+    if state_partitions is None:
+        # no more state partitions than cores: one wave of commits per batch
+        state_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                               spark.sparkContext.defaultParallelism)
     run = base.rstrip("/").rsplit("/", 1)[-1]
     store = TableStore(spark, f"replay_{run}", location=f"{base}/tables")
     t0 = time.perf_counter()
