@@ -53,6 +53,32 @@ def stream_replay(spark, sf_dir: str) -> dict:
     return out
 
 
+def stream_latency(spark, sf_dir: str, events_per_batch: int = 20, batches: int = 6) -> dict:
+    """Per-micro-batch latency of a live-sized stream: small batches through
+    the leaderboard view into its changelog (median after the first)."""
+    from popflow.session import shared_dir
+    from popflow.sources.events import StreamConfig, game_events, read_events_stream
+    from popflow.sources.tables import TableStore
+    from popflow.streaming.pipeline import await_all, start_views
+    from popflow.streaming.replay import stage_events
+
+    # a live batch is small by definition: the probe takes that many events
+    ev = game_events(spark, sf_dir).limit(events_per_batch * batches)
+    base = stage_events(ev, batches, base=shared_dir(spark, "bench-latency"))
+    store = TableStore(spark, "bench_latency_" + base.rsplit("/", 1)[-1],
+                       location=f"{base}/tables")
+    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src",
+                                                    max_files_per_trigger=1))
+    qs = start_views(stream.events, store, checkpoint_root=f"{base}/checkpoints",
+                     names=["leaderboard"], trigger={"availableNow": True},
+                     state_partitions=spark.sparkContext.defaultParallelism)
+    await_all(qs)
+    ms = [p["durationMs"]["triggerExecution"] for p in qs["leaderboard"].recentProgress]
+    store.drop_namespace()
+    return {"events_per_batch": events_per_batch, "batches": len(ms),
+            "median_batch_ms": statistics.median(ms[1:] or ms), "first_batch_ms": ms[0]}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -84,6 +110,12 @@ def main() -> None:
             stream = stream_replay(spark, sf_dir)
         except Exception as e:  # noqa: BLE001  (keep the batch numbers)
             stream = {"error": f"{type(e).__name__}: {str(e)[:300]}"}
+    latency = None
+    if os.environ.get("BENCH_STREAM", "1") != "0" and not only:
+        try:
+            latency = stream_latency(spark, sf_dir)
+        except Exception as e:  # noqa: BLE001
+            latency = {"error": f"{type(e).__name__}: {str(e)[:300]}"}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     out = {
         "metric": "total_median_query_seconds",
@@ -96,6 +128,8 @@ def main() -> None:
     }
     if stream:
         out["stream_replay"] = stream
+    if latency:
+        out["stream_latency"] = latency
     print(json.dumps(out))
     spark.stop()
 
