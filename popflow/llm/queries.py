@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from popflow.llm.common import read
+from popflow.llm.piecewise import piecewise_hashes
 from popflow.llm.quality import score_quality
+from popflow.llm.simhash import simhash_groups
 from popflow.llm.toxicity import score_toxicity
 
 
@@ -19,9 +21,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+def op9_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise_hashes(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_simhash": op8_simhash,
+    "op9_piecewise": op9_piecewise,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
