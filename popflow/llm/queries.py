@@ -10,6 +10,7 @@ from popflow.llm.common import read
 from popflow.llm.piecewise import piecewise_hashes
 from popflow.llm.quality import score_quality
 from popflow.llm.simhash import simhash_groups
+from popflow.llm.superkmer import substring_dedup
 from popflow.llm.toxicity import score_toxicity
 
 
@@ -17,6 +18,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents"), window=13)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -31,6 +36,7 @@ def op9_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op6_substrings": op6_substrings,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_piecewise": op9_piecewise,
