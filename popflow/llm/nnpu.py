@@ -2,8 +2,8 @@
 
 Risk of a scorer z with class prior p, logistic loss l, positives P and
 unlabelled rows U:  p E_P[l(z)] + max(0, E_U[l(-z)] - p E_P[l(-z)]).
-When the second term of a mini-batch falls below zero the step ascends it
-instead, so that a flexible model cannot push the estimate under zero.
+Where the second term falls below zero the step ascends it instead, so that a
+flexible model cannot push the estimate under zero.
 """
 
 from __future__ import annotations
@@ -13,49 +13,33 @@ from dataclasses import dataclass
 import numpy as np
 
 
+class Rows:
+    """0/1 rows held as the indices of their ones."""
+
+    def __init__(self, ones: list[list[int]], dim: int):
+        self.n, self.dim = len(ones), dim
+        self.row = np.repeat(np.arange(self.n), [len(x) for x in ones])
+        self.ix = np.array([i for x in ones for i in x], np.int64)
+
+    def dot(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights[self.ix], self.n)
+
+    def back(self, values: np.ndarray) -> np.ndarray:
+        """Sum of ``values`` over the rows that have each one."""
+        return np.bincount(self.ix, values[self.row], self.dim)
+
+
 @dataclass
 class LinearModel:
     weights: np.ndarray
     bias: float
 
     def proba(self, z: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(z + self.bias, -30.0, 30.0)))
-
-
-def fit(xp: np.ndarray, xu: np.ndarray, prior: float, *, l2: float = 1e-3,
-        updates: int = 900, batch: int = 2048, lr: float = 0.05,
-        seed: int = 7) -> LinearModel:
-    """Adam on the non-negative risk; xp and xu are 0/1 (uint8) matrices."""
-    rng = np.random.default_rng(seed)
-    dim = xp.shape[1]
-    theta = np.zeros(dim + 1)
-    m, v, step = np.zeros_like(theta), np.zeros_like(theta), 0
-    steps = max(1, -(-len(xu) // batch))
-    size_p = max(1, -(-len(xp) // steps))
-    epochs = max(1, -(-updates // steps))
-    for epoch in range(epochs):
-        order_p, order_u = rng.permutation(len(xp)), rng.permutation(len(xu))
-        rate = lr * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
-        for k in range(steps):
-            p = xp[order_p.take(range(k * size_p, (k + 1) * size_p), mode="wrap")].astype(np.float32)
-            u = xu[order_u[k * batch:(k + 1) * batch]].astype(np.float32)
-            if not len(u):
-                continue
-            zp, zu = p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1]
-            sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
-            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            # d l(-z)/dz = s, d l(z)/dz = s - 1
-            g_neg = np.append(u.T @ su, su.sum()) / len(u) - prior * np.append(p.T @ sp, sp.sum()) / len(p)
-            if negative >= 0:
-                grad = prior * np.append(p.T @ (sp - 1), (sp - 1).sum()) / len(p) + g_neg
-            else:
-                grad = -g_neg
-            grad[:-1] += l2 * theta[:-1]
-            step += 1
-            m = 0.9 * m + 0.1 * grad
-            v = 0.999 * v + 0.001 * grad * grad
-            theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return LinearModel(theta[:-1].copy(), float(theta[-1]))
+        return sigmoid(z + self.bias)
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -30.0, 30.0)))
 
 
 def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
@@ -64,6 +48,29 @@ def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, rest))
 
 
+def fit(xp: Rows, xu: Rows, prior: float, *, l2: float = 1e-3, updates: int = 600,
+        lr: float = 0.05) -> LinearModel:
+    """Adam with a cosine rate on the non-negative risk."""
+    theta = np.zeros(xp.dim + 1)
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    for step in range(1, updates + 1):
+        zp, zu = xp.dot(theta[:-1]) + theta[-1], xu.dot(theta[:-1]) + theta[-1]
+        sp, su = sigmoid(zp) / xp.n, sigmoid(zu) / xu.n
+        # d l(-z)/dz = s and d l(z)/dz = s - 1
+        negative = np.append(xu.back(su), su.sum()) - prior * np.append(xp.back(sp), sp.sum())
+        if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
+            pull = sp - 1 / xp.n
+            grad = prior * np.append(xp.back(pull), pull.sum()) + negative
+        else:
+            grad = -negative
+        grad[:-1] += l2 * theta[:-1]
+        m = 0.9 * m + 0.1 * grad
+        v = 0.999 * v + 0.001 * grad * grad
+        rate = lr * 0.5 * (1 + np.cos(np.pi * step / updates))
+        theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    return LinearModel(theta[:-1].copy(), float(theta[-1]))
+
+
 def best_cut(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     """Score cut of least non-negative zero-one risk; the middle of its plateau."""
     cuts = np.unique(np.concatenate([zp, zu]))
@@ -74,7 +81,7 @@ def best_cut(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     return float((cuts[at] + cuts[at - 1]) / 2) if at else float(cuts[0])
 
 
-def calibrated(model: LinearModel, xp: np.ndarray, xu: np.ndarray, prior: float, at: float) -> LinearModel:
+def calibrated(model: LinearModel, xp: Rows, xu: Rows, prior: float, at: float) -> LinearModel:
     """The model with its bias moved so that the best cut scores ``at``."""
-    cut = best_cut(xp @ model.weights, xu @ model.weights, prior)
+    cut = best_cut(xp.dot(model.weights), xu.dot(model.weights), prior)
     return LinearModel(model.weights, float(np.log(at / (1 - at)) - cut))

@@ -72,12 +72,9 @@ def _sampled(batches):
 
 
 def encode(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """One-hot rows: for each statistic the bin between its quantile cuts."""
-    out = np.zeros((len(x), x.shape[1] * (len(QUANTILES) + 1)), np.uint8)
-    rows = np.arange(len(x))
-    for j in range(x.shape[1]):
-        out[rows, j * (len(QUANTILES) + 1) + np.searchsorted(cuts[j], x[:, j], "left")] = 1
-    return out
+    """For each row and statistic the index of its bin between quantile cuts."""
+    bins = len(QUANTILES) + 1
+    return np.stack([j * bins + np.searchsorted(cuts[j], x[:, j], "left") for j in range(x.shape[1])], axis=1)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2):
@@ -90,7 +87,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2)
     if not len(xp) or not len(xu) or not 0 < prior < 1:
         return None, nnpu.LinearModel(np.empty(0), -30.0 if prior < 0.5 else 30.0)
     cuts = np.quantile(xu, QUANTILES, axis=0).T
-    xp, xu = encode(xp, cuts), encode(xu, cuts)
+    dim = len(STATISTICS) * (len(QUANTILES) + 1)
+    xp, xu = (nnpu.Rows(encode(x, cuts).tolist(), dim) for x in (xp, xu))
     return cuts, nnpu.calibrated(nnpu.fit(xp, xu, prior, l2=2e-4), xp, xu, prior, 0.7)
 
 
@@ -107,7 +105,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int =
     def run(batches):
         for batch in batches:
             x = np.array([statistics(t) for t in batch["text"].to_pylist()], float).reshape(-1, len(STATISTICS))
-            z = encode(x, cuts) @ model.weights if cuts is not None else np.zeros(len(x))
+            z = model.weights[encode(x, cuts)].sum(axis=1) if cuts is not None else np.zeros(len(x))
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "score": model.proba(z)}, schema=SCORED)
 
     return (docs.select("doc_id", text_or_empty().alias("text"))

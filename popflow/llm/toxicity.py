@@ -91,12 +91,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5,
         return {}, float(np.log(prior / (1 - prior)))
     vocabulary = {t: i for i, t in enumerate(chosen)}
     rows = sample.mapInArrow(_vectors(vocabulary), "positive boolean, ix array<int>")
-    x = {True: np.zeros((n_p, len(chosen)), np.uint8), False: np.zeros((n_u, len(chosen)), np.uint8)}
-    at = {True: 0, False: 0}
-    for r in rows.orderBy("positive", "ix").collect():  # bounded by the sample and the model size
-        x[r["positive"]][at[r["positive"]], r["ix"]] = 1
-        at[r["positive"]] += 1
-    model = nnpu.calibrated(nnpu.fit(x[True], x[False], prior), x[True], x[False], prior, 0.5)
+    got = rows.orderBy("positive", "ix").collect()  # bounded by the sample and the model size
+    xp = nnpu.Rows([r["ix"] for r in got if r["positive"]], len(chosen))
+    xu = nnpu.Rows([r["ix"] for r in got if not r["positive"]], len(chosen))
+    model = nnpu.calibrated(nnpu.fit(xp, xu, prior, l2=3e-3), xp, xu, prior, 0.5)
     return dict(zip(chosen, model.weights.tolist())), model.bias
 
 
