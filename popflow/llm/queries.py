@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from popflow.llm.common import read
+from popflow.llm.decontaminate import contamination
 from popflow.llm.piecewise import piecewise_hashes
 from popflow.llm.quality import score_quality
 from popflow.llm.simhash import simhash_groups
@@ -18,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), window=13)
 
@@ -36,6 +41,7 @@ def op9_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_decontaminate": op3_decontaminate,
     "op6_substrings": op6_substrings,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
