@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from popflow.llm.common import read
 from popflow.llm.decontaminate import contamination
+from popflow.llm.lines import line_dedup
 from popflow.llm.piecewise import piecewise_hashes
 from popflow.llm.quality import score_quality
 from popflow.llm.simhash import simhash_groups
@@ -39,6 +40,10 @@ def op9_piecewise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise_hashes(read(spark, sf_dir, "documents"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(read(spark, sf_dir, "documents"), edits=2, least=30)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_piecewise": op9_piecewise,
+    "op10_lines": op10_lines,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

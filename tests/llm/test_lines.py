@@ -1,0 +1,111 @@
+import hashlib
+import random
+
+import pytest
+
+from popflow.llm import lines
+
+
+def plain_distance(a, b):
+    return lines._table(a, b)
+
+
+def test_table_is_the_edit_distance():
+    assert [lines._table(*x) for x in (("", ""), ("", "ab"), ("kitten", "sitting"), ("ab", "ba"))] == [0, 2, 3, 2]
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_banded_distance(most):
+    rng = random.Random(most)
+    for _ in range(4000):
+        a = "".join(rng.choices("ab" if rng.random() < 0.5 else "abcdé", k=rng.randint(0, 18)))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randint(0, len(b))
+            b[k:k + rng.randint(0, 1)] = rng.choices("abc", k=rng.randint(0, 1))
+        b = "".join(b)
+        assert lines.edit_distance(a, b, most) == min(plain_distance(a, b), most + 1), (a, b)
+
+
+def test_linked_lines_always_share_a_key():
+    rng = random.Random(9)
+    for _ in range(1500):
+        edits = rng.choice([1, 2, 3])
+        a = rng.choices("abc", k=rng.randint(8, 30))
+        b = list(a)
+        for _ in range(edits):
+            k = rng.randint(0, len(b))
+            b[k:k + rng.randint(0, 1)] = rng.choices("abc", k=rng.randint(0, 1))
+        keys = [{(seed, "".join(x[at:at + size]), bit) for seed, at, size, kind in lines.plan(len(x), edits)
+                 for bit in (1, 2) if kind & bit} for x in (a, b)]
+        flip = {(s, t, 3 - bit) for s, t, bit in keys[1]}
+        assert keys[0] & flip, ("".join(a), "".join(b))
+
+
+def plain(docs, edits, least):
+    big = 2 ** 63 - 1
+    rows = sorted({(big if i is None else i, lines.row_code(t or ""), t or "") for i, t in docs})
+    first, near, exact = {}, {}, {}
+    for doc, code, text in rows:
+        for n, line in enumerate(text.split("\n")):
+            if not line.strip():
+                continue
+            if line in first:
+                exact.setdefault((doc, code), set()).add(n)
+            else:
+                first[line] = (doc, code, n)
+    texts = sorted(first, key=first.get)
+    for j, b in enumerate(texts):
+        for a in texts[:j]:
+            if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and plain_distance(a, b) <= edits:
+                doc, code, n = first[b]
+                near.setdefault((doc, code), {}).setdefault(n, set()).add(first[a][0])
+    out = []
+    for i, t in docs:
+        key = (big if i is None else i, lines.row_code(t or ""))
+        all_lines = (t or "").split("\n")
+        ex, ne = exact.get(key, set()), near.get(key, {})
+        kept = [x for n, x in enumerate(all_lines) if n not in ex and n not in ne]
+        out.append((i, len(all_lines), len(ex), len(ne), sorted({d for v in ne.values() for d in v} - {big}),
+                    hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def corpus(seed, n=60):
+    rng = random.Random(seed)
+    base = ["".join(rng.choices("abcdé ", k=rng.randint(6, 60))) for _ in range(40)]
+    docs = []
+    for i in range(n):
+        part = []
+        for _ in range(rng.randint(0, 6)):
+            line = list(rng.choice(base))
+            for _ in range(rng.choice([0, 0, 1, 2, 3])):
+                k = rng.randint(0, len(line))
+                line[k:k + rng.randint(0, 1)] = rng.choices("abx", k=rng.randint(0, 1))
+            part.append("".join(line))
+        docs.append((i * 7 % n, "\n".join(part)))
+    return docs
+
+
+def test_matches_brute_force(make_docs, monkeypatch):
+    docs = corpus(4) + [(100, None), (101, ""), (102, "\n \n\n"), (None, "a line without an id, long enough for edits"),
+                        (None, "a line without an id, long enough for edits!"), (103, "a line without any id, long enough for edits"),
+                        (104, "x" * 1500), (105, "x" * 1499 + "y"), (3, corpus(4)[3][1]), (3, "another text of three\nshort")]
+    want = plain(docs, 2, 10)
+    assert sum(r[3] for r in want) > 10
+    for flush in (lines.FLUSH_ENTRIES, 50):
+        monkeypatch.setattr(lines, "FLUSH_ENTRIES", flush)
+        got = lines.line_dedup(make_docs(docs, doc=1, spots=2, line="clash", place=3), 2, 10).collect()
+        assert sorted(map(tuple, got), key=str) == want
+
+
+def test_documents_lose_their_duplicate_lines(make_docs):
+    docs = make_docs([(1, "first line here\nsecond line"), (2, "first line here"), (3, "first line here\nnew"), (4, None),
+                      (5, ""), (6, "\n")])
+    got = {r.doc_id: (r.text, r.n_chars) for r in lines.drop_duplicate_lines(docs).collect()}
+    assert got == {1: ("first line here\nsecond line", 27), 3: ("new", 3), 4: (None, None), 5: ("", 0), 6: ("\n", 1)}
+    assert lines.drop_duplicate_lines(docs).columns == docs.columns
+
+
+def test_empty_table(make_docs):
+    assert lines.line_dedup(make_docs([])).collect() == []
