@@ -1,10 +1,10 @@
 """Substring dedup by super-k-mer partitioning.
 
 Consecutive windows of a text that share a minimiser (the least hash among
-their word 4-grams) travel as one packed string to that minimiser's bucket.
-There the rows come sorted by minimiser and the windows are counted exactly, as
-word sequences. Equal packed strings of a map task are sent once: their further
-occurrences follow as plain numbers, in bounded rows behind the strings.
+their word grams) travel as one packed string to that minimiser's bucket, where
+the windows are counted exactly, as word sequences. A map task sends equal
+strings once and packs all strings of a bucket into one compressed row; their
+further occurrences follow as plain numbers, in bounded rows behind them.
 """
 
 from __future__ import annotations
@@ -16,22 +16,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words of the grams whose least hash is a window's minimiser.
-GRAM = 4
+GRAM = 3
 #: Bytes of packed strings a map task holds before it hands them on.
-FLUSH_BYTES = 48 << 20
-#: Occurrences of one packed string in one row.
-CHUNK = 2_048
+FLUSH_BYTES = 96 << 20
+#: Hash buckets per shuffle partition.
+BUCKETS = 16
+#: Further occurrences in one row.
+CHUNK = 50_000
 #: Order of a null id: after every other.
 NO_ID = 2 ** 63 - 1
-MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
-PACKED = pa.schema([("mini", pa.int64()), ("packed", pa.binary()), ("doc", pa.int64()), ("place", pa.int64()),
-                    ("more", pa.binary())])
-PACKED_DDL = "mini long, packed binary, doc long, place long, more binary"
+#: What is known of a packed string and of its first occurrence, or of a further one.
+STRING = np.dtype([("key", "<u4"), ("many", "u1"), ("doc", "<i8"), ("place", "<i8")])
+MORE = np.dtype([("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("place", "<i8")])
+
+PACKED = pa.schema([("bucket", pa.int32()), ("further", pa.bool_()), ("about", pa.binary()), ("strings", pa.binary())])
+PACKED_DDL = "bucket int, further boolean, about binary, strings binary"
 SPANS = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("stop", pa.int32())])
 SPANS_DDL = "doc long, row long, first int, stop int"
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
@@ -63,7 +69,7 @@ def minimisers(words: list[bytes], window: int) -> np.ndarray:
     return least
 
 
-def _pack(window: int):
+def _pack(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, bytes], list[int]] = {}
         size = 0
@@ -79,78 +85,130 @@ def _pack(window: int):
                 stops = [*cuts.tolist(), len(mini)]
                 ends = np.cumsum([len(w) + 1 for w in words])
                 joined, begin = b" ".join(words), [0, *ends.tolist()]
-                keys = mini.view(np.int64)[starts].tolist()
                 code = row_code(data) << 32
-                for key, s, e in zip(keys, starts, stops):
+                for key, s, e in zip(mini[starts].tolist(), starts, stops):
                     packed = joined[begin[s]:begin[e + window - 1] - 1]
                     seen = held.get((key, packed))
                     if seen is None:
                         held[key, packed] = [doc, code | s]
-                        size += len(packed) + 200
+                        size += len(packed) + 100
                     else:
                         seen += (doc, code | s)
                         size += 64
                 if size > FLUSH_BYTES:
-                    yield from _flush(held)
+                    yield from _flush(held, buckets)
                     held, size = {}, 0
-        yield from _flush(held)
+        yield from _flush(held, buckets)
     return run
 
 
-def _flush(held: dict[tuple[int, bytes], list[int]]) -> Iterator[pa.RecordBatch]:
-    columns: list[list] = [[], [], [], [], []]
-
-    def put(*row):
-        for column, value in zip(columns, row):
-            column.append(value)
-
-    for (key, packed), seen in held.items():
-        if len(seen) == 2:
-            put(key, packed, seen[0], seen[1], None)
-        else:
-            pairs = np.array(seen, np.int64).reshape(-1, 2)
-            first = int(pairs[:, 0].argmin())
-            put(key, packed, int(pairs[first, 0]), int(pairs[first, 1]), None)
-            rest = np.delete(pairs, first, axis=0)
-            pid = xxhash.xxh3_128_digest(packed)
-            for at in range(0, len(rest), CHUNK):
-                put(key, pid, 0, 0, rest[at:at + CHUNK].tobytes())
-        if len(columns[0]) >= 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED)], schema=PACKED)
-            columns = [[], [], [], [], []]
-    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED)], schema=PACKED)
+def _flush(held: dict[tuple[int, bytes], list[int]], buckets: int) -> Iterator[pa.RecordBatch]:
+    if not held:
+        return
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    keys = np.array([k for k, _ in held], np.uint64)
+    strings = [p for _, p in held]
+    about, further = np.empty(len(keys), STRING), []
+    about["key"] = keys >> np.uint64(32)
+    docs, places, many = [], [], []
+    for n, seen in enumerate(held.values()):
+        first = 0 if len(seen) == 2 else 2 * int(np.argmin(seen[::2]))  # the smallest document stands for the rest
+        docs.append(seen[first]), places.append(seen[first + 1]), many.append(len(seen) > 2)
+        if len(seen) > 2:
+            del seen[first:first + 2]
+            rest = np.empty(len(seen) // 2, MORE)
+            rest["p1"], rest["p2"] = np.frombuffer(xxhash.xxh3_128_digest(strings[n]), "<u8")
+            rest["doc"], rest["place"] = seen[::2], seen[1::2]
+            further.append((int(keys[n]) % buckets, rest))
+    about["doc"], about["place"], about["many"] = docs, places, many
+    bucket = (keys % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+    for s, e in zip(edges, edges[1:]):
+        part = order[s:e]
+        # each column on its own: equal bytes lie together
+        columns = b"".join(np.ascontiguousarray(about[c][part]).view(np.uint8).reshape(e - s, -1).T.tobytes()
+                           for c in STRING.names)
+        yield _row(bucket[part[0]], False, squeeze(columns), squeeze(b"\n".join([strings[i] for i in part])))
+    further.sort(key=lambda x: x[0])
+    at = 0
+    while at < len(further):  # rows of one bucket together, cut into chunks
+        to = at
+        while to < len(further) and further[to][0] == further[at][0]:
+            to += 1
+        rest = np.concatenate([x for _, x in further[at:to]])
+        for k in range(0, len(rest), CHUNK):
+            yield _row(further[at][0], True, squeeze(rest[k:k + CHUNK].tobytes()), None)
+        at = to
+
+
+def _row(bucket: int, further: bool, about: bytes, strings: bytes | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([int(bucket)], pa.int32()), pa.array([further]), pa.array([about], pa.binary()),
+                                       pa.array([strings], pa.binary())], schema=PACKED)
+
+
+def _unpack(about: bytes) -> np.ndarray:
+    raw = np.frombuffer(about, np.uint8)
+    n = len(raw) // STRING.itemsize
+    out, at = np.empty(n, STRING), 0
+    for c in STRING.names:
+        width = STRING[c].itemsize
+        out[c] = np.ascontiguousarray(raw[at:at + n * width].reshape(width, n).T).view(STRING[c]).ravel()
+        at += n * width
+    return out
 
 
 class _Bucket:
-    """All rows of one minimiser: strings first, further occurrences after them."""
-
-    def __init__(self, mini: int, window: int):
-        self.mini, self.window = mini, window
-        self.rows: list[tuple[bytes, int, int]] = []
-        self.least: dict[bytes, np.ndarray] | None = None
-
-    def count(self) -> None:
-        """The smallest document of every window, per packed string."""
+    """All rows of one bucket: strings first, further occurrences after them."""
+
+    def __init__(self, window: int):
+        self.window = window
+        self.about: list[np.ndarray] = []
+        self.strings: list[bytes] = []
+        self.least: dict[tuple[int, int], np.ndarray] = {}
+
+    def count(self) -> list[np.ndarray]:
+        """Spans of the first occurrences, by the smallest document of every window."""
+        about, out = np.concatenate(self.about), []
+        _, at, uses = np.unique(about["key"], return_inverse=True, return_counts=True)
+        shared = np.flatnonzero((uses[at] > 1) | (about["many"] > 0)).tolist()  # others hold no window twice
         best: dict[bytes, int] = {}
         windows: dict[bytes, list[bytes]] = {}
-        for packed, doc, _ in self.rows:
-            own = windows.get(packed)
-            if own is None:
-                words = packed.split(b" ")
-                begin = [0]
-                for w in words:
-                    begin.append(begin[-1] + len(w) + 1)
-                own = windows[packed] = [packed[begin[i]:begin[i + self.window] - 1]
-                                         for i in range(len(words) - self.window + 1)]
+        docs, places, many = about["doc"].tolist(), about["place"].tolist(), about["many"].tolist()
+        least_doc: dict[bytes, int] = {}
+        for i in shared:
+            packed = self.strings[i]
+            least_doc[packed] = min(least_doc.get(packed, NO_ID), docs[i])
+        for packed, doc in least_doc.items():
+            words = packed.split(b" ")
+            begin = [0]
+            for w in words:
+                begin.append(begin[-1] + len(w) + 1)
+            own = windows[packed] = [packed[begin[i]:begin[i + self.window] - 1]
+                                     for i in range(len(words) - self.window + 1)]
             for w in own:
                 if best.get(w, NO_ID) >= doc:
                     best[w] = doc
-        self.least = {p: np.array([best[w] for w in own], np.int64) for p, own in windows.items()}
-        self.by_id = {xxhash.xxh3_128_digest(p): least for p, least in self.least.items()}
+        least = {p: np.array([best[w] for w in own], np.int64) for p, own in windows.items()}
+        for i in shared:
+            found = least[self.strings[i]]
+            if docs[i] > found.min():
+                self.spans(np.array([docs[i]]), np.array([places[i]]), found, out)
+            if many[i]:
+                self.least[_name(self.strings[i])] = found
+        self.about, self.strings = [], []
+        return out
+
+    def further(self, rest: np.ndarray) -> list[np.ndarray]:
+        """Spans of further occurrences."""
+        out: list[np.ndarray] = []
+        edges = np.flatnonzero(np.diff(rest["p1"], prepend=rest["p1"][:1] + np.uint64(1), append=rest["p1"][-1:] + np.uint64(1)))
+        for s, e in zip(edges, edges[1:]):
+            self.spans(rest["doc"][s:e], rest["place"][s:e], self.least[int(rest["p1"][s]), int(rest["p2"][s])], out)
+        return out
 
-    def spans(self, pairs: np.ndarray, least: np.ndarray, out: list[np.ndarray]) -> None:
+    def spans(self, docs: np.ndarray, places: np.ndarray, least: np.ndarray, out: list[np.ndarray]) -> None:
         """Covered words (doc, row, first, stop) of occurrences whose windows start in a smaller document."""
-        docs, places = pairs[:, 0], pairs[:, 1]
         whole = docs > least.max()
         some = ~whole & (docs > least.min())
         row, start = places >> 32, places & 0xFFFFFFFF
@@ -162,51 +220,30 @@ class _Bucket:
             for a, b in hit.reshape(-1, 2):
                 out.append(np.array([[docs[k], row[k], start[k] + a, start[k] + b + self.window - 1]]))
 
-    def finish(self, out: list[np.ndarray]) -> None:
-        if self.least is None:
-            if len(self.rows) < 2:
-                return
-            self.count()
-        by_pack: dict[bytes, list[tuple[int, int]]] = {}
-        for packed, doc, place in self.rows:
-            by_pack.setdefault(packed, []).append((doc, place))
-        for packed, pairs in by_pack.items():
-            self.spans(np.array(pairs, np.int64), self.least[packed], out)
+
+def _name(packed: bytes) -> tuple[int, int]:
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(packed), "<u8").tolist())
 
 
 def _covered(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket: _Bucket | None = None
-        out: list[np.ndarray] = []
+        unzip, number, bucket = zstandard.ZstdDecompressor().decompress, None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            mini = batch["mini"].to_numpy()
-            edges = [0, *(np.flatnonzero(mini[1:] != mini[:-1]) + 1).tolist(), len(mini)]
-            packed, doc, place, more = (batch[c] for c in ("packed", "doc", "place", "more"))
-            doc, place = doc.to_numpy(), place.to_numpy()
-            for k, (s, e) in enumerate(zip(edges, edges[1:])):
-                if e - s == 1 and 0 < k < len(edges) - 2:
-                    continue  # a string alone in its bucket
-                if bucket is None or bucket.mini != mini[s]:
-                    if bucket is not None:
-                        bucket.finish(out)
-                    bucket = _Bucket(int(mini[s]), window)
-                for i in range(s, e):
-                    rest = more[i].as_py()
-                    if rest is None:
-                        bucket.rows.append((packed[i].as_py(), int(doc[i]), int(place[i])))
-                        continue
-                    if bucket.least is None:
-                        bucket.count()
-                    pairs = np.frombuffer(rest, np.int64).reshape(-1, 2)
-                    bucket.spans(pairs, bucket.by_id[packed[i].as_py()], out)
-            if sum(map(len, out)) > 20_000:
-                yield _span_batch(out)
-                out = []
-        if bucket is not None:
-            bucket.finish(out)
-        yield _span_batch(out)
+            for key, further, about, strings in zip(*(batch[c] for c in PACKED.names)):
+                key, further = key.as_py(), further.as_py()
+                if key != number:
+                    if bucket is not None and bucket.about:
+                        yield _span_batch(bucket.count())
+                    number, bucket = key, _Bucket(window)
+                if not further:
+                    bucket.about.append(_unpack(unzip(about.as_py())))
+                    bucket.strings += unzip(strings.as_py()).split(b"\n")
+                    continue
+                if bucket.about:
+                    yield _span_batch(bucket.count())
+                yield _span_batch(bucket.further(np.frombuffer(unzip(about.as_py()), MORE)))
+        if bucket is not None and bucket.about:
+            yield _span_batch(bucket.count())
     return run
 
 
@@ -219,9 +256,9 @@ def _span_batch(out: list[np.ndarray]) -> pa.RecordBatch:
 
 def duplicate_spans(rows: DataFrame, window: int) -> DataFrame:
     """(doc, row, first, stop): word ranges covered by windows that start in a smaller document."""
-    packed = rows.select("doc", "text").mapInArrow(_pack(window), PACKED_DDL)
-    # Strings sort before the further occurrences of their bucket: nulls come first.
-    return (packed.repartition(F.col("mini")).sortWithinPartitions("mini", F.col("more").asc_nulls_first())
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.select("doc", "text").mapInArrow(_pack(window, parts * BUCKETS), PACKED_DDL)
+    return (packed.repartition(parts, "bucket").sortWithinPartitions("bucket", "further")
             .mapInArrow(_covered(window), SPANS_DDL))
 
 
