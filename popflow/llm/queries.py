@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from popflow.llm.common import read
 from popflow.llm.decontaminate import contamination
 from popflow.llm.lines import line_dedup
+from popflow.llm import mixing
 from popflow.llm.piecewise import piecewise_hashes
 from popflow.llm.quality import score_quality
 from popflow.llm.simhash import simhash_groups
@@ -24,6 +25,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
 
 
+#: Half of the corpus's tokens, in three epochs at most.
+MIX = {"budget_share": 0.5, "epochs": 3, "seed": 11, "domain_weights": {"d0": 4, "d1": 2, "d2": 1, "d3": 3},
+       "lang_weights": {"en": 6, "de": 2, "fr": 2, "es": 1}}
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), **MIX)
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), window=13)
 
@@ -47,6 +57,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op4_mixing": op4_mixing,
     "op6_substrings": op6_substrings,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
@@ -55,4 +66,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.oracle(**MIX)}
