@@ -61,41 +61,31 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     return wins.withColumn("tokens", _shingles(loose, F.col("size")))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+CANDIDATES = "array<struct<start:int,wid:bigint,win:array<string>>>"
 
-    Null and empty texts have no words and no hits; items without words are
-    none. Repeated rows (also under one id, with other texts) are judged each by
-    its own text, repeated items count once per item_id, and a null item_id
-    counts in no list. Empty tables give no rows, an empty benchmark no hits.
-    Other columns are ignored.
-    """
-    wins = staged(item_windows(benchmark, window), "windows")
+
+def _with_candidates(rows: DataFrame, wins: DataFrame) -> DataFrame:
+    """Adds ``candidates``: places where a row's text may hold a window, with its words."""
     # At most SHINGLE different sizes.
     sizes = sorted(r["size"] for r in wins.select("size").distinct().collect())
+    if not sizes:
+        return rows.withColumn("candidates", F.lit(None).cast(CANDIDATES))
     known = staged(wins.select("size", F.explode("tokens").alias("token")).distinct(), "tokens")
     n_known = known.count()
-
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"))
-    key = F.xxhash64("text").alias("text_key")
     # Every place of a benchmark shingle in the corpus.
+    text = F.coalesce("text", F.lit(""))
+    loose = rows.select("doc_id", F.xxhash64(text).alias("text_key"), _loose_words(text).alias("w"))
     found = None
-    loose = rows.select("doc_id", key, _loose_words(F.col("text")).alias("w"))
     for size in sizes:
         places = loose.select("doc_id", "text_key", F.posexplode(_shingles(F.col("w"), size)).alias("place", "token"))
         part = places.join(small(known.where(F.col("size") == size).select("token"), n_known), "token").withColumn(
             "size", F.lit(size))
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        return _verdicts(rows.withColumn("candidates", F.lit(None).cast("array<struct<start:int,wid:bigint,win:array<string>>>")),
-                         wins)
     found = staged(found, "places")
 
     # The prefix of a window: its rarest shingle, with its offset.
     rarity = found.groupBy("size", "token").agg(F.count("*").alias("uses"))
-    wid = F.xxhash64("win").alias("wid")
-    distinct = wins.select("win", "n", "size", "tokens").distinct().withColumn("wid", wid)
+    distinct = wins.select("win", "n", "size", "tokens").distinct().withColumn("wid", F.xxhash64("win"))
     prefix = (distinct.select("wid", "win", "n", "size", F.posexplode("tokens").alias("offset", "token"))
               .join(rarity, ["size", "token"], "left")
               .groupBy("wid", "win", "n", "size")
@@ -103,24 +93,37 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
                             F.struct(F.coalesce("uses", F.lit(0)), "offset")).alias("p"))
               .select("size", F.col("p.token").alias("token"), F.col("p.offset").alias("offset"), "wid", "win"))
     prefix = staged(prefix, "prefixes")
-    n_prefix = prefix.count()
-    candidates = (found.join(small(prefix, n_prefix), ["size", "token"])
+    candidates = (found.join(small(prefix, prefix.count()), ["size", "token"])
                   .withColumn("start", F.col("place") - F.col("offset")).where("start >= 0")
                   .groupBy("doc_id", "text_key")
-                  .agg(F.collect_set(F.struct("start", "wid", "win")).alias("candidates")))
-    joined = rows.withColumn("text_key", F.xxhash64("text")).alias("d").join(
-        candidates.alias("c"), F.expr("d.doc_id <=> c.doc_id and d.text_key = c.text_key"), "left")
-    return _verdicts(joined.select("d.doc_id", "d.text", "c.candidates"), wins)
+                  .agg(F.collect_set(F.struct("start", "wid", "win")).alias("candidates"))
+                  .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "candidates"))
+    keyed = rows.withColumn("__text_key", F.xxhash64(text))
+    return keyed.join(candidates, keyed["doc_id"].eqNullSafe(candidates["__id"])
+                      & (keyed["__text_key"] == candidates["__key"]), "left").drop("__id", "__key", "__text_key")
+
 
+def _verified(words: str) -> Column:
+    """The candidates whose words stand in the array column ``words`` at their place."""
+    return F.filter("candidates", lambda c: F.slice(words, c["start"] + 1, F.size(c["win"])) == c["win"])
 
-def _verdicts(rows: DataFrame, wins: DataFrame) -> DataFrame:
-    """Verify the candidates of every row in place, then attach the items."""
-    n_words = F.size(_plain_words(F.col("text")))
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Null and empty texts have no words and no hits; items without words are
+    none. Repeated rows (also under one id, with other texts) are judged each by
+    its own text, repeated items count once per item_id, and a null item_id
+    counts in no list. Empty tables give no rows, an empty benchmark no hits.
+    Other columns are ignored.
+    """
+    wins = staged(item_windows(benchmark, window), "windows")
+    rows = _with_candidates(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), wins)
     exact = F.when(F.col("candidates").isNotNull(), _words(F.col("text")))
-    hits = F.filter("candidates", lambda c: F.slice("w", c["start"] + 1, F.size(c["win"])) == c["win"])
-    judged = rows.select("doc_id", n_words.alias("n_words"), "candidates", exact.alias("w")).select(
+    judged = rows.select("doc_id", F.size(_plain_words(F.col("text"))).alias("n_words"), "candidates",
+                         exact.alias("w")).select(
         "doc_id", "n_words",
-        F.array_sort(F.transform(hits, lambda c: F.struct(
+        F.array_sort(F.transform(_verified("w"), lambda c: F.struct(
             c["start"].alias("start"), (c["start"] + F.size(c["win"])).alias("stop"), c["wid"].alias("wid")))).alias("hits"))
     # Words covered by the sorted intervals.
     merged = F.aggregate(
@@ -140,3 +143,13 @@ def _verdicts(rows: DataFrame, wins: DataFrame) -> DataFrame:
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "ids"), F.lit("")), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """The documents that hold no window of the benchmark, with all their columns."""
+    wins = staged(item_windows(benchmark, window), "windows")
+    rows = _with_candidates(docs.drop("candidates"), wins)
+    exact = F.when(F.col("candidates").isNotNull(), _words(F.coalesce("text", F.lit(""))))
+    hits = F.coalesce(F.size(_verified("__w")), F.lit(0))
+    return (rows.withColumn("__w", exact).where(F.col("candidates").isNull() | (hits <= 0))
+            .select(*(c for c in docs.columns if c != "candidates")))

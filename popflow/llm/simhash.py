@@ -14,8 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from popflow.llm.common import staged, text_or_empty
 from popflow.llm.graph import components
@@ -174,10 +175,39 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFr
     no rows; other columns are ignored.
     """
     prints = staged(fingerprints(docs, shingle), "fingerprints")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(simhash_links(distinct, radius)).select(F.col("node").alias("fp"), "root")
-    named = staged(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named, least = _rooted(prints, radius)
     groups = named.join(least, "root").select("fp", "component_id")
     return prints.join(groups, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _rooted(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, first, root) of every fingerprint and (root, component_id) of every component."""
+    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    roots = components(simhash_links(distinct, radius)).select(F.col("node").alias("fp"), "root")
+    named = staged(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    return named, named.groupBy("root").agg(F.min("first").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The documents that stand for their group, with all their columns.
+
+    It is the document with the group's smallest id; of several rows with that
+    id the one with the smallest fingerprint stays, and of equal rows one.
+    """
+    prints = staged(fingerprints(docs, shingle), "fingerprints")
+    named, least = _rooted(prints, radius)
+    stay = (named.join(least, "root").where(F.col("first").eqNullSafe(F.col("component_id")))
+            .groupBy("root", "component_id").agg(F.min("fp").alias("__fp"))
+            .select(F.col("component_id").alias("__id"), "__fp"))
+
+    def add(batches):
+        for batch in batches:
+            fps = np.array([fingerprint(t or "", shingle) for t in batch["text"].to_pylist()], dtype=np.uint64)
+            yield batch.append_column("__fp", pa.array(fps.view(np.int64)))
+
+    marked = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())]))
+    kept = marked.join(stay, (marked["__fp"] == stay["__fp"]) & marked["doc_id"].eqNullSafe(stay["__id"])).drop(
+        stay["__fp"])
+    one = Window.partitionBy("__fp", "doc_id").orderBy("text")
+    return kept.withColumn("__row", F.row_number().over(one)).where("__row = 1").select(*docs.columns)

@@ -1,0 +1,99 @@
+"""Every stage against a brute-force version on a small corpus."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as cp
+from popflow.llm import mixing, toxicity
+from popflow.llm.queries import MIX
+from tests.llm.test_decontaminate import plain as plain_hits
+from tests.llm.test_lines import plain as plain_lines
+from tests.llm.test_simhash import plain_groups
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    rng = random.Random(6)
+    vocab = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(400)]
+    line = lambda n: " ".join(rng.choices(vocab, k=n))
+    items = [(i, line(rng.randint(6, 20))) for i in range(8)]
+    docs = [(i, "\n".join(line(rng.randint(5, 15)) for _ in range(rng.randint(1, 6)))) for i in range(60)]
+    docs += [(60 + i, docs[i][1]) for i in range(6)]                                      # copies
+    docs += [(70 + i, docs[i + 10][1].replace("a", "b", 1)) for i in range(6)]            # near copies
+    docs += [(80 + i, line(8) + "\n" + items[i][1] + "\n" + line(8)) for i in range(6)]   # benchmark text
+    docs += [(90 + i, " ".join(rng.choices([*vocab, "scum", "vermin", "filth"], k=20) + ["scum", "vermin"])) for i in range(25)]
+    docs += [(130, None), (131, ""), (3, docs[3][1]), (None, line(12))]
+    labels = [(i, 1, int(90 <= i < 115)) for i in range(115)] + [(None, 1, 1), (5, None, None)]
+    path = tmp_path_factory.mktemp("sf")
+    rows = [(i, t, "en", f"src{(i or 0) % 5}", None if t is None else len(t)) for i, t in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path), items
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_stages(spark, tables):
+    path, items = tables
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    columns = docs.columns
+
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    scored = toxicity.score_toxicity(docs, labels).collect()
+    toxic = {r.doc_id for r in scored if r.predicted}
+    kept = cp.drop_toxic(spark, docs, path)
+    assert kept.columns == columns
+    assert Counter(pairs(kept)) == Counter(p for p in pairs(docs) if p[0] not in toxic)
+    assert len(toxic & set(range(90, 115))) >= 23 and len(toxic - set(range(90, 115))) <= 2
+
+    kept.write.parquet(f"{path}/one")
+    docs = spark.read.parquet(f"{path}/one")
+    before = pairs(docs)
+    kept = cp.dedup_lines(spark, docs, path)
+    assert kept.columns == columns
+    digests = Counter((r[0], r[-1]) for r in plain_lines(before, 2, 30))
+    after = pairs(kept)
+    for i, t in after:
+        assert (i, hashlib.sha256((t or "").encode()).hexdigest()) in digests
+    lost = Counter(i for i, _ in before) - Counter(i for i, _ in after)
+    emptied = Counter(r[0] for r in plain_lines(before, 2, 30) if r[2] + r[3] and r[1] == r[2] + r[3])
+    assert lost == emptied
+    assert all(r.n_chars == len(r.text) for r in kept.collect() if r.text is not None)
+
+    kept.write.parquet(f"{path}/two")
+    docs = spark.read.parquet(f"{path}/two")
+    before = pairs(docs)
+    kept = cp.dedup_documents(spark, docs, path)
+    assert kept.columns == columns
+    groups = {g[2] for g in plain_groups(before)}
+    assert Counter(i for i, _ in pairs(kept)) == Counter(groups)
+
+    docs = spark.read.parquet(f"{path}/two")  # with copies
+    kept = cp.drop_contaminated(spark, docs, path)
+    assert kept.columns == columns
+    clean = Counter(r[0] for r in plain_hits(before, items) if not r[-1])
+    assert Counter(i for i, _ in pairs(kept)) == clean and sum(clean.values()) < len(before)
+
+    kept = cp.mix_sources(spark, docs, path)
+    want = {(r.doc_id, r.n_epochs) for r in mixing.mix(docs, **MIX).collect()}
+    assert {(r.doc_id, r.n_epochs) for r in kept.collect()} == want
+
+
+def test_run_applies_all_stages(spark, tables):
+    path, _ = tables
+    got = cp.run(spark, path)
+    assert set(got.columns) >= {"doc_id", "text", "n_epochs"} and got.count() > 0
+    assert not {r.doc_id for r in got.collect()} & set(range(81, 84))
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert cp.run(spark, str(tmp_path)).collect() == []
