@@ -11,6 +11,7 @@ from popflow.llm.decontaminate import contamination
 from popflow.llm.lines import line_dedup
 from popflow.llm import mixing
 from popflow.llm.piecewise import piecewise_hashes
+from popflow.llm.pii import personal_data
 from popflow.llm.quality import score_quality
 from popflow.llm.simhash import simhash_groups
 from popflow.llm.superkmer import substring_dedup
@@ -34,6 +35,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), **MIX)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read(spark, sf_dir, "documents"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"), window=13)
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_mixing": op4_mixing,
+    "op5_pii": op5_pii,
     "op6_substrings": op6_substrings,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
