@@ -28,7 +28,7 @@ from popflow.llm.common import small, staged
 EDITS = 2
 MIN_CHARS = 30
 #: Hash buckets per shuffle partition, and entries held by a map task before it hands them on.
-BUCKETS = 48
+BUCKETS = 2
 FLUSH_ENTRIES = 1_500_000
 NO_ID = 2 ** 63 - 1
 INDEX, PROBE = 1, 2
@@ -37,7 +37,8 @@ ENTRY = np.dtype([("key", "<u8"), ("id", "<u8"), ("sketch", "<u4"), ("kind", "u1
 FIRST = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("place", "<i8")])
 SPOT = np.dtype([("doc", "<i8"), ("place", "<i8")])
 
-PACKED = pa.schema([("bucket", pa.int32()), ("what", pa.string()), ("rows", pa.binary())])
+PACKED = pa.schema([("bucket", pa.int32()), ("entries", pa.binary()), ("firsts", pa.binary()), ("copies", pa.binary())])
+PACKED_DDL = "bucket int, entries binary, firsts binary, copies binary"
 FOUND = pa.schema([("what", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 LINES = pa.schema([("id", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("line", pa.string())])
 LINKS = pa.schema([("doc", pa.int64()), ("place", pa.int64()), ("near_doc", pa.int64())])
@@ -170,10 +171,8 @@ def _entries(buckets: int, edits: int, least: int):
             again = np.array(spots, np.int64).reshape(-1, 2)
             copies = np.empty(len(again), SPOT)
             copies["doc"], copies["place"] = again[:, 0], again[:, 1]
-            for what, rows, by in (("entries", entries, entries["key"]), ("firsts", firsts, firsts["h1"]),
-                                   ("copies", copies, copies["doc"].astype(np.uint64))):
-                if len(rows):
-                    yield _dealt(what, rows, (by % np.uint64(buckets)).astype(np.int32))
+            yield _dealt([(rows, (by % np.uint64(buckets)).astype(np.int32)) for rows, by in (
+                (entries, entries["key"]), (firsts, firsts["h1"]), (copies, copies["doc"].astype(np.uint64)))])
             for x in (keys, ids, sketches, kinds, spots):
                 x.clear()
             seen.clear()
@@ -211,15 +210,17 @@ def _entries(buckets: int, edits: int, least: int):
     return run
 
 
-def _dealt(what: str, rows: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket with the packed entries that belong there."""
-    order = np.argsort(bucket, kind="stable")
-    rows, bucket = rows[order], bucket[order]
-    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-    names = bucket[edges[:-1]]
-    blobs = [rows[s:e].tobytes() for s, e in zip(edges, edges[1:])]
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([what] * len(names)),
-                                       pa.array(blobs, pa.binary())], schema=PACKED)
+def _dealt(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row per bucket with the packed rows of each kind that belong there."""
+    blobs: dict[int, list] = {}
+    for kind, (rows, bucket) in enumerate(parts):
+        order = np.argsort(bucket, kind="stable")
+        rows, bucket = rows[order], bucket[order]
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+        for s, e in zip(edges, edges[1:]):
+            blobs.setdefault(int(bucket[s]), [None] * len(parts))[kind] = rows[s:e].tobytes()
+    return pa.RecordBatch.from_arrays([pa.array(list(blobs), pa.int32()), *(
+        pa.array([x[kind] for x in blobs.values()], pa.binary()) for kind in range(len(parts)))], schema=PACKED)
 
 
 #: Candidate pairs looked at together.
@@ -280,15 +281,16 @@ def _settle(edits: int):
                 yield _found("copy", again["doc"], again["place"])
 
         for batch in batches:
-            for bucket, what, rows in zip(batch["bucket"].to_pylist(), batch["what"].to_pylist(), batch["rows"].to_pylist()):
+            for bucket, entries, firsts, copies in zip(*(batch[c].to_pylist() for c in PACKED.names)):
                 if bucket != now:
                     yield from finish()
                     now, held = bucket, {}
-                if what == "copies":  # settled in the map task: only passed on
-                    spots = np.frombuffer(rows, SPOT)
+                for what, rows in (("entries", entries), ("firsts", firsts)):
+                    if rows:
+                        held.setdefault(what, []).append(rows)
+                if copies:  # settled in the map task: only passed on
+                    spots = np.frombuffer(copies, SPOT)
                     yield _found("copy", spots["doc"], spots["place"])
-                else:
-                    held.setdefault(what, []).append(rows)
         yield from finish()
     return run
 
@@ -338,7 +340,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS)
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = staged(
-        rows.mapInArrow(_entries(parts * BUCKETS, edits, least), "bucket int, what string, rows binary")
+        rows.mapInArrow(_entries(parts * BUCKETS, edits, least), PACKED_DDL)
         .repartition(parts, "bucket").sortWithinPartitions("bucket")
         .mapInArrow(_settle(edits), "what string, a long, b long"), "line-candidates")
     copies = found.where("what = 'copy'").select(F.col("a").alias("doc"), F.col("b").alias("place"),

@@ -25,7 +25,7 @@ GRAM = 3
 #: Bytes of packed strings a map task holds before it hands them on.
 FLUSH_BYTES = 96 << 20
 #: Hash buckets per shuffle partition.
-BUCKETS = 16
+BUCKETS = 2
 #: Further occurrences in one row.
 CHUNK = 50_000
 #: Order of a null id: after every other.
