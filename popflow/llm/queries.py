@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from popflow.llm.common import read
 from popflow.llm.decontaminate import contamination
+from popflow.llm.html_extract import main_texts
 from popflow.llm.lines import line_dedup
 from popflow.llm import mixing
 from popflow.llm.piecewise import piecewise_hashes
@@ -18,6 +19,10 @@ from popflow.llm.superkmer import substring_dedup
 from popflow.llm.toxicity import score_toxicity
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read(spark, sf_dir, "pages"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -60,6 +65,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_mixing": op4_mixing,
