@@ -18,7 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from __spark_entry__ import queries  # noqa: E402
+from popflow.plans.registry import QUERIES  # noqa: E402
 from popflow.session import get_session  # noqa: E402
 
 STREAM_FILES = 4
@@ -89,7 +89,7 @@ def main() -> None:
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
     })
     spark.sparkContext.setLogLevel("ERROR")
-    qs = queries()
+    qs = dict(QUERIES)
     names = only or list(qs)
 
     # warm-up: JVM, code caches, file metadata

@@ -19,6 +19,8 @@ __all__ = [
     "utc_instant",
     "utc_wall_clock",
     "ts_as",
+    "utc_day",
+    "utc_hour",
     "time_of_day",
     "time_label",
     "age_seconds",
@@ -98,6 +100,17 @@ def utc_wall_clock(c) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(col_of(c)), _epoch_ntz())
 
 
+def utc_hour(c) -> Column:
+    """Hours since 1970-01-01 00:00 UTC of an instant, as BIGINT (no session zone involved)."""
+    return F.floor(F.unix_micros(col_of(c)) / F.lit(3_600_000_000)).cast("long")
+
+
+def utc_day(c) -> Column:
+    """UTC date of an instant, whatever the session time zone."""
+    days = F.floor(F.unix_micros(col_of(c)) / F.lit(86_400_000_000)).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
+
+
 def ts_as(value, ts_type: str = "timestamp_ntz") -> Column:
     """A time bound of type ``ts_type`` (``timestamp`` or
     ``timestamp_ntz``): ``None`` is the current time, text or ``datetime`` is

@@ -12,13 +12,12 @@ from popflow.functions.expressions import (
     time_label,
     time_of_day,
     ts_as,
+    utc_hour,
     utc_instant,
 )
 from popflow.operators.ranking import global_rank, latest_by_key, top_k
 
-def leaderboard_order():
-    """(total_score desc, bonus_hits desc, player asc)."""
-    return [F.desc("total_score"), F.desc("bonus_hits"), F.asc("player")]
+LEADERBOARD_ORDER = (("total_score", "desc"), ("bonus_hits", "desc"), ("player", "asc"))
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
@@ -29,14 +28,16 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
 
 
 def current_leaderboard(lb: DataFrame) -> DataFrame:
-    """Latest row per player of a leaderboard table or its changelog.
+    """Latest row per player of a leaderboard changelog.
 
     Order: event time, then total score (scores never decrease, so the larger
-    total is the later update when event times tie), then ``batch_id`` when
-    the input is a changelog.
+    total is the later update when event times tie), then ``batch_id``. A view
+    or current-state read (no ``batch_id``) already has one row per player and
+    is returned as it is.
     """
-    order = ["event_ts", "total_score"] + (["batch_id"] if "batch_id" in lb.columns else [])
-    return latest_by_key(lb, ["player"], order)
+    if "batch_id" not in lb.columns:
+        return lb
+    return latest_by_key(lb, ["player"], ["event_ts", "total_score", "batch_id"])
 
 
 def scoreboard(lb: DataFrame, values: Sequence[str] = ("total_score", "bonus_hits")) -> DataFrame:
@@ -61,7 +62,7 @@ def scoreboard_top(lb: DataFrame, k: int = 5,
 def leaderboard_sorted(lb: DataFrame) -> DataFrame:
     """Whole leaderboard with its 1-based position by (score, bonus) desc."""
     base = lb.select("player", "total_score", "bonus_hits")
-    return global_rank(base, leaderboard_order(), "position")
+    return global_rank(base, LEADERBOARD_ORDER, "position")
 
 
 def for_players(df: DataFrame, players) -> DataFrame:
@@ -81,17 +82,13 @@ def for_players(df: DataFrame, players) -> DataFrame:
     return df.where(F.col("player").isin(list(players)))
 
 
-# Former name of the DataFrame form; kept for callers.
-for_players_table = for_players
-
-
 def _ts_type(df: DataFrame, col: str) -> str:
     return dict(df.dtypes)[col]
 
 
-def hour_bounds(start, end, ts_type: str = "timestamp_ntz"):
-    return (F.date_trunc("hour", ts_as(start, ts_type)),
-            F.date_trunc("hour", ts_as(end, ts_type)))
+def hour_bounds(start, end):
+    """First and last UTC hour (hours since 1970) that the bounds touch."""
+    return utc_hour(ts_as(start, "timestamp")), utc_hour(ts_as(end, "timestamp"))
 
 
 def in_time_range(df: DataFrame, start, end, col: str = "window_start",
@@ -105,7 +102,7 @@ def in_time_range(df: DataFrame, start, end, col: str = "window_start",
     t = _ts_type(df, col)
     cond = F.col(col).between(ts_as(start, t), ts_as(end, t))
     if hour_col and hour_col in df.columns:
-        lo, hi = hour_bounds(start, end, _ts_type(df, hour_col))
+        lo, hi = hour_bounds(start, end)
         cond = cond & F.col(hour_col).between(lo, hi)
     return df.where(cond)
 
@@ -142,12 +139,13 @@ def score_trend(rs: DataFrame, players=None, start=None, end=None,
             .withColumn("time_label", time_label("window_start", unit)))
 
 
-def time_bounds(rs: DataFrame) -> DataFrame:
+def time_bounds(rs: DataFrame, lb: DataFrame) -> DataFrame:
     """Default bounds for the time pickers: min/max window start, their dates
-    and times of day, and the maximum score (one global aggregate)."""
+    and times of day (one global aggregate), and the scale's end: the largest
+    total of the latest leaderboard state (a scalar subquery)."""
     agg = rs.agg(F.min("window_start").alias("min_time"),
-                 F.max("window_start").alias("max_time"),
-                 F.max("total_score").alias("max_score"))
+                 F.max("window_start").alias("max_time"))
+    agg = agg.withColumn("max_score", max_total_score(lb).scalar())
     return agg.select(
         "min_time", "max_time",
         F.to_date("min_time").alias("min_date"),
@@ -157,6 +155,11 @@ def time_bounds(rs: DataFrame) -> DataFrame:
         "max_score")
 
 
+def max_total_score(lb: DataFrame) -> DataFrame:
+    """Largest scoreboard total (one row)."""
+    return scoreboard(lb, ("total_score",)).select(F.max("total_score").alias("max_score"))
+
+
 def top_players(lb: DataFrame, k: int = 5) -> DataFrame:
     """Names of the top ``k`` scoreboard players (a bounded k-row frame)."""
     return scoreboard_top(lb, k, ("total_score",)).select("player")
@@ -166,5 +169,3 @@ def scores_for_top_players(rs: DataFrame, lb: DataFrame, k: int = 5) -> DataFram
     """Windowed scores of the top ``k`` players."""
     return for_players(rs, top_players(lb, k))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("Sequence",)]

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popflow.functions.expressions import round_half_even, truncate_int
+from popflow.functions.expressions import round_half_even, truncate_int, ts_as
 
 _UNIT_US = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
@@ -46,21 +46,24 @@ def performance_summary(cpt: DataFrame, truncate: bool = True) -> DataFrame:
 
 def color_perf_stats(cpt: DataFrame, truncate: bool = True) -> DataFrame:
     """Per colour: mean/min/max/count of window averages and pops, rounded
-    half-even to one decimal."""
+    half-even to one decimal; highest average first (ties: colour name)."""
     v = score_value(truncate)
     return (cpt.groupBy("balloon_color")
             .agg(round_half_even(F.avg(v), 1).alias("average_score"),
                  F.min(v).alias("min_score"),
                  F.max(v).alias("max_score"),
                  F.count(v).alias("count"),
-                 F.sum("total_pops").cast("long").alias("total_pops")))
+                 F.sum("total_pops").cast("long").alias("total_pops"))
+            .orderBy(F.desc("average_score"), "balloon_color"))
 
 
 def avg_by_color(cpt: DataFrame, truncate: bool = True) -> DataFrame:
-    """Per colour: mean of window averages and the number of windows."""
+    """Per colour: mean of window averages and the number of windows; highest
+    average first (ties: colour name)."""
     v = score_value(truncate)
-    return cpt.groupBy("balloon_color").agg(F.avg(v).alias("avg_score"),
-                                            F.count(F.lit(1)).alias("count"))
+    return (cpt.groupBy("balloon_color").agg(F.avg(v).alias("avg_score"),
+                                             F.count(F.lit(1)).alias("count"))
+            .orderBy(F.desc("avg_score"), "balloon_color"))
 
 
 def perf_distribution(cpt: DataFrame, truncate: bool = True, exact: bool = True,
@@ -88,8 +91,8 @@ def _bin_index(ts: Column, epoch: Column, width_us: int) -> Column:
     return F.floor(F.timestamp_diff("MICROSECOND", epoch, ts) / F.lit(width_us)).cast("long")
 
 
-def time_window_summary(cpt: DataFrame, freq: str = "15 seconds",
-                        truncate: bool = True) -> DataFrame:
+def time_window_summary(cpt: DataFrame, freq: str = "15 seconds", truncate: bool = True,
+                        bounds: DataFrame | None = None, start=None, end=None) -> DataFrame:
     """Per ``freq`` bin of ``window_start``: mean/min/max/count of the window
     averages and total pops, **including empty bins** between the first and
     last bin (count and pops 0, statistics NULL).
@@ -98,6 +101,12 @@ def time_window_summary(cpt: DataFrame, freq: str = "15 seconds",
     ``BIN_CHUNK`` (no single huge array), spread over tasks, and unioned with
     the data as zero-weight rows; one aggregation then yields filled and
     empty bins together (one shuffle, no join).
+
+    ``bounds`` (one row: first and last ``window_start``, e.g.
+    :func:`popflow.operators.views.window_bounds` of the events) spares a second
+    evaluation of ``cpt`` for its minimum and maximum. ``start`` and ``end``
+    (window starts, inclusive, UTC wall clock) restrict data and filled bins, so
+    one stray timestamp cannot make the output unbounded.
     """
     width_us = interval_micros(freq)
     # Zone-less epoch of the same type as window_start: bins stay aligned to
@@ -107,8 +116,18 @@ def time_window_summary(cpt: DataFrame, freq: str = "15 seconds",
     v = score_value(truncate)
     data = cpt.select(_bin_index(F.col("window_start"), epoch, width_us).alias("_b"),
                       v.alias("_v"), F.col("total_pops").cast("long").alias("_p"))
-    bounds = data.agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-    chunks = bounds.select(
+    limits = data.agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
+    if bounds is not None:
+        first, last = bounds.columns
+        limits = bounds.select(_bin_index(F.col(first), epoch, width_us).alias("_lo"),
+                               _bin_index(F.col(last), epoch, width_us).alias("_hi"))
+    for value, pick, col in ((start, F.greatest, "_lo"), (end, F.least, "_hi")):
+        if value is not None:
+            edge = _bin_index(ts_as(value, ts_type), epoch, width_us)
+            limits = limits.withColumn(col, pick(F.col(col), edge))
+            data = data.where(F.col("_b") >= edge if col == "_lo" else F.col("_b") <= edge)
+    limits = limits.where("_lo <= _hi")
+    chunks = limits.select(
         "_lo", "_hi",
         F.explode(F.sequence(F.floor(F.col("_lo") / BIN_CHUNK).cast("long"),
                              F.floor(F.col("_hi") / BIN_CHUNK).cast("long"))).alias("_c"))

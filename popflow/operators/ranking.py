@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# monotonically_increasing_id() puts the partition index above this bit.
-_ROW_BITS = 33
-
 
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
@@ -18,13 +15,19 @@ def _cols(cs) -> list[Column]:
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple.
 
-    Expressed as ``max_by(struct(row), struct(order))``, an ordinary hash
-    aggregate with a map-side partial step: no sort, no window buffer, and a
-    key with millions of updates is reduced to one row per task before the
-    shuffle.
+    With one order column (a changelog's ``batch_id``, unique per key) every
+    value column is its own ``max_by``: the buffers of fixed-width columns are
+    mutable in place, so it plans as a hash aggregate with a map-side partial
+    step, no sort. A composite order needs a struct buffer, which Spark
+    aggregates by sorting each side of the shuffle; a key with millions of
+    updates is still reduced to one row per task before the shuffle.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys]
+    if len(order) == 1:
+        last = F.col(order[0])
+        picked = [F.max(c).alias(c) if c == order[0] else F.max_by(c, last).alias(c) for c in rest]
+        return df.groupBy(*keys).agg(*picked).select(*keys, *rest)
     picked = F.max_by(F.struct(*[F.col(c) for c in rest]),
                       F.struct(*[F.col(c) for c in order])).alias("_latest")
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_latest.{c}").alias(c)
@@ -37,31 +40,58 @@ def top_k(df: DataFrame, k: int, order: Sequence) -> DataFrame:
     return df.orderBy(*_cols(order)).limit(k)
 
 
+# Rows looked at per bucket when the bucket bounds of a rank are chosen.
+BOUND_ROWS = 32
+
+
+def _rank_key(order: Sequence) -> Column:
+    """One ascending struct for an order of (column, "asc" | "desc") pairs;
+    "desc" needs a numeric column and puts NULLs last."""
+    parts = []
+    for name, way in order:
+        c = F.col(name)
+        parts += [c.isNull(), -c] if way == "desc" else [c]
+    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+
+
+def _bucket(key: Column, bounds: Sequence[Column], low: int = 0, high: int | None = None) -> Column:
+    """Number of bounds below or at ``key``: a balanced tree of comparisons."""
+    high = len(bounds) if high is None else high
+    if low == high:
+        return F.lit(low)
+    mid = (low + high) // 2
+    return F.when(key < bounds[mid], _bucket(key, bounds, low, mid)).otherwise(
+        _bucket(key, bounds, mid + 1, high))
+
+
 def global_rank(df: DataFrame, order: Sequence, name: str = "position",
                 num_partitions: int | None = None) -> DataFrame:
-    """1-based position of every row in a total order, computed distributed.
+    """1-based position of every row in the total order given by ``order``,
+    pairs of (column, "asc" | "desc"), computed distributed.
 
     A window without ``partitionBy`` would move every row to one task. Here
-    the rows are range-partitioned by the sort (one shuffle), each task
-    numbers its rows locally, and a per-partition row count (one row per
-    partition, so its size is bounded by the partition count) gives each
-    partition its offset. Both uses of the sorted data read the same shuffle
-    output (the exchange is reused). The range shuffle has an explicit
-    partition count, which AQE never coalesces, so both reads see the same
-    partition ids and counts and local numbers agree. With ``order`` ending
-    in a unique column, range bounds split even a score shared by a third of
-    all rows across partitions.
+    bucket bounds are taken once, as values, from a bounded sample of the keys
+    (it decides the balance only); a row's bucket follows from its own values,
+    so counting the buckets and numbering the rows within them agree however
+    often and wherever either is computed. The counts (one row per bucket)
+    give each bucket its offset. With an order that ends in a unique column,
+    the bounds split even a score shared by a third of all rows.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(max(n, 1), *_cols(order)).sortWithinPartitions(
-        *_cols(order))
-    tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    n = max(1, num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = _rank_key(order)
+    keys = df.select(key.alias("k"))
+    sample = (keys.orderBy(F.xxhash64(F.to_json("k")), "k").limit(n * BOUND_ROWS)
+              .orderBy("k").collect())
+    kind = keys.schema["k"].dataType
+    cuts = [sample[len(sample) * i // n]["k"] for i in range(1, n)] if len(sample) >= n else []
+    bounds = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kind.fields)])
+              for cut in dict.fromkeys(cuts)]
+    placed = df.withColumn("_bucket", _bucket(key, bounds))
+    counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
+        "_bucket",
+        (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
          - F.col("_n")).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .select((F.col("_off") + local + 1).alias(name), *df.columns))
+    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    return (placed.withColumn("_local", local).join(F.broadcast(offsets), "_bucket")
+            .select((F.col("_off") + F.col("_local")).alias(name), *df.columns))

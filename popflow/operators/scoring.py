@@ -7,8 +7,7 @@ The dimensions are game configuration of fixed, small size, so they are
 inlined as map literals: the lookup is a constant-folded, codegen'd
 expression with no join and no shuffle, on batch and streaming input alike.
 Dimensions that live in tables can be joined instead with
-:func:`score_pops_with_tables`, which broadcasts them only after checking
-their row count.
+:func:`score_pops_with_tables`; the planner picks the join by their size.
 """
 
 from __future__ import annotations
@@ -18,9 +17,6 @@ from pyspark.sql import functions as F
 
 from popflow.config import DEFAULT_CONFIG, GameConfig
 
-# Upper bound on dimension rows that may be broadcast.
-MAX_BROADCAST_DIM_ROWS = 1_000_000
-
 
 def _map_literal(d: dict) -> Column:
     items = []
@@ -60,17 +56,11 @@ def score_pops_with_tables(pops: DataFrame, colors: DataFrame, favorites: DataFr
     """Scoring with dimensions held in tables.
 
     ``colors(balloon_color, points)``, ``favorites(character,
-    favorite_colors array<string>)``. A dimension is broadcast only when its
-    counted size is under :data:`MAX_BROADCAST_DIM_ROWS`; otherwise the
-    join is left to the planner (sort-merge / shuffled hash).
+    favorite_colors array<string>)``. The joins carry no hint: the planner
+    (and AQE at run time) broadcasts a dimension by its size in bytes.
     """
-    def maybe_broadcast(dim: DataFrame) -> DataFrame:
-        return F.broadcast(dim) if dim.count() <= MAX_BROADCAST_DIM_ROWS else dim
-
-    c = maybe_broadcast(colors.select(F.col("balloon_color").alias("_c"),
-                                      F.col("points").alias("_pts")))
-    f = maybe_broadcast(favorites.select(F.col("character").alias("_ch"),
-                                         F.col("favorite_colors").alias("_fav")))
+    c = colors.select(F.col("balloon_color").alias("_c"), F.col("points").alias("_pts"))
+    f = favorites.select(F.col("character").alias("_ch"), F.col("favorite_colors").alias("_fav"))
     joined = (pops.join(c, F.col(color_col) == F.col("_c"), "left")
               .join(f, F.col(character_col) == F.col("_ch"), "left"))
     bonus = F.coalesce(F.array_contains("_fav", F.col(color_col)), F.lit(False))

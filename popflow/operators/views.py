@@ -112,6 +112,22 @@ def events_for_windows(events: DataFrame, width: str = DEFAULT_WINDOW, start=Non
     return events.where(cond)
 
 
+def window_bounds(events: DataFrame, width: str = DEFAULT_WINDOW) -> DataFrame:
+    """First and last ``window_start`` of the windowed views (one row), from a
+    min/max over the raw event times."""
+    from popflow.operators.performance import interval_micros
+
+    us = interval_micros(width)
+    epoch = F.lit("1970-01-01 00:00:00").cast(dict(events.dtypes)["event_ts"])
+
+    def start(c):
+        steps = F.floor(F.timestamp_diff("MICROSECOND", epoch, F.col(c)) / F.lit(us)).cast("long")
+        return F.timestamp_add("MICROSECOND", steps * us, epoch).alias(c)
+
+    return (events.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi"))
+            .select(start("lo"), start("hi")))
+
+
 VIEWS = {
     "leaderboard": leaderboard,
     "balloon_color_stats": color_stats,

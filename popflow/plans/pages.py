@@ -41,7 +41,7 @@ class Dashboard:
         chosen = players if players is not None else lbp.top_players(lb, k)
         return {
             "scoreboard": lbp.scoreboard_top(lb, k),
-            "bounds": lbp.time_bounds(rs),
+            "bounds": lbp.time_bounds(rs, lb),
             "trend": lbp.score_trend(window_rows, chosen, unit=unit),
         }
 

@@ -13,14 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popflow.config import DEFAULT_CONFIG
-from popflow.functions.expressions import ts_literal, utc_wall_clock
+import uuid
+
+from popflow.functions.expressions import parse_ts, ts_literal, utc_instant, utc_wall_clock
 from popflow.operators import colors, leaderboard as lbp, performance as perf
 from popflow.operators import quality, views
 from popflow.operators.ranking import latest_by_key
-from popflow.operators.scoring import character_name, score_pops
-from popflow.sources.events import decode_events, encode_events, event_color_sql, game_events
-from popflow.sources.events import read_table_file, sql_string as _sql_str
+from popflow.operators.scoring import character_name, config_tables, score_pops
+from popflow.operators.scoring import score_pops_with_tables
+from popflow.schemas import TABLE_SCHEMAS
+from popflow.session import shared_dir
+from popflow.sources.events import decode_events, encode_events, game_events, read_table_file
+from popflow.sources.tables import TableStore
 
 # Parameters of the registered page queries.
 PLAYER = "player_7"
@@ -72,9 +76,158 @@ def q_event_roundtrip(spark, d):
     """Encode game events as JSON payloads and decode them back (A2 + A3)."""
     ge = _ge(spark, d)
     payload = ge.select("player", "balloon_color", "score", "favorite_color_bonus",
-                        F.col("event_ts").cast("timestamp").alias("event_ts"))
+                        utc_instant("event_ts").alias("event_ts"))
     dec = decode_events(encode_events(payload, key_col=None), "value").events
-    return dec.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+    return dec.withColumn("event_ts", utc_wall_clock("event_ts"))
+
+
+def q_decode_partial_events(spark, d):
+    """Events that lack a field (here every third has no colour, every fifth no
+    score) still count in the views that do not need it."""
+    ge = _ge(spark, d)
+    payload = ge.select("player", F.when(F.col("event_id") % 3 != 0, F.col("balloon_color")).alias("balloon_color"),
+                        F.when(F.col("event_id") % 5 != 0, F.col("score")).alias("score"),
+                        utc_instant("event_ts").alias("event_ts"))
+    dec = decode_events(encode_events(payload, key_col=None), "value").events
+    return dec.groupBy("player").agg(F.sum("score").alias("total_score"), F.count("balloon_color").alias("colored"),
+                                     F.count(F.lit(1)).alias("events"))
+
+
+def q_score_pops_tables(spark, d):
+    color_table, favorites = config_tables(spark)
+    pops = _ge(spark, d).select("event_id", character_name("char_id").alias("character"), "balloon_color")
+    return score_pops_with_tables(pops, color_table, favorites).select(
+        "event_id", "character", "balloon_color", "score", "favorite_color_bonus")
+
+
+def q_time_parsing(spark, d):
+    ev = read_table_file(spark, d, "events")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return ev.select("event_id", utc_wall_clock(parse_ts(F.concat(text, F.lit("Z")))).alias("ts"))
+
+
+def _positions(df, *order):
+    """Numbers an ordered result of a few rows, so that a check sees its order."""
+    from pyspark.sql import Window
+    return df.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)))
+
+
+def q_display_maxima(spark, d):
+    """Ends of the page scales: largest scoreboard total and colour counts."""
+    top = lbp.max_total_score(_lb(spark, d)).select(F.col("max_score").alias("max_total_score"))
+    cp = _cp(spark, d)
+    return (top.withColumn("max_least_popular", colors.least_popular_colors(cp).agg(F.max("count")).scalar())
+            .withColumn("max_most_popular", colors.most_popular_colors(cp).agg(F.max("count")).scalar()))
+
+
+def q_scores_in_date_time_range(spark, d):
+    ev = views.events_for_windows(_ge(spark, d), PAGE_WIDTH, RANGE_START, RANGE_END)
+    return lbp.in_date_time_range(views.realtime_scores(ev, PAGE_WIDTH), *RANGE_START.split(), *RANGE_END.split())
+
+
+def _window_summary(spark, d, width):
+    """One windowed aggregation: the bins to fill come from the raw event times."""
+    ge = _ge(spark, d)
+    return perf.time_window_summary(views.color_performance(ge, width), width, bounds=views.window_bounds(ge, width))
+
+
+# -- stored tables ------------------------------------------------------------
+
+def _fresh_store(spark, what) -> TableStore:
+    """An empty namespace of its own under the shared folder."""
+    name = f"{what}_{uuid.uuid4().hex[:12]}"
+    store = TableStore(spark, name, location=shared_dir(spark, "stored", name))
+    store.create_namespace()
+    return store
+
+
+def _stored_events(spark, d):
+    return _ge(spark, d).withColumn("event_ts", utc_instant("event_ts"))
+
+
+def _stored(spark, d, names=None, width=PAGE_WIDTH) -> TableStore:
+    """The views written to their changelog tables through the sink: batch 0
+    from the events with an even id, batch 1 from all of them."""
+    store = _fresh_store(spark, "stored")
+    store.create_view_tables(names)
+    ev = _stored_events(spark, d)
+    for name in names or list(views.VIEWS):
+        view = views.VIEWS[name]
+        for batch, part in enumerate((ev.where("event_id % 2 = 0"), ev)):
+            store.write_batch(name, view(part, width) if name not in ("leaderboard", "balloon_color_stats") else view(part), batch)
+    return store
+
+
+def _as_stored(df, name):
+    """Columns of a stored table with zone-less times, as the views have them."""
+    return df.select(*[utc_wall_clock(f.name).alias(f.name) if f.name in ("event_ts", "window_start", "window_end")
+                       else F.col(f.name) for f in TABLE_SCHEMAS[name]])
+
+
+def q_current_leaderboard(spark, d):
+    return _as_stored(_stored(spark, d, ["leaderboard"]).read_table("leaderboard"), "leaderboard")
+
+
+def q_as_of_leaderboard(spark, d):
+    store = _stored(spark, d, ["leaderboard"])
+    return _as_stored(store.read_table("leaderboard", as_of_batch=0), "leaderboard")
+
+
+def q_commit_log(spark, d):
+    log = _stored(spark, d, ["leaderboard"]).commit_log("leaderboard")
+    return log.select("table_name", "batch_id", "rows", utc_wall_clock("min_ts").alias("min_ts"),
+                      utc_wall_clock("max_ts").alias("max_ts"))
+
+
+def q_stored_counts(spark, d):
+    store = _stored(spark, d)
+    return quality.table_counts({n: store.table(n).where("batch_id = 1") for n in views.VIEWS})
+
+
+def q_stored_reconcile(spark, d):
+    store = _stored(spark, d, ["balloon_color_stats"])
+    view = views.color_stats(_stored_events(spark, d))
+    return quality.reconcile(view, store.read_table("balloon_color_stats"), ["player", "balloon_color"],
+                             ["balloon_pops", "points_by_color", "bonus_hits", "event_ts"])
+
+
+def q_stored_freshness(spark, d):
+    store = _stored(spark, d, ["leaderboard", "balloon_color_stats"])
+    out = quality.freshness({n: (store.table(n), "event_ts") for n in ("leaderboard", "balloon_color_stats")},
+                            now=FRESHNESS_NOW)
+    return out.withColumn("latest_ts", utc_wall_clock("latest_ts"))
+
+
+def q_stored_required_nulls(spark, d):
+    store = _stored(spark, d)
+    parts = [quality.required_violations(store.table(n), TABLE_SCHEMAS[n]).withColumn("table_name", F.lit(n))
+             for n in views.VIEWS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select("table_name", "column_name", "null_count")
+
+
+def _clicks_table(spark, d):
+    """A plain table that the events were appended to in two steps."""
+    store = _fresh_store(spark, "plain")
+    ev = read_table_file(spark, d, "events").select("event_id", "event_type")
+    store.create_table("clicks", ev.schema, comment="it's a copy")
+    store.append(ev.where("event_id % 2 = 0"), "clicks")
+    store.append(ev.where("event_id % 2 = 1"), "clicks")
+    return store, ev
+
+
+def q_lifecycle_append(spark, d):
+    store, _ = _clicks_table(spark, d)
+    store.add_column("clicks", "note", "STRING", "added later")
+    return store.table("clicks")
+
+
+def q_lifecycle_overwrite(spark, d):
+    store, ev = _clicks_table(spark, d)
+    store.overwrite(ev.where("event_type = 'click'"), "clicks")
+    return store.table("clicks")
 
 
 def q_score_pops(spark, d):
@@ -134,19 +287,18 @@ def q_freshness(spark, d):
     }, now=FRESHNESS_NOW)
 
 
-def _stream_current(spark, d, name, width=None):
+def _stream_current(spark, d, name, width=None, shuffled=False):
     """A view maintained by the streaming path (file stream of the events'
     JSON, update-mode stateful aggregation over several micro-batches,
     changelog sink) and read back as current state; equal to the batch
     view, so it is checked against the same oracle."""
-    from popflow.schemas import TABLE_SCHEMAS
     from popflow.streaming.replay import replay_events
 
-    store = replay_events(_ge(spark, d), names=[name], width=width)
-    cur = store.read_table(name, "current")
-    return cur.select(*[utc_wall_clock(f.name).alias(f.name)
-                        if f.name in ("event_ts", "window_start", "window_end")
-                        else F.col(f.name) for f in TABLE_SCHEMAS[name]])
+    store = replay_events(_ge(spark, d), names=[name], width=width, shuffled=shuffled)
+    # The result outlives the replay's tables: keep it in the shared checkpoint folder.
+    out = _as_stored(store.read_table(name, "current"), name).checkpoint(eager=True)
+    store.drop_namespace()
+    return out
 
 
 def q_null_report(spark, d):
@@ -166,7 +318,10 @@ QUERIES: dict[str, Query] = {
     # ingestion and scoring
     "decode_props": q_decode_props,
     "event_roundtrip": q_event_roundtrip,
+    "decode_partial_events": q_decode_partial_events,
+    "time_parsing": q_time_parsing,
     "score_pops": q_score_pops,
+    "score_pops_tables": q_score_pops_tables,
     # leaderboard page
     "latest_per_player": q_latest_per_player,
     "leaderboard_sorted": lambda s, d: lbp.leaderboard_sorted(_lb(s, d)),
@@ -178,10 +333,16 @@ QUERIES: dict[str, Query] = {
     "score_trend": lambda s, d: lbp.score_trend(
         _rs_in_range(s, d), lbp.top_players(_lb(s, d), TOP_K), RANGE_START, RANGE_END,
         "minutes"),
-    "time_bounds": lambda s, d: lbp.time_bounds(_rs(s, d)),
+    "time_bounds": lambda s, d: lbp.time_bounds(_rs(s, d), _lb(s, d)),
+    "display_maxima": q_display_maxima,
+    "scores_in_date_time_range": q_scores_in_date_time_range,
+    "score_trend_hours": lambda s, d: lbp.score_trend(_rs_in_range(s, d), None, unit="hours"),
     # colour page
     "color_stats_for_player": lambda s, d: colors.for_player(_cs(s, d), PLAYER),
     "color_usage": lambda s, d: colors.color_usage(_cp(s, d)),
+    "color_usage_pops": lambda s, d: colors.color_usage(_cp(s, d), weight="pops"),
+    "color_popularity": lambda s, d: colors.color_popularity(_cp(s, d)),
+    "metric_total": lambda s, d: colors.metric_total(_cp(s, d), "points_by_color"),
     "color_coverage": lambda s, d: colors.color_coverage(_cp(s, d)),
     "favorite_color": lambda s, d: colors.favorite_color(_cp(s, d)),
     "least_popular_colors": lambda s, d: colors.least_popular_colors(_cp(s, d)),
@@ -191,23 +352,37 @@ QUERIES: dict[str, Query] = {
     "players": lambda s, d: colors.players(_cp(s, d)),
     # performance page
     "performance_summary": lambda s, d: perf.performance_summary(_cpt(s, d)),
-    "color_perf_stats": lambda s, d: perf.color_perf_stats(_cpt(s, d)),
-    "time_window_summary": lambda s, d: perf.time_window_summary(
-        _cpt(s, d, VIEW_WIDTH), VIEW_WIDTH),
-    "time_window_summary_6h": lambda s, d: perf.time_window_summary(_cpt(s, d), PAGE_WIDTH),
+    "color_perf_stats": lambda s, d: _positions(perf.color_perf_stats(_cpt(s, d)), F.desc("average_score"), "balloon_color"),
+    "time_window_summary": lambda s, d: _window_summary(s, d, VIEW_WIDTH),
+    "time_window_summary_6h": lambda s, d: _window_summary(s, d, PAGE_WIDTH),
     "perf_distribution": lambda s, d: perf.perf_distribution(_cpt(s, d, VIEW_WIDTH)),
     "perf_distribution_6h": lambda s, d: perf.perf_distribution(_cpt(s, d)),
-    "avg_by_color": lambda s, d: perf.avg_by_color(_cpt(s, d)),
+    "avg_by_color": lambda s, d: _positions(perf.avg_by_color(_cpt(s, d)), F.desc("avg_score"), "balloon_color"),
     # verification (K1-K4)
     "table_counts": q_table_counts,
     "reconcile_leaderboard": q_reconcile_leaderboard,
     "freshness": q_freshness,
     "null_report": q_null_report,
+    # stored tables
+    "current_leaderboard": q_current_leaderboard,
+    "as_of_leaderboard": q_as_of_leaderboard,
+    "commit_log": q_commit_log,
+    "stored_counts": q_stored_counts,
+    "stored_reconcile": q_stored_reconcile,
+    "stored_freshness": q_stored_freshness,
+    "stored_required_nulls": q_stored_required_nulls,
+    "lifecycle_append": q_lifecycle_append,
+    "lifecycle_overwrite": q_lifecycle_overwrite,
     # the same views maintained by the streaming path (S1-S4, A5, E1); last,
     # so the bench times the batch queries before any stream has run
     "stream_leaderboard": lambda s, d: _stream_current(s, d, "leaderboard"),
     "stream_colored_pops_6h": lambda s, d: _stream_current(s, d, "balloon_colored_pops",
                                                            PAGE_WIDTH),
+    "stream_color_stats": lambda s, d: _stream_current(s, d, "balloon_color_stats"),
+    "stream_realtime_scores_6h": lambda s, d: _stream_current(s, d, "realtime_scores", PAGE_WIDTH),
+    "stream_color_performance_6h": lambda s, d: _stream_current(s, d, "color_performance_trends", PAGE_WIDTH),
+    # the events dealt at random: every micro-batch holds late ones
+    "stream_late_events": lambda s, d: _stream_current(s, d, "realtime_scores", PAGE_WIDTH, shuffled=True),
 }
 
 
@@ -215,11 +390,14 @@ QUERIES: dict[str, Query] = {
 # DuckDB oracle side
 # ---------------------------------------------------------------------------
 
-GE = f"""ge AS (
+# The mapping and the game values are written out here once more, so that an
+# error in the implementation's tables cannot pass on both sides.
+GE = """ge AS (
   SELECT event_id,
          concat('player_', CAST(user_id AS VARCHAR)) AS player,
-         CAST(user_id % {len(DEFAULT_CONFIG.characters)} AS INT) AS char_id,
-         {event_color_sql('event_type')} AS balloon_color,
+         CAST(user_id % 18 AS INT) AS char_id,
+         CASE event_type WHEN 'click' THEN 'red' WHEN 'view' THEN 'blue' WHEN 'purchase' THEN 'gold'
+              WHEN 'signup' THEN 'green' ELSE 'black' END AS balloon_color,
          CAST(floor(value) AS INT) AS score,
          (CAST(json_extract(props, '$.k') AS INT) % 7 = 0) AS favorite_color_bonus,
          ts AS event_ts
@@ -277,15 +455,18 @@ RANGE = f"window_start BETWEEN TIMESTAMP '{RANGE_START}' AND TIMESTAMP '{RANGE_E
 
 
 def _colors_values() -> str:
-    return ", ".join(f"({_sql_str(k)}, {v})" for k, v in DEFAULT_CONFIG.colors.items())
+    return ("('red', 100), ('blue', 75), ('green', 60), ('yellow', 50), ('purple', 40), ('brown', 35), "
+            "('orange', 45), ('pink', 55), ('gold', 90), ('grey', 70), ('white', 80)")
 
 
 def _favs_values() -> str:
-    rows = []
-    for i, (name, favs) in enumerate(DEFAULT_CONFIG.favorites.items()):
-        lst = "[" + ", ".join(_sql_str(f) for f in favs) + "]"
-        rows.append(f"({i}, {_sql_str(name)}, {lst})")
-    return ", ".join(rows)
+    return """(0, 'Jerry', ['brown', 'yellow']), (1, 'Tom', ['grey', 'blue']), (2, 'Mickey', ['red', 'black']),
+  (3, 'Donald', ['blue', 'white']), (4, 'Bugs_Bunny', ['grey', 'orange']), (5, 'Daffy_Duck', ['black', 'orange']),
+  (6, 'SpongeBob', ['yellow', 'brown']), (7, 'Patrick', ['pink', 'green']), (8, 'Pikachu', ['yellow', 'red']),
+  (9, 'Mario', ['red', 'blue']), (10, 'Sonic', ['blue', 'gold']), (11, 'Woody', ['brown', 'yellow']),
+  (12, 'Buzz', ['green', 'purple']), (13, 'Scooby', ['brown', 'green']), (14, 'Popeye', ['blue', 'red']),
+  (15, 'Pink_Panther', ['pink', 'purple']), (16, 'Road_Runner', ['blue', 'purple']),
+  (17, 'Tweety', ['yellow', 'orange'])"""
 
 
 def _title(col: str) -> str:
@@ -359,13 +540,64 @@ SELECT window_start, player, max(total_score) AS total_score,
        strftime(window_start, '%H:%M:%S') AS time_label
 FROM rs WHERE {RANGE} AND player IN ({TOP5})
 GROUP BY window_start, player""",
-    "time_bounds": _with(GE, RS(W6)) + """
+    "time_bounds": _with(GE, LB, RS(W6)) + """
 SELECT min(window_start) AS min_time, max(window_start) AS max_time,
        CAST(min(window_start) AS DATE) AS min_date, CAST(max(window_start) AS DATE) AS max_date,
        strftime(min(window_start), '%H:%M:%S') AS min_clock,
        strftime(max(window_start), '%H:%M:%S') AS max_clock,
-       max(total_score) AS max_score
+       (SELECT max(total_score) FROM lb) AS max_score
 FROM rs""",
+    "display_maxima": _with(GE, LB, CP(W6), "n AS (SELECT balloon_color, count(*) AS c FROM cp GROUP BY balloon_color)") + """
+SELECT (SELECT max(total_score) FROM lb) AS max_total_score,
+       (SELECT max(c) FROM (SELECT c FROM n ORDER BY c ASC, balloon_color ASC LIMIT 3)) AS max_least_popular,
+       (SELECT max(c) FROM n) AS max_most_popular""",
+    "scores_in_date_time_range": _with(GE, RS(W6)) + f"SELECT * FROM rs WHERE {RANGE}",
+    "score_trend_hours": _with(GE, RS(W6)) + f"""
+SELECT window_start, player, max(total_score) AS total_score, strftime(window_start, '%H:%M') AS time_label
+FROM rs WHERE {RANGE} GROUP BY window_start, player""",
+    "decode_partial_events": _with(GE) + """
+SELECT player, CAST(sum(CASE WHEN event_id % 5 != 0 THEN score END) AS BIGINT) AS total_score,
+       count(CASE WHEN event_id % 3 != 0 THEN 1 END) AS colored, count(*) AS events
+FROM ge GROUP BY player""",
+    "time_parsing": "SELECT event_id, ts FROM events",
+    "color_usage_pops": _with(GE) + """
+SELECT player, balloon_color, count(*) AS "count" FROM ge GROUP BY player, balloon_color""",
+    "color_popularity": _with(GE, CP(W6)) + """
+SELECT balloon_color, count(*) AS "count" FROM cp GROUP BY balloon_color""",
+    "metric_total": _with(GE) + "SELECT CAST(sum(score) AS BIGINT) AS total FROM ge",
+    "current_leaderboard": _with(GE, LB) + "SELECT * FROM lb",
+    "as_of_leaderboard": _with(GE.replace("FROM events", "FROM events WHERE event_id % 2 = 0"), LB) + "SELECT * FROM lb",
+    "commit_log": _with(GE, "h AS (SELECT player, max(event_ts) AS t FROM ge WHERE event_id % 2 = 0 GROUP BY player)",
+                        "a AS (SELECT player, max(event_ts) AS t FROM ge GROUP BY player)") + """
+SELECT 'leaderboard' AS table_name, CAST(0 AS BIGINT) AS batch_id, count(*) AS "rows", min(t) AS min_ts, max(t) AS max_ts FROM h
+UNION ALL SELECT 'leaderboard', 1, count(*), min(t), max(t) FROM a""",
+    "stored_counts": _with(GE, LB, CS, RS(W6), CP(W6), CPT(W6)) + """
+SELECT 'leaderboard' AS table_name, count(*) AS row_count FROM lb
+UNION ALL SELECT 'balloon_color_stats', count(*) FROM cs
+UNION ALL SELECT 'realtime_scores', count(*) FROM rs
+UNION ALL SELECT 'balloon_colored_pops', count(*) FROM cp
+UNION ALL SELECT 'color_performance_trends', count(*) FROM cpt""",
+    "stored_reconcile": _with(GE, CS) + """
+SELECT count(*) AS view_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS extra_keys,
+       CAST(0 AS BIGINT) AS mismatched_rows FROM cs""",
+    "stored_required_nulls": """
+SELECT unnest(['leaderboard','leaderboard','leaderboard','leaderboard','balloon_color_stats','balloon_color_stats',
+  'balloon_color_stats','balloon_color_stats','balloon_color_stats','balloon_color_stats','realtime_scores','realtime_scores',
+  'realtime_scores','realtime_scores','balloon_colored_pops','balloon_colored_pops','balloon_colored_pops',
+  'balloon_colored_pops','balloon_colored_pops','balloon_colored_pops','balloon_colored_pops','color_performance_trends',
+  'color_performance_trends','color_performance_trends','color_performance_trends','color_performance_trends']) AS table_name,
+  unnest(['player','total_score','bonus_hits','event_ts','player','balloon_color','balloon_pops','points_by_color','bonus_hits',
+  'event_ts','player','total_score','window_start','window_end','player','balloon_color','balloon_pops','points_by_color',
+  'bonus_hits','window_start','window_end','balloon_color','avg_score_per_pop','total_pops','window_start','window_end'])
+  AS column_name, CAST(0 AS BIGINT) AS null_count""",
+    "lifecycle_append": "SELECT event_id, event_type, CAST(NULL AS VARCHAR) AS note FROM events",
+    "lifecycle_overwrite": "SELECT event_id, event_type FROM events WHERE event_type = 'click'",
+    "stream_color_stats": _with(GE, CS) + "SELECT * FROM cs",
+    "stream_realtime_scores_6h": _with(GE, RS(W6)) + "SELECT * FROM rs",
+    "stream_late_events": _with(GE, RS(W6)) + "SELECT * FROM rs",
+    "stream_color_performance_6h": _with(GE, CPT(W6)) + """
+SELECT balloon_color, CAST(avg_score_per_pop AS DECIMAL(28,10)) AS avg_score_per_pop, total_pops, window_start, window_end
+FROM cpt""",
     "color_stats_for_player": _with(GE, CS) + f"SELECT * FROM cs WHERE player = '{PLAYER}'",
     "color_usage": _with(GE, CP(W6)) + """
 SELECT player, balloon_color, count(*) AS "count" FROM cp GROUP BY player, balloon_color""",
@@ -407,14 +639,16 @@ SELECT avg({TRUNC}) AS mean_of_window_avgs, max({TRUNC}) AS best_window_avg,
     "color_perf_stats": _with(GE, CPT(W6)) + f"""
 SELECT balloon_color, round_even(avg({TRUNC}), 1) AS average_score,
        min({TRUNC}) AS min_score, max({TRUNC}) AS max_score, count({TRUNC}) AS "count",
-       CAST(sum(total_pops) AS BIGINT) AS total_pops
+       CAST(sum(total_pops) AS BIGINT) AS total_pops,
+       CAST(row_number() OVER (ORDER BY round_even(avg({TRUNC}), 1) DESC, balloon_color) AS INT) AS position
 FROM cpt GROUP BY balloon_color""",
     "time_window_summary": _gapfill_sql(W15, W15),
     "time_window_summary_6h": _gapfill_sql(W6, W6),
     "perf_distribution": _dist_sql(W15),
     "perf_distribution_6h": _dist_sql(W6),
     "avg_by_color": _with(GE, CPT(W6)) + f"""
-SELECT balloon_color, avg({TRUNC}) AS avg_score, count(*) AS "count"
+SELECT balloon_color, avg({TRUNC}) AS avg_score, count(*) AS "count",
+       CAST(row_number() OVER (ORDER BY avg({TRUNC}) DESC, balloon_color) AS INT) AS position
 FROM cpt GROUP BY balloon_color""",
     "table_counts": _with(GE, LB, CS, RS(W15), CP(W15), CPT(W15)) + """
 SELECT 'game_events' AS table_name, count(*) AS row_count FROM ge
@@ -449,3 +683,5 @@ UNION ALL SELECT 'event_type', count(*) - count(event_type) FROM events
 UNION ALL SELECT 'value', count(*) - count(value) FROM events
 UNION ALL SELECT 'props', count(*) - count(props) FROM events""",
 }
+ORACLE["score_pops_tables"] = ORACLE["score_pops"]
+ORACLE["stored_freshness"] = ORACLE["freshness"]

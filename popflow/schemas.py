@@ -17,9 +17,6 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
-# Columns an event must carry to be accepted (everything else is optional).
-EVENT_REQUIRED = ("player", "balloon_color", "score", "event_ts")
-
 # Declared schemas of input tables read by path. Declaring them means a read
 # plans without first opening file footers to infer the schema (one job per
 # read otherwise); a file whose columns do not match fails at scan time.

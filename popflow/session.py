@@ -38,13 +38,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     Uses ``spark.checkpoint.dir`` as configured for the session; only when it
-    is unset (local tests) is a default under the working directory chosen.
-    Never a machine-local temp folder on a cluster.
+    is unset on a ``local`` master is a default under the working directory
+    chosen; on a cluster an unset folder is an error, never a machine-local one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.abspath("popflow-checkpoints")
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])

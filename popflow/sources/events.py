@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from popflow.config import DEFAULT_CONFIG, GameConfig
-from popflow.schemas import EVENT_REQUIRED, EVENT_SCHEMA, SOURCE_SCHEMAS
+from popflow.schemas import EVENT_SCHEMA, SOURCE_SCHEMAS
 
 # ISO-8601 with microseconds and a zone suffix ("Z" for UTC). The default
 # JSON timestamp format keeps milliseconds only.
@@ -99,10 +99,11 @@ TAGGED_SCHEMA = T.StructType(list(EVENT_SCHEMA.fields) + [
 
 
 def tag_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
-               required=EVENT_REQUIRED) -> DataFrame:
+               required=()) -> DataFrame:
     """Parse JSON payloads into typed rows (absent fields NULL), one row per
-    payload, with ``reject_reason`` set for malformed payloads or missing
-    required fields. Batch and streaming alike."""
+    payload, with ``reject_reason`` set for malformed payloads (or for missing
+    fields named in ``required``; by default no field is, since each view uses
+    other fields). Batch and streaming alike."""
     raw = F.col(value_col).cast("string")
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType())])
     parsed_struct = F.from_json(
@@ -132,12 +133,14 @@ def split_tagged(tagged: DataFrame, schema=EVENT_SCHEMA) -> Decoded:
 
 
 def decode_events(df: DataFrame, value_col: str = "value", schema=EVENT_SCHEMA,
-                  required=EVENT_REQUIRED) -> Decoded:
+                  required=()) -> Decoded:
     """Parse JSON payloads into typed rows; absent fields become NULL.
 
-    Malformed payloads and rows missing a required field go to ``rejects``
-    (with the raw payload and a reason) instead of being silently turned
-    into NULL rows. Works on batch and streaming DataFrames alike.
+    Malformed payloads go to ``rejects`` (with the raw payload and a reason)
+    instead of being silently turned into NULL rows. An event without some
+    field counts in every view that does not need it; the changelog sink sets
+    aside result rows whose own required columns are NULL. Works on batch and
+    streaming DataFrames alike.
     """
     return split_tagged(tag_events(df, value_col, schema, required), schema)
 

@@ -31,10 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from popflow.functions.expressions import utc_day, utc_hour
 from popflow.operators.ranking import latest_by_key
 from popflow.operators.views import to_table_types
 from popflow.schemas import TABLE_KEYS, TABLE_SCHEMAS
-
+from popflow.sources.events import sql_string
 
 # Target rows per written file of a changelog partition (a few tens of MB of
 # Parquet for these narrow rows).
@@ -66,12 +67,13 @@ LAYOUTS: dict[str, Layout] = {
 
 
 def _time_part_expr(layout: Layout) -> Column:
-    c = F.col(layout.time_col)
-    return F.to_date(c) if layout.time_grain == "day" else F.date_trunc("hour", c)
+    """UTC day (DATE) or hour (BIGINT hours since 1970): neither depends on the
+    session time zone of the writer or of a reader parsing the path."""
+    return utc_day(layout.time_col) if layout.time_grain == "day" else utc_hour(layout.time_col)
 
 
 def _time_part_type(layout: Layout) -> T.DataType:
-    return T.DateType() if layout.time_grain == "day" else T.TimestampType()
+    return T.DateType() if layout.time_grain == "day" else T.LongType()
 
 
 class TableStore:
@@ -102,7 +104,7 @@ class TableStore:
 
     # -- namespace (A6, A13, A14) -----------------------------------------------
     def create_namespace(self) -> None:
-        loc = f" LOCATION '{self.location}'" if self.location else ""
+        loc = f" LOCATION {sql_string(self.location)}" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}`{loc}")
 
     def list_tables(self) -> list[str]:
@@ -125,22 +127,23 @@ class TableStore:
                      properties: dict[str, str] | None = None,
                      partition_exprs: Sequence[str] | None = None) -> None:
         """``CREATE TABLE IF NOT EXISTS`` with schema, partitioning and
-        properties. NOT NULL is declared but file tables do not enforce it:
-        check with :func:`popflow.operators.quality.required_violations`."""
+        properties. Plain Parquet tables have no NOT NULL (Spark would not
+        enforce it): the schema's required columns are checked by the sink and
+        by :func:`popflow.operators.quality.required_violations`."""
         cols = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}"
             + ("" if f.nullable or self.fmt == "parquet" else " NOT NULL")
-            + (f" COMMENT '{f.metadata['comment']}'" if f.metadata.get("comment") else "")
+            + (f" COMMENT {sql_string(f.metadata['comment'])}" if f.metadata.get("comment") else "")
             for f in schema)
         ddl = f"CREATE TABLE IF NOT EXISTS {self.qualified(name)} ({cols}) USING {self.fmt}"
         parts = list(partition_exprs or partition_cols)
         if parts:
             ddl += " PARTITIONED BY (" + ", ".join(parts) + ")"
         if comment:
-            ddl += f" COMMENT '{comment}'"
+            ddl += f" COMMENT {sql_string(comment)}"
         if properties:
             ddl += " TBLPROPERTIES (" + ", ".join(
-                f"'{k}'='{v}'" for k, v in properties.items()) + ")"
+                f"{sql_string(k)}={sql_string(v)}" for k, v in properties.items()) + ")"
         self.spark.sql(ddl)
 
     def append(self, df: DataFrame, name: str) -> None:
@@ -156,7 +159,7 @@ class TableStore:
     def add_column(self, name: str, column: str, dtype: str,
                    comment: str | None = None) -> None:
         """Add a nullable column; existing rows read it as NULL."""
-        c = f" COMMENT '{comment}'" if comment else ""
+        c = f" COMMENT {sql_string(comment)}" if comment else ""
         self.spark.sql(f"ALTER TABLE {self.qualified(name)} ADD COLUMNS (`{column}` {dtype}{c})")
 
     def describe(self, name: str) -> DataFrame:
@@ -183,12 +186,19 @@ class TableStore:
                 parts = ["batch_id", f"{grain}({lay.time_col})"]
                 if self.layout == "faithful":
                     parts += list(lay.faithful_parts)
-                self.create_table(name, TABLE_SCHEMAS[name].add("batch_id", T.LongType(), False),
-                                  partition_exprs=parts,
+                schema = T.StructType([*TABLE_SCHEMAS[name].fields,
+                                       T.StructField("batch_id", T.LongType(), False)])
+                self.create_table(name, schema, partition_exprs=parts,
                                   properties={"format-version": "2",
-                                              "write.distribution-mode": "hash"})
+                                              "write.distribution-mode": "hash",
+                                              **self._sort_property(name)})
             else:
-                self.create_table(name, self.changelog_schema(name), self.partition_cols(name))
+                self.create_table(name, self.changelog_schema(name), self.partition_cols(name),
+                                  properties=self._sort_property(name))
+
+    def _sort_property(self, name: str) -> dict[str, str]:
+        """The table's sort order, stored with it (the sink sorts files by it)."""
+        return {"popflow.sort-order": ", ".join(f"{c} {d}" for c, d in LAYOUTS[name].sort)}
 
     def prepare_batch(self, name: str, df: DataFrame, batch_id: int) -> DataFrame:
         """View output -> table row shape: table types, ``batch_id`` and the
@@ -203,7 +213,33 @@ class TableStore:
         return [F.col(c).desc() if d == "desc" else F.col(c).asc()
                 for c, d in LAYOUTS[name].sort]
 
-    def cluster_for_write(self, name: str, out: DataFrame) -> DataFrame:
+    def rejects_table(self, name: str) -> str:
+        return f"{name}_rejects"
+
+    def _set_aside(self, name: str, out: DataFrame, batch_id: int) -> None:
+        """Keep result rows without a required value (as JSON, with the names
+        of the missing columns) in ``<name>_rejects``, per batch."""
+        table = self.rejects_table(name)
+        schema = T.StructType([T.StructField("row", T.StringType()),
+                               T.StructField("missing", T.StringType()),
+                               T.StructField("batch_id", T.LongType())])
+        self.create_table(table, schema, ["batch_id"])
+        required = [f.name for f in TABLE_SCHEMAS[name] if not f.nullable]
+        missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+        rows = out.select(F.to_json(F.struct(*[f.name for f in TABLE_SCHEMAS[name]])).alias("row"),
+                          missing.alias("missing"))
+        view = f"_popflow_rejects_{self.namespace}_{name}"
+        rows.createOrReplaceTempView(view)
+        out.sparkSession.sql(f"INSERT OVERWRITE TABLE {self.qualified(table)} "
+                             f"PARTITION (batch_id={int(batch_id)}) SELECT row, missing FROM `{view}`")
+        out.sparkSession.catalog.dropTempView(view)
+
+    def read_rejects(self, name: str) -> DataFrame | None:
+        """Result rows set aside by the sink, or None if there were none."""
+        table = self.rejects_table(name)
+        return self.table(table) if self.exists(table) else None
+
+    def cluster_for_write(self, name: str, out: DataFrame, rows: int, parts: int) -> DataFrame:
         """Shuffle a batch so each partition directory is written by few
         tasks, then sort rows within files by the table's sort order (min/max
         statistics then skip row groups).
@@ -213,15 +249,11 @@ class TableStore:
         ~11k tiny files. Clustering by the partition columns alone would put
         a live stream's whole micro-batch (all rows in the current hour) on
         one writer, so each partition is split into ``buckets`` by a hash of
-        the table key, sized from the batch's row count (one small job over
-        the persisted batch). AQE's rebalance would do this at runtime, but
-        AQE is off inside ``foreachBatch``.
+        the table key, sized from the batch's counted rows and estimated
+        partitions. AQE's rebalance would do this at runtime, but AQE is off
+        inside ``foreachBatch``.
         """
         dyn = self.partition_cols(name)[1:]
-        # An estimate of the partitions touched is enough to size buckets
-        # (HyperLogLog: no extra shuffle stage, unlike an exact distinct).
-        rows, parts = out.agg(F.count(F.lit(1)), F.approx_count_distinct(
-            F.struct(*[F.col(c) for c in dyn]))).first()
         if not rows:
             return out
         buckets = max(1, math.ceil(rows / max(parts, 1) / ROWS_PER_FILE))
@@ -248,7 +280,22 @@ class TableStore:
         # The batch is used by two actions (sizing, write): compute it once.
         cached = out.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            out = self.cluster_for_write(name, cached)
+            # One small job over the persisted batch: rows, partitions touched
+            # (HyperLogLog: no extra shuffle stage, unlike an exact distinct)
+            # and rows that lack a required value.
+            bad = F.lit(False)
+            for f in TABLE_SCHEMAS[name]:
+                if not f.nullable:
+                    bad = bad | F.col(f.name).isNull()
+            rows, touched, n_bad = cached.agg(
+                F.count(F.lit(1)),
+                F.approx_count_distinct(F.struct(*[F.col(c) for c in self.partition_cols(name)[1:]])),
+                F.count_if(bad)).first()
+            good = cached
+            if n_bad:
+                self._set_aside(name, cached.where(bad), batch_id)
+                good = cached.where(~bad)
+            out = self.cluster_for_write(name, good, rows - n_bad, touched)
             view = f"_popflow_batch_{self.namespace}_{name}"
             table_cols = spark.table(self.qualified(name)).columns
             parts = self.partition_cols(name)
@@ -329,7 +376,7 @@ class TableStore:
         old = [p for p in self.partitions(name) if int(p["batch_id"]) < upto_batch]
         for i in range(0, len(old), 200):
             specs = ", ".join(
-                "PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in p.items()) + ")"
+                "PARTITION (" + ", ".join(f"`{k}` = {sql_string(v)}" for k, v in p.items()) + ")"
                 for p in old[i:i + 200])
             self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS {specs}")
         return len({p["batch_id"] for p in old})

@@ -18,14 +18,14 @@ without the topic's retention limits.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from popflow.functions.expressions import utc_day
 from popflow.session import shared_dir
 from popflow.sources.events import TAGGED_SCHEMA, Decoded, split_tagged, tag_events
 
-# Partition column of the events table: the day of the event (NULL for a
+# Partition column of the events table: the UTC day of the event (NULL for a
 # payload without a usable timestamp).
 INGEST_DAY = "event_day"
 INGESTED_SCHEMA = T.StructType(list(TAGGED_SCHEMA.fields)
@@ -39,7 +39,7 @@ def start_ingest(raw: DataFrame, path: str, checkpoint: str | None = None,
     ``path`` (Parquet, partitioned by event day)."""
     spark = raw.sparkSession
     ck = checkpoint or shared_dir(spark, "streams", "ingest", name)
-    tagged = tag_events(raw, value_col).withColumn(INGEST_DAY, F.to_date("event_ts"))
+    tagged = tag_events(raw, value_col).withColumn(INGEST_DAY, utc_day("event_ts"))
     w = (tagged.writeStream.format("parquet")
          .queryName(name)
          .outputMode("append")

@@ -20,6 +20,9 @@ from popflow.operators import views as V
 from popflow.session import shared_dir
 from popflow.sources.tables import TableStore
 
+# Micro-batches between two folds of a changelog.
+COMPACT_EVERY = 100
+
 WINDOWED = ("realtime_scores", "balloon_colored_pops", "color_performance_trends")
 
 
@@ -52,12 +55,14 @@ def start_views(events: DataFrame, store: TableStore,
                 names: Sequence[str] | None = None,
                 width: str = DEFAULT_WINDOW, watermark: str | None = None,
                 trigger: dict | None = None,
-                compact_every: int | None = None,
+                compact_every: int | None = COMPACT_EVERY,
                 state_partitions: int | None = None) -> dict[str, StreamingQuery]:
     """Start one update-mode query per view, each sinking to its changelog
     table. ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
     ``{"processingTime": "5 seconds"}`` or ``{"availableNow": True}``);
-    ``compact_every`` enables the sink's compaction policy.
+    ``compact_every`` is the sink's compaction policy: it bounds the batch
+    partitions of a table, at the price of as-of reads before the last fold;
+    ``None`` keeps every batch for ever.
 
     ``state_partitions`` sets the number of state-store partitions of a new
     query (default: ``spark.sql.shuffle.partitions``). Every micro-batch
@@ -89,6 +94,18 @@ def start_views(events: DataFrame, store: TableStore,
     return out
 
 
+def start_rejects(rejects: DataFrame, path: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Append rejected payloads (with their reason) to Parquet files at
+    ``path``: the direct topology's counterpart of the ingest table, which
+    keeps them beside the events."""
+    w = (rejects.writeStream.format("parquet").queryName("popflow.rejects")
+         .option("path", path).option("checkpointLocation", checkpoint))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def await_all(queries: dict[str, StreamingQuery], timeout: float | None = None) -> None:
     for q in queries.values():
         q.awaitTermination(timeout)

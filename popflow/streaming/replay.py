@@ -1,9 +1,9 @@
 """Replay a table of events through the streaming views.
 
-The events are encoded as JSON lines (the stream's wire format) into
-``n_files`` files, each a contiguous slice of event time as a live stream
-would deliver them, and drained with ``availableNow`` one file per
-micro-batch into changelog tables. Used to run the continuous path end to
+The events are encoded as JSON lines (the stream's wire format) into files
+sized from the data, each a contiguous slice of event time as a live stream
+would deliver them (or, shuffled, with late events in every slice), and drained
+with ``availableNow`` in a few micro-batches into changelog tables. Used to run the continuous path end to
 end on the driver's data (registered stream queries, bench).
 """
 
@@ -19,36 +19,47 @@ from popflow.session import shared_dir
 from popflow.sources.events import StreamConfig, encode_events, read_events_stream
 from popflow.sources.events import read_raw_stream
 from popflow.sources.tables import TableStore
-from popflow.streaming.pipeline import await_all, start_views
+from popflow.streaming.pipeline import await_all, start_rejects, start_views
 
 EVENT_COLUMNS = ("player", "balloon_color", "score", "favorite_color_bonus", "event_ts")
 
 
-def stage_events(events: DataFrame, n_files: int = 4, base: str | None = None) -> str:
+# Events per staged file, and time slices (micro-batches) of a replay.
+EVENTS_PER_FILE = 500_000
+SLICES = 4
+
+
+def stage_events(events: DataFrame, n_files: int | None = None, base: str | None = None,
+                 shuffled: bool = False) -> str:
     """Write ``events`` as JSON-line files in event-time order; returns the
     run folder (``base`` defaults to a fresh folder under the cluster's shared
-    checkpoint location)."""
+    checkpoint location). Without ``n_files`` the counted rows set it: SLICES
+    slices of as many files as hold EVENTS_PER_FILE events each. ``shuffled``
+    deals the events by a hash instead, so later files hold late events."""
     spark = events.sparkSession
     base = (base or shared_dir(spark, "replay")).rstrip("/") + f"/{uuid.uuid4().hex[:12]}"
     ts = F.col("event_ts")
     if dict(events.dtypes)["event_ts"] == "timestamp_ntz":
         ts = utc_instant(ts)    # zone-less event times are UTC wall clock
     ev = events.select(*[c for c in EVENT_COLUMNS if c != "event_ts"], ts.alias("event_ts"))
-    (encode_events(ev.repartitionByRange(n_files, "event_ts")
-                   .sortWithinPartitions("event_ts"), key_col=None)
-     .write.text(f"{base}/src"))
+    if n_files is None:
+        n_files = SLICES * max(1, -(-events.count() // (SLICES * EVENTS_PER_FILE)))
+    dealt = (ev.repartition(n_files, F.xxhash64(*ev.columns)) if shuffled
+             else ev.repartitionByRange(n_files, "event_ts").sortWithinPartitions("event_ts"))
+    encode_events(dealt, key_col=None).write.text(f"{base}/src")
     return base
 
 
 def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
           compact_every: int | None = None,
           state_partitions: int | None = None,
-          ingest: bool = False, timings: dict | None = None) -> TableStore:
+          ingest: bool = False, timings: dict | None = None,
+          slices: int = SLICES) -> TableStore:
     """Run the views over the staged files as a stream until drained;
     returns the store with their changelogs.
 
-    Directly (each view query decodes the JSON, one file per micro-batch),
-    or with ``ingest=True`` through the ingest stage: one query decodes the
+    Directly (each view query decodes the JSON, ``slices`` micro-batches;
+    rejected payloads go to ``<base>/rejects``), or with ``ingest=True`` through the ingest stage: one query decodes the
     files into a typed events table, then the views stream that table in
     about as many micro-batches. ``timings`` receives seconds per stage.
     """
@@ -63,20 +74,24 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
                                spark.sparkContext.defaultParallelism)
     run = base.rstrip("/").rsplit("/", 1)[-1]
     store = TableStore(spark, f"replay_{run}", location=f"{base}/tables")
+    n_src = len(spark.read.text(f"{base}/src").inputFiles())
+    per_batch = max(1, -(-n_src // slices))
     t0 = time.perf_counter()
     if ingest:
         raw = read_raw_stream(spark, StreamConfig(format="json", path=f"{base}/src",
-                                                  max_files_per_trigger=1))
+                                                  max_files_per_trigger=per_batch))
         await_all({"ingest": start_ingest(raw, f"{base}/events", f"{base}/checkpoints/ingest",
                                           trigger={"availableNow": True})})
         timings["ingest_sec"] = time.perf_counter() - t0
-        n_src = len(spark.read.text(f"{base}/src").inputFiles())
         n_out = len(spark.read.parquet(f"{base}/events").inputFiles())
         stream = read_ingested(spark, f"{base}/events",
-                               max_files_per_trigger=max(1, -(-n_out // max(n_src, 1))))
+                               max_files_per_trigger=max(1, -(-n_out // slices)))
     else:
         stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src",
-                                                        max_files_per_trigger=1))
+                                                        max_files_per_trigger=per_batch))
+        await_all({"rejects": start_rejects(stream.rejects, f"{base}/rejects",
+                                            f"{base}/checkpoints/rejects",
+                                            trigger={"availableNow": True})})
     t1 = time.perf_counter()
     kwargs = {"width": width} if width else {}
     queries = start_views(stream.events, store, checkpoint_root=f"{base}/checkpoints",
@@ -88,9 +103,9 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
     return store
 
 
-def replay_events(events: DataFrame, names=None, n_files: int = 4,
+def replay_events(events: DataFrame, names=None, n_files: int | None = None,
                   base: str | None = None, width: str | None = None,
-                  compact_every: int | None = None) -> TableStore:
+                  compact_every: int | None = None, shuffled: bool = False) -> TableStore:
     """Stage ``events`` as JSON files and drain them through the views."""
-    return drain(events.sparkSession, stage_events(events, n_files, base), names, width,
+    return drain(events.sparkSession, stage_events(events, n_files, base, shuffled), names, width,
                  compact_every)

@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from popflow.plans.registry import ORACLE, QUERIES
 from tests.conftest import SF01
 from tools.oracle_check import compare, duck_connect
 
@@ -22,9 +23,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    assert compare(spark, con, name, SF01) == []
+    assert compare(spark, con, name, SF01, QUERIES, ORACLE) == []

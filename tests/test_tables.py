@@ -95,3 +95,56 @@ def test_batch_write_clusters_partitions_and_splits_hot_hour(spark, tmp_path, mo
     assert rows == sorted(rows)
     assert store.read_table("realtime_scores", "changelog").count() == 2 * 48 * 40
     store.drop_namespace()
+
+
+def test_quoted_values_survive_compaction(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    store = TableStore(spark, "quoted", location=str(tmp_path / "wh"), layout="faithful")
+    store.create_view_tables(["leaderboard"])
+    rows = spark.createDataFrame([("O'Neil", 1, 0), ("a", 2, 0)], "player string, total_score long, bonus_hits long").withColumn(
+        "event_ts", F.lit("2024-01-01 10:00:00").cast("timestamp"))
+    for batch in range(3):
+        store.write_batch("leaderboard", rows.withColumn("total_score", F.col("total_score") + batch), batch)
+    assert store.compact("leaderboard", 2) == 2 and store.batches("leaderboard") == [2]
+    assert {r.player: r.total_score for r in store.read_table("leaderboard").collect()} == {"O'Neil": 3, "a": 4}
+    store.drop_namespace()
+
+
+def test_iceberg_ddl_leaves_the_schemas_alone(spark, monkeypatch):
+    from popflow.schemas import TABLE_SCHEMAS
+
+    before = {k: list(v.names) for k, v in TABLE_SCHEMAS.items()}
+    store = TableStore(spark, "ice", fmt="iceberg")
+    ddl = []
+    monkeypatch.setattr(store, "create_namespace", lambda: None)
+    monkeypatch.setattr(store, "create_table", lambda name, schema, *a, **k: ddl.append((name, schema.names)))
+    store.create_view_tables()
+    store.create_view_tables()
+    assert {k: list(v.names) for k, v in TABLE_SCHEMAS.items()} == before
+    assert all(names == [*before[n], "batch_id"] for n, names in ddl) and len(ddl) == 10
+
+
+def test_time_ranges_of_stored_tables_hold_in_any_session_zone(spark, tmp_path):
+    import datetime as dt
+
+    from popflow.functions.expressions import utc_instant
+    from popflow.operators.leaderboard import in_time_range
+
+    times = [(f"p{i}", i, dt.datetime(2024, 1, 10, 10, 0) + dt.timedelta(minutes=15 * i)) for i in range(12)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    store = TableStore(spark, "zones", location=str(tmp_path / "wh"))
+    store.create_view_tables(["realtime_scores"])
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        df = spark.createDataFrame(times, "player string, total_score long, t timestamp_ntz").withColumn(
+            "window_start", utc_instant("t")).withColumn("window_end", utc_instant("t"))
+        store.write_batch("realtime_scores", df, 0)
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            cur = store.read_table("realtime_scores")
+            for hour_col in (None, "window_hour"):
+                assert in_time_range(cur, "2024-01-10 10:45:00", "2024-01-10 12:00:00", hour_col=hour_col).count() == 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    store.drop_namespace()

@@ -124,15 +124,29 @@ def test_global_rank_hot_score_is_split(spark):
     rows = [(f"p{i:05d}", 42 if i % 3 == 0 else rnd.randint(0, 1000), 1) for i in range(6000)]
     df = spark.createDataFrame(rows, "player string, total_score long, bonus_hits long") \
         .repartition(5)
-    order = [F.desc("total_score"), F.desc("bonus_hits"), F.asc("player")]
-    ranked = global_rank(df, order, num_partitions=8)
+    ranked = global_rank(df, lbp.LEADERBOARD_ORDER, num_partitions=8)
     got = sorted(ranked.collect(), key=lambda r: r.position)
     expect = sorted(rows, key=lambda r: (-r[1], -r[2], r[0]))
     assert [(r.player, r.total_score, r.bonus_hits) for r in got] == expect
     assert [r.position for r in got] == list(range(1, len(rows) + 1))
-    hot_tasks = (df.repartitionByRange(8, *order).where("total_score = 42")
-                 .select(F.spark_partition_id()).distinct().count())
-    assert hot_tasks >= 2
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_global_rank_with_payload_and_without_exchange_reuse(spark, reuse):
+    n = 400_000
+    df = spark.range(n).select(
+        F.format_string("p%07d", "id").alias("player"),
+        F.when(F.col("id") % 3 == 0, 42).otherwise(F.xxhash64("id") % 1000).cast("long").alias("total_score"),
+        (F.col("id") % 4).alias("bonus_hits"), F.repeat(F.lit("x"), 20).alias("payload")).repartition(7)
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = global_rank(df, lbp.LEADERBOARD_ORDER).toPandas().sort_values("position")
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert got["position"].tolist() == list(range(1, n + 1))
+    want = got.sort_values(["total_score", "bonus_hits", "player"], ascending=[False, False, True])
+    assert want["position"].tolist() == list(range(1, n + 1))
 
 
 def test_top_k_ties_deterministic(spark):
@@ -260,11 +274,13 @@ def test_time_filters(spark):
     recent = lbp.since(rs, "1 day", now="2024-01-16 00:00:00").collect()
     assert sorted(r.total_score for r in recent) == [3]   # strict: > now - 1 day
     assert lbp.for_players(rs, ["b"]).count() == 1
-    assert lbp.for_players_table(rs, spark.createDataFrame([("b",)], "p string")).count() == 1
+    assert lbp.for_players(rs, spark.createDataFrame([("b",)], "p string")).count() == 1
     tr = lbp.score_trend(rs, ["a"], unit="hours").collect()
     assert {r.time_label for r in tr} == {"00:00"}
-    tb = lbp.time_bounds(rs).collect()[0]
-    assert (tb.min_date, tb.max_clock, tb.max_score) == (dt.date(2024, 1, 9), "00:00:01", 4)
+    lb = spark.createDataFrame([("a", 6), ("b", 4)], "player string, total_score long").withColumn(
+        "event_ts", F.current_timestamp())
+    tb = lbp.time_bounds(rs, lb).collect()[0]
+    assert (tb.min_date, tb.max_clock, tb.max_score) == (dt.date(2024, 1, 9), "00:00:01", 6)
 
 
 # -- JSON ---------------------------------------------------------------------------
@@ -280,11 +296,15 @@ def test_decode_rejects_and_roundtrip(spark):
     ], "value string")
     dec = decode_events(payloads)
     ok = dec.events.collect()
-    assert [r.score for r in ok] == [55, 150]
+    assert [r.score for r in ok] == [55, 150, None]    # an absent field is NULL, not a reject
     assert ok[0].page_id is None
     assert ok[0].event_ts == dt.datetime(2025, 2, 17, 13, 59, 0, 430087)
     rej = {r.reason for r in dec.rejects.collect()}
-    assert rej == {"malformed", "score"}
+    assert rej == {"malformed"}
+    strict = decode_events(payloads, required=("player", "score"))
+    assert {r.reason for r in strict.rejects.collect()} == {"malformed", "score"}
+    from popflow.operators.views import leaderboard
+    assert {r.player: r.total_score for r in leaderboard(dec.events).collect()} == {"Cosmic Phoenix": 205, "x": None}
     again = decode_events(encode_events(dec.events)).events.collect()
     assert again == ok
 
@@ -327,7 +347,9 @@ def test_trend_and_bounds_on_changelog_equal_current(spark):
     assert cur.count() == 4 and log.count() == 7
     trend = lambda df: sorted(tuple(r) for r in lbp.score_trend(df, ["a", "b"]).collect())
     assert trend(log) == trend(cur)
-    assert lbp.time_bounds(log).collect() == lbp.time_bounds(cur).collect()
+    lb = cur.groupBy("player").agg(F.sum("total_score").alias("total_score")).withColumn(
+        "event_ts", F.lit("2024-01-01").cast("timestamp"))
+    assert lbp.time_bounds(log, lb).collect() == lbp.time_bounds(cur, lb).collect()
 
 
 def test_utc_helpers_ignore_session_zone(spark):
@@ -363,3 +385,23 @@ def test_time_bounds_read_as_utc_in_any_session_zone(spark):
             assert lbp.since(df, "1 hour", now="2024-01-10 08:30:00").count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_to_utc_reads_a_zone():
+    from popflow.functions.expressions import to_utc
+
+    assert "to_utc_timestamp" in str(to_utc("t", "America/New_York"))
+
+
+def test_window_summary_bounds_and_range(spark):
+    from popflow.operators import views
+
+    ev = spark.createDataFrame([("a", "red", 10, ts("2024-01-01 00:00:07")), ("a", "red", 20, ts("2024-01-01 00:02:01"))],
+                               "player string, balloon_color string, score int, event_ts timestamp")
+    cpt = views.color_performance(ev, "15 seconds")
+    full = sorted(tuple(r) for r in perf.time_window_summary(cpt, "15 seconds").collect())
+    assert len(full) == 9
+    bounds = views.window_bounds(ev, "15 seconds")
+    assert sorted(tuple(r) for r in perf.time_window_summary(cpt, "15 seconds", bounds=bounds).collect()) == full
+    part = perf.time_window_summary(cpt, "15 seconds", start="2024-01-01 00:01:00", end="2024-01-01 00:01:45").collect()
+    assert len(part) == 4 and not any(r.total_pops for r in part)
