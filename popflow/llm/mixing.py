@@ -16,9 +16,10 @@ from popflow.llm.common import small, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = ["domain", "lang", "source"]
-#: Hex digits of the order key that name a bucket: a leaf is summed by bucket
-#: first, and only the bucket where its prefix ends is ordered row by row.
-BUCKET_DIGITS = 4
+#: Hex digits of the order key that name a bucket, two more at each step: a leaf
+#: is summed by bucket, then the bucket where its prefix ends by finer buckets,
+#: and only the last of these is ordered row by row.
+BUCKET_DIGITS = (2, 4, 6)
 
 
 def domain_of(source: Column) -> Column:
@@ -93,17 +94,20 @@ def leaf_cuts(rows: DataFrame, budgets: DataFrame, epochs: int, seed: int) -> Da
                                   .otherwise(0)).select(*LEAF, "full", "rest"), "leaf-plan")
     n = plan.count()
     keyed = (rows.join(small(plan.where("rest > 0"), n), LEAF)
-             .select(*LEAF, "rest", "n_tokens", _key(seed, F.col("full"), F.col("doc_id")).alias("key"))
-             .withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)))
-    # At most 16 ** BUCKET_DIGITS rows a leaf.
-    run = Window.partitionBy(*LEAF).orderBy("bucket")
-    buckets = (keyed.groupBy(*LEAF, "rest", "bucket").agg(F.sum("n_tokens").alias("t"))
-               .withColumn("upto", F.sum("t").over(run.rowsBetween(Window.unboundedPreceding, 0))))
-    edge = staged(buckets.where("upto > rest").groupBy(*LEAF, "rest")
-                  .agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("t")).alias("before")), "bucket").alias("e"))
-                  .select(*LEAF, F.col("e.bucket").alias("bucket"), F.col("e.before").alias("before")), "leaf-edges")
+             .select(*LEAF, "rest", "n_tokens", _key(seed, F.col("full"), F.col("doc_id")).alias("key")))
+    # Step by step into the bucket where the prefix ends: at most 256 rows a leaf each time.
+    edge = plan.where("rest > 0").select(*LEAF, F.lit("").alias("bucket"), F.lit(0).cast("long").alias("before"))
+    run = Window.partitionBy(*LEAF).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    for digits in BUCKET_DIGITS:
+        inside = keyed.withColumn("bucket", F.substring("key", 1, digits - 2)).join(small(edge, n), [*LEAF, "bucket"])
+        buckets = (inside.withColumn("bucket", F.substring("key", 1, digits))
+                   .groupBy(*LEAF, "rest", "before", "bucket").agg(F.sum("n_tokens").alias("t"))
+                   .withColumn("upto", F.col("before") + F.sum("t").over(run)))
+        edge = staged(buckets.where("upto > rest").groupBy(*LEAF)
+                      .agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("t")).alias("before")), "bucket").alias("e"))
+                      .select(*LEAF, F.col("e.bucket").alias("bucket"), F.col("e.before").alias("before")), "leaf-edges")
     within = Window.partitionBy(*LEAF).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (keyed.join(small(edge, n), [*LEAF, "bucket"])
+    last = (keyed.withColumn("bucket", F.substring("key", 1, digits)).join(small(edge, n), [*LEAF, "bucket"])
             .withColumn("upto", F.col("before") + F.sum("n_tokens").over(within))
             .where("upto <= rest").groupBy(*LEAF).agg(F.max("key").alias("key")))
     return (plan.join(edge, LEAF, "left").join(last, LEAF, "left")
