@@ -341,7 +341,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = staged(
         rows.mapInArrow(_entries(parts * BUCKETS, edits, least), PACKED_DDL)
-        .repartition(parts, "bucket").sortWithinPartitions("bucket")
+        .repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
         .mapInArrow(_settle(edits), "what string, a long, b long"), "line-candidates")
     copies = found.where("what = 'copy'").select(F.col("a").alias("doc"), F.col("b").alias("place"),
                                                  F.lit(None).cast("long").alias("near_doc"))

@@ -165,5 +165,5 @@ def piecewise_hashes(docs: DataFrame) -> DataFrame:
              .select("place", "doc_id", "text",
                      F.explode(F.when(F.col("earlier").isNull(), F.array(own)).otherwise(F.array(own, copy))).alias("d"))
              .select("d.part", "d.tail", "place", "doc_id", "text"))
-    return (dealt.repartition(parts, "part").sortWithinPartitions("part", "tail", "place", "text")
+    return (dealt.repartitionById(parts, F.col("part") % parts).sortWithinPartitions("part", "tail", "place", "text")
             .mapInArrow(_pairs, OUT_DDL))

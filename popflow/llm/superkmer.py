@@ -258,7 +258,7 @@ def duplicate_spans(rows: DataFrame, window: int) -> DataFrame:
     """(doc, row, first, stop): word ranges covered by windows that start in a smaller document."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = rows.select("doc", "text").mapInArrow(_pack(window, parts * BUCKETS), PACKED_DDL)
-    return (packed.repartition(parts, "bucket").sortWithinPartitions("bucket", "further")
+    return (packed.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket", "further")
             .mapInArrow(_covered(window), SPANS_DDL))
 
 
