@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from popflow.llm import decontaminate, lines, mixing, simhash, toxicity
-from popflow.llm.common import read, staged
+from popflow.llm.common import read, ship, staged
 from popflow.llm.queries import MIX
 
 
@@ -20,11 +20,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: later copies and near copies of a line go, and documents left without lines."""
+    ship(spark)
     return lines.drop_duplicate_lines(docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: one document of each SimHash group stays."""
+    ship(spark)
     return simhash.one_per_group(docs)
 
 
