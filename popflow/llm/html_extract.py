@@ -3,9 +3,10 @@
 The element trees of a host's pages are merged: elements with one path of tags
 and classes are one node. A node's presentation is important where its child
 sequences vary between pages, its content where texts and links vary; both are
-entropies over the host's pages, combined from the leaves up. Branches of low
-importance go from every page, besides those that their own tag, role or class
-names as furniture; prose inside an article or main element stays.
+entropies over the host's distinct pages, combined from the leaves up. Branches
+of low importance in which no texts vary go from every page, besides those that
+their own tag, role or class names as furniture; prose inside an article or main
+element stays.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from popflow.llm.common import small, staged
 from popflow.llm.html_tree import HEADINGS, INLINE, NOISE_TAGS, PROSE, Page, parse
 
-#: Damping of the presentation of nodes with few alternatives.
+#: Damping of the presentation of nodes with few alternatives; one alternative says nothing and damps nothing.
 GAMMA = 0.9
 #: Importance up to which a branch goes, and pages of a node needed to judge it.
 MAX_NOISE = 0.35
@@ -32,8 +33,8 @@ MIN_PAGES = 8
 FLUSH_KEYS = 300_000
 
 COUNTS = pa.schema([("host", pa.string()), ("path", pa.int64()), ("above", pa.int64()), ("kind", pa.string()),
-                    ("value", pa.int64()), ("pages", pa.int64())])
-COUNTS_DDL = "host string, path long, above long, kind string, value long, pages long"
+                    ("value", pa.int64()), ("pages", pa.float64())])
+COUNTS_DDL = "host string, path long, above long, kind string, value long, pages double"
 OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 OUT_DDL = "page_id long, url string, text string, n_chars long"
 
@@ -76,21 +77,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush():
         keys = list(zip(*counts)) or [()] * 5
         return pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(keys, COUNTS)),
-                                           pa.array(list(counts.values()), pa.int64())], schema=COUNTS)
+                                           pa.array(list(counts.values()), pa.float64())], schema=COUNTS)
 
     for batch in batches:
-        for host, text in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
-            counts.update((host, *key) for key in page_counts(parse(text)))
+        copies = batch["copies"].to_pylist() if "copies" in batch.schema.names else [1] * batch.num_rows
+        for host, text, n in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), copies):
+            for key in page_counts(parse(text)):
+                counts[host, *key] += 1 / n
         if len(counts) > FLUSH_KEYS:
             yield flush()
             counts.clear()
     yield flush()
 
 
+def with_copies(pages: DataFrame) -> DataFrame:
+    """``pages`` (host, html) with ``copies``: the host's rows of the same html. Only content hashes are shuffled."""
+    keyed = pages.select("host", "html", F.xxhash64("html").alias("key"), F.length("html").alias("length"))
+    many = staged(keyed.groupBy("host", "key", "length").agg(F.count("*").alias("copies")).where("copies > 1"), "page-copies")
+    return (keyed.join(small(many, many.count()), ["host", "key", "length"], "left")
+            .select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies")))
+
+
 def node_statistics(counts: DataFrame) -> DataFrame:
-    """One row per host and path: pages, styles, presentation and content importance (entropies to base pages)."""
-    counts = counts.groupBy("host", "path", "above", "kind", "value").agg(F.sum("pages").alias("n"))
-    n = F.col("n").cast("double")
+    """One row per host and path: pages, styles, presentation and content importance (entropies to base pages).
+
+    The copies of a page hold the same keys and count 1 / copies each, so sums are whole numbers of distinct pages.
+    """
+    counts = counts.groupBy("host", "path", "above", "kind", "value").agg(F.round(F.sum("pages")).alias("n"))
+    n = F.col("n")
 
     def total(kind, value):
         return F.sum(F.when(F.col("kind") == kind, value).otherwise(0.0))
@@ -108,13 +122,14 @@ def node_statistics(counts: DataFrame) -> DataFrame:
 
 
 def _noisy(nodes: pd.DataFrame) -> pd.DataFrame:
-    """Paths of one host with low composite importance, from its merged tree."""
+    """Paths of one host with low composite importance and no varied texts below, from its merged tree."""
     below: dict[int, list[int]] = {}
     facts = {}
     for row in nodes.itertuples(index=False):
         facts[row.path] = row
         below.setdefault(row.above, []).append(row.path)
     score: dict[int, float] = {}
+    varied: dict[int, bool] = {}  # texts or links at or below the node vary
     todo = list(facts)
     while todo:
         path = todo[-1]
@@ -127,19 +142,20 @@ def _noisy(nodes: pd.DataFrame) -> pd.DataFrame:
             continue
         row = facts[path]
         parts = [(facts[c].pages, score[c]) for c in below.get(path, ()) if c != path]
+        varied[path] = row.texts > 0 and row.content > MAX_NOISE or any(varied[c] for c in below.get(path, ()) if c != path)
         if row.texts > 0:
             parts.append((row.pages, row.content))
         weight = sum(w for w, _ in parts)
         inner = sum(w * x for w, x in parts) / weight if weight else 0.0
-        keep = GAMMA ** row.styles if parts and row.styles else 1.0
+        keep = GAMMA ** row.styles if parts and row.styles > 1 else 1.0
         score[path] = (1 - keep) * row.presentation + keep * inner
-    low = [p for p, x in score.items() if x <= MAX_NOISE and facts[p].pages >= MIN_PAGES]
+    low = [p for p, x in score.items() if x <= MAX_NOISE and facts[p].pages >= MIN_PAGES and not varied[p]]
     return pd.DataFrame({"host": [nodes["host"].iloc[0]] * len(low), "path": low}).astype({"host": "object", "path": "int64"})
 
 
 def noisy_paths(pages: DataFrame) -> DataFrame:
     """(host, paths): the low-importance nodes of every host's style tree."""
-    stats = staged(node_statistics(pages.select("host", "html").mapInArrow(_count, COUNTS_DDL)), "style-tree")
+    stats = staged(node_statistics(with_copies(pages).mapInArrow(_count, COUNTS_DDL)), "style-tree")
     low = stats.groupBy("host").applyInPandas(_noisy, "host string, path long")
     return low.groupBy("host").agg(F.collect_set("path").alias("paths"))
 

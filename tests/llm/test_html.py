@@ -73,6 +73,24 @@ def test_copies_of_one_page_keep_their_text(spark):
     assert got == {k: "t\n\nthe only text" for k in range(30)} | {100 + k: "h\n\nthe text" for k in range(30)}
 
 
+def test_copies_of_a_page_are_no_evidence_against_its_article(spark):
+    page = "<body><article><h1>T{0}</h1><div class=body>{1}</div></article></body>".format
+    rows = [(k, "http://g.example/x", page("", "the copied body")) for k in range(75)]
+    rows += [(k, "http://g.example/x", page(k, f"body number {k}")) for k in range(75, 100)]
+    got = {r.page_id: r.text for r in hx.main_texts(frame(spark, rows)).collect()}
+    assert got == {k: "T\n\nthe copied body" if k < 75 else f"T{k}\n\nbody number {k}" for k in range(100)}
+
+
+def test_varied_text_below_wrappers_and_beside_repeated_branches_stays(spark):
+    wrapped = "<div class=w>" * 12 + "{0}" + "</div>" * 12
+    beside = ("<div class=all>" + "".join(f"<div class={c}>same {c}</div>" for c in "abcdefgh")
+              + "<div class=text>{0}</div></div>")
+    rows = [(100 * s + k, f"http://{s}.example/{k}", "<body><article><h1>T</h1>" + shape.format(f"words of {k}") + "</article></body>")
+            for s, shape in enumerate((wrapped, beside)) for k in range(20)]
+    got = {r.page_id: r.text for r in hx.main_texts(frame(spark, rows)).collect()}
+    assert got == {100 * s + k: f"T\n\nwords of {k}" for s in range(2) for k in range(20)}
+
+
 def test_importance_matches_the_formula(spark):
     import math
     pages = [f"<div class=a>{'same' if k < 6 else k}</div>" for k in range(8)]
