@@ -26,9 +26,14 @@ PATTERNS = {
 }
 #: A text that does not match this can't hold the kind.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
-#: Identifier-like strings: telephone and card forms, else a run without white space that holds a digit or at sign.
-INSTANCE = (PATTERNS["phone"] + "|" + PATTERNS["card"] + r"|(?:\G|(?<!\S))[^\s0-9@]*+[0-9@]\S*+")
-#: Code points next to an instance that are searched for its context words.
+#: Where a telephone or card form may end: at the end of a run without white space, or at its closing marks.
+END = r"""(?=[.,;:!?)\]}>"']*+(?!\S))"""
+NUMBER = "[0-9]++(?:-[0-9]++)*+" + END
+#: Identifier-like strings, each from the start of a run without white space: telephone and card forms of whole runs,
+#: else a run that holds a digit or at sign.
+INSTANCE = (r"""(?<!\S)(?:[(\[{<"']*+(?:""" + PATTERNS["phone"] + END + "|" + NUMBER + r"(?:\x20" + NUMBER + ")*+)"
+            r"|[^\s0-9@]*+[0-9@]\S*+)")
+#: Code points next to an instance that are searched for its context words; a text is cut into pieces of as many.
 CONTEXT = 100
 
 #: Rounds of scoring; least distinct seeds of a pattern, least confidences at the end.
@@ -42,18 +47,16 @@ SPAN = "array<struct<start:int,rank:int,stop:int,kind:string,value:string>>"
 
 
 def _located(text: Column, pattern: str, make, kind: str) -> Column:
-    """Array of ``make(start, stop, value, gap before, gap behind)`` for all matches, in order."""
+    """Array of ``make(start, stop, value)`` for all matches, in order."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    n = F.size(found)
-    pairs = F.zip_with(F.zip_with(F.slice(gaps, 1, n), F.slice(gaps, 2, n), lambda g, h: F.struct(g.alias("g"), h.alias("h"))),
-                       found, lambda x, v: F.struct(x["g"].alias("gap"), x["h"].alias("behind"), v.alias("value")))
+    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
 
     def step(acc, pair):
         start = acc["at"] + F.length(pair["gap"])
         stop = start + F.length(pair["value"])
         return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(
-            make(start, stop, pair["value"], pair["gap"], pair["behind"]))).alias("out"))
+            make(start, stop, pair["value"]))).alias("out"))
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
     return F.aggregate(pairs, empty, step, lambda acc: acc["out"])
@@ -77,7 +80,7 @@ def _holds(kind: str, value: Column) -> Column:
 def base_spans(text: Column) -> Column:
     """Checked matches of all base patterns by (start, kind as listed)."""
     def spans(rank: int, kind: str) -> Column:
-        def make(start, stop, value, gap, behind):
+        def make(start, stop, value):
             return F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"),
                             value.alias("value"))
         found = F.filter(_located(text, PATTERNS[kind], make, SPAN), lambda s: _holds(kind, s["value"]))
@@ -86,17 +89,43 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(spans(rank, kind) for rank, kind in enumerate(KINDS))))
 
 
-def instances(text: Column) -> Column:
-    """Identifier-like strings with the two words before and the word behind them."""
-    def make(start, stop, value, gap, behind):
-        before = F.split(F.trim(F.lower(F.right(gap, F.lit(CONTEXT)))), r"\s+")
-        after = F.split(F.trim(F.lower(F.left(behind, F.lit(CONTEXT)))), r"\s+")
-        return F.struct(start.alias("start"), stop.alias("stop"), value.alias("value"),
-                        F.coalesce(F.try_element_at(before, F.lit(-2)), F.lit("")).alias("left2"),
-                        F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit("")).alias("left1"),
-                        F.coalesce(F.try_element_at(after, F.lit(1)), F.lit("")).alias("right1"))
-    kind = "array<struct<start:int,stop:int,value:string,left2:string,left1:string,right1:string>>"
-    return F.when(F.rlike(text, F.lit("[0-9@]")), _located(text, INSTANCE, make, kind)).otherwise(F.array().cast(kind))
+def instances(text: Column, base: Column) -> Column:
+    """Base spans as seeds, and identifier-like strings outside them, with the two words before and the word behind."""
+    kind = "array<struct<start:int,stop:int,value:string,seed:string>>"
+
+    def make(start, stop, value):
+        return F.struct(start.alias("start"), stop.alias("stop"), value.alias("value"), F.lit(None).cast("string").alias("seed"))
+
+    def words(part: Column) -> Column:
+        return F.regexp_extract_all(F.lower(part), F.lit(r"\S+"), F.lit(0))
+
+    def piece(pieces: Column, k: Column) -> Column:
+        return F.coalesce(F.get(pieces, k), F.lit(""))
+
+    def in_context(row: Column) -> Column:
+        def one(i: Column) -> Column:
+            first, last = (F.floor(i[at] / CONTEXT).cast("int") for at in ("start", "stop"))
+            before = words(F.right(F.concat(piece(row["pieces"], first - 1), F.left(
+                piece(row["pieces"], first), i["start"] - first * CONTEXT)), F.lit(CONTEXT)))
+            after = words(F.left(F.concat(F.substring(piece(row["pieces"], last), i["stop"] - last * CONTEXT + 1, F.lit(CONTEXT)),
+                                          piece(row["pieces"], last + 1)), F.lit(CONTEXT)))
+            return F.struct(i["start"].alias("start"), i["stop"].alias("stop"), i["value"].alias("value"), i["seed"].alias("seed"),
+                            F.coalesce(F.try_element_at(before, F.lit(-2)), F.lit("")).alias("left2"),
+                            F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit("")).alias("left1"),
+                            F.coalesce(F.try_element_at(after, F.lit(1)), F.lit("")).alias("right1"))
+
+        seeds = F.transform(row["base"], lambda b: F.struct(b["start"].alias("start"), b["stop"].alias("stop"),
+                                                            b["value"].alias("value"), b["kind"].alias("seed")))
+        others = F.filter(row["others"], lambda o: ~F.exists(
+            row["base"], lambda b: (b["start"] < o["stop"]) & (b["stop"] > o["start"])))
+        return F.transform(F.concat(seeds, others), one)
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CONTEXT}}}"), F.lit(0))
+    # the one-element array binds its parts once, so that no lambda computes them again
+    row = F.array(F.struct(base.alias("base"), _located(text, INSTANCE, make, kind).alias("others"), pieces.alias("pieces")))
+    found = F.get(F.transform(row, in_context), F.lit(0))
+    empty = "array<struct<start:int,stop:int,value:string,seed:string,left2:string,left1:string,right1:string>>"
+    return F.when(F.rlike(text, F.lit("[0-9@]")), found).otherwise(F.array().cast(empty))
 
 
 def trusted_values(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -139,11 +168,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     rows; other columns are ignored.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = staged(docs.select("doc_id", F.xxhash64(text).alias("text_key"), base_spans(text).alias("base"),
-                              instances(text).alias("instances")), "pii-rows")
-    seen = rows.select("doc_id", "text_key", "base", F.explode("instances").alias("i"))
-    over = F.filter("base", lambda b: (b["start"] < F.col("i.stop")) & (b["stop"] > F.col("i.start")))
-    seen = staged(seen.select("doc_id", "text_key", "i.*", F.try_element_at(over, F.lit(1))["kind"].alias("seed")),
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"), base_spans(text).alias("base"))
+    rows = staged(rows.select("doc_id", "text_key", "base", instances(F.col("text"), F.col("base")).alias("instances")), "pii-rows")
+    seen = staged(rows.select("doc_id", "text_key", F.explode("instances").alias("i")).select("doc_id", "text_key", "i.*"),
                   "pii-instances")
     patterns = F.array(
         F.when((F.col("left2") != "") & (F.col("left1") != ""), F.concat_ws(" ", F.lit("L"), "left2", "left1")),

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from popflow.llm import pii
 
 FORMS = {
@@ -66,6 +68,33 @@ def test_patterns_discover_unseen_identifiers(make_docs):
     assert got[21].spans == "" and got[21].n_more == 0
 
 
+def test_identifiers_enter_the_graph_whole(make_docs):
+    shapes = [("Please connect to {} now", "192.168.1.{}", "192.168.1.999", "ip"),
+              ("You can ring {} at noon", "+1 555 123 456{}", "555.123.4567", "phone"),
+              ("é" * 97 + " in room 12 {} we wait", "ann{}@host.example", "gus@localhost", "email"),
+              ("the new member\n{}\nsays hello", "12bob{}@host.example", "12bob@localhost", "email")]
+    rows, want = [], {}
+    for s, (frame, seed, unseen, kind) in enumerate(shapes):
+        rows += [(100 * s + k, frame.format(seed.format(k))) for k in range(6)] + [(100 * s + 50, frame.format(unseen))]
+        start = frame.index("{")
+        want[100 * s + 50] = f"{kind}:{start}:{start + len(unseen)}"
+    got = {r.doc_id: r for r in pii.personal_data(make_docs(rows)).collect()}
+    check(rows, got.values())
+    assert {i: got[i].spans for i in want} == want and not any(got[i].n_more for i, _ in rows if i % 100 < 50)
+
+
+def test_instances_are_whole_runs(spark):
+    texts = ["(4111 1111 1111 1112), x 1.2.3.400 12-34", "+1 (375) 555-43 a1 22 33x 555.123.4567 7", "2024-01-02T10:00 1 2 3.4", "1 " * 20_000 + "1.5",
+             "(" * 30_000 + "1", "(a" * 30_000, "😀 9"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    got = rows.select("n", pii.instances(F.col("text"), pii.base_spans(F.col("text"))).alias("i")).collect()
+    found = {r.n: [i.value.lstrip("(") for i in r.i] for r in got}
+    assert found[0] == ["4111 1111 1111 1112", "1.2.3.400", "12-34"] and found[1] == ["+1 (375) 555-43", "a1", "22", "33x", "555.123.4567", "7"]
+    assert found[2] == ["2024-01-02T10:00", "1 2", "3.4"] and found[3] == [("1 " * 20_000)[:-1], "1.5"]
+    assert found[4] == ["1"] and found[5] == [] and found[6] == ["9"]
+    assert all(texts[r.n][i.start:i.stop] == i.value for r in got for i in r.i)
+
+
 def test_a_pattern_around_other_strings_names_nothing(make_docs):
     rows = [(i, f"licence version {i}.0 of a file") for i in range(8)]
     rows += [(10 + i, f"licence version x{i}@host.example of a file") for i in range(4)]
