@@ -33,6 +33,9 @@ NUMBER = "[0-9]++(?:-[0-9]++)*+" + END
 #: else a run that holds a digit or at sign.
 INSTANCE = (r"""(?<!\S)(?:[(\[{<"']*+(?:""" + PATTERNS["phone"] + END + "|" + NUMBER + r"(?:\x20" + NUMBER + ")*+)"
             r"|[^\s0-9@]*+[0-9@]\S*+)")
+#: Marks around an identifier that are no part of it; a run of marks is entered at its first only.
+LEAD = r"""^[(\[{<"']++"""
+TRAIL = r"""(?<![.,;:!?)\]}>"'])[.,;:!?)\]}>"']++\z"""
 #: Code points next to an instance that are searched for its context words; a text is cut into pieces of as many.
 CONTEXT = 100
 
@@ -94,7 +97,9 @@ def instances(text: Column, base: Column) -> Column:
     kind = "array<struct<start:int,stop:int,value:string,seed:string>>"
 
     def make(start, stop, value):
-        return F.struct(start.alias("start"), stop.alias("stop"), value.alias("value"), F.lit(None).cast("string").alias("seed"))
+        first = start + F.length(F.regexp_extract(value, LEAD, 0))
+        core = F.regexp_replace(value, f"{LEAD}|{TRAIL}", "")
+        return F.struct(first.alias("start"), (first + F.length(core)).alias("stop"), core.alias("value"), F.lit(None).cast("string").alias("seed"))
 
     def words(part: Column) -> Column:
         return F.regexp_extract_all(F.lower(part), F.lit(r"\S+"), F.lit(0))

@@ -95,6 +95,14 @@ def test_instances_are_whole_runs(spark):
     assert all(texts[r.n][i.start:i.stop] == i.value for r in got for i in r.i)
 
 
+def test_marks_around_an_identifier_are_no_part_of_it(make_docs):
+    rows = [(k, f"my address (eve{k}@host.example), as such") for k in range(6)] + [(50, "my address (gus@localhost), as such")]
+    rows += [(100 + k, f"please write to ann{k}@host.example, thanks") for k in range(6)] + [(150, "please write to gus@localhost, thanks")]
+    rows += [(200, "1" + "." * 60_000 + "a" + "." * 60_000)]
+    got = {r.doc_id: r.spans for r in pii.personal_data(make_docs(rows)).collect()}
+    assert got[50] == "email:12:25" and got[150] == "email:16:29" and got[200] == ""
+
+
 def test_a_pattern_around_other_strings_names_nothing(make_docs):
     rows = [(i, f"licence version {i}.0 of a file") for i in range(8)]
     rows += [(10 + i, f"licence version x{i}@host.example of a file") for i in range(4)]
