@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from popflow.llm.common import read
+from popflow.llm.conversations import damaged, repair_conversations
 from popflow.llm.decontaminate import contamination
+from popflow.llm.hash_forest import nearest_neighbours
 from popflow.llm.html_extract import main_texts
 from popflow.llm.lines import line_dedup
 from popflow.llm import mixing
 from popflow.llm.piecewise import piecewise_hashes
 from popflow.llm.pii import personal_data
 from popflow.llm.quality import score_quality
+from popflow.llm.runs import looped, periodic_runs, run_digests
 from popflow.llm.simhash import simhash_groups
 from popflow.llm.superkmer import substring_dedup
 from popflow.llm.toxicity import score_toxicity
@@ -64,6 +68,18 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents"), edits=2, least=30)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(looped(read(spark, sf_dir, "documents")), least=24, times=3))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(read(spark, sf_dir, "conversations")))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_quality": op2_quality,
@@ -75,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_piecewise": op9_piecewise,
     "op10_lines": op10_lines,
+    "op11_runs": op11_runs,
+    "op12_conversations": op12_conversations,
+    "op13_neighbours": op13_neighbours,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
