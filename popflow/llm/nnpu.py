@@ -4,6 +4,12 @@ Risk of a scorer z with class prior p, logistic loss l, positives P and
 unlabelled rows U:  p E_P[l(z)] + max(0, E_U[l(-z)] - p E_P[l(-z)]).
 Where the second term falls below zero the step ascends it instead, so that a
 flexible model cannot push the estimate under zero.
+
+The class prior is estimated from positives and unlabelled rows alone: a model
+that tells the two apart scores rows it was not fitted on, and the prior is the
+ratio of the shares of unlabelled and of positive rows above a cut. Above a cut
+that leaves no negatives the ratio is the prior; the cut of the least upper
+confidence bound is taken.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ class Rows:
     """0/1 rows held as the indices of their ones."""
 
     def __init__(self, ones: list[list[int]], dim: int):
+        self.ones = ones
         self.n, self.dim = len(ones), dim
         self.row = np.repeat(np.arange(self.n), [len(x) for x in ones])
         self.ix = np.array([i for x in ones for i in x], np.int64)
@@ -48,21 +55,12 @@ def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, rest))
 
 
-def fit(xp: Rows, xu: Rows, prior: float, *, l2: float = 1e-3, updates: int = 600,
-        lr: float = 0.05) -> LinearModel:
-    """Adam with a cosine rate on the non-negative risk."""
-    theta = np.zeros(xp.dim + 1)
+def _adam(gradient, dim: int, l2: float, updates: int, lr: float) -> LinearModel:
+    """Adam with a cosine rate; ``gradient`` maps weights and bias to theirs."""
+    theta = np.zeros(dim + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, updates + 1):
-        zp, zu = xp.dot(theta[:-1]) + theta[-1], xu.dot(theta[:-1]) + theta[-1]
-        sp, su = sigmoid(zp) / xp.n, sigmoid(zu) / xu.n
-        # d l(-z)/dz = s and d l(z)/dz = s - 1
-        negative = np.append(xu.back(su), su.sum()) - prior * np.append(xp.back(sp), sp.sum())
-        if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
-            pull = sp - 1 / xp.n
-            grad = prior * np.append(xp.back(pull), pull.sum()) + negative
-        else:
-            grad = -negative
+        grad = gradient(theta)
         grad[:-1] += l2 * theta[:-1]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
@@ -71,6 +69,66 @@ def fit(xp: Rows, xu: Rows, prior: float, *, l2: float = 1e-3, updates: int = 60
     return LinearModel(theta[:-1].copy(), float(theta[-1]))
 
 
+def fit(xp: Rows, xu: Rows, prior: float, *, l2: float = 1e-3, updates: int = 600,
+        lr: float = 0.05) -> LinearModel:
+    """Least non-negative risk."""
+    def gradient(theta):
+        zp, zu = xp.dot(theta[:-1]) + theta[-1], xu.dot(theta[:-1]) + theta[-1]
+        sp, su = sigmoid(zp) / xp.n, sigmoid(zu) / xu.n
+        # d l(-z)/dz = s and d l(z)/dz = s - 1
+        negative = np.append(xu.back(su), su.sum()) - prior * np.append(xp.back(sp), sp.sum())
+        if np.logaddexp(0, zu).mean() >= prior * np.logaddexp(0, zp).mean():
+            pull = sp - 1 / xp.n
+            return prior * np.append(xp.back(pull), pull.sum()) + negative
+        return -negative
+
+    return _adam(gradient, xp.dim, l2, updates, lr)
+
+
+def told_apart(xp: Rows, xu: Rows, l2: float, updates: int, lr: float = 0.05) -> LinearModel:
+    """Logistic model of positives against unlabelled rows, both of equal weight."""
+    def gradient(theta):
+        gp = (sigmoid(xp.dot(theta[:-1]) + theta[-1]) - 1) / xp.n
+        gu = sigmoid(xu.dot(theta[:-1]) + theta[-1]) / xu.n
+        return np.append(xp.back(gp), gp.sum()) + np.append(xu.back(gu), gu.sum())
+
+    return _adam(gradient, xp.dim, l2, updates, lr)
+
+
+#: Chance that the confidence bound of a cut fails.
+DOUBT = 0.1
+
+
+def ratio_prior(zp: np.ndarray, zu: np.ndarray) -> float:
+    """Share of positives among unlabelled rows, from scores of both."""
+    cuts = np.unique(zp)
+    above_p = 1 - np.searchsorted(np.sort(zp), cuts, "left") / len(zp)
+    above_u = 1 - np.searchsorted(np.sort(zu), cuts, "left") / len(zu)
+    slack = np.sqrt(np.log(4 / DOUBT) / 2) * (len(zp) ** -0.5 + len(zu) ** -0.5)
+    at = int(np.argmin((above_u + slack) / above_p))
+    return float(min(1.0, above_u[at] / above_p[at]))
+
+
+def class_prior(xp: Rows, xu: Rows, half_p: np.ndarray, half_u: np.ndarray, *, l2: float, updates: int = 300) -> float:
+    """The prior, from scores that a model of the other half of the rows gives.
+
+    ``half_p`` and ``half_u`` deal the rows; a half without either kind has no
+    model, its rows score zero.
+    """
+    zp, zu = np.zeros(xp.n), np.zeros(xu.n)
+
+    def part(x: Rows, on: np.ndarray) -> Rows:
+        return Rows([x.ones[i] for i in np.flatnonzero(on)], x.dim)
+
+    for half in (False, True):
+        fit_p, fit_u = part(xp, half_p != half), part(xu, half_u != half)
+        if fit_p.n and fit_u.n:
+            model = told_apart(fit_p, fit_u, l2, updates)
+            zp[half_p == half] = part(xp, half_p == half).dot(model.weights) + model.bias
+            zu[half_u == half] = part(xu, half_u == half).dot(model.weights) + model.bias
+    return ratio_prior(zp, zu)
+
+
 def best_cut(zp: np.ndarray, zu: np.ndarray, prior: float) -> float:
     """Score cut of least non-negative zero-one risk; the middle of its plateau."""
     cuts = np.unique(np.concatenate([zp, zu]))

@@ -15,28 +15,32 @@ MAX_POSITIVES = 6_000
 MAX_UNLABELLED = 12_000
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int,
-                    held: int) -> tuple[DataFrame, float]:
-    """(doc_id, text, positive) of the sample, and the class prior.
+def _smallest(ids: DataFrame, bound: int) -> DataFrame:
+    """The ``bound`` ids of smallest seeded hash.
 
-    Labels come only from ids outside the held-out fold. The prior is the share
-    of positives among those labelled rows; several labels of one id count as
-    their maximum, null labels and null ids as none.
+    A threshold from the counted ids lets about a tenth more than the bound
+    through, so that the sort sees few rows however many there are.
     """
-    known = (labels.select("doc_id", F.col(label).alias("y"))
-             .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull()
-                    & (fold(F.col("doc_id"), mod) != held))
-             .groupBy("doc_id").agg(F.max("y").alias("y")))
-    prior = known.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
-    order = F.xxhash64(F.lit(17).cast("int"), F.col("doc_id"))
-    positives = (known.where("y = 1").select("doc_id", order.alias("o"))
-                 .orderBy("o", "doc_id").limit(MAX_POSITIVES)
-                 .select("doc_id", F.lit(True).alias("positive")))
-    unlabelled = (docs.select("doc_id").where("doc_id is not null")
-                  .where(fold(F.col("doc_id"), mod) != held)
-                  .select("doc_id", order.alias("o")).distinct()
-                  .orderBy("o", "doc_id").limit(MAX_UNLABELLED)
-                  .select("doc_id", F.lit(False).alias("positive")))
-    ids = positives.unionByName(unlabelled)  # at most the sum of both bounds
+    dealt = ids.select("doc_id", F.xxhash64(F.lit(17).cast("int"), F.col("doc_id")).alias("o"))
+    n = ids.count()
+    if n > bound:
+        below = -(1 << 63) + int((1 << 64) * min(1.0, (1.1 * bound + 100) / n))
+        dealt = dealt.where(F.col("o") < F.lit(min(below, (1 << 63) - 1)))
+    return dealt.distinct().orderBy("o", "doc_id").limit(bound).select("doc_id")
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int) -> DataFrame:
+    """(doc_id, text, positive, half) of the sample.
+
+    Positives are ids outside the held-out fold with a label of 1 among theirs;
+    no other label is read. Unlabelled rows are drawn from all documents outside
+    the fold, the positives among them. ``half`` deals the ids into two.
+    """
+    outside = F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), mod) != held)
+    positives = _smallest(labels.where(outside & (F.col(label) == 1)).select("doc_id").distinct(), MAX_POSITIVES)
+    unlabelled = _smallest(docs.where(outside).select("doc_id"), MAX_UNLABELLED)
+    ids = (positives.withColumn("positive", F.lit(True))
+           .unionByName(unlabelled.withColumn("positive", F.lit(False))))  # at most the sum of both bounds
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    return rows.join(F.broadcast(ids), "doc_id"), float(prior)
+    return rows.join(F.broadcast(ids), "doc_id").withColumn(
+        "half", F.pmod(F.xxhash64(F.lit(5), F.col("doc_id")), F.lit(2)) == 0)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popflow.llm import nnpu
-from popflow.llm.common import fold, staged, text_or_empty
+from popflow.llm.common import fold, text_or_empty
 from popflow.llm.pu_sample import training_sample
 
 SPACE = re.compile(r"[ \t-\r]+")
@@ -61,14 +61,14 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-SAMPLED = pa.schema([("positive", pa.bool_()), ("x", pa.list_(pa.float64()))])
+SAMPLED = pa.schema([("positive", pa.bool_()), ("half", pa.bool_()), ("x", pa.list_(pa.float64()))])
 SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
 def _sampled(batches):
     for batch in batches:
         x = [list(map(float, statistics(t))) for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_pydict({"positive": batch["positive"], "x": x}, schema=SAMPLED)
+        yield pa.RecordBatch.from_pydict({"positive": batch["positive"], "half": batch["half"], "x": x}, schema=SAMPLED)
 
 
 def encode(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -77,19 +77,28 @@ def encode(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.stack([j * bins + np.searchsorted(cuts[j], x[:, j], "left") for j in range(x.shape[1])], axis=1)
 
 
+#: Weight of the squared weights in both fits.
+L2 = 2e-4
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2):
-    """(cuts, model), or a constant model where either class is missing."""
-    sample, prior = training_sample(docs, labels, "quality", mod, held)
-    rows = staged(sample.mapInArrow(_sampled, "positive boolean, x array<double>"), "quality-sample")
-    got = rows.orderBy("positive", "x").collect()  # bounded by the sample
-    xp = np.array([r["x"] for r in got if r["positive"]], float).reshape(-1, len(STATISTICS))
-    xu = np.array([r["x"] for r in got if not r["positive"]], float).reshape(-1, len(STATISTICS))
-    if not len(xp) or not len(xu) or not 0 < prior < 1:
-        return None, nnpu.LinearModel(np.empty(0), -30.0 if prior < 0.5 else 30.0)
+    """(cuts, model); no usable positives give no cuts and a model that scores 0."""
+    sample = training_sample(docs, labels, "quality", mod, held)
+    got = sample.mapInArrow(_sampled, "positive boolean, half boolean, x array<double>").collect()
+    # Bounded by the sample; ordered here, so that sums do not depend on the tasks.
+    got.sort(key=lambda r: (r["x"], r["half"]))
+    xp, xu = (np.array([r["x"] for r in got if r["positive"] == kind], float).reshape(-1, len(STATISTICS))
+              for kind in (True, False))
+    half_p, half_u = (np.array([r["half"] for r in got if r["positive"] == kind]) for kind in (True, False))
+    if not len(xp) or not len(xu):
+        return None, nnpu.LinearModel(np.empty(0), -30.0)
     cuts = np.quantile(xu, QUANTILES, axis=0).T
     dim = len(STATISTICS) * (len(QUANTILES) + 1)
     xp, xu = (nnpu.Rows(encode(x, cuts).tolist(), dim) for x in (xp, xu))
-    return cuts, nnpu.calibrated(nnpu.fit(xp, xu, prior, l2=2e-4), xp, xu, prior, 0.7)
+    prior = nnpu.class_prior(xp, xu, half_p, half_u, l2=L2)
+    if not 0 < prior < 1:
+        return None, nnpu.LinearModel(np.empty(0), -30.0 if prior < 0.5 else 30.0)
+    return cuts, nnpu.calibrated(nnpu.fit(xp, xu, prior, l2=L2), xp, xu, prior, 0.7)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2,
@@ -97,8 +106,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int =
     """One row per document: doc_id, held_out, score, predicted.
 
     Null and empty texts are scored as texts without words; repeated rows score
-    alike; other columns are ignored. Empty tables give no rows, and without
-    positive labels every score is 0.
+    alike; other columns are ignored. Only labels of 1 are read; the class prior
+    is estimated from them and the unlabelled texts. Empty tables give no rows,
+    without positive labels every score is 0, and 1 where nothing tells the
+    unlabelled texts from the positives.
     """
     cuts, model = fit_quality(docs, labels, mod, held)
 

@@ -42,7 +42,7 @@ def features(text: str) -> set[str]:
 
 COUNTED = pa.schema([("token", pa.string()), ("p", pa.int64()), ("u", pa.int64())])
 SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-VECTORS = pa.schema([("positive", pa.bool_()), ("ix", pa.list_(pa.int32()))])
+VECTORS = pa.schema([("positive", pa.bool_()), ("half", pa.bool_()), ("ix", pa.list_(pa.int32()))])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,19 +67,23 @@ def _vectors(vocabulary: dict[str, int]):
     def run(batches):
         for batch in batches:
             found = [sorted(vocabulary[t] for t in features(x) & vocabulary.keys()) for x in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"positive": batch["positive"], "ix": found}, schema=VECTORS)
+            yield pa.RecordBatch.from_pydict({"positive": batch["positive"], "half": batch["half"], "ix": found},
+                                             schema=VECTORS)
     return run
 
 
+#: Weight of the squared weights in both fits.
+L2 = 3e-3
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5,
                  held: int = 0) -> tuple[dict[str, float], float]:
-    """Token weights and bias; no usable positives give no weights and the prior."""
-    sample, prior = training_sample(docs, labels, "toxic", mod, held)
-    sample = staged(sample, "toxic-sample")
+    """Token weights and bias; no usable positives give no weights and a bias that rejects nothing."""
+    sample = staged(training_sample(docs, labels, "toxic", mod, held), "toxic-sample")
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
-    if not n_p or not n_u or not 0 < prior < 1:
-        return {}, (-30.0 if prior < 0.5 else 30.0)
+    if not n_p or not n_u:
+        return {}, -30.0
     counts = sample.mapInArrow(_count, "token string, p long, u long").groupBy("token").agg(
         F.sum("p").alias("p"), F.sum("u").alias("u"))
     share = (F.col("p") + F.col("u")) / F.lit(float(n_p + n_u))
@@ -88,13 +92,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5,
               .withColumn("z", F.abs(z)).where(F.col("z") >= MIN_Z)
               .orderBy(F.desc("z"), "token").limit(MAX_FEATURES).collect()]
     if not chosen:
-        return {}, float(np.log(prior / (1 - prior)))
+        return {}, -30.0
     vocabulary = {t: i for i, t in enumerate(chosen)}
-    rows = sample.mapInArrow(_vectors(vocabulary), "positive boolean, ix array<int>")
-    got = rows.orderBy("positive", "ix").collect()  # bounded by the sample and the model size
-    xp = nnpu.Rows([r["ix"] for r in got if r["positive"]], len(chosen))
-    xu = nnpu.Rows([r["ix"] for r in got if not r["positive"]], len(chosen))
-    model = nnpu.calibrated(nnpu.fit(xp, xu, prior, l2=3e-3), xp, xu, prior, 0.5)
+    got = sample.mapInArrow(_vectors(vocabulary), "positive boolean, half boolean, ix array<int>").collect()
+    # Bounded by the sample and the model size; ordered here, so that sums do not depend on the tasks.
+    got.sort(key=lambda r: (r["ix"], r["half"]))
+    xp, xu = (nnpu.Rows([r["ix"] for r in got if r["positive"] == kind], len(chosen)) for kind in (True, False))
+    half_p, half_u = (np.array([r["half"] for r in got if r["positive"] == kind]) for kind in (True, False))
+    prior = nnpu.class_prior(xp, xu, half_p, half_u, l2=L2)
+    if not 0 < prior < 1:
+        return {}, (-30.0 if prior < 0.5 else 30.0)
+    model = nnpu.calibrated(nnpu.fit(xp, xu, prior, l2=L2), xp, xu, prior, 0.5)
     return dict(zip(chosen, model.weights.tolist())), model.bias
 
 
@@ -117,8 +125,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int =
     """One row per document: doc_id, held_out, score, predicted.
 
     Null and empty texts are scored as texts without words. Repeated rows score
-    alike; other columns of either table are ignored. Empty tables give no rows,
-    and without positives every score is 0 (or 1 if all labels are positive).
+    alike; other columns of either table are ignored. Only labels of 1 are read;
+    the class prior is estimated from them and the unlabelled texts. Empty tables
+    give no rows. Without positives, or where no word tells them from unlabelled
+    text, every score is 0.
     """
     weights, bias = fit_toxicity(docs, labels, mod, held)
     return (docs.select("doc_id", text_or_empty().alias("text"))
