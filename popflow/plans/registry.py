@@ -301,6 +301,18 @@ def _stream_current(spark, d, name, width=None, shuffled=False):
     return out
 
 
+def q_stream_from_latest(spark, d):
+    """A leaderboard that starts at the latest offset of an event log: a third of the
+    events are older, a third arrive while it runs, a third while it is stopped."""
+    from popflow.streaming.replay import follow_log
+
+    ge = _ge(spark, d)
+    store = follow_log(*(ge.where(F.col("event_id") % 3 == i) for i in range(3)), names=["leaderboard"])
+    out = _as_stored(store.read_table("leaderboard", "current"), "leaderboard").checkpoint(eager=True)
+    store.drop_namespace()
+    return out
+
+
 def q_null_report(spark, d):
     return quality.null_report(read_table_file(spark, d, "events"))
 
@@ -383,6 +395,8 @@ QUERIES: dict[str, Query] = {
     "stream_color_performance_6h": lambda s, d: _stream_current(s, d, "color_performance_trends", PAGE_WIDTH),
     # the events dealt at random: every micro-batch holds late ones
     "stream_late_events": lambda s, d: _stream_current(s, d, "realtime_scores", PAGE_WIDTH, shuffled=True),
+    # a subscriber at "latest" of an event log, stopped and started again
+    "stream_from_latest": q_stream_from_latest,
 }
 
 
@@ -595,6 +609,7 @@ SELECT unnest(['leaderboard','leaderboard','leaderboard','leaderboard','balloon_
     "stream_color_stats": _with(GE, CS) + "SELECT * FROM cs",
     "stream_realtime_scores_6h": _with(GE, RS(W6)) + "SELECT * FROM rs",
     "stream_late_events": _with(GE, RS(W6)) + "SELECT * FROM rs",
+    "stream_from_latest": _with(GE, LB.replace("FROM ge", "FROM ge WHERE event_id % 3 > 0")) + "SELECT * FROM lb",
     "stream_color_performance_6h": _with(GE, CPT(W6)) + """
 SELECT balloon_color, CAST(avg_score_per_pop AS DECIMAL(28,10)) AS avg_score_per_pop, total_pops, window_start, window_end
 FROM cpt""",

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from popflow.config import DEFAULT_CONFIG, GameConfig
 from popflow.schemas import EVENT_SCHEMA, SOURCE_SCHEMAS
+from popflow.sources.eventlog import append_log, stream_log
 
 # ISO-8601 with microseconds and a zone suffix ("Z" for UTC). The default
 # JSON timestamp format keeps milliseconds only.
@@ -167,8 +168,10 @@ class StreamConfig:
     """Where the event stream lives.
 
     ``format="kafka"`` needs the Kafka connector on the classpath;
-    ``format="json"`` reads newline-delimited JSON files from ``path``
-    (used offline and in tests).
+    ``format="log"`` reads the partitioned event log in the folder ``path``,
+    with offsets, from ``starting_offsets`` on (``start_file`` keeps what
+    "latest" meant at the first start; ``partitions`` are a producer's);
+    ``format="json"`` reads newline-delimited JSON files from ``path``.
     """
 
     format: str = "kafka"
@@ -178,11 +181,13 @@ class StreamConfig:
     path: str | None = None
     max_files_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None
+    start_file: str | None = None
+    partitions: int = 4
 
 
 def read_raw_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
-    """The undecoded payloads (``value`` column), from Kafka or a JSON
-    directory."""
+    """The undecoded payloads (``value`` column), from Kafka, an event log or a
+    JSON directory."""
     if cfg.format == "kafka":
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
@@ -196,16 +201,18 @@ def read_raw_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
         if cfg.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
         return reader.load(cfg.path)
+    if cfg.format == "log":
+        return stream_log(spark, cfg.path, cfg.starting_offsets, cfg.start_file)
     raise ValueError(f"unsupported stream format {cfg.format!r}")
 
 
 def read_events_stream(spark: SparkSession, cfg: StreamConfig) -> Decoded:
-    """Typed event stream (plus rejects), from Kafka or a JSON directory."""
+    """Typed event stream (plus rejects), from any of the stream formats."""
     return decode_events(read_raw_stream(spark, cfg), "value")
 
 
 def write_events(df: DataFrame, cfg: StreamConfig, mode: str = "append") -> None:
-    """Publish events (batch DataFrame) to Kafka or as JSON text files."""
+    """Publish events (batch DataFrame) to Kafka, to an event log or as JSON text files."""
     enc = encode_events(df)
     if cfg.format == "kafka":
         (enc.write.format("kafka")
@@ -213,5 +220,7 @@ def write_events(df: DataFrame, cfg: StreamConfig, mode: str = "append") -> None
          .option("topic", cfg.topic).save())
     elif cfg.format == "json":
         enc.select("value").write.mode(mode).text(cfg.path)
+    elif cfg.format == "log":
+        append_log(enc, cfg.path, cfg.partitions)
     else:
         raise ValueError(f"unsupported stream format {cfg.format!r}")

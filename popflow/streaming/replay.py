@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from popflow.functions.expressions import utc_instant
 from popflow.session import shared_dir
 from popflow.sources.events import StreamConfig, encode_events, read_events_stream
-from popflow.sources.events import read_raw_stream
+from popflow.sources.events import read_raw_stream, write_events
 from popflow.sources.tables import TableStore
 from popflow.streaming.pipeline import await_all, start_rejects, start_views
 
@@ -29,6 +29,14 @@ EVENTS_PER_FILE = 500_000
 SLICES = 4
 
 
+def _wire_events(events: DataFrame) -> DataFrame:
+    """The event columns with instants; zone-less event times are UTC wall clock."""
+    ts = F.col("event_ts")
+    if dict(events.dtypes)["event_ts"] == "timestamp_ntz":
+        ts = utc_instant(ts)
+    return events.select(*[c for c in EVENT_COLUMNS if c != "event_ts"], ts.alias("event_ts"))
+
+
 def stage_events(events: DataFrame, n_files: int | None = None, base: str | None = None,
                  shuffled: bool = False) -> str:
     """Write ``events`` as JSON-line files in event-time order; returns the
@@ -38,10 +46,7 @@ def stage_events(events: DataFrame, n_files: int | None = None, base: str | None
     deals the events by a hash instead, so later files hold late events."""
     spark = events.sparkSession
     base = (base or shared_dir(spark, "replay")).rstrip("/") + f"/{uuid.uuid4().hex[:12]}"
-    ts = F.col("event_ts")
-    if dict(events.dtypes)["event_ts"] == "timestamp_ntz":
-        ts = utc_instant(ts)    # zone-less event times are UTC wall clock
-    ev = events.select(*[c for c in EVENT_COLUMNS if c != "event_ts"], ts.alias("event_ts"))
+    ev = _wire_events(events)
     if n_files is None:
         n_files = SLICES * max(1, -(-events.count() // (SLICES * EVENTS_PER_FILE)))
     dealt = (ev.repartition(n_files, F.xxhash64(*ev.columns)) if shuffled
@@ -109,3 +114,39 @@ def replay_events(events: DataFrame, names=None, n_files: int | None = None,
     """Stage ``events`` as JSON files and drain them through the views."""
     return drain(events.sparkSession, stage_events(events, n_files, base, shuffled), names, width,
                  compact_every)
+
+
+def follow_log(before: DataFrame, live: DataFrame, missed: DataFrame, names, base: str | None = None,
+               partitions: int = 4, width: str | None = None) -> TableStore:
+    """Views started at the latest offset of an event log, stopped and started again.
+
+    ``before`` is in the log already when the queries first start, ``live``
+    arrives while they run, ``missed`` while they are stopped; then they are
+    started again from their checkpoints until nothing is left. The tables hold
+    what a subscriber at "latest" sees: ``live`` and ``missed``.
+    """
+    spark = live.sparkSession
+    base = (base or shared_dir(spark, "follow")).rstrip("/") + f"/{uuid.uuid4().hex[:12]}"
+    cfg = StreamConfig(format="log", path=f"{base}/log", starting_offsets="latest",
+                       start_file=f"{base}/checkpoints/start.json", partitions=partitions)
+    store = TableStore(spark, f"follow_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
+    state = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    kwargs = {"width": width} if width else {}
+
+    def run(while_running: DataFrame | None) -> None:
+        queries = start_views(read_events_stream(spark, cfg).events, store, f"{base}/checkpoints", names,
+                              compact_every=None, state_partitions=state, **kwargs)
+        try:
+            if while_running is not None:
+                write_events(_wire_events(while_running), cfg)
+            for query in queries.values():
+                query.processAllAvailable()
+        finally:
+            for query in queries.values():
+                query.stop()
+
+    write_events(_wire_events(before), cfg)
+    run(live)
+    write_events(_wire_events(missed), cfg)
+    run(None)
+    return store
