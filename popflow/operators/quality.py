@@ -69,6 +69,34 @@ def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return counts.unpivot([], cols, "column_name", "null_count")
 
 
+# -- measured by the sink ------------------------------------------------------
+# The same three checks from what the changelog sink recorded of each batch
+# (``TableStore.commits``): one small row per batch instead of the tables' data.
+
+def measured_counts(commits: Mapping[str, DataFrame]) -> DataFrame:
+    """``table_name, row_count`` of changelog tables."""
+    parts = [log.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("row_count"))
+             .select(F.lit(name).alias("table_name"), "row_count") for name, log in commits.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def measured_freshness(commits: Mapping[str, DataFrame], now=None) -> DataFrame:
+    """``table_name, latest_ts, age_seconds`` of changelog tables."""
+    return freshness({name: (log, "max_ts") for name, log in commits.items()}, now)
+
+
+def measured_nulls(commits: Mapping[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
+    """``table_name, column_name, null_count`` of the required columns of
+    changelog tables (zero where the sink sets incomplete rows aside)."""
+    parts = []
+    for name, (log, schema) in commits.items():
+        for field in schema:
+            if not field.nullable:
+                parts.append(log.agg(F.coalesce(F.sum(F.col("nulls")[field.name]), F.lit(0).cast("long")).alias("null_count"))
+                             .select(F.lit(name).alias("table_name"), F.lit(field.name).alias("column_name"), "null_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def schema_diff(df: DataFrame, expected: T.StructType | DataFrame) -> list[dict]:
     """Columns whose presence or type differs between ``df`` and ``expected``
     (by name). Empty list = schemas match. Driver-side metadata only."""

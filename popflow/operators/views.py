@@ -16,7 +16,7 @@ to a projection (no Expand).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popflow.config import DEFAULT_WINDOW
@@ -86,6 +86,69 @@ def color_performance(events: DataFrame, width: str = DEFAULT_WINDOW,
             .select("balloon_color", "avg_score_per_pop", "total_pops", *_window_cols()))
 
 
+#: Keys of the fanned-out aggregate; a view without one of them leaves it null.
+FAN_KEYS = ("view", "player", "balloon_color", "window_start")
+#: The key columns each view uses.
+FAN_USES = {
+    "leaderboard": ("player",),
+    "balloon_color_stats": ("player", "balloon_color"),
+    "realtime_scores": ("player", "window_start"),
+    "balloon_colored_pops": ("player", "balloon_color", "window_start"),
+    "color_performance_trends": ("balloon_color", "window_start"),
+}
+
+
+def window_start_of(ts: str, width: str, ts_type: str) -> Column:
+    """Start of the tumbling window that holds a time; NULL for NULL."""
+    from popflow.operators.performance import interval_micros
+
+    us = interval_micros(width)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    if ts_type == "timestamp":
+        return F.timestamp_micros(F.floor(F.unix_micros(ts) / F.lit(us)).cast("long") * us)
+    steps = F.floor(F.timestamp_diff("MICROSECOND", epoch, F.col(ts)) / F.lit(us)).cast("long")
+    return F.timestamp_add("MICROSECOND", steps * us, epoch)
+
+
+def fan_out(events: DataFrame, width: str = DEFAULT_WINDOW, names=None) -> DataFrame:
+    """All the views as one aggregate, from one read of the events.
+
+    Each event becomes one row per view, tagged with the view and the keys that
+    view groups by, and one hash aggregate over (view, keys) maintains the sums
+    that every view is made of. Rows are five times the events only up to the
+    map-side partial aggregate. As in the views themselves, an event without a
+    time counts in the views without windows.
+    """
+    start = window_start_of("event_ts", width, dict(events.dtypes)["event_ts"])
+    kinds = {"player": "player", "balloon_color": "balloon_color", "window_start": "_start"}
+    tags = F.array(*[
+        F.struct(F.lit(name).alias("view"), *[
+            (F.col(kinds[key]) if key in FAN_USES[name] else F.lit(None).cast(dict(events.dtypes).get(key, dict(events.dtypes)["event_ts"])))
+            .alias(key) for key in FAN_KEYS[1:]]) for name in names or FAN_USES])
+    windowed = [n for n in names or FAN_USES if "window_start" in FAN_USES[n]]
+    tagged = events.withColumn("_start", start).withColumn("_tag", F.explode(
+        F.filter(tags, lambda t: ~t["view"].isin(*windowed) | t["window_start"].isNotNull())))
+    return (tagged.select("_tag.*", "score", "favorite_color_bonus", "event_ts").groupBy(*FAN_KEYS).agg(
+        F.count(F.lit(1)).alias("pops"), F.count("score").alias("scored"), F.sum("score").alias("points"),
+        count_true("favorite_color_bonus").alias("bonus_hits"), F.max("event_ts").alias("event_ts")))
+
+
+def from_fan(name: str, fanned: DataFrame, width: str = DEFAULT_WINDOW) -> DataFrame:
+    """One view's rows out of the fanned-out aggregate, with the view's columns."""
+    window = [F.col("window_start"), (F.col("window_start") + F.expr(f"INTERVAL {width}")).alias("window_end")]
+    columns = {
+        "leaderboard": ["player", F.col("points").alias("total_score"), "bonus_hits", "event_ts"],
+        "balloon_color_stats": ["player", "balloon_color", F.col("pops").alias("balloon_pops"),
+                                F.col("points").alias("points_by_color"), "bonus_hits", "event_ts"],
+        "realtime_scores": ["player", F.col("points").alias("total_score"), *window],
+        "balloon_colored_pops": ["player", "balloon_color", F.col("pops").alias("balloon_pops"),
+                                 F.col("points").alias("points_by_color"), "bonus_hits", *window],
+        "color_performance_trends": ["balloon_color", (F.col("points") / F.col("scored")).alias("avg_score_per_pop"),
+                                     F.col("pops").alias("total_pops"), *window],
+    }[name]
+    return fanned.where(F.col("view") == name).select(*columns)
+
+
 def events_for_windows(events: DataFrame, width: str = DEFAULT_WINDOW, start=None,
                        end=None, after=None) -> DataFrame:
     """Restrict events to those that can fall in a window whose start lies in

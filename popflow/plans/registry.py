@@ -148,16 +148,26 @@ def _stored_events(spark, d):
 def _stored(spark, d, names=None, width=PAGE_WIDTH) -> TableStore:
     """The views written to their changelog tables through the sink: batch 0
     from the events with an even id, batch 1 from all of them."""
+    from popflow.streaming.fanout import fanout_writer
+
     store = _fresh_store(spark, "stored")
+    names = list(names or views.VIEWS)
     store.create_view_tables(names)
+    write = fanout_writer(store, names, width, None)
     ev = _stored_events(spark, d)
-    for name in names or list(views.VIEWS):
-        view = views.VIEWS[name]
-        for batch, part in enumerate((ev.where("event_id % 2 = 0"), ev)):
-            store.write_batch(name, view(part, width) if name not in ("leaderboard", "balloon_color_stats") else view(part), batch)
+    for batch, part in enumerate((ev.where("event_id % 2 = 0"), ev)):
+        write(views.fan_out(part, width, names), batch)
     return store
 
 
+def _kept(df, store: TableStore):
+    """A result that outlives its tables: kept in the shared checkpoint folder,
+    then the tables are dropped."""
+    out = df.checkpoint(eager=True)
+    store.drop_namespace()
+    return out
+
+
 def _as_stored(df, name):
     """Columns of a stored table with zone-less times, as the views have them."""
     return df.select(*[utc_wall_clock(f.name).alias(f.name) if f.name in ("event_ts", "window_start", "window_end")
@@ -165,47 +175,45 @@ def _as_stored(df, name):
 
 
 def q_current_leaderboard(spark, d):
-    return _as_stored(_stored(spark, d, ["leaderboard"]).read_table("leaderboard"), "leaderboard")
+    store = _stored(spark, d, ["leaderboard"])
+    return _kept(_as_stored(store.read_table("leaderboard"), "leaderboard"), store)
 
 
 def q_as_of_leaderboard(spark, d):
     store = _stored(spark, d, ["leaderboard"])
-    return _as_stored(store.read_table("leaderboard", as_of_batch=0), "leaderboard")
+    return _kept(_as_stored(store.read_table("leaderboard", as_of_batch=0), "leaderboard"), store)
 
 
 def q_commit_log(spark, d):
-    log = _stored(spark, d, ["leaderboard"]).commit_log("leaderboard")
-    return log.select("table_name", "batch_id", "rows", utc_wall_clock("min_ts").alias("min_ts"),
-                      utc_wall_clock("max_ts").alias("max_ts"))
+    store = _stored(spark, d, ["leaderboard"])
+    log = store.commit_log("leaderboard")
+    return _kept(log.select("table_name", "batch_id", "rows", utc_wall_clock("min_ts").alias("min_ts"),
+                            utc_wall_clock("max_ts").alias("max_ts")), store)
 
 
 def q_stored_counts(spark, d):
+    """Rows of the whole changelog tables, from what the sink measured."""
     store = _stored(spark, d)
-    return quality.table_counts({n: store.table(n).where("batch_id = 1") for n in views.VIEWS})
+    return _kept(quality.measured_counts({n: store.commits(n) for n in views.VIEWS}), store)
 
 
 def q_stored_reconcile(spark, d):
     store = _stored(spark, d, ["balloon_color_stats"])
     view = views.color_stats(_stored_events(spark, d))
-    return quality.reconcile(view, store.read_table("balloon_color_stats"), ["player", "balloon_color"],
-                             ["balloon_pops", "points_by_color", "bonus_hits", "event_ts"])
+    return _kept(quality.reconcile(view, store.read_table("balloon_color_stats"), ["player", "balloon_color"],
+                                   ["balloon_pops", "points_by_color", "bonus_hits", "event_ts"]), store)
 
 
 def q_stored_freshness(spark, d):
-    store = _stored(spark, d, ["leaderboard", "balloon_color_stats"])
-    out = quality.freshness({n: (store.table(n), "event_ts") for n in ("leaderboard", "balloon_color_stats")},
-                            now=FRESHNESS_NOW)
-    return out.withColumn("latest_ts", utc_wall_clock("latest_ts"))
+    names = ["leaderboard", "balloon_color_stats"]
+    store = _stored(spark, d, names)
+    out = quality.measured_freshness({n: store.commits(n) for n in names}, now=FRESHNESS_NOW)
+    return _kept(out.withColumn("latest_ts", utc_wall_clock("latest_ts")), store)
 
 
 def q_stored_required_nulls(spark, d):
     store = _stored(spark, d)
-    parts = [quality.required_violations(store.table(n), TABLE_SCHEMAS[n]).withColumn("table_name", F.lit(n))
-             for n in views.VIEWS]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("table_name", "column_name", "null_count")
+    return _kept(quality.measured_nulls({n: (store.commits(n), TABLE_SCHEMAS[n]) for n in views.VIEWS}), store)
 
 
 def _clicks_table(spark, d):
@@ -221,13 +229,13 @@ def _clicks_table(spark, d):
 def q_lifecycle_append(spark, d):
     store, _ = _clicks_table(spark, d)
     store.add_column("clicks", "note", "STRING", "added later")
-    return store.table("clicks")
+    return _kept(store.table("clicks"), store)
 
 
 def q_lifecycle_overwrite(spark, d):
     store, ev = _clicks_table(spark, d)
     store.overwrite(ev.where("event_type = 'click'"), "clicks")
-    return store.table("clicks")
+    return _kept(store.table("clicks"), store)
 
 
 def q_score_pops(spark, d):
@@ -295,10 +303,7 @@ def _stream_current(spark, d, name, width=None, shuffled=False):
     from popflow.streaming.replay import replay_events
 
     store = replay_events(_ge(spark, d), names=[name], width=width, shuffled=shuffled)
-    # The result outlives the replay's tables: keep it in the shared checkpoint folder.
-    out = _as_stored(store.read_table(name, "current"), name).checkpoint(eager=True)
-    store.drop_namespace()
-    return out
+    return _kept(_as_stored(store.read_table(name, "current"), name), store)
 
 
 def q_stream_from_latest(spark, d):
@@ -308,9 +313,30 @@ def q_stream_from_latest(spark, d):
 
     ge = _ge(spark, d)
     store = follow_log(*(ge.where(F.col("event_id") % 3 == i) for i in range(3)), names=["leaderboard"])
-    out = _as_stored(store.read_table("leaderboard", "current"), "leaderboard").checkpoint(eager=True)
-    store.drop_namespace()
-    return out
+    return _kept(_as_stored(store.read_table("leaderboard", "current"), "leaderboard"), store)
+
+
+def q_stream_one_read(spark, d):
+    """All five tables as one query maintains them that reads every event once:
+    the rows of each table, tagged with its name (points, pops and bonus hits
+    where the table has them)."""
+    from popflow.streaming.replay import drain, stage_events
+
+    store = drain(spark, stage_events(_ge(spark, d)), width=PAGE_WIDTH, one_read=True)
+    parts = []
+    for name in views.VIEWS:
+        table = _as_stored(store.read_table(name, "current"), name)
+        have = {c: c for c in table.columns} | {c: c2 for c2, c in (
+            ("total_score", "points"), ("points_by_color", "points"), ("balloon_pops", "pops"), ("total_pops", "pops"))
+            if c2 in table.columns}
+        kinds = {"player": "string", "balloon_color": "string", "window_start": "timestamp_ntz", "points": "bigint",
+                 "pops": "bigint", "bonus_hits": "bigint", "avg_score_per_pop": "double", "event_ts": "timestamp_ntz"}
+        parts.append(table.select(F.lit(name).alias("table_name"), *[
+            (F.col(have[c]) if c in have else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return _kept(out, store)
 
 
 def q_null_report(spark, d):
@@ -397,6 +423,8 @@ QUERIES: dict[str, Query] = {
     "stream_late_events": lambda s, d: _stream_current(s, d, "realtime_scores", PAGE_WIDTH, shuffled=True),
     # a subscriber at "latest" of an event log, stopped and started again
     "stream_from_latest": q_stream_from_latest,
+    # five tables from one query and one read of the source
+    "stream_one_read": q_stream_one_read,
 }
 
 
@@ -585,12 +613,12 @@ SELECT balloon_color, count(*) AS "count" FROM cp GROUP BY balloon_color""",
                         "a AS (SELECT player, max(event_ts) AS t FROM ge GROUP BY player)") + """
 SELECT 'leaderboard' AS table_name, CAST(0 AS BIGINT) AS batch_id, count(*) AS "rows", min(t) AS min_ts, max(t) AS max_ts FROM h
 UNION ALL SELECT 'leaderboard', 1, count(*), min(t), max(t) FROM a""",
-    "stored_counts": _with(GE, LB, CS, RS(W6), CP(W6), CPT(W6)) + """
-SELECT 'leaderboard' AS table_name, count(*) AS row_count FROM lb
-UNION ALL SELECT 'balloon_color_stats', count(*) FROM cs
-UNION ALL SELECT 'realtime_scores', count(*) FROM rs
-UNION ALL SELECT 'balloon_colored_pops', count(*) FROM cp
-UNION ALL SELECT 'color_performance_trends', count(*) FROM cpt""",
+    "stored_counts": _with(GE, f"gw AS (SELECT *, {_bucket(W6)} AS w, event_id % 2 = 0 AS even FROM ge)") + "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM gw)) +
+  (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM gw WHERE even)) AS row_count"""
+        for name, keys in (("leaderboard", "player"), ("balloon_color_stats", "player, balloon_color"),
+                           ("realtime_scores", "player, w"), ("balloon_colored_pops", "player, balloon_color, w"),
+                           ("color_performance_trends", "balloon_color, w"))),
     "stored_reconcile": _with(GE, CS) + """
 SELECT count(*) AS view_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS extra_keys,
        CAST(0 AS BIGINT) AS mismatched_rows FROM cs""",
@@ -609,6 +637,14 @@ SELECT unnest(['leaderboard','leaderboard','leaderboard','leaderboard','balloon_
     "stream_color_stats": _with(GE, CS) + "SELECT * FROM cs",
     "stream_realtime_scores_6h": _with(GE, RS(W6)) + "SELECT * FROM rs",
     "stream_late_events": _with(GE, RS(W6)) + "SELECT * FROM rs",
+    "stream_one_read": _with(GE, LB, CS, RS(W6), CP(W6), CPT(W6)) + """
+SELECT 'leaderboard' AS table_name, player, CAST(NULL AS VARCHAR) AS balloon_color, CAST(NULL AS TIMESTAMP) AS window_start,
+       total_score AS points, CAST(NULL AS BIGINT) AS pops, bonus_hits, CAST(NULL AS DOUBLE) AS avg_score_per_pop, event_ts FROM lb
+UNION ALL SELECT 'balloon_color_stats', player, balloon_color, NULL, points_by_color, balloon_pops, bonus_hits, NULL, event_ts FROM cs
+UNION ALL SELECT 'realtime_scores', player, NULL, window_start, total_score, NULL, NULL, NULL, NULL FROM rs
+UNION ALL SELECT 'balloon_colored_pops', player, balloon_color, window_start, points_by_color, balloon_pops, bonus_hits, NULL, NULL FROM cp
+UNION ALL SELECT 'color_performance_trends', NULL, balloon_color, window_start, NULL, total_pops, NULL,
+       CAST(CAST(avg_score_per_pop AS DECIMAL(28,10)) AS DOUBLE), NULL FROM cpt""",
     "stream_from_latest": _with(GE, LB.replace("FROM ge", "FROM ge WHERE event_id % 3 > 0")) + "SELECT * FROM lb",
     "stream_color_performance_6h": _with(GE, CPT(W6)) + """
 SELECT balloon_color, CAST(avg_score_per_pop AS DECIMAL(28,10)) AS avg_score_per_pop, total_pops, window_start, window_end

@@ -21,6 +21,7 @@ classpath) the DDL uses hidden ``days()``/``hours()`` transforms instead.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -37,6 +38,12 @@ from popflow.operators.views import to_table_types
 from popflow.schemas import TABLE_KEYS, TABLE_SCHEMAS
 from popflow.sources.events import sql_string
 
+#: What the sink records of each batch, beside the batch id.
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("rows", T.LongType()), T.StructField("rejected", T.LongType()),
+    T.StructField("min_ts", T.TimestampType()), T.StructField("max_ts", T.TimestampType()),
+    T.StructField("nulls", T.MapType(T.StringType(), T.LongType())), T.StructField("batch_id", T.LongType())])
+
 # Target rows per written file of a changelog partition (a few tens of MB of
 # Parquet for these narrow rows).
 ROWS_PER_FILE = 2_000_000
@@ -268,8 +275,31 @@ class TableStore:
                                 *[F.col(c) for c in dyn], salt)
                 .sortWithinPartitions(*[F.col(c) for c in dyn], *self._sort_order(name)))
 
-    def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
-        """Idempotently store one micro-batch of view updates."""
+    def commits_table(self, name: str) -> str:
+        return f"{name}_commits"
+
+    def _commit(self, name: str, batch_id: int, rows: int, rejected: int, min_us: int | None,
+                max_us: int | None, nulls: dict[str, int]) -> None:
+        """Record what was measured of a stored batch, in that batch's own partition."""
+        if not self.exists(self.commits_table(name)):
+            self.create_table(self.commits_table(name), COMMIT_SCHEMA, ["batch_id"])
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.qualified(self.commits_table(name))} PARTITION (batch_id={int(batch_id)}) "
+            "SELECT :rows, :rejected, timestamp_micros(:min_us), timestamp_micros(:max_us), "
+            "from_json(:nulls, 'map<string,bigint>')",
+            args={"rows": rows, "rejected": rejected, "min_us": min_us, "max_us": max_us, "nulls": json.dumps(nulls)})
+
+    def commits(self, name: str) -> DataFrame:
+        """One row per stored batch: rows, rejected, min_ts, max_ts (of the table's
+        time column), nulls per column, batch_id. Written with the batch; reading
+        it reads no data file."""
+        return self.table(self.commits_table(name))
+
+    def write_batch(self, name: str, df: DataFrame, batch_id: int, persist: bool = True) -> None:
+        """Idempotently store one micro-batch of view updates, and what it measured.
+
+        ``persist=False`` for a batch that the caller has persisted already.
+        """
         out = self.prepare_batch(name, df, batch_id)
         if self.fmt == "iceberg":
             # Iceberg clusters by partition itself ('write.distribution-mode').
@@ -278,19 +308,23 @@ class TableStore:
             return
         spark = df.sparkSession
         # The batch is used by two actions (sizing, write): compute it once.
-        cached = out.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
         try:
             # One small job over the persisted batch: rows, partitions touched
-            # (HyperLogLog: no extra shuffle stage, unlike an exact distinct)
-            # and rows that lack a required value.
+            # (HyperLogLog: no extra shuffle stage, unlike an exact distinct),
+            # rows that lack a required value, and the measures of the others
+            # that are kept with the batch.
             bad = F.lit(False)
             for f in TABLE_SCHEMAS[name]:
                 if not f.nullable:
                     bad = bad | F.col(f.name).isNull()
-            rows, touched, n_bad = cached.agg(
+            time = F.unix_micros(F.when(~bad, F.col(LAYOUTS[name].time_col)))
+            columns = [f.name for f in TABLE_SCHEMAS[name]]
+            rows, touched, n_bad, min_us, max_us, *nulls = cached.agg(
                 F.count(F.lit(1)),
                 F.approx_count_distinct(F.struct(*[F.col(c) for c in self.partition_cols(name)[1:]])),
-                F.count_if(bad)).first()
+                F.count_if(bad), F.min(time), F.max(time),
+                *[F.count_if(~bad & F.col(c).isNull()) for c in columns]).first()
             good = cached
             if n_bad:
                 self._set_aside(name, cached.where(bad), batch_id)
@@ -306,8 +340,10 @@ class TableStore:
                       f"SELECT {', '.join('`%s`' % c for c in data_cols + parts[1:])} "
                       f"FROM `{view}`")
             spark.catalog.dropTempView(view)
+            self._commit(name, batch_id, rows - n_bad, n_bad, min_us, max_us, dict(zip(columns, nulls)))
         finally:
-            cached.unpersist()
+            if persist:
+                cached.unpersist()
 
     # -- reads (A4, A12, A15) ---------------------------------------------------
     def read_table(self, name: str, mode: str = "current",
@@ -373,7 +409,14 @@ class TableStore:
         # the overwrite does not read the partition it replaces.
         snap = snap.checkpoint(eager=True)
         self.write_batch(name, snap, upto_batch)
-        old = [p for p in self.partitions(name) if int(p["batch_id"]) < upto_batch]
+        old = self._drop_before(name, upto_batch)
+        if self.exists(self.commits_table(name)):
+            self._drop_before(self.commits_table(name), upto_batch)
+        return old
+
+    def _drop_before(self, name: str, batch: int) -> int:
+        """Drop the partitions of all batches before ``batch``; returns how many batches."""
+        old = [p for p in self.partitions(name) if int(p["batch_id"]) < batch]
         for i in range(0, len(old), 200):
             specs = ", ".join(
                 "PARTITION (" + ", ".join(f"`{k}` = {sql_string(v)}" for k, v in p.items()) + ")"
@@ -382,11 +425,16 @@ class TableStore:
         return len({p["batch_id"] for p in old})
 
     def commit_log(self, name: str) -> DataFrame:
-        """One row per stored micro-batch: rows written and their time span."""
-        lay = LAYOUTS[name]
-        return (self.table(name).groupBy("batch_id")
-                .agg(F.count(F.lit(1)).alias("rows"),
-                     F.min(lay.time_col).alias("min_ts"),
-                     F.max(lay.time_col).alias("max_ts"))
-                .select(F.lit(name).alias("table_name"), "batch_id", "rows",
-                        "min_ts", "max_ts"))
+        """One row per stored micro-batch: rows written and their time span.
+
+        From the measures kept with each batch; a table written without them
+        (another format) is scanned.
+        """
+        if self.exists(self.commits_table(name)):
+            log = self.commits(name)
+        else:
+            time = LAYOUTS[name].time_col
+            log = self.table(name).groupBy("batch_id").agg(
+                F.count(F.lit(1)).alias("rows"), F.min(time).alias("min_ts"), F.max(time).alias("max_ts"))
+        # A batch without rows leaves nothing in the table.
+        return log.where("rows > 0").select(F.lit(name).alias("table_name"), "batch_id", "rows", "min_ts", "max_ts")

@@ -124,5 +124,5 @@ def list_pipeline(spark: SparkSession, store: TableStore,
                      "status": q.status.get("message")} for q in active],
         "sources": sorted({s.get("description", "") for q in active
                            for s in (q.lastProgress or {}).get("sources", [])}),
-        "tables": store.list_tables(),
+        "tables": [t for t in store.list_tables() if not t.endswith(("_commits", "_rejects"))],
     }

@@ -19,6 +19,7 @@ from popflow.session import shared_dir
 from popflow.sources.events import StreamConfig, encode_events, read_events_stream
 from popflow.sources.events import read_raw_stream, write_events
 from popflow.sources.tables import TableStore
+from popflow.streaming.fanout import start_fanout
 from popflow.streaming.pipeline import await_all, start_rejects, start_views
 
 EVENT_COLUMNS = ("player", "balloon_color", "score", "favorite_color_bonus", "event_ts")
@@ -59,14 +60,15 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
           compact_every: int | None = None,
           state_partitions: int | None = None,
           ingest: bool = False, timings: dict | None = None,
-          slices: int = SLICES) -> TableStore:
+          slices: int = SLICES, one_read: bool = False) -> TableStore:
     """Run the views over the staged files as a stream until drained;
     returns the store with their changelogs.
 
     Directly (each view query decodes the JSON, ``slices`` micro-batches;
     rejected payloads go to ``<base>/rejects``), or with ``ingest=True`` through the ingest stage: one query decodes the
     files into a typed events table, then the views stream that table in
-    about as many micro-batches. ``timings`` receives seconds per stage.
+    about as many micro-batches. With ``one_read=True`` one query maintains all
+    views. ``timings`` receives seconds per stage.
     """
     import time
 
@@ -99,11 +101,12 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
                                             trigger={"availableNow": True})})
     t1 = time.perf_counter()
     kwargs = {"width": width} if width else {}
-    queries = start_views(stream.events, store, checkpoint_root=f"{base}/checkpoints",
-                          names=names, trigger={"availableNow": True},
-                          compact_every=compact_every, state_partitions=state_partitions,
-                          **kwargs)
-    await_all(queries)
+    start = start_fanout if one_read else start_views
+    queries = start(stream.events, store, checkpoint_root=f"{base}/checkpoints",
+                    names=names, trigger={"availableNow": True},
+                    compact_every=compact_every, state_partitions=state_partitions,
+                    **kwargs)
+    await_all({"views": queries} if one_read else queries)
     timings["views_sec"] = time.perf_counter() - t1
     return store
 
