@@ -316,6 +316,23 @@ def q_stream_from_latest(spark, d):
     return _kept(_as_stored(store.read_table("leaderboard", "current"), "leaderboard"), store)
 
 
+def q_stream_bounded_state(spark, d):
+    """The leaderboard with state for active players only, the events dealt at random
+    over the micro-batches: an idle player's total leaves the state, and what comes
+    later, however late, still counts."""
+    from popflow.sources.events import StreamConfig, read_events_stream
+    from popflow.streaming.bounded import bounded_totals, start_bounded
+    from popflow.streaming.replay import stage_events
+
+    base = stage_events(_ge(spark, d), shuffled=True)
+    store = TableStore(spark, f"bounded_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
+    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    query = start_bounded(stream, store, ["player"], f"{base}/checkpoint", idle="1 second", trigger={"availableNow": True})
+    query.awaitTermination()
+    return _kept(bounded_totals(store, ["player"]).select(
+        "player", "total_score", "bonus_hits", utc_wall_clock("event_ts").alias("event_ts")), store)
+
+
 def q_stream_one_read(spark, d):
     """All five tables as one query maintains them that reads every event once:
     the rows of each table, tagged with its name (points, pops and bonus hits
@@ -425,6 +442,8 @@ QUERIES: dict[str, Query] = {
     "stream_from_latest": q_stream_from_latest,
     # five tables from one query and one read of the source
     "stream_one_read": q_stream_one_read,
+    # bounded state with corrected late events
+    "stream_bounded_state": q_stream_bounded_state,
 }
 
 
@@ -637,6 +656,7 @@ SELECT unnest(['leaderboard','leaderboard','leaderboard','leaderboard','balloon_
     "stream_color_stats": _with(GE, CS) + "SELECT * FROM cs",
     "stream_realtime_scores_6h": _with(GE, RS(W6)) + "SELECT * FROM rs",
     "stream_late_events": _with(GE, RS(W6)) + "SELECT * FROM rs",
+    "stream_bounded_state": _with(GE, LB) + "SELECT * FROM lb",
     "stream_one_read": _with(GE, LB, CS, RS(W6), CP(W6), CPT(W6)) + """
 SELECT 'leaderboard' AS table_name, player, CAST(NULL AS VARCHAR) AS balloon_color, CAST(NULL AS TIMESTAMP) AS window_start,
        total_score AS points, CAST(NULL AS BIGINT) AS pops, bonus_hits, CAST(NULL AS DOUBLE) AS avg_score_per_pop, event_ts FROM lb
