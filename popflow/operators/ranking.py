@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(cs) -> list[Column]:
@@ -54,14 +55,33 @@ def _rank_key(order: Sequence) -> Column:
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
-def _bucket(key: Column, bounds: Sequence[Column], low: int = 0, high: int | None = None) -> Column:
-    """Number of bounds below or at ``key``: a balanced tree of comparisons."""
-    high = len(bounds) if high is None else high
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(key < bounds[mid], _bucket(key, bounds, low, mid)).otherwise(
-        _bucket(key, bounds, mid + 1, high))
+def _bounds(keys: DataFrame, n: int) -> Column:
+    """At most n - 1 ascending bounds that deal ``keys`` (column k) into n even buckets.
+
+    One array literal: the quantiles of the keys whose hash is below a threshold,
+    which the count sets so that about n * BOUND_ROWS pass, whichever task they
+    are in. The bounds reach the plan as text; were one rounded on the way, it
+    would still be one value for all rows.
+    """
+    wanted, total = n * BOUND_ROWS, keys.count()
+    low, high = -(1 << 63), (1 << 63) - 1
+    if total > wanted:
+        high = low + (1 << 64) * wanted // total
+    some = keys.where(F.xxhash64(F.to_json("k")) <= F.lit(min(high, (1 << 63) - 1)))
+    ordered = some.agg(F.sort_array(F.collect_list("k")).alias("all"))
+    place = F.transform(F.sequence(F.lit(1), F.lit(max(1, n - 1))),
+                        lambda i: F.get("all", (F.size("all") * i / F.lit(n)).cast("int")))
+    cuts = F.when((F.size("all") >= n) & F.lit(n > 1), F.array_distinct(place))
+    kind = T.ArrayType(keys.schema["k"].dataType)
+    text = ordered.select(F.to_json(cuts)).first()[0]
+    return F.from_json(F.lit(text or "[]"), kind)
+
+
+def _bucket(key: Column, bounds: Column, n: int) -> Column:
+    """Number of bounds below or at ``key``: a binary search in the array."""
+    steps = [F.lit(1 << i) for i in reversed(range(n.bit_length()))]
+    return F.aggregate(F.array(*steps), F.lit(0), lambda low, step: F.when(
+        F.get(bounds, low + step - 1) <= key, low + step).otherwise(low))
 
 
 def global_rank(df: DataFrame, order: Sequence, name: str = "position",
@@ -70,23 +90,16 @@ def global_rank(df: DataFrame, order: Sequence, name: str = "position",
     pairs of (column, "asc" | "desc"), computed distributed.
 
     A window without ``partitionBy`` would move every row to one task. Here
-    bucket bounds are taken once, as values, from a bounded sample of the keys
-    (it decides the balance only); a row's bucket follows from its own values,
-    so counting the buckets and numbering the rows within them agree however
-    often and wherever either is computed. The counts (one row per bucket)
-    give each bucket its offset. With an order that ends in a unique column,
-    the bounds split even a score shared by a third of all rows.
+    bucket bounds are quantiles of a bounded sample of the keys (it decides the
+    balance only); a row's bucket follows from its own values, so counting the
+    buckets and numbering the rows within them agree however often and wherever
+    either is computed. The counts (one row per bucket) give each bucket its
+    offset. With an order that ends in a unique column, the bounds split even a
+    score shared by a third of all rows.
     """
     n = max(1, num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = _rank_key(order)
-    keys = df.select(key.alias("k"))
-    sample = (keys.orderBy(F.xxhash64(F.to_json("k")), "k").limit(n * BOUND_ROWS)
-              .orderBy("k").collect())
-    kind = keys.schema["k"].dataType
-    cuts = [sample[len(sample) * i // n]["k"] for i in range(1, n)] if len(sample) >= n else []
-    bounds = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kind.fields)])
-              for cut in dict.fromkeys(cuts)]
-    placed = df.withColumn("_bucket", _bucket(key, bounds))
+    placed = df.withColumn("_bucket", _bucket(key, _bounds(df.select(key.alias("k")), n), n))
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_bucket",
