@@ -17,7 +17,7 @@ import uuid
 
 from popflow.functions.expressions import parse_ts, ts_literal, utc_instant, utc_wall_clock
 from popflow.operators import colors, leaderboard as lbp, performance as perf
-from popflow.operators import quality, views
+from popflow.operators import quality, sketches, views
 from popflow.operators.ranking import latest_by_key
 from popflow.operators.scoring import character_name, config_tables, score_pops
 from popflow.operators.scoring import score_pops_with_tables
@@ -316,6 +316,30 @@ def q_stream_from_latest(spark, d):
     return _kept(_as_stored(store.read_table("leaderboard", "current"), "leaderboard"), store)
 
 
+def q_perf_distribution_daily(spark, d):
+    """Box plots per day, merged from the stored sketches of its 6-hour windows."""
+    store = _fresh_store(spark, "sketches")
+    found = sketches.perf_sketches(_cpt(spark, d))
+    store.create_table("window_sketches", found.schema)
+    store.append(found, "window_sketches")
+    day = F.col("window_start").cast("date").alias("day")
+    return _kept(sketches.box_plot(sketches.merge_values(store.table("window_sketches"), day), "day"), store)
+
+
+def q_stream_color_coverage(spark, d):
+    """Distinct colours per player from sketches that a stream keeps, the events dealt at random."""
+    from popflow.sources.events import StreamConfig, read_events_stream
+    from popflow.streaming.replay import stage_events
+    from popflow.streaming.sketches import start_color_sketches, stored_sketches
+
+    base = stage_events(_ge(spark, d), shuffled=True)
+    store = TableStore(spark, f"sketches_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
+    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    query = start_color_sketches(stream, store, f"{base}/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    return _kept(sketches.coverage(stored_sketches(store)), store)
+
+
 def q_stream_bounded_state(spark, d):
     """The leaderboard with state for active players only, the events dealt at random
     over the micro-batches: an idle player's total leaves the state, and what comes
@@ -444,6 +468,9 @@ QUERIES: dict[str, Query] = {
     "stream_one_read": q_stream_one_read,
     # bounded state with corrected late events
     "stream_bounded_state": q_stream_bounded_state,
+    # stored sketches, merged
+    "perf_distribution_daily": q_perf_distribution_daily,
+    "stream_color_coverage": q_stream_color_coverage,
 }
 
 
@@ -656,6 +683,11 @@ SELECT unnest(['leaderboard','leaderboard','leaderboard','leaderboard','balloon_
     "stream_color_stats": _with(GE, CS) + "SELECT * FROM cs",
     "stream_realtime_scores_6h": _with(GE, RS(W6)) + "SELECT * FROM rs",
     "stream_late_events": _with(GE, RS(W6)) + "SELECT * FROM rs",
+    "perf_distribution_daily": _with(GE, CPT(W6)) + f"""
+SELECT CAST(window_start AS DATE) AS day, CAST(min({TRUNC}) AS BIGINT) AS min, CAST(quantile_disc({TRUNC}, 0.25) AS BIGINT) AS q1,
+       CAST(quantile_disc({TRUNC}, 0.5) AS BIGINT) AS median, CAST(quantile_disc({TRUNC}, 0.75) AS BIGINT) AS q3,
+       CAST(max({TRUNC}) AS BIGINT) AS max, count(*) AS "count"
+FROM cpt GROUP BY 1""",
     "stream_bounded_state": _with(GE, LB) + "SELECT * FROM lb",
     "stream_one_read": _with(GE, LB, CS, RS(W6), CP(W6), CPT(W6)) + """
 SELECT 'leaderboard' AS table_name, player, CAST(NULL AS VARCHAR) AS balloon_color, CAST(NULL AS TIMESTAMP) AS window_start,
@@ -756,3 +788,4 @@ UNION ALL SELECT 'props', count(*) - count(props) FROM events""",
 }
 ORACLE["score_pops_tables"] = ORACLE["score_pops"]
 ORACLE["stored_freshness"] = ORACLE["freshness"]
+ORACLE["stream_color_coverage"] = ORACLE["color_coverage"]

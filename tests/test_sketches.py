@@ -1,0 +1,61 @@
+"""Sketches: within their bounds, merged without a re-read, kept by a stream."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from popflow.operators import sketches, views
+from popflow.operators.performance import perf_distribution
+from popflow.sources.events import StreamConfig, game_events, read_events_stream
+from popflow.sources.tables import TableStore
+from popflow.streaming.replay import _wire_events, stage_events
+from popflow.streaming.sketches import TABLE, start_color_sketches, stored_sketches
+from tests.conftest import SF001
+
+
+def test_merged_quantiles_are_within_the_rank_error(spark):
+    df = spark.range(0, 300_000, 1, 6).select(
+        (F.col("id") % 50).alias("window"), (F.pow(F.rand(4) * 100, 2)).cast("bigint").alias("v")).persist()
+    got = sketches.box_plot(sketches.merge_values(sketches.value_sketches(df, F.col("v"), "window"))).first()
+    values = np.sort([r.v for r in df.collect()])
+    assert (got["min"], got["max"], got["count"]) == (values[0], values[-1], 300_000)
+    for name, q in sketches.QUARTILES:
+        low, high = (np.searchsorted(values, got[name], side) / len(values) for side in ("left", "right"))
+        assert low - 0.03 <= q <= high + 0.03
+    df.unpersist()
+
+
+def test_few_values_are_exact_and_nulls_left_out(spark):
+    rows = [("a", 5), ("a", 1), ("a", None), ("a", 9), ("a", 1), ("b", None), ("c", -2)]
+    found = sketches.value_sketches(spark.createDataFrame(rows, "k string, v int"), F.col("v"), "k")
+    assert {r.k: (r.sketch is None, r["min"], r["max"], r["count"]) for r in found.collect()} == {
+        "a": (False, 1, 9, 4), "b": (True, None, None, 0), "c": (False, -2, -2, 1)}
+    assert tuple(sketches.box_plot(sketches.merge_values(found)).first()) == (-2, 1, 1, 5, 9, 5)
+    assert sketches.merge_values(found.where("k = 'b'"), "k").count() == 0
+
+
+def test_window_sketches_agree_with_the_box_plots(spark):
+    cpt = views.color_performance(game_events(spark, SF001), "6 hours")
+    exact = {r.window_start: r for r in perf_distribution(cpt).collect()}
+    for r in sketches.box_plot(sketches.perf_sketches(cpt), "window_start").collect():
+        e = exact[r.window_start]
+        assert (r["min"], r["max"]) == (e["min"], e["max"])
+        # at most five values a window: an occurring value beside the interpolated one
+        assert r["min"] <= r.q1 <= r.median <= r.q3 <= r["max"] and r["count"] <= 5
+
+
+def test_stream_keeps_sketches_and_a_retry_changes_nothing(spark, tmp_path):
+    ge = game_events(spark, SF001)
+    base = stage_events(ge, 3, str(tmp_path), shuffled=True)
+    store = TableStore(spark, "sketch_stream", location=f"{base}/t")
+    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    q = start_color_sketches(stream, store, f"{base}/ck", trigger={"availableNow": True})
+    assert q.awaitTermination(100) and q.exception() is None
+    assert store.batches(TABLE) == [0, 1, 2]
+    want = {(r.player, r.n) for r in ge.groupBy("player").agg(F.count_distinct("balloon_color").alias("n")).collect()}
+    got = sketches.coverage(stored_sketches(store)).collect()
+    assert {(r.player, r.colors_used) for r in got} == want and {r.total_colors for r in got} == {5}
+    days = _wire_events(ge).where("event_ts >= '2024-01-05' and event_ts < '2024-01-07'")
+    want = {(r.player, r.n) for r in days.groupBy("player").agg(F.count_distinct("balloon_color").alias("n")).collect()}
+    part = sketches.coverage(stored_sketches(store, "2024-01-05", "2024-01-06")).collect()
+    assert {(r.player, r.colors_used) for r in part} == want
+    store.drop_namespace()
