@@ -25,6 +25,7 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import StorageLevel
@@ -38,9 +39,9 @@ from popflow.operators.views import to_table_types
 from popflow.schemas import TABLE_KEYS, TABLE_SCHEMAS
 from popflow.sources.events import sql_string
 
-#: What the sink records of each batch, beside the batch id.
+#: What the sink records of each batch and time partition.
 COMMIT_SCHEMA = T.StructType([
-    T.StructField("rows", T.LongType()), T.StructField("rejected", T.LongType()),
+    T.StructField("part", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("rejected", T.LongType()),
     T.StructField("min_ts", T.TimestampType()), T.StructField("max_ts", T.TimestampType()),
     T.StructField("nulls", T.MapType(T.StringType(), T.LongType())), T.StructField("batch_id", T.LongType())])
 
@@ -278,27 +279,28 @@ class TableStore:
     def commits_table(self, name: str) -> str:
         return f"{name}_commits"
 
-    def _commit(self, name: str, batch_id: int, rows: int, rejected: int, min_us: int | None,
-                max_us: int | None, nulls: dict[str, int]) -> None:
+    def _commit(self, name: str, batch_id: int, measures: list[dict]) -> None:
         """Record what was measured of a stored batch, in that batch's own partition."""
         if not self.exists(self.commits_table(name)):
             self.create_table(self.commits_table(name), COMMIT_SCHEMA, ["batch_id"])
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.qualified(self.commits_table(name))} PARTITION (batch_id={int(batch_id)}) "
-            "SELECT :rows, :rejected, timestamp_micros(:min_us), timestamp_micros(:max_us), "
-            "from_json(:nulls, 'map<string,bigint>')",
-            args={"rows": rows, "rejected": rejected, "min_us": min_us, "max_us": max_us, "nulls": json.dumps(nulls)})
+            "SELECT part, rows, rejected, timestamp_micros(min_us), timestamp_micros(max_us), nulls FROM "
+            "(SELECT inline(from_json(:measures, 'array<struct<part: string, rows: bigint, rejected: bigint, "
+            "min_us: bigint, max_us: bigint, nulls: map<string, bigint>>>')))", args={"measures": json.dumps(measures)})
 
     def commits(self, name: str) -> DataFrame:
-        """One row per stored batch: rows, rejected, min_ts, max_ts (of the table's
-        time column), nulls per column, batch_id. Written with the batch; reading
-        it reads no data file."""
+        """One row per stored batch and time partition: part, rows, rejected, min_ts,
+        max_ts (of the table's time column), nulls per column, batch_id. Written with
+        the batch; reading it reads no data file."""
         return self.table(self.commits_table(name))
 
-    def write_batch(self, name: str, df: DataFrame, batch_id: int, persist: bool = True) -> None:
+    def write_batch(self, name: str, df: DataFrame, batch_id: int, persist: bool = True,
+                    beside: Sequence[dict] = ()) -> None:
         """Idempotently store one micro-batch of view updates, and what it measured.
 
-        ``persist=False`` for a batch that the caller has persisted already.
+        ``persist=False`` for a batch that the caller has persisted already;
+        ``beside`` holds the measures of partitions of the batch that stay.
         """
         out = self.prepare_batch(name, df, batch_id)
         if self.fmt == "iceberg":
@@ -310,21 +312,19 @@ class TableStore:
         # The batch is used by two actions (sizing, write): compute it once.
         cached = out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
         try:
-            # One small job over the persisted batch: rows, partitions touched
-            # (HyperLogLog: no extra shuffle stage, unlike an exact distinct),
-            # rows that lack a required value, and the measures of the others
-            # that are kept with the batch.
-            bad = F.lit(False)
-            for f in TABLE_SCHEMAS[name]:
-                if not f.nullable:
-                    bad = bad | F.col(f.name).isNull()
-            time = F.unix_micros(F.when(~bad, F.col(LAYOUTS[name].time_col)))
+            # One small job over the persisted batch, one row per partition it
+            # touches: rows, rows that lack a required value, and the measures
+            # of the others that are kept with the batch.
             columns = [f.name for f in TABLE_SCHEMAS[name]]
-            rows, touched, n_bad, min_us, max_us, *nulls = cached.agg(
-                F.count(F.lit(1)),
-                F.approx_count_distinct(F.struct(*[F.col(c) for c in self.partition_cols(name)[1:]])),
-                F.count_if(bad), F.min(time), F.max(time),
-                *[F.count_if(~bad & F.col(c).isNull()) for c in columns]).first()
+            lacks = [F.col(f.name).isNull() for f in TABLE_SCHEMAS[name] if not f.nullable]
+            bad = reduce(lambda x, y: x | y, lacks, F.lit(False))
+            time = F.unix_micros(F.when(~bad, F.col(LAYOUTS[name].time_col)))
+            found = cached.groupBy(*self.partition_cols(name)[1:]).agg(
+                F.count(F.lit(1)).alias("_rows"), F.count_if(bad).alias("_bad"), F.min(time).alias("_min"),
+                F.max(time).alias("_max"),
+                *[F.count_if(~bad & F.col(c).isNull()).alias(f"_null_{c}") for c in columns]).collect()
+            rows, n_bad = sum(r["_rows"] for r in found), sum(r["_bad"] for r in found)
+            touched = sum(r["_rows"] > r["_bad"] for r in found)
             good = cached
             if n_bad:
                 self._set_aside(name, cached.where(bad), batch_id)
@@ -340,7 +340,10 @@ class TableStore:
                       f"SELECT {', '.join('`%s`' % c for c in data_cols + parts[1:])} "
                       f"FROM `{view}`")
             spark.catalog.dropTempView(view)
-            self._commit(name, batch_id, rows - n_bad, n_bad, min_us, max_us, dict(zip(columns, nulls)))
+            part = LAYOUTS[name].time_part
+            self._commit(name, batch_id, [*beside, *(
+                {"part": None if r[part] is None else str(r[part]), "rows": r["_rows"] - r["_bad"], "rejected": r["_bad"],
+                 "min_us": r["_min"], "max_us": r["_max"], "nulls": {c: r[f"_null_{c}"] for c in columns}} for r in found)])
         finally:
             if persist:
                 cached.unpersist()
@@ -386,43 +389,102 @@ class TableStore:
         return sorted({int(p["batch_id"]) for p in self.partitions(name)})
 
     def compact(self, name: str, upto_batch: int) -> int:
-        """Fold all batches ``<= upto_batch`` into batch ``upto_batch``.
+        """Fold batches ``<= upto_batch``, rewriting only what they share.
+
+        The latest row per key is rewritten into ``batch_id=upto_batch`` and the
+        partitions it came from are dropped, so ``current`` and as-of reads at or
+        after ``upto_batch`` are unchanged. As-of reads before ``upto_batch`` are
+        no longer possible (history expiry). Only compact batches the stream has
+        already committed.
 
-        The latest row per key among those batches is rewritten into the
-        partition ``batch_id=upto_batch`` and the older batch partitions are
-        dropped, so ``current`` and as-of reads at or after ``upto_batch``
-        are unchanged while the changelog shrinks to one row per key. As-of
-        reads before ``upto_batch`` are no longer possible (history expiry).
-        Only compact batches the stream has already committed.
+        Where the time partition follows from the key (the windowed tables), a
+        fold touches the hours that more than one batch wrote; an hour that one
+        batch wrote stays where it is. In the other tables a key moves between
+        days: batches are folded from the newest back, up to one that is more
+        than twice as large as those together, so a row is rewritten a
+        logarithmic number of times. Both are read off the sink's measures.
 
         Crash-safe: if the job stops after the rewrite but before the drops,
         the rewritten rows carry the highest batch id among the old ones, so
         every read still returns the same state; re-running finishes it.
-        Returns the number of batch partitions dropped.
+        Returns the number of batches whose partitions were dropped.
         """
         if self.fmt == "iceberg":
             raise NotImplementedError("use Iceberg's rewrite_data_files / expire_snapshots")
-        if not any(b < upto_batch for b in self.batches(name)):
+        log = self.commits(name).where(F.col("batch_id") <= upto_batch).where("rows > 0")
+        lay = LAYOUTS[name]
+        snap = self.read_table(name, "changelog", as_of_batch=upto_batch)
+        if lay.time_col in TABLE_KEYS[name]:
+            shared = log.groupBy("part").agg(F.count_distinct("batch_id").alias("n")).where("n > 1").select("part")
+            old = [(r.batch_id, r.part) for r in log.join(shared, "part").where(F.col("batch_id") < upto_batch)
+                   .select("batch_id", "part").distinct().collect()]
+            parts = sorted({p for _, p in old})
+            snap = snap.where(F.col(lay.time_part).isin([int(p) if lay.time_grain == "hour" else p for p in parts]))
+        else:
+            sizes = sorted(((r.batch_id, r.n) for r in log.groupBy("batch_id").agg(F.sum("rows").alias("n")).collect()),
+                           reverse=True)
+            together, first = 0, None
+            for batch, n in sizes:
+                if first is not None and n > 2 * together:
+                    break
+                together, first = together + n, batch
+            old = [(r.batch_id, r.part) for r in log.where((F.col("batch_id") >= F.lit(first)) & (F.col("batch_id") < upto_batch))
+                   .select("batch_id", "part").distinct().collect()] if sizes else []
+            snap = snap.where(F.col("batch_id") >= F.lit(first))
+        if not old:
             return 0  # already folded (e.g. a retried micro-batch)
-        snap = self.read_table(name, "current", as_of_batch=upto_batch)
         # Materialise (reliable checkpoint in the shared checkpoint folder) so
-        # the overwrite does not read the partition it replaces.
-        snap = snap.checkpoint(eager=True)
-        self.write_batch(name, snap, upto_batch)
-        old = self._drop_before(name, upto_batch)
-        if self.exists(self.commits_table(name)):
-            self._drop_before(self.commits_table(name), upto_batch)
-        return old
-
-    def _drop_before(self, name: str, batch: int) -> int:
-        """Drop the partitions of all batches before ``batch``; returns how many batches."""
-        old = [p for p in self.partitions(name) if int(p["batch_id"]) < batch]
-        for i in range(0, len(old), 200):
-            specs = ", ".join(
+        # the overwrite does not read the partitions it replaces.
+        columns = [f.name for f in TABLE_SCHEMAS[name]]
+        keys = list(TABLE_KEYS[name])
+        folded = latest_by_key(snap.select(*columns, "batch_id"), keys, ["batch_id"]).select(*columns).checkpoint(eager=True)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        kept = self.commits(name).join(
+            self.spark.createDataFrame(old, "batch_id bigint, part string"), ["batch_id", "part"], "left_anti")
+        kept = kept.where(F.col("batch_id").isin(sorted({b for b, _ in old}))).checkpoint(eager=True)
+        if lay.time_col in TABLE_KEYS[name]:
+            # The batch keeps the hours that were not folded, and their measures.
+            beside = [r.asDict() for r in self.commits(name).where(F.col("batch_id") == upto_batch)
+                      .where(F.col("part").isNull() | ~F.col("part").isin(parts))
+                      .select("part", "rows", "rejected", F.unix_micros("min_ts").alias("min_us"),
+                              F.unix_micros("max_ts").alias("max_us"), "nulls").collect()]
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, "dynamic")
+            try:
+                self.write_batch(name, folded, upto_batch, beside=beside)
+            finally:
+                self.spark.conf.set(key, before)
+        else:
+            self.write_batch(name, folded, upto_batch)
+        specs = [{"batch_id": str(b), lay.time_part: p} for b, p in old]
+        if self.layout == "faithful":  # a drop names every partition column
+            specs = [p for p in self.partitions(name) if (int(p["batch_id"]), p[lay.time_part]) in set(old)]
+        for i in range(0, len(specs), 200):
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS " + ", ".join(
                 "PARTITION (" + ", ".join(f"`{k}` = {sql_string(v)}" for k, v in p.items()) + ")"
-                for p in old[i:i + 200])
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} DROP IF EXISTS {specs}")
-        return len({p["batch_id"] for p in old})
+                for p in specs[i:i + 200]))
+        self._recommit(name, kept, sorted({b for b, _ in old}))
+        return len({b for b, _ in old})
+
+    def _recommit(self, name: str, measures: DataFrame, batches: list[int]) -> None:
+        """Replace the measures of a fold's batches; those without any left go."""
+        commits = self.commits_table(name)
+        left = {r.batch_id for r in measures.select("batch_id").distinct().collect()}
+        measures.coalesce(1).createOrReplaceTempView(f"_popflow_commits_{name}")
+        columns = ", ".join(f.name for f in COMMIT_SCHEMA)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.qualified(commits)} PARTITION (batch_id) "
+                           f"SELECT {columns} FROM `_popflow_commits_{name}`")
+        finally:
+            self.spark.conf.set(key, before)
+        self.spark.catalog.dropTempView(f"_popflow_commits_{name}")
+        gone = [b for b in batches if b not in left]
+        if gone:
+            self.spark.sql(f"ALTER TABLE {self.qualified(commits)} DROP IF EXISTS "
+                           + ", ".join(f"PARTITION (batch_id = {b})" for b in gone))
 
     def commit_log(self, name: str) -> DataFrame:
         """One row per stored micro-batch: rows written and their time span.
@@ -431,7 +493,8 @@ class TableStore:
         (another format) is scanned.
         """
         if self.exists(self.commits_table(name)):
-            log = self.commits(name)
+            log = self.commits(name).groupBy("batch_id").agg(
+                F.sum("rows").alias("rows"), F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
         else:
             time = LAYOUTS[name].time_col
             log = self.table(name).groupBy("batch_id").agg(
