@@ -10,7 +10,7 @@ strings that no base pattern matched. DataFrame operations only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from popflow.llm.common import staged
@@ -30,9 +30,9 @@ NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9
 END = r"""(?=[.,;:!?)\]}>"']*+(?!\S))"""
 NUMBER = "[0-9]++(?:-[0-9]++)*+" + END
 #: Identifier-like strings, each from the start of a run without white space: telephone and card forms of whole runs,
-#: else a run that holds a digit or at sign.
+#: else a run that holds a digit or at sign, also one written out in brackets.
 INSTANCE = (r"""(?<!\S)(?:[(\[{<"']*+(?:""" + PATTERNS["phone"] + END + "|" + NUMBER + r"(?:\x20" + NUMBER + ")*+)"
-            r"|[^\s0-9@]*+[0-9@]\S*+)")
+            r"|[^\s0-9@]*+[0-9@]\S*+|[^\s(\[{]++[(\[{][Aa][Tt][)\]}]\S++)")
 #: Marks around an identifier that are no part of it; a run of marks is entered at its first only.
 LEAD = r"""^[(\[{<"']++"""
 TRAIL = r"""(?<![.,;:!?)\]}>"'])[.,;:!?)\]}>"']++\z"""
@@ -45,24 +45,54 @@ MIN_SEEDS = 3
 MIN_PATTERN = 0.8
 MIN_INSTANCE = 0.8
 #: What a string must hold to be named as a kind.
-SHAPES = {"email": "@", "ip": r"[0-9]\D+[0-9]+\D+[0-9]+\D+[0-9]", "card": r"(?:[0-9]\D*){12}", "phone": r"(?:[0-9]\D*){7}"}
+SHAPES = {"email": r"@|[(\[{][Aa][Tt][)\]}]", "ip": r"[0-9]\D+[0-9]+\D+[0-9]+\D+[0-9]", "card": r"(?:[0-9]\D*){12}", "phone": r"(?:[0-9]\D*){7}"}
 SPAN = "array<struct<start:int,rank:int,stop:int,kind:string,value:string>>"
 
 
+#: Matches whose places are summed up in one go; the sums of such blocks are summed up in turn.
+BLOCK = 256
+
+
 def _located(text: Column, pattern: str, make, kind: str) -> Column:
-    """Array of ``make(start, stop, value)`` for all matches, in order."""
+    """Array of ``make(start, stop, value)`` for all matches, in order.
+
+    A fold that appends copies its array at every step. So matches are folded in
+    blocks, and then the blocks: the copying stays linear in the matches.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
+    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, v: F.struct(
+        F.length(g).alias("gap"), F.length(v).alias("length"), v.alias("value")))
+    place = "array<struct<start:int,stop:int,value:string>>"
+
+    def within(pairs: Column) -> Column:
+        """A block's matches, placed from its own beginning, and its length."""
+        def step(acc, pair):
+            start = acc["at"] + pair["gap"]
+            return F.struct((start + pair["length"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
+                start.alias("start"), (start + pair["length"]).alias("stop"), pair["value"].alias("value")))).alias("out"))
+
+        return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(place).alias("out")), step)
+
+    def blocks(pairs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")),
+                           lambda b: within(F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK))))
 
-    def step(acc, pair):
-        start = acc["at"] + F.length(pair["gap"])
-        stop = start + F.length(pair["value"])
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(
-            make(start, stop, pair["value"]))).alias("out"))
+    def together(blocks: Column) -> Column:
+        """The blocks one behind the other."""
+        def step(acc, size):
+            return F.struct((acc["at"] + size).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-    return F.aggregate(pairs, empty, step, lambda acc: acc["out"])
+        begins = F.aggregate(F.transform(blocks, lambda b: b["at"]), F.struct(
+            F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, begins, lambda b, begin: F.transform(
+            b["out"], lambda m: make(begin + m["start"], begin + m["stop"], m["value"]))))
+
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once: a lambda's variable is not computed again."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    return bound(pairs, lambda p: F.when(F.size(p) > 0, bound(blocks(p), together)).otherwise(F.array().cast(kind)))
 
 
 def _digits(value: Column) -> Column:
@@ -93,7 +123,7 @@ def base_spans(text: Column) -> Column:
 
 
 def instances(text: Column, base: Column) -> Column:
-    """Base spans as seeds, and identifier-like strings outside them, with the two words before and the word behind."""
+    """Base spans as seeds and identifier-like strings, with the two words before and the word behind."""
     kind = "array<struct<start:int,stop:int,value:string,seed:string>>"
 
     def make(start, stop, value):
@@ -121,16 +151,29 @@ def instances(text: Column, base: Column) -> Column:
 
         seeds = F.transform(row["base"], lambda b: F.struct(b["start"].alias("start"), b["stop"].alias("stop"),
                                                             b["value"].alias("value"), b["kind"].alias("seed")))
-        others = F.filter(row["others"], lambda o: ~F.exists(
-            row["base"], lambda b: (b["start"] < o["stop"]) & (b["stop"] > o["start"])))
-        return F.transform(F.concat(seeds, others), one)
+        return F.transform(F.concat(seeds, row["others"]), one)
 
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CONTEXT}}}"), F.lit(0))
     # the one-element array binds its parts once, so that no lambda computes them again
     row = F.array(F.struct(base.alias("base"), _located(text, INSTANCE, make, kind).alias("others"), pieces.alias("pieces")))
     found = F.get(F.transform(row, in_context), F.lit(0))
     empty = "array<struct<start:int,stop:int,value:string,seed:string,left2:string,left1:string,right1:string>>"
-    return F.when(F.rlike(text, F.lit("[0-9@]")), found).otherwise(F.array().cast(empty))
+    return F.when(F.rlike(text, F.lit(r"[0-9@]|[(\[{][Aa][Tt][)\]}]")), found).otherwise(F.array().cast(empty))
+
+
+def apart_from_seeds(seen: DataFrame) -> DataFrame:
+    """The instances without those that overlap a seed of their text.
+
+    In the order of seeds by start and other instances by end, the furthest end
+    of the seeds so far tells: a sort and a running maximum per text.
+    """
+    seed = F.col("seed").isNotNull()
+    place = F.when(seed, F.col("start")).otherwise(F.col("stop"))
+    # where a seed starts as an instance ends they do not overlap: the instance comes first
+    order = Window.partitionBy("doc_id", "text_key").orderBy(place, seed).rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(seed, F.col("stop"))).over(order)
+    return (seen.withColumn("_reach", reach).where(seed | F.col("_reach").isNull() | (F.col("_reach") <= F.col("start")))
+            .drop("_reach"))
 
 
 def trusted_values(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -175,8 +218,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"), base_spans(text).alias("base"))
     rows = staged(rows.select("doc_id", "text_key", "base", instances(F.col("text"), F.col("base")).alias("instances")), "pii-rows")
-    seen = staged(rows.select("doc_id", "text_key", F.explode("instances").alias("i")).select("doc_id", "text_key", "i.*"),
-                  "pii-instances")
+    seen = rows.select("doc_id", "text_key", F.explode("instances").alias("i")).select("doc_id", "text_key", "i.*")
+    seen = staged(apart_from_seeds(seen), "pii-instances")
     patterns = F.array(
         F.when((F.col("left2") != "") & (F.col("left1") != ""), F.concat_ws(" ", F.lit("L"), "left2", "left1")),
         F.when((F.col("left1") != "") & (F.col("right1") != ""), F.concat_ws(" ", F.lit("R"), "left1", "right1")))
