@@ -69,7 +69,7 @@ def _with_candidates(rows: DataFrame, wins: DataFrame) -> DataFrame:
     # At most SHINGLE different sizes.
     sizes = sorted(r["size"] for r in wins.select("size").distinct().collect())
     if not sizes:
-        return rows.withColumn("candidates", F.lit(None).cast(CANDIDATES))
+        return rows.withColumn("__candidates", F.lit(None).cast(CANDIDATES))
     known = staged(wins.select("size", F.explode("tokens").alias("token")).distinct(), "tokens")
     n_known = known.count()
     # Every place of a benchmark shingle in the corpus.
@@ -96,8 +96,8 @@ def _with_candidates(rows: DataFrame, wins: DataFrame) -> DataFrame:
     candidates = (found.join(small(prefix, prefix.count()), ["size", "token"])
                   .withColumn("start", F.col("place") - F.col("offset")).where("start >= 0")
                   .groupBy("doc_id", "text_key")
-                  .agg(F.collect_set(F.struct("start", "wid", "win")).alias("candidates"))
-                  .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "candidates"))
+                  .agg(F.collect_set(F.struct("start", "wid", "win")).alias("__candidates"))
+                  .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__candidates"))
     keyed = rows.withColumn("__text_key", F.xxhash64(text))
     return keyed.join(candidates, keyed["doc_id"].eqNullSafe(candidates["__id"])
                       & (keyed["__text_key"] == candidates["__key"]), "left").drop("__id", "__key", "__text_key")
@@ -105,7 +105,7 @@ def _with_candidates(rows: DataFrame, wins: DataFrame) -> DataFrame:
 
 def _verified(words: str) -> Column:
     """The candidates whose words stand in the array column ``words`` at their place."""
-    return F.filter("candidates", lambda c: F.slice(words, c["start"] + 1, F.size(c["win"])) == c["win"])
+    return F.filter("__candidates", lambda c: F.slice(words, c["start"] + 1, F.size(c["win"])) == c["win"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -119,8 +119,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     """
     wins = staged(item_windows(benchmark, window), "windows")
     rows = _with_candidates(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), wins)
-    exact = F.when(F.col("candidates").isNotNull(), _words(F.col("text")))
-    judged = rows.select("doc_id", F.size(_plain_words(F.col("text"))).alias("n_words"), "candidates",
+    exact = F.when(F.col("__candidates").isNotNull(), _words(F.col("text")))
+    judged = rows.select("doc_id", F.size(_plain_words(F.col("text"))).alias("n_words"), "__candidates",
                          exact.alias("w")).select(
         "doc_id", "n_words",
         F.array_sort(F.transform(_verified("w"), lambda c: F.struct(
@@ -148,8 +148,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents that hold no window of the benchmark, with all their columns."""
     wins = staged(item_windows(benchmark, window), "windows")
-    rows = _with_candidates(docs.drop("candidates"), wins)
-    exact = F.when(F.col("candidates").isNotNull(), _words(F.coalesce("text", F.lit(""))))
+    rows = _with_candidates(docs, wins)
+    exact = F.when(F.col("__candidates").isNotNull(), _words(F.coalesce("text", F.lit(""))))
     hits = F.coalesce(F.size(_verified("__w")), F.lit(0))
-    return (rows.withColumn("__w", exact).where(F.col("candidates").isNull() | (hits <= 0))
-            .select(*(c for c in docs.columns if c != "candidates")))
+    return (rows.withColumn("__w", exact).where(F.col("__candidates").isNull() | (hits <= 0))
+            .select(*docs.columns))

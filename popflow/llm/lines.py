@@ -13,7 +13,6 @@ are settled there; a task sends each line once.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +20,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from popflow.llm.common import small, staged
+from popflow.llm.common import ship, small, staged
 
 #: Edits that still link two lines, and the least code points of a line that may be linked.
 EDITS = 2
@@ -34,22 +34,23 @@ NO_ID = 2 ** 63 - 1
 INDEX, PROBE = 1, 2
 
 ENTRY = np.dtype([("key", "<u8"), ("id", "<u8"), ("sketch", "<u4"), ("kind", "u1")])
-FIRST = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("place", "<i8")])
-SPOT = np.dtype([("doc", "<i8"), ("place", "<i8")])
+FIRST = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("code", "<i8"), ("place", "<i8")])
+SPOT = np.dtype([("doc", "<i8"), ("code", "<i8"), ("place", "<i8")])
 
 PACKED = pa.schema([("bucket", pa.int32()), ("entries", pa.binary()), ("firsts", pa.binary()), ("copies", pa.binary())])
 PACKED_DDL = "bucket int, entries binary, firsts binary, copies binary"
-FOUND = pa.schema([("what", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
-LINES = pa.schema([("id", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("line", pa.string())])
-LINKS = pa.schema([("doc", pa.int64()), ("place", pa.int64()), ("near_doc", pa.int64())])
+FOUND = pa.schema([("what", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("tile", pa.binary())])
+FOUND_DDL = "what string, a long, b long, c long, tile binary"
+LINES = pa.schema([("id", pa.int64()), ("doc", pa.int64()), ("code", pa.int64()), ("place", pa.int64()), ("line", pa.string())])
+LINKS = pa.schema([("doc", pa.int64()), ("code", pa.int64()), ("place", pa.int64()), ("near_doc", pa.int64())])
 OUT_DDL = ("doc_id long, n_lines long, n_exact long, n_near long, near_docs array<long>, kept_sha256 string")
 OUT = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_exact", pa.int64()), ("n_near", pa.int64()),
                  ("near_docs", pa.list_(pa.int64())), ("kept_sha256", pa.string())])
 
 
 def row_code(text: str) -> int:
-    """High half of a line's place; tells rows of one id with different texts apart."""
-    return (zlib.crc32(text.encode()) & 0x7FFFFFFF) << 32
+    """Tells rows of one id (or of none) with different texts apart, and orders them."""
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -156,7 +157,7 @@ def _entries(buckets: int, edits: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plans: dict[int, list] = {}
-        seen: dict[bytes, tuple[int, int]] = {}
+        seen: dict[bytes, tuple[int, int, int]] = {}
         keys, ids, sketches, kinds, spots = [], [], [], [], []
 
         def flush():
@@ -166,11 +167,11 @@ def _entries(buckets: int, edits: int, least: int):
             firsts = np.empty(len(seen), FIRST)
             halves = np.frombuffer(b"".join(seen), ">u8").reshape(-1, 2)
             firsts["h1"], firsts["h2"] = halves[:, 0], halves[:, 1]
-            where = np.array(list(seen.values()), np.int64).reshape(-1, 2)
-            firsts["doc"], firsts["place"] = where[:, 0], where[:, 1]
-            again = np.array(spots, np.int64).reshape(-1, 2)
+            where = np.array(list(seen.values()), np.int64).reshape(-1, 3)
+            again = np.array(spots, np.int64).reshape(-1, 3)
             copies = np.empty(len(again), SPOT)
-            copies["doc"], copies["place"] = again[:, 0], again[:, 1]
+            for n, part in enumerate(SPOT.names):
+                firsts[part], copies[part] = where[:, n], again[:, n]
             yield _dealt([(rows, (by % np.uint64(buckets)).astype(np.int32)) for rows, by in (
                 (entries, entries["key"]), (firsts, firsts["h1"]), (copies, copies["doc"].astype(np.uint64)))])
             for x in (keys, ids, sketches, kinds, spots):
@@ -184,7 +185,7 @@ def _entries(buckets: int, edits: int, least: int):
                     if not line or line.isspace():
                         continue
                     raw = line.encode("utf-32-le")
-                    name, spot = xxhash.xxh3_128_digest(raw), (doc, code | number)
+                    name, spot = xxhash.xxh3_128_digest(raw), (doc, code, number)
                     known = seen.get(name)
                     if known is not None:
                         if spot != known:
@@ -223,32 +224,61 @@ def _dealt(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         pa.array([x[kind] for x in blobs.values()], pa.binary()) for kind in range(len(parts)))], schema=PACKED)
 
 
-#: Candidate pairs looked at together.
+#: Candidate pairs looked at together, and entries on a side of a tile.
 BLOCK = 1 << 20
+TILE = 2_048
 
 
-def candidate_pairs(entries: np.ndarray, edits: int) -> np.ndarray:
-    """Distinct (id, id) of lines that share a key as index and probe, and whose sketches allow a link."""
+def candidate_pairs(entries: np.ndarray, edits: int, tile: int) -> Iterator[tuple[str, np.ndarray, np.ndarray | None]]:
+    """Blocks of distinct ("pair", ids, None) of lines that share a key as index and
+    probe, and whose sketches allow a link.
+
+    A key with more than ``tile`` entries is dealt on: ("tile", index, probe)
+    parts to be compared elsewhere, each of at most so many entries.
+    """
     entries = np.unique(entries[["key", "id", "kind", "sketch"]])
     edges = np.flatnonzero(np.diff(entries["key"], prepend=entries["key"][:1] + np.uint64(1),
                                    append=entries["key"][-1:] + np.uint64(1)))
-    out = []
     starts, stops = edges[:-1], edges[1:]
-    many = stops - starts > 1
     # Most shared keys have two entries: take those together.
-    two = starts[many & (stops - starts == 2)]
-    if len(two):
-        out.append(_allowed(entries, two, two + 1, edits))
+    two = starts[stops - starts == 2]
+    for at in range(0, len(two), BLOCK):
+        yield "pair", _allowed(entries, two[at:at + BLOCK], two[at:at + BLOCK] + 1, edits), None
+    held, size = [], 0
+    many = stops - starts > 2
     for s, e in zip(starts[many], stops[many]):
-        if e - s == 2:
-            continue
-        index = np.arange(s, e)[entries["kind"][s:e] & INDEX > 0]
         probe = np.arange(s, e)
+        index = probe[entries["kind"][s:e] & INDEX > 0]
+        if len(probe) > tile:
+            for i in range(0, len(index), tile):
+                for j in range(0, len(probe), tile):
+                    yield "tile", entries[index[i:i + tile]], entries[probe[j:j + tile]]
+            continue
         step = max(1, BLOCK // len(probe))
         for at in range(0, len(index), step):
             part = index[at:at + step]
-            out.append(_allowed(entries, np.repeat(part, len(probe)), np.tile(probe, len(part)), edits))
-    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.uint64)
+            held.append(_allowed(entries, np.repeat(part, len(probe)), np.tile(probe, len(part)), edits))
+            size += len(held[-1])
+        if size > BLOCK:
+            yield "pair", np.unique(np.concatenate(held), axis=0), None
+            held, size = [], 0
+    if held:
+        yield "pair", np.unique(np.concatenate(held), axis=0), None
+
+
+def _compare_tiles(edits: int):
+    """Pairs of the tiles of frequent keys, block by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, tile in zip(batch["a"].to_pylist(), batch["tile"]):
+                both = np.frombuffer(tile.as_py(), ENTRY)
+                index, probe = np.arange(n), np.arange(n, len(both))
+                step = max(1, BLOCK // len(probe))
+                for at in range(0, n, step):
+                    part = index[at:at + step]
+                    pairs = np.unique(_allowed(both, np.repeat(part, len(probe)), np.tile(probe, len(part)), edits), axis=0)
+                    yield _found("pair", *pairs.view(np.int64).T)
+    return run
 
 
 def _allowed(entries: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> np.ndarray:
@@ -265,7 +295,7 @@ def later_copies(firsts: np.ndarray) -> np.ndarray:
     """Places of every line but its first, from the firsts of all map tasks."""
     firsts = np.unique(firsts)  # by hash, then document and place
     again = (firsts["h1"][1:] == firsts["h1"][:-1]) & (firsts["h2"][1:] == firsts["h2"][:-1])
-    return firsts[1:][again][["doc", "place"]]
+    return firsts[1:][again][["doc", "code", "place"]]
 
 
 def _settle(edits: int):
@@ -274,11 +304,15 @@ def _settle(edits: int):
 
         def finish():
             if held.get("entries"):
-                pairs = candidate_pairs(np.frombuffer(b"".join(held["entries"]), ENTRY), edits).view(np.int64)
-                yield _found("pair", pairs[:, 0], pairs[:, 1])
+                for what, found, probe in candidate_pairs(
+                        np.frombuffer(b"".join(held["entries"]), ENTRY), edits, TILE):
+                    if what == "tile":
+                        yield _tile(found, probe)
+                    else:
+                        yield _found("pair", *found.view(np.int64).reshape(-1, 2).T)
             if held.get("firsts"):
                 again = later_copies(np.frombuffer(b"".join(held["firsts"]), FIRST))
-                yield _found("copy", again["doc"], again["place"])
+                yield _found("copy", again["doc"], again["code"], again["place"])
 
         for batch in batches:
             for bucket, entries, firsts, copies in zip(*(batch[c].to_pylist() for c in PACKED.names)):
@@ -290,29 +324,37 @@ def _settle(edits: int):
                         held.setdefault(what, []).append(rows)
                 if copies:  # settled in the map task: only passed on
                     spots = np.frombuffer(copies, SPOT)
-                    yield _found("copy", spots["doc"], spots["place"])
+                    yield _found("copy", spots["doc"], spots["code"], spots["place"])
         yield from finish()
     return run
 
 
-def _found(what: str, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([what] * len(a), pa.string()), pa.array(np.ascontiguousarray(a)),
-                                       pa.array(np.ascontiguousarray(b))], schema=FOUND)
+def _found(what: str, a: np.ndarray, b: np.ndarray, c: np.ndarray | None = None) -> pa.RecordBatch:
+    columns = [pa.array(np.ascontiguousarray(x)) for x in (a, b, np.zeros(len(a), np.int64) if c is None else c)]
+    return pa.RecordBatch.from_arrays([pa.array([what] * len(a), pa.string()), *columns, pa.nulls(len(a), pa.binary())],
+                                      schema=FOUND)
+
+
+def _tile(index: np.ndarray, probe: np.ndarray) -> pa.RecordBatch:
+    both = np.empty(len(index) + len(probe), ENTRY)
+    for name in ENTRY.names:
+        both[name] = np.concatenate([index[name], probe[name]])
+    return pa.RecordBatch.from_arrays([pa.array(["tile"]), pa.array([len(index)]), pa.array([0]), pa.array([0]),
+                                       pa.array([both.tobytes()], pa.binary())], schema=FOUND)
 
 
 def _numbered(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, docs, places, lines = [], [], [], []
+            ids, docs, codes, places, lines = [], [], [], [], []
             for doc, text in zip(batch["doc"].to_pylist(), batch["text"].to_pylist()):
                 code = row_code(text)
                 for number, line in enumerate(split_lines(text)):
                     if len(line) >= least and not line.isspace():
                         name = xxhash.xxh3_128_digest(line.encode("utf-32-le"))
                         ids.append(int.from_bytes(name[:8], signed=True))
-                        docs.append(doc), places.append(code | number), lines.append(line)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(docs, pa.int64()),
-                                              pa.array(places, pa.int64()), pa.array(lines, pa.string())], schema=LINES)
+                        docs.append(doc), codes.append(code), places.append(number), lines.append(line)
+            yield pa.RecordBatch.from_pydict(dict(zip(LINES.names, (ids, docs, codes, places, lines))), schema=LINES)
     return run
 
 
@@ -320,18 +362,18 @@ def _verified(edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for a, doc_a, place_a, b, doc_b, place_b in zip(*(batch[c].to_pylist() for c in (
-                    "line_a", "doc_a", "place_a", "line_b", "doc_b", "place_b"))):
+            for a, b, *at in zip(*(batch[c].to_pylist() for c in (
+                    "line_a", "line_b", "doc_a", "code_a", "place_a", "doc_b", "code_b", "place_b"))):
                 if edit_distance(a, b, edits) <= edits:
-                    first, later = sorted([(doc_a, place_a), (doc_b, place_b)])
+                    first, later = sorted([at[:3], at[3:]])
                     out.append((*later, first[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], []))],
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], [], []))],
                                              schema=LINKS)
     return run
 
 
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
-    """(doc, place, near_doc) of every line that goes.
+    """(doc, code, place, near_doc) of every line that goes.
 
     A copy of an earlier line has no ``near_doc``; the first occurrence of a
     line linked to earlier lines has a row for each of them, with its document.
@@ -342,17 +384,19 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS)
     found = staged(
         rows.mapInArrow(_entries(parts * BUCKETS, edits, least), PACKED_DDL)
         .repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
-        .mapInArrow(_settle(edits), "what string, a long, b long"), "line-candidates")
-    copies = found.where("what = 'copy'").select(F.col("a").alias("doc"), F.col("b").alias("place"),
+        .mapInArrow(_settle(edits), FOUND_DDL), "line-candidates")
+    copies = found.where("what = 'copy'").select(F.col("a").alias("doc"), F.col("b").alias("code"), F.col("c").alias("place"),
                                                  F.lit(None).cast("long").alias("near_doc"))
-    pairs = staged(found.where("what = 'pair'").select("a", "b").distinct(), "line-pairs")
+    # The tiles of a frequent key go to as many tasks as there are.
+    tiles = found.where("what = 'tile'").select("a", "tile").repartition(parts).mapInArrow(_compare_tiles(edits), FOUND_DDL)
+    pairs = staged(found.where("what = 'pair'").unionByName(tiles).select("a", "b").distinct(), "line-pairs")
     wanted = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "line-ids")
-    numbered = rows.mapInArrow(_numbered(least), "id long, doc long, place long, line string")
+    numbered = rows.mapInArrow(_numbered(least), "id long, doc long, code long, place long, line string")
     lines = staged(numbered.join(small(wanted, wanted.count()), "id")
-                   .groupBy("id", "line").agg(F.min(F.struct("doc", "place")).alias("at"))
-                   .select("id", "line", "at.doc", "at.place"), "lines")
+                   .groupBy("id", "line").agg(F.min(F.struct("doc", "code", "place")).alias("at"))
+                   .select("id", "line", "at.doc", "at.code", "at.place"), "lines")
     a, b = (lines.select(*(F.col(c).alias(f"{c}_{x}") for c in lines.columns)).withColumnRenamed(f"id_{x}", x) for x in "ab")
-    links = pairs.join(a, "a").join(b, "b").mapInArrow(_verified(edits), "doc long, place long, near_doc long")
+    links = pairs.join(a, "a").join(b, "b").mapInArrow(_verified(edits), "doc long, code long, place long, near_doc long")
     return copies.unionByName(links)
 
 
@@ -361,15 +405,13 @@ def _kept_lines(text: str, spots: list | None) -> tuple[list[str], int, int, set
     lines = split_lines(text)
     if not spots:
         return lines, 0, 0, set()
-    code, exact, near, docs = row_code(text), set(), set(), set()
+    exact, near, docs = set(), set(), set()
     for s in spots:
-        if s["place"] >> 32 << 32 == code:
-            number = s["place"] & 0xFFFFFFFF
-            if s["near_doc"] is None:
-                exact.add(number)
-            else:
-                near.add(number)
-                docs.add(s["near_doc"])
+        if s["near_doc"] is None:
+            exact.add(s["place"])
+        else:
+            near.add(s["place"])
+            docs.add(s["near_doc"])
     gone = exact | near
     return [x for i, x in enumerate(lines) if i not in gone], len(exact), len(near - exact), docs
 
@@ -377,7 +419,7 @@ def _kept_lines(text: str, spots: list | None) -> tuple[list[str], int, int, set
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc_id, text, spots in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "spots"))):
+        for doc_id, text, spots in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "__spots"))):
             kept, exact, near, docs = _kept_lines(text, spots)
             out.append((doc_id, len(split_lines(text)), exact, near, sorted(d for d in docs if d != NO_ID),
                         hashlib.sha256("\n".join(kept).encode()).hexdigest()))
@@ -385,9 +427,19 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          schema=OUT)
 
 
-def _by_document(docs: DataFrame, edits: int, least: int) -> DataFrame:
-    return (duplicate_lines(docs, edits, least).groupBy("doc")
-            .agg(F.collect_list(F.struct("place", "near_doc")).alias("spots")))
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        codes = [row_code(t or "") for t in batch["text"].to_pylist()]
+        yield batch.append_column("__code", pa.array(codes, pa.int64()))
+
+
+def _with_spots(docs: DataFrame, edits: int, least: int) -> DataFrame:
+    """The rows with the ``__spots`` of their own text: a row's id and text code name them."""
+    spots = (duplicate_lines(docs, edits, least).groupBy(F.col("doc").alias("__doc"), F.col("code").alias("__code"))
+             .agg(F.collect_list(F.struct("place", "near_doc")).alias("__spots")))
+    coded = docs.mapInArrow(_codes, T.StructType([*docs.schema.fields, T.StructField("__code", T.LongType())]))
+    return (coded.withColumn("__doc", F.coalesce("doc_id", F.lit(NO_ID))).join(spots, ["__doc", "__code"], "left")
+            .select(*docs.columns, "__spots"))
 
 
 def line_dedup(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
@@ -402,21 +454,22 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> D
     an id as documents of their own. Empty tables give no rows; other columns
     are ignored.
     """
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    return (rows.join(_by_document(docs, edits, least), "doc", "left").select("doc_id", "text", "spots")
-            .mapInArrow(_report, OUT_DDL))
+    ship(docs.sparkSession)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return _with_spots(rows, edits, least).mapInArrow(_report, OUT_DDL)
 
 
 def drop_duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
     """The documents with their duplicate lines removed.
 
-    Columns are kept and ``n_chars``, if there, counts the new text. A document
-    that loses lines and keeps none but blank ones goes; others stay.
+    Columns are kept and a whole-numbered ``n_chars``, if there, counts the new
+    text. A document that loses lines and keeps none but blank ones goes; others
+    stay. Names that begin with two underscores are the operator's own.
     """
-    spots = _by_document(docs, edits, least)
+    ship(docs.sparkSession)
     schema = docs.schema
-    joined = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(NO_ID))).join(
-        spots.select(F.col("doc").alias("__doc"), F.col("spots").alias("__spots")), "__doc", "left").drop("__doc")
+    joined = _with_spots(docs, edits, least)
+    counts = "n_chars" in docs.columns and isinstance(schema["n_chars"].dataType, T.IntegralType)
 
     def run(batches):
         for batch in batches:
@@ -432,7 +485,7 @@ def drop_duplicate_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_C
                 texts.append(text)
             columns = {name: batch[name] for name in schema.names}
             columns["text"] = pa.array(texts, pa.string())
-            if "n_chars" in columns:
+            if counts:
                 sizes = [n if t is None else len(t) for n, t in zip(batch["n_chars"].to_pylist(), texts)]
                 columns["n_chars"] = pa.array(sizes, batch["n_chars"].type)
             yield pa.RecordBatch.from_pydict(columns).filter(pa.array(stay, pa.bool_()))

@@ -122,9 +122,9 @@ def _cuts(rows: DataFrame, budget_share: float, epochs: int, seed: int, domain_w
     return cuts, cuts.count()
 
 
-def _taken(seed: int, doc_id: Column) -> Column:
+def _taken(seed: int, doc_id: Column, full: Column, cut: Column) -> Column:
     """Epochs a row is part of: the whole ones, and one more up to the cut."""
-    return F.col("full") + F.when(_key(seed, F.col("full"), doc_id) <= F.col("cut"), 1).otherwise(0)
+    return full + F.when(_key(seed, full, doc_id) <= cut, 1).otherwise(0)
 
 
 def mix(docs: DataFrame, *, budget_share: float = 0.5, epochs: int = 3, seed: int = 11, domain: Column | None = None,
@@ -143,23 +143,25 @@ def mix(docs: DataFrame, *, budget_share: float = 0.5, epochs: int = 3, seed: in
     rows = staged(named.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"),
                                F.col("__source").alias("source"), tokens(F.col("text")).alias("n_tokens")), "token-counts")
     cuts, n = _cuts(rows, budget_share, epochs, seed, domain_weights, lang_weights, source_weights)
-    return (rows.join(small(cuts, n), LEAF).withColumn("n_epochs", _taken(seed, F.col("doc_id")).cast("long"))
+    taken = _taken(seed, F.col("doc_id"), F.col("full"), F.col("cut")).cast("long")
+    return (rows.join(small(cuts, n), LEAF).withColumn("n_epochs", taken)
             .where("n_epochs > 0").select("doc_id", *LEAF, "n_tokens", "n_epochs"))
 
 
 def mix_documents(docs: DataFrame, *, budget_share: float = 0.5, epochs: int = 3, seed: int = 11,
                   domain_weights: dict[str, int] | None = None, lang_weights: dict[str, int] | None = None,
                   source_weights: dict[str, int] | None = None) -> DataFrame:
-    """The documents taken, with all their columns and ``n_epochs``; as ``mix`` otherwise."""
+    """The documents taken, with all their columns and ``n_epochs`` (in place of one they may
+    have); as ``mix`` otherwise."""
     named = _leaves(docs, domain_of(F.col("source")))
     rows = staged(named.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"),
                                F.col("__source").alias("source"), tokens(F.col("text")).alias("n_tokens")), "token-counts")
     cuts, n = _cuts(rows, budget_share, epochs, seed, domain_weights, lang_weights, source_weights)
-    cuts = cuts.select(*(F.col(c).alias(f"__{c}") for c in LEAF), "full", "cut")
-    columns = docs.columns
-    return (named.drop("full", "cut", "n_epochs").join(small(cuts, n), [f"__{c}" for c in LEAF])
-            .withColumn("n_epochs", _taken(seed, F.col("doc_id")).cast("long"))
-            .where("n_epochs > 0").select(*(c for c in columns if c not in ("full", "cut", "n_epochs")), "n_epochs"))
+    cuts = cuts.select(*(F.col(c).alias(f"__{c}") for c in LEAF), F.col("full").alias("__full"),
+                       F.col("cut").alias("__cut"))
+    taken = _taken(seed, F.col("doc_id"), F.col("__full"), F.col("__cut")).cast("long")
+    return (named.join(small(cuts, n), [f"__{c}" for c in LEAF]).withColumn("n_epochs", taken)
+            .where("n_epochs > 0").select(*(c for c in docs.columns if c != "n_epochs"), "n_epochs"))
 
 
 def oracle(budget_share: float, epochs: int, seed: int, domain_weights: dict[str, int], lang_weights: dict[str, int],

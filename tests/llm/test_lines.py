@@ -1,7 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from popflow.llm import lines
 
@@ -93,8 +95,9 @@ def test_matches_brute_force(make_docs, monkeypatch):
                         (104, "x" * 1500), (105, "x" * 1499 + "y"), (3, corpus(4)[3][1]), (3, "another text of three\nshort")]
     want = plain(docs, 2, 10)
     assert sum(r[3] for r in want) > 10
-    for flush in (lines.FLUSH_ENTRIES, 50):
+    for flush, tile in ((lines.FLUSH_ENTRIES, lines.TILE), (50, 3)):
         monkeypatch.setattr(lines, "FLUSH_ENTRIES", flush)
+        monkeypatch.setattr(lines, "TILE", tile)
         got = lines.line_dedup(make_docs(docs, doc=1, spots=2, line="clash", place=3), 2, 10).collect()
         assert sorted(map(tuple, got), key=str) == want
 
@@ -107,5 +110,49 @@ def test_documents_lose_their_duplicate_lines(make_docs):
     assert lines.drop_duplicate_lines(docs).columns == docs.columns
 
 
+def test_a_frequent_segment_is_compared_in_tiles(make_docs, monkeypatch):
+    """Most lines share a segment at its place; no link is lost, and its tiles are bounded."""
+    monkeypatch.setattr(lines, "TILE", 16)
+    rng = random.Random(3)
+    body = ["".join(rng.choices("abcdefgh", k=22)) for _ in range(60)]
+    docs = [(i, "2024-01-01 INFO " + x) for i, x in enumerate(body)]
+    docs += [(100 + i, "2024-01-01 INFO " + x[:9] + "#" + x[10:]) for i, x in enumerate(body[:30])]
+    got = {r.doc_id: (r.n_near, r.near_docs) for r in lines.line_dedup(make_docs(docs), 2, 30).collect()}
+    assert all(got[100 + i] == (1, [i]) for i in range(30)) and not any(got[i][0] for i in range(60))
+    entries = np.zeros(50, lines.ENTRY)
+    entries["key"], entries["id"], entries["kind"] = 7, np.arange(50), lines.INDEX | lines.PROBE
+    parts = list(lines.candidate_pairs(entries, 2, 16))
+    assert {k for k, *_ in parts} == {"tile"} and len(parts) == 16 and max(len(a) + len(b) for _, a, b in parts) == 32
+
+
+def test_planted_near_lines_are_found(make_docs):
+    """One or two edits anywhere in a line of 30 to 400 code points: every one is found, and no other line goes."""
+    rng = random.Random(12)
+    docs = [(i, "".join(rng.choices("abcdefghijklmnop ", k=rng.randint(30, 400)))) for i in range(200)]
+    near = []
+    for i, x in docs[:100]:
+        for _ in range(rng.randint(1, 2)):
+            k = rng.randrange(len(x))
+            x = rng.choice([x[:k] + "Z" + x[k:], x[:k] + "Z" + x[k + 1:], x[:k] + x[k + 1:] if len(x) > 30 else x + "Z"])
+        near.append((1_000 + i, x))
+    got = {r.doc_id: (r.n_exact + r.n_near, r.near_docs) for r in lines.line_dedup(make_docs(docs + near)).collect()}
+    assert all(got[i] == (1, [i - 1_000]) or got[i][0] and not got[i][1] for i, _ in near)
+    assert not any(got[i][0] for i, _ in docs)
+
+
+def test_rows_without_an_id_get_their_own_lines_only(make_docs):
+    rows = [(None, f"line number {i}\nthe same line in every text") for i in range(300)]
+    got = lines.line_dedup(make_docs(rows)).collect()
+    assert sum(r.n_exact for r in got) == 299 and all(r.n_lines == 2 and r.n_exact <= 1 for r in got)
+
+
+def test_columns_of_any_kind_and_name_are_kept(spark, make_docs):
+    docs = make_docs([(1, "a line that is there twice"), (2, "a line that is there twice\nand another"), (3, "x")],
+                     spots=2, code="c", what="w").withColumn("n_chars", F.lit("many"))
+    got = {r.doc_id: r for r in lines.drop_duplicate_lines(docs).collect()}
+    assert lines.drop_duplicate_lines(docs).columns == docs.columns
+    assert got[2].text == "and another" and got[2].n_chars == "many" and got[1].spots == 2 and got[3].code == "c"
+
+
 def test_empty_table(make_docs):
     assert lines.line_dedup(make_docs([])).collect() == []

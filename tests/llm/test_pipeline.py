@@ -97,3 +97,21 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_keep_columns_of_any_name(spark, make_docs):
+    """Names that the operators use inside are a user's columns outside."""
+    from popflow.llm import decontaminate, mixing
+    from popflow.llm.queries import MIX
+
+    names = {"candidates": "c", "full": 1.5, "cut": "x", "n_epochs": "old", "domain": 7, "win": 2, "spots": "s"}
+    docs = make_docs([(i, f"words of text {i} " * 4) for i in range(40)], **names)
+    bench = spark.createDataFrame([(1, "words of text 7 words of text 7 words of text 7")], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == set(range(40)) - {7} and all(r.candidates == "c" and r.full == 1.5 for r in rows)
+    mixed = mixing.mix_documents(docs, **MIX)
+    assert mixed.columns == [c for c in docs.columns if c != "n_epochs"] + ["n_epochs"]
+    taken = mixed.collect()
+    assert taken and all(r.cut == "x" and r.full == 1.5 and r.domain == 7 and 1 <= r.n_epochs <= 3 for r in taken)
