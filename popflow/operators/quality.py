@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,66 @@ def reconcile(view: DataFrame, table: DataFrame, keys: Sequence[str],
         F.count_if(both & differs).alias("mismatched_rows"))
 
 
+#: Buckets of a digest, and the finer ones inside a bucket that differs.
+BUCKETS = 1_024
+
+
+def digest(df: DataFrame, keys: Sequence[str], compare: Sequence[str], bucket: Column) -> DataFrame:
+    """Per bucket of keys: rows, and sums that do not depend on their order.
+
+    Two independent 64-bit hashes of a row: the halves of one are added up, the
+    other is combined by exclusive or. A NULL is hashed as such, so columns that
+    trade a NULL for a value differ.
+    """
+    parts = [x for c in (*keys, *compare) for x in (F.col(c).isNull(), F.col(c))]
+    one, two = F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+    low = F.lit(0xFFFFFFFF)
+    return df.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(one.bitwiseAND(low)).alias("low"),
+        F.sum(F.shiftrightunsigned(one, 32)).alias("high"), F.bit_xor(two).alias("mix"))
+
+
+def _differing(view: DataFrame, table: DataFrame, keys, compare, bucket: Column) -> tuple[list[int], int, int]:
+    """Buckets whose digests differ (at most as many as there are buckets), and both sides' rows."""
+    sides = digest(view, keys, compare, bucket).withColumn("side", F.lit(1)).unionByName(
+        digest(table, keys, compare, bucket).withColumn("side", F.lit(0)))
+    ours = F.col("side") == 1
+    same = F.lit(True)
+    for c in ("rows", "low", "high", "mix"):
+        same = same & (F.max(F.when(ours, F.col(c))).eqNullSafe(F.max(F.when(~ours, F.col(c)))))
+    found = sides.groupBy("bucket").agg(
+        same.alias("same"), F.sum(F.when(ours, F.col("rows"))).alias("v"), F.sum(F.when(~ours, F.col("rows"))).alias("t"))
+    total = found.agg(F.collect_list(F.when(~F.col("same"), F.col("bucket"))), F.coalesce(F.sum("v"), F.lit(0)),
+                      F.coalesce(F.sum("t"), F.lit(0))).first()
+    return sorted(total[0]), total[1], total[2]
+
+
+def reconcile_by_digest(view: DataFrame, table: DataFrame, keys: Sequence[str], compare: Sequence[str] = (),
+                        buckets: int = BUCKETS) -> DataFrame:
+    """As :func:`reconcile`, without a join of what is equal. Keys must be unique on each side.
+
+    Both sides are reduced to one digest row per bucket of key hashes; equal
+    tables end there, with nothing but those rows shuffled. Only keys in buckets
+    that differ are digested again in finer buckets, and only what still differs
+    is joined. Each step filters by values of the key alone, so it holds however
+    often a side is computed.
+    """
+    keys, compare = list(keys), list(compare)
+    parts = [x for c in keys for x in (F.col(c).isNull(), F.col(c))]
+    coarse = F.pmod(F.xxhash64(F.lit(3), *parts), F.lit(buckets))
+    fine = F.pmod(F.xxhash64(F.lit(4), *parts), F.lit(buckets))
+    differ, n_view, n_table = _differing(view, table, keys, compare, coarse)
+    if not differ:
+        return view.sparkSession.range(1).select(
+            F.lit(n_view).cast("long").alias("view_rows"), F.lit(n_table).cast("long").alias("table_rows"),
+            *[F.lit(0).cast("long").alias(c) for c in ("missing_keys", "extra_keys", "mismatched_rows")])
+    view, table = (df.where(coarse.isin(differ)) for df in (view, table))
+    finer, _, _ = _differing(view, table, keys, compare, fine)
+    view, table = (df.where(fine.isin(finer)) for df in (view, table))
+    return reconcile(view, table, keys, compare).withColumns(
+        {"view_rows": F.lit(n_view).cast("long"), "table_rows": F.lit(n_table).cast("long")})
+
+
 def freshness(tables: Mapping[str, tuple[DataFrame, str]], now=None) -> DataFrame:
     """``table_name, latest_ts, age_seconds`` per table; ``tables`` maps a
     name to (DataFrame, timestamp column). ``now`` defaults to the current

@@ -287,6 +287,16 @@ def q_reconcile_leaderboard(spark, d):
     return quality.reconcile(lb, rolled, ["player"], ["total_score", "bonus_hits"])
 
 
+def q_reconcile_changed(spark, d):
+    """Colour statistics of all events against those without every 500th event and
+    with some colours unknown: by digests, joining only what differs."""
+    ge = _ge(spark, d)
+    other = ge.where("event_id % 500 <> 0").withColumn("balloon_color", F.when(
+        (F.col("event_id") % 1000 == 1) & (F.col("char_id") == 3), F.lit(None)).otherwise(F.col("balloon_color")))
+    return quality.reconcile_by_digest(views.color_stats(ge), views.color_stats(other), ["player", "balloon_color"],
+                                       ["balloon_pops", "points_by_color", "bonus_hits", "event_ts"])
+
+
 def q_freshness(spark, d):
     ge = _ge(spark, d)
     return quality.freshness({
@@ -440,6 +450,7 @@ QUERIES: dict[str, Query] = {
     # verification (K1-K4)
     "table_counts": q_table_counts,
     "reconcile_leaderboard": q_reconcile_leaderboard,
+    "reconcile_changed": q_reconcile_changed,
     "freshness": q_freshness,
     "null_report": q_null_report,
     # stored tables
@@ -665,6 +676,15 @@ UNION ALL SELECT 'leaderboard', 1, count(*), min(t), max(t) FROM a""",
         for name, keys in (("leaderboard", "player"), ("balloon_color_stats", "player, balloon_color"),
                            ("realtime_scores", "player, w"), ("balloon_colored_pops", "player, balloon_color, w"),
                            ("color_performance_trends", "balloon_color, w"))),
+    "reconcile_changed": _with(GE, CS, CS.replace("cs AS", "other AS").replace("FROM ge", """FROM (
+    SELECT * EXCLUDE (balloon_color), CASE WHEN event_id % 1000 = 1 AND char_id = 3 THEN NULL ELSE balloon_color END AS balloon_color
+    FROM ge WHERE event_id % 500 <> 0)""")) + """
+SELECT (SELECT count(*) FROM cs) AS view_rows, (SELECT count(*) FROM other) AS table_rows,
+       count(*) FILTER (WHERE o.k IS NULL) AS missing_keys, count(*) FILTER (WHERE c.k IS NULL) AS extra_keys,
+       count(*) FILTER (WHERE c.k AND o.k AND (c.balloon_pops, c.points_by_color, c.bonus_hits, c.event_ts)
+         IS DISTINCT FROM (o.balloon_pops, o.points_by_color, o.bonus_hits, o.event_ts)) AS mismatched_rows
+FROM (SELECT *, true AS k FROM cs) c FULL JOIN (SELECT *, true AS k FROM other) o
+  ON c.player = o.player AND c.balloon_color = o.balloon_color""",
     "stored_reconcile": _with(GE, CS) + """
 SELECT count(*) AS view_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS extra_keys,
        CAST(0 AS BIGINT) AS mismatched_rows FROM cs""",
