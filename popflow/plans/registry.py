@@ -197,6 +197,12 @@ def q_stored_counts(spark, d):
     return _kept(quality.measured_counts({n: store.commits(n) for n in views.VIEWS}), store)
 
 
+def q_stored_player_lookup(spark, d):
+    """One player's windows from the stored table, found by the files' Bloom filters."""
+    store = _stored(spark, d, ["balloon_colored_pops"])
+    return _kept(_as_stored(store.player_rows("balloon_colored_pops", [PLAYER]), "balloon_colored_pops"), store)
+
+
 def q_stored_reconcile(spark, d):
     store = _stored(spark, d, ["balloon_color_stats"])
     view = views.color_stats(_stored_events(spark, d))
@@ -459,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "commit_log": q_commit_log,
     "stored_counts": q_stored_counts,
     "stored_reconcile": q_stored_reconcile,
+    "stored_player_lookup": q_stored_player_lookup,
     "stored_freshness": q_stored_freshness,
     "stored_required_nulls": q_stored_required_nulls,
     "lifecycle_append": q_lifecycle_append,
@@ -685,6 +692,7 @@ SELECT (SELECT count(*) FROM cs) AS view_rows, (SELECT count(*) FROM other) AS t
          IS DISTINCT FROM (o.balloon_pops, o.points_by_color, o.bonus_hits, o.event_ts)) AS mismatched_rows
 FROM (SELECT *, true AS k FROM cs) c FULL JOIN (SELECT *, true AS k FROM other) o
   ON c.player = o.player AND c.balloon_color = o.balloon_color""",
+    "stored_player_lookup": _with(GE, CP(W6)) + f"SELECT * FROM cp WHERE player = '{PLAYER}'",
     "stored_reconcile": _with(GE, CS) + """
 SELECT count(*) AS view_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS extra_keys,
        CAST(0 AS BIGINT) AS mismatched_rows FROM cs""",

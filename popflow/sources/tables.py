@@ -48,6 +48,8 @@ COMMIT_SCHEMA = T.StructType([
 # Target rows per written file of a changelog partition (a few tens of MB of
 # Parquet for these narrow rows).
 ROWS_PER_FILE = 2_000_000
+#: Distinct players a file's Bloom filter is sized for, at most.
+PLAYERS_PER_FILE = 100_000
 
 
 @dataclass(frozen=True)
@@ -133,7 +135,8 @@ class TableStore:
     def create_table(self, name: str, schema: T.StructType,
                      partition_cols: Sequence[str] = (), comment: str | None = None,
                      properties: dict[str, str] | None = None,
-                     partition_exprs: Sequence[str] | None = None) -> None:
+                     partition_exprs: Sequence[str] | None = None,
+                     options: dict[str, str] | None = None) -> None:
         """``CREATE TABLE IF NOT EXISTS`` with schema, partitioning and
         properties. Plain Parquet tables have no NOT NULL (Spark would not
         enforce it): the schema's required columns are checked by the sink and
@@ -144,6 +147,8 @@ class TableStore:
             + (f" COMMENT {sql_string(f.metadata['comment'])}" if f.metadata.get("comment") else "")
             for f in schema)
         ddl = f"CREATE TABLE IF NOT EXISTS {self.qualified(name)} ({cols}) USING {self.fmt}"
+        if options:
+            ddl += " OPTIONS (" + ", ".join(f"{sql_string(k)} {sql_string(v)}" for k, v in options.items()) + ")"
         parts = list(partition_exprs or partition_cols)
         if parts:
             ddl += " PARTITIONED BY (" + ", ".join(parts) + ")"
@@ -202,7 +207,23 @@ class TableStore:
                                               **self._sort_property(name)})
             else:
                 self.create_table(name, self.changelog_schema(name), self.partition_cols(name),
-                                  properties=self._sort_property(name))
+                                  properties=self._sort_property(name), options=self._bloom_options(name))
+
+    def _bloom_options(self, name: str) -> dict[str, str]:
+        """Bloom filters on the player, in the files of every batch.
+
+        No partition and no leading sort column serves a player's rows; a filter
+        lets a read skip the row groups that do not hold the player. It is sized
+        by the distinct players it may see in a file, and adapts below that.
+        """
+        if "player" not in TABLE_SCHEMAS[name].names or "player" in self.partition_cols(name):
+            return {}
+        return {"parquet.bloom.filter.enabled#player": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+                "parquet.bloom.filter.expected.ndv#player": str(PLAYERS_PER_FILE)}
+
+    def player_rows(self, name: str, players: Sequence[str], mode: str = "current") -> DataFrame:
+        """Stored rows of some players: the equality reaches the scan and its filters."""
+        return self.read_table(name, mode).where(F.col("player").isin(list(players)))
 
     def _sort_property(self, name: str) -> dict[str, str]:
         """The table's sort order, stored with it (the sink sorts files by it)."""

@@ -1,0 +1,66 @@
+"""A player's rows in a stored table: the equality is pushed, row groups without the player are skipped."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from popflow.sources.tables import TableStore
+from tests.test_plans import _explain
+
+
+def scanned(df):
+    """Rows that the file scan put out, and the physical plan's text."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, rows = [plan], None
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan "):
+            rows = node.metrics().get("numOutputRows").get().value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+@pytest.fixture
+def only_bloom(spark):
+    """Neither dictionaries nor page indexes may skip anything; row groups are small."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    settings = {"parquet.filter.dictionary.enabled": "false", "parquet.filter.columnindex.enabled": "false",
+                "parquet.block.size": "4096", "parquet.page.size": "1024", "parquet.block.size.row.check.min": "100",
+                "parquet.page.size.row.check.min": "10", "parquet.block.row.count.limit": "500"}
+    for k, v in settings.items():
+        conf.set(k, v)
+    yield conf
+    for k in settings:
+        conf.unset(k)
+
+
+def test_lookup_skips_row_groups(spark, only_bloom, tmp_path):
+    store = TableStore(spark, "bloom_t", location=str(tmp_path / "t"))
+    store.create_view_tables(["leaderboard"])
+    # ordered by score in the file, so that every row group spans nearly all names
+    rows = spark.range(0, 20_000, 1, 1).select(
+        F.concat(F.lit("player_"), F.pmod(F.col("id") * 7919, F.lit(20_000))).alias("player"), F.col("id").alias("total_score"),
+        F.lit(0).cast("long").alias("bonus_hits"), F.lit("2024-01-01").cast("timestamp").alias("event_ts"))
+    store.write_batch("leaderboard", rows, 0)
+    found = store.player_rows("leaderboard", ["player_7"])
+    assert "EqualTo(player,player_7)" in _explain(found) or "In(player" in _explain(found)
+    assert [r.player for r in found.collect()] == ["player_7"]
+    with_filter = scanned(store.player_rows("leaderboard", ["player_7"], "changelog"))
+    only_bloom.set("parquet.filter.bloom.enabled", "false")
+    without = scanned(store.player_rows("leaderboard", ["player_7"], "changelog"))
+    only_bloom.unset("parquet.filter.bloom.enabled")
+    assert without == 20_000 and with_filter <= 3_000
+    assert scanned(store.player_rows("leaderboard", ["player_5x"], "changelog")) <= 3_000  # no such player, inside the range
+    store.drop_namespace()
+
+
+def test_tables_partitioned_by_player_need_no_filter(spark, tmp_path):
+    faithful = TableStore(spark, "bloom_f", location=str(tmp_path / "f"), layout="faithful")
+    assert faithful._bloom_options("leaderboard") == {} and faithful._bloom_options("realtime_scores") != {}
+    assert TableStore(spark, "bloom_s")._bloom_options("color_performance_trends") == {}
