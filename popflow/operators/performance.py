@@ -92,7 +92,8 @@ def _bin_index(ts: Column, epoch: Column, width_us: int) -> Column:
 
 
 def time_window_summary(cpt: DataFrame, freq: str = "15 seconds", truncate: bool = True,
-                        bounds: DataFrame | None = None, start=None, end=None) -> DataFrame:
+                        bounds: DataFrame | None = None, start=None, end=None,
+                        stretches: DataFrame | None = None) -> DataFrame:
     """Per ``freq`` bin of ``window_start``: mean/min/max/count of the window
     averages and total pops, **including empty bins** between the first and
     last bin (count and pops 0, statistics NULL).
@@ -106,7 +107,9 @@ def time_window_summary(cpt: DataFrame, freq: str = "15 seconds", truncate: bool
     :func:`popflow.operators.views.window_bounds` of the events) spares a second
     evaluation of ``cpt`` for its minimum and maximum. ``start`` and ``end``
     (window starts, inclusive, UTC wall clock) restrict data and filled bins, so
-    one stray timestamp cannot make the output unbounded.
+    one stray timestamp cannot make the output unbounded. ``stretches`` (first,
+    last bin; as :mod:`popflow.streaming.gaps` keeps them) names the empty bins
+    instead: nothing is derived from the data's ends.
     """
     width_us = interval_micros(freq)
     # Zone-less epoch of the same type as window_start: bins stay aligned to
@@ -121,6 +124,8 @@ def time_window_summary(cpt: DataFrame, freq: str = "15 seconds", truncate: bool
         first, last = bounds.columns
         limits = bounds.select(_bin_index(F.col(first), epoch, width_us).alias("_lo"),
                                _bin_index(F.col(last), epoch, width_us).alias("_hi"))
+    if stretches is not None:
+        limits = stretches.select(F.col("first").alias("_lo"), F.col("last").alias("_hi"))
     for value, pick, col in ((start, F.greatest, "_lo"), (end, F.least, "_hi")):
         if value is not None:
             edge = _bin_index(ts_as(value, ts_type), epoch, width_us)

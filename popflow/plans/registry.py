@@ -356,6 +356,24 @@ def q_stream_color_coverage(spark, d):
     return _kept(sketches.coverage(stored_sketches(store)), store)
 
 
+def q_stream_window_summary(spark, d):
+    """The window summary with its empty windows, both kept by a stream: the windows
+    with events by the view, the others by timers as time passes them."""
+    from popflow.sources.events import StreamConfig, read_events_stream
+    from popflow.streaming.gaps import start_gaps, stored_stretches
+    from popflow.streaming.pipeline import await_all, start_views
+    from popflow.streaming.replay import stage_events
+
+    name = "color_performance_trends"
+    base = stage_events(_ge(spark, d))
+    store = TableStore(spark, f"gaps_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
+    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    await_all({**start_views(stream, store, f"{base}/checkpoints", [name], PAGE_WIDTH, trigger={"availableNow": True}),
+               "gaps": start_gaps(stream, store, f"{base}/checkpoints/gaps", PAGE_WIDTH, trigger={"availableNow": True})})
+    out = perf.time_window_summary(store.read_table(name), PAGE_WIDTH, stretches=stored_stretches(store))
+    return _kept(out.withColumn("window_start", utc_wall_clock("window_start")), store)
+
+
 def q_stream_bounded_state(spark, d):
     """The leaderboard with state for active players only, the events dealt at random
     over the micro-batches: an idle player's total leaves the state, and what comes
@@ -486,6 +504,8 @@ QUERIES: dict[str, Query] = {
     "stream_one_read": q_stream_one_read,
     # bounded state with corrected late events
     "stream_bounded_state": q_stream_bounded_state,
+    # empty windows by event-time timers
+    "stream_window_summary": q_stream_window_summary,
     # stored sketches, merged
     "perf_distribution_daily": q_perf_distribution_daily,
     "stream_color_coverage": q_stream_color_coverage,
@@ -817,3 +837,4 @@ UNION ALL SELECT 'props', count(*) - count(props) FROM events""",
 ORACLE["score_pops_tables"] = ORACLE["score_pops"]
 ORACLE["stored_freshness"] = ORACLE["freshness"]
 ORACLE["stream_color_coverage"] = ORACLE["color_coverage"]
+ORACLE["stream_window_summary"] = ORACLE["time_window_summary_6h"]
