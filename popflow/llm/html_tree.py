@@ -39,7 +39,7 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Page:
-    """Elements in page order: parent, tag, path (hash of the tags and classes above and at it) and judgement by name.
+    """Elements in page order: parent, tag, path (hash of the tags, classes and places above and at it) and judgement by name.
 
     ``noise`` is 2 for furniture, 1 for a name that a wrapper of the article may have too, else 0.
     """
@@ -49,6 +49,32 @@ class Page:
         self.runs: list[tuple[int, int, str]] = []  # element, block number, source text
         self.links: list[tuple[int, str]] = []
 
+    def place(self) -> None:
+        """Set the paths, once all elements are known.
+
+        An element without class and id, prose and inline ones aside, is told
+        from its like by its place among them, counted from the nearer end: so a
+        bare page's header, body and footer are nodes of their own, and stay the
+        same nodes when something comes between.
+        """
+        seen: dict[tuple[int, str], int] = {}
+        bare = [self.sig[i] == self.tag[i] and self.tag[i] not in PROSE and self.tag[i] not in INLINE for i in range(len(self.tag))]
+        number = [0] * len(self.tag)
+        for i in range(1, len(self.tag)):
+            if bare[i]:
+                key = self.parent[i], self.tag[i]
+                number[i] = seen[key] = seen.get(key, -1) + 1
+        for i in range(1, len(self.tag)):
+            above = self.path[self.parent[i]]
+            if self.tag[i] in INLINE:
+                self.path.append(above)
+                continue
+            sig = self.sig[i]
+            if bare[i]:
+                before, behind = number[i], seen[self.parent[i], self.tag[i]] + 1 - number[i]
+                sig = f"{sig}#{before if before < behind else -behind}"
+            self.path.append(xxhash.xxh64_intdigest(sig, above) >> 1)
+
     def add(self, parent: int, tag: str, attributes: str) -> int:
         found, sig = {}, tag
         if attributes and not attributes.isspace():
@@ -67,7 +93,6 @@ class Page:
         self.parent.append(parent)
         self.tag.append(tag)
         self.sig.append(sig)
-        self.path.append(self.path[parent] if tag in INLINE else xxhash.xxh64_intdigest(sig, self.path[parent]) >> 1)
         self.noise.append(noise)
         self.landmark.append(landmark)
         if tag == "a" and found.get("href"):
@@ -141,4 +166,5 @@ def parse(html: str) -> Page:
             i = n if end is None else end.end()
         elif name not in VOID and not (attributes.endswith("/") and name in ("svg", "path")):
             stack.append(at)
+    page.place()
     return page

@@ -102,3 +102,39 @@ def test_importance_matches_the_formula(spark):
 
 def test_empty_table(spark):
     assert hx.main_texts(frame(spark, [])).collect() == []
+
+
+def test_the_tree_alone_tells_furniture_on_planted_hosts(spark):
+    """Bare div pages, no class, id, role or telling tag: furniture goes by the tree, articles stay."""
+    rng = random.Random(21)
+    words = ["".join(rng.choices("abcdefghijklm", k=rng.randint(2, 9))) for _ in range(900)]
+    say = lambda n: " ".join(rng.choices(words, k=n))
+    pages, article, furniture = [], {}, {}
+    for host in range(4):
+        menu = [say(2) for _ in range(6)]
+        notices, sides, foot = [say(9) for _ in range(3)], [[say(4) for _ in range(4)] for _ in range(2)], f"© host{host} {say(5)}"
+        for k in range(60):
+            i = 1_000 * host + k
+            body = [say(6).upper(), *(say(rng.randint(12, 60)) for _ in range(rng.randint(2, 9)))]
+            notice, side, advert = rng.choice(notices), rng.choice(sides), rng.random() < 0.3
+            html = (f"<html><head><title>{say(4)}</title></head><body><div><ul>" + "".join(f"<li><a href=/x>{m}</a></li>" for m in menu)
+                    + f"</ul></div><div>{notice}</div><div><h1>{body[0]}</h1>" + "".join(f"<p>{p}</p>" for p in body[1:])
+                    + "</div><div><ul>" + "".join(f"<li>{s}</li>" for s in side) + "</ul></div>"
+                    + (f"<div><p>{notices[0]} now</p></div>" if advert else "") + f"<div>{foot}</div></body></html>")
+            pages.append((i, f"https://host{host}.example/{k}", html))
+            article[i], furniture[i] = set(body), {*menu, notice, *side, foot, *([notices[0] + " now"] if advert else [])}
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    kept = {r.page_id: set(r.text.split("\n\n")) for r in hx.main_texts(df).collect()}
+    blocks = lambda of: sum(len(of[i]) for i in kept)
+    assert sum(len(article[i] & kept[i]) for i in kept) >= 0.95 * blocks(article)
+    assert sum(len(furniture[i] - kept[i]) for i in kept) >= 0.9 * blocks(furniture)
+
+
+def test_bare_elements_are_told_by_their_place():
+    """From the nearer end among their like; named, prose and inline elements are not numbered."""
+    few = parse("<body><div>a</div><div>b</div><div>c</div></body>")
+    more = parse("<body><div>a</div><div>x</div><div>b</div><div>c</div></body>")
+    assert len(set(few.path[2:5])) == 3
+    assert few.path[2] == more.path[2] and few.path[4] == more.path[5]  # the first and the last
+    alike = parse('<div><p>a</p><p>b</p><div class="c1">x</div><div class="c2">y</div><b>i</b></div>')
+    assert alike.path[2] == alike.path[3] and alike.path[4] == alike.path[5] and alike.path[6] == alike.path[1]
