@@ -158,6 +158,28 @@ def _unpack(about: bytes) -> np.ndarray:
     return out
 
 
+def least_by_sort(windows: list[bytes], docs: np.ndarray) -> np.ndarray:
+    """For each window the smallest document of all equal ones, by sorting.
+
+    Windows are sorted by 128-bit digests; neighbours of one digest are compared
+    word for word, and if any differ, the windows themselves are sorted.
+    """
+    if not windows:
+        return docs
+    name = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, windows)), ">u8").reshape(-1, 2).astype(np.uint64)
+    order = np.lexsort((name[:, 1], name[:, 0]))
+    same = np.append(False, (name[order[1:]] == name[order[:-1]]).all(axis=1))
+    at = order.tolist()
+    if any(windows[at[k]] != windows[at[k - 1]] for k in np.flatnonzero(same).tolist()):
+        at = sorted(range(len(windows)), key=windows.__getitem__)
+        order = np.array(at)
+        same = np.array([k > 0 and windows[at[k]] == windows[at[k - 1]] for k in range(len(at))])
+    starts = np.flatnonzero(~same)
+    out = np.empty(len(docs), np.int64)
+    out[order] = np.minimum.reduceat(docs[order], starts)[np.cumsum(~same) - 1]
+    return out
+
+
 class _Bucket:
     """All rows of one bucket: strings first, further occurrences after them."""
 
@@ -172,24 +194,21 @@ class _Bucket:
         about, out = np.concatenate(self.about), []
         _, at, uses = np.unique(about["key"], return_inverse=True, return_counts=True)
         shared = np.flatnonzero((uses[at] > 1) | (about["many"] > 0)).tolist()  # others hold no window twice
-        best: dict[bytes, int] = {}
-        windows: dict[bytes, list[bytes]] = {}
         docs, places, many = about["doc"].tolist(), about["place"].tolist(), about["many"].tolist()
         least_doc: dict[bytes, int] = {}
         for i in shared:
             packed = self.strings[i]
             least_doc[packed] = min(least_doc.get(packed, NO_ID), docs[i])
-        for packed, doc in least_doc.items():
+        windows, ends = [], []
+        for packed in least_doc:
             words = packed.split(b" ")
             begin = [0]
             for w in words:
                 begin.append(begin[-1] + len(w) + 1)
-            own = windows[packed] = [packed[begin[i]:begin[i + self.window] - 1]
-                                     for i in range(len(words) - self.window + 1)]
-            for w in own:
-                if best.get(w, NO_ID) >= doc:
-                    best[w] = doc
-        least = {p: np.array([best[w] for w in own], np.int64) for p, own in windows.items()}
+            windows += [packed[begin[i]:begin[i + self.window] - 1] for i in range(len(words) - self.window + 1)]
+            ends.append(len(windows))
+        own = np.repeat(np.fromiter(least_doc.values(), np.int64, len(least_doc)), np.diff(ends, prepend=0))
+        least = dict(zip(least_doc, np.split(least_by_sort(windows, own), ends[:-1])))
         for i in shared:
             found = least[self.strings[i]]
             if docs[i] > found.min():
@@ -269,11 +288,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = text.encode()
             words = data.split()
             if spans:
-                code, gone = row_code(data), np.zeros(len(words) + 1, np.int64)
+                gone = np.zeros(len(words) + 1, np.int64)
                 for s in spans:
-                    if s["row"] == code:
-                        gone[s["first"]] += 1
-                        gone[s["stop"]] -= 1
+                    gone[s["first"]] += 1
+                    gone[s["stop"]] -= 1
                 keep = np.flatnonzero(np.cumsum(gone[:-1]) == 0).tolist()
                 kept = [words[i] for i in keep]
             else:
@@ -293,6 +311,8 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     other. Empty tables give no rows; other columns are ignored.
     """
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = (duplicate_spans(rows, window).groupBy("doc")
-             .agg(F.collect_list(F.struct("row", "first", "stop")).alias("spans")))
-    return rows.join(spans, "doc", "left").select("doc_id", "text", "spans").mapInArrow(_kept, OUT_DDL)
+    spans = (duplicate_spans(rows, window).groupBy("doc", "row")
+             .agg(F.collect_list(F.struct("first", "stop")).alias("spans")))
+    # each row gets the spans of its own text only, also where many share an id or have none
+    code = F.crc32(F.col("text").cast("binary")).bitwiseAND(F.lit(0x7FFFFFFF))
+    return rows.withColumn("row", code).join(spans, ["doc", "row"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, OUT_DDL)

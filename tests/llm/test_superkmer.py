@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from popflow.llm import superkmer
 
 
@@ -57,3 +59,17 @@ def test_many_copies_and_small_flushes(make_docs, monkeypatch):
 
 def test_empty_table(make_docs):
     assert superkmer.substring_dedup(make_docs([])).collect() == []
+
+
+def test_counting_by_sort_is_exact_whatever_the_digests(monkeypatch):
+    rng = random.Random(6)
+    windows = [b" ".join(rng.choices([b"a", b"b", b"c"], k=4)) for _ in range(500)]
+    docs = np.array([rng.randrange(90) for _ in windows])
+    want = {}
+    for w, d in zip(windows, docs.tolist()):
+        want[w] = min(want.get(w, d), d)
+    assert superkmer.least_by_sort(windows, docs).tolist() == [want[w] for w in windows]
+    # digests that collide: the words decide
+    monkeypatch.setattr(superkmer.xxhash, "xxh3_128_digest", lambda w: bytes([w[0]]) * 16)
+    assert superkmer.least_by_sort(windows, docs).tolist() == [want[w] for w in windows]
+    assert superkmer.least_by_sort([], docs[:0]).tolist() == []
