@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from popflow.llm.common import staged, text_or_empty
+from popflow.llm.common import ship, staged, text_or_empty
 from popflow.llm.graph import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -195,18 +195,19 @@ def one_per_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFra
     It is the document with the group's smallest id; of several rows with that
     id the one with the smallest fingerprint stays, and of equal rows one.
     """
-    prints = staged(fingerprints(docs, shingle), "fingerprints")
-    named, least = _rooted(prints, radius)
-    stay = (named.join(least, "root").where(F.col("first").eqNullSafe(F.col("component_id")))
-            .groupBy("root", "component_id").agg(F.min("fp").alias("__fp"))
-            .select(F.col("component_id").alias("__id"), "__fp"))
+    ship(docs.sparkSession)
 
     def add(batches):
         for batch in batches:
             fps = np.array([fingerprint(t or "", shingle) for t in batch["text"].to_pylist()], dtype=np.uint64)
             yield batch.append_column("__fp", pa.array(fps.view(np.int64)))
 
-    marked = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())]))
+    # The texts are read for their fingerprints once; the written rows are what the groups choose from.
+    marked = staged(docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])), "marked")
+    named, least = _rooted(marked.select("doc_id", F.col("__fp").alias("fp")), radius)
+    stay = (named.join(least, "root").where(F.col("first").eqNullSafe(F.col("component_id")))
+            .groupBy("root", "component_id").agg(F.min("fp").alias("__fp"))
+            .select(F.col("component_id").alias("__id"), "__fp"))
     kept = marked.join(stay, (marked["__fp"] == stay["__fp"]) & marked["doc_id"].eqNullSafe(stay["__id"])).drop(
         stay["__fp"])
     one = Window.partitionBy("__fp", "doc_id").orderBy("text")
