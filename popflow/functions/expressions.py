@@ -79,8 +79,9 @@ def compose_datetime(date_col, time_col) -> Column:
 
 
 def to_utc(c, tz: str = "UTC") -> Column:
-    """Read a zone-less wall-clock timestamp as ``tz`` and return UTC."""
-    return F.to_utc_timestamp(col_of(c), tz)
+    """The UTC wall clock (zone-less) of a zone-less wall clock in ``tz``,
+    whatever the session time zone."""
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), col_of(c).cast("timestamp_ntz"))
 
 
 def _epoch_ntz() -> Column:

@@ -38,9 +38,9 @@ def color_usage(cp: DataFrame, player: str | None = None, weight: str = "rows")
 def favorite_color(cp: DataFrame, player: str | None = None, weight: str = "rows") -> DataFrame:
     """Each player's most used colour (ties: colour name ascending).
 
-    ``min_by`` over (-count, colour) is a partial-aggregating hash
-    aggregate, so a player with very many colour rows is still reduced
-    map-side.
+    ``min_by`` over (-count, colour) has a struct buffer, which Spark
+    aggregates by sorting each side of its shuffle; its input is one row per
+    player and colour, and a task hands on one row per player.
     """
     usage = color_usage(cp, player, weight)
     pick = F.min_by(F.struct("balloon_color", "count"),

@@ -12,6 +12,7 @@ from popflow.functions.expressions import (
     time_label,
     time_of_day,
     ts_as,
+    to_utc,
     utc_hour,
     utc_instant,
 )
@@ -108,10 +109,11 @@ def in_time_range(df: DataFrame, start, end, col: str = "window_start",
 
 
 def in_date_time_range(df: DataFrame, start_date, start_time, end_date, end_time,
-                       col: str = "window_start") -> DataFrame:
-    """As :func:`in_time_range`, with bounds given as separate date and time."""
-    lo = compose_datetime(F.lit(str(start_date)), F.lit(str(start_time)))
-    hi = compose_datetime(F.lit(str(end_date)), F.lit(str(end_time)))
+                       col: str = "window_start", tz: str = "UTC") -> DataFrame:
+    """As :func:`in_time_range`, with bounds given as separate date and time
+    of day, as a clock in ``tz`` shows them."""
+    lo = to_utc(compose_datetime(F.lit(str(start_date)), F.lit(str(start_time))), tz)
+    hi = to_utc(compose_datetime(F.lit(str(end_date)), F.lit(str(end_time))), tz)
     if _ts_type(df, col) == "timestamp":
         lo, hi = utc_instant(lo), utc_instant(hi)
     return df.where(F.col(col).between(lo, hi))

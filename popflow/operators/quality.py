@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from popflow.functions.expressions import age_seconds, ts_as
+from popflow.operators import views
 from popflow.operators.leaderboard import require_rows  # noqa: F401  (re-export)
 
 
@@ -22,6 +23,23 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def view_counts(events: DataFrame, width: str, source: str = "game_events") -> DataFrame:
+    """``table_name, row_count`` of the events and of all their views, in one scan.
+
+    The views come fanned out of one aggregate, so the events are read and
+    grouped once; every event is in exactly one row of the first view.
+    """
+    fanned = views.fan_out(events, width)
+    per_view = fanned.groupBy("view").agg(F.count(F.lit(1)).alias("n"), F.sum("pops").alias("pops"))
+    first = next(iter(views.FAN_USES))
+    counted = F.array(F.struct(F.col("view").alias("table_name"), F.col("n").alias("row_count")),
+                      F.struct(F.when(F.col("view") == first, F.lit(source)).alias("table_name"), F.col("pops").alias("row_count")))
+    found = per_view.select(F.inline(counted)).where("table_name is not null")
+    # without events there is no row to count, but the tables are there
+    none = events.sparkSession.createDataFrame([(n, 0) for n in (source, *views.FAN_USES)], "table_name string, row_count long")
+    return found.unionByName(none).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
+
+
 def reconcile(view: DataFrame, table: DataFrame, keys: Sequence[str],
               compare: Sequence[str] = ()) -> DataFrame:
     """Row counts on both sides, keys missing from / extra in the table, and

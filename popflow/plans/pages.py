@@ -14,12 +14,19 @@ from popflow.sources.tables import TableStore
 
 
 class Dashboard:
-    def __init__(self, store: TableStore, window: str = "15 seconds"):
+    """``guard=True`` refuses to build a page on an empty table (``ValueError``):
+    the sink's measures tell, so no data is read for it."""
+
+    def __init__(self, store: TableStore, window: str = "15 seconds", guard: bool = False):
         self.store = store
         self.window = window
+        self.guard = guard
 
-    def table(self, name: str) -> DataFrame:
-        return self.store.read_table(name, "current")
+    def table(self, name: str, mode: str = "current") -> DataFrame:
+        if self.guard:
+            measured = self.store.exists(self.store.commits_table(name))
+            lbp.require_rows(self.store.commits(name).where("rows > 0") if measured else self.store.table(name), name)
+        return self.store.read_table(name, mode)
 
     def leaderboard_page(self, players=None, start=None, end=None,
                          unit: str = "minutes", k: int = 5) -> dict[str, DataFrame]:
@@ -34,7 +41,7 @@ class Dashboard:
         two, with identical results.
         """
         lb = self.table("leaderboard")
-        rs = self.store.read_table("realtime_scores", "changelog")
+        rs = self.table("realtime_scores", "changelog")
         window_rows = rs
         if start is not None and end is not None:
             window_rows = lbp.in_time_range(rs, start, end, hour_col="window_hour")

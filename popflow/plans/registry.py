@@ -273,15 +273,7 @@ def _rs_in_range(spark, d):
 
 
 def q_table_counts(spark, d):
-    ge = _ge(spark, d)
-    return quality.table_counts({
-        "game_events": ge,
-        "leaderboard": views.leaderboard(ge),
-        "balloon_color_stats": views.color_stats(ge),
-        "realtime_scores": views.realtime_scores(ge, VIEW_WIDTH),
-        "balloon_colored_pops": views.colored_pops(ge, VIEW_WIDTH),
-        "color_performance_trends": views.color_performance(ge, VIEW_WIDTH),
-    })
+    return quality.view_counts(_ge(spark, d), VIEW_WIDTH)
 
 
 def q_reconcile_leaderboard(spark, d):

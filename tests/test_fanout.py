@@ -52,6 +52,29 @@ def test_each_view_comes_out_of_the_fan(spark, odd_events, name):
     assert dict(plain.dtypes)["window_start"] == "timestamp_ntz"
 
 
+def test_counts_of_all_views_in_one_scan(spark, odd_events):
+    for events in (odd_events, odd_events.limit(0)):
+        want = {n: len(view_rows(n, events)) for n in views.VIEWS} | {"game_events": events.count()}
+        got = quality.view_counts(events, WIDTH)
+        assert {r.table_name: r.row_count for r in got.collect()} == want
+    plan = quality.view_counts(game_events(spark, SF001), WIDTH)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
+def test_pages_refuse_empty_tables(spark, odd_events, tmp_path):
+    from popflow.plans.pages import Dashboard
+
+    store = TableStore(spark, "fan_guard", location=str(tmp_path / "t"))
+    store.create_view_tables()
+    for page in (Dashboard(store, guard=True).leaderboard_page, Dashboard(store, guard=True).performance_page):
+        with pytest.raises(ValueError, match="No data available"):
+            page()
+    assert Dashboard(store).performance_page()["summary"].count() == 1
+    fanout_writer(store, list(views.VIEWS), WIDTH, None)(views.fan_out(odd_events, WIDTH), 0)
+    assert Dashboard(store, WIDTH, guard=True).leaderboard_page()["scoreboard"].count() > 0
+    store.drop_namespace()
+
+
 def test_stream_reads_every_event_once(spark, tmp_path):
     ge = game_events(spark, SF001)
     base = stage_events(ge, 6, str(tmp_path), shuffled=True)  # every batch holds late events

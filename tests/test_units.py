@@ -387,10 +387,25 @@ def test_time_bounds_read_as_utc_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_to_utc_reads_a_zone():
+def test_to_utc_reads_a_zone(spark):
+    """Summer and winter time, a half-hour zone; the session's zone plays no part."""
     from popflow.functions.expressions import to_utc
 
-    assert "to_utc_timestamp" in str(to_utc("t", "America/New_York"))
+    rows = [("2024-01-10 00:30:00",), ("2024-07-10 00:30:00",), (None,)]
+    df = spark.createDataFrame(rows, "s string").withColumn("t", F.col("s").cast("timestamp_ntz"))
+    want = {"America/New_York": ["2024-01-10 05:30:00", "2024-07-10 04:30:00", None],
+            "Asia/Kolkata": ["2024-01-09 19:00:00", "2024-07-09 19:00:00", None], "UTC": [r[0] for r in rows]}
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for session in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", session)
+        try:
+            for zone, times in want.items():
+                assert [r.u for r in df.select(to_utc("t", zone).cast("string").alias("u")).collect()] == times
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+    windows = df.where("t is not null").select(F.col("t").alias("window_start"))
+    assert lbp.in_date_time_range(windows, "2024-01-09", "19:30:00", "2024-01-09", "19:30:00", tz="America/New_York").count() == 1
+    assert lbp.in_date_time_range(windows, "2024-01-10", "00:00:00", "2024-01-10", "01:00:00").count() == 1
 
 
 def test_window_summary_bounds_and_range(spark):
