@@ -15,7 +15,6 @@ import html as entities
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,8 +32,8 @@ MIN_PAGES = 8
 FLUSH_KEYS = 300_000
 
 COUNTS = pa.schema([("host", pa.string()), ("path", pa.int64()), ("above", pa.int64()), ("kind", pa.string()),
-                    ("value", pa.int64()), ("pages", pa.float64())])
-COUNTS_DDL = "host string, path long, above long, kind string, value long, pages double"
+                    ("value", pa.int64()), ("pages", pa.float64()), ("chain", pa.list_(pa.int64()))])
+COUNTS_DDL = "host string, path long, above long, kind string, value long, pages double, chain array<long>"
 OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 OUT_DDL = "page_id long, url string, text string, n_chars long"
 
@@ -47,10 +46,10 @@ def page_counts(page: Page) -> set[tuple[int, int, str, int]]:
     """(path, path above, kind, value) of a page: nodes, child sequences, texts and links."""
     out, children, texts = set(), {}, {}
     for i in range(1, len(page.tag)):
-        if page.tag[i] in INLINE:
-            continue
         up = page.parent[i]
         above = page.path[up]
+        if page.path[i] == above:  # inline, or below the last level
+            continue
         out.add((page.path[i], above, "node", 0))
         row = children.setdefault(above, [])
         if not row or row[-1] != page.sig[i]:
@@ -71,22 +70,42 @@ def page_counts(page: Page) -> set[tuple[int, int, str, int]]:
     return out
 
 
+def chains(above_of: dict[int, int]) -> dict[int, list[int]]:
+    """The paths from the top down to each path, itself included."""
+    out: dict[int, list[int]] = {}
+    for path in above_of:
+        way = []
+        while path in above_of and path not in out:
+            way.append(path)
+            path = above_of[path]
+        for p in reversed(way):
+            out[p] = [*out.get(above_of[p], ()), p]
+    return out
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+    chain_of: dict[tuple[str, int], list[int]] = {}
 
     def flush():
         keys = list(zip(*counts)) or [()] * 5
+        known = [chain_of[host, path] if kind == "node" else None for host, path, _, kind, _ in counts]
         return pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(keys, COUNTS)),
-                                           pa.array(list(counts.values()), pa.float64())], schema=COUNTS)
+                                           pa.array(list(counts.values()), pa.float64()),
+                                           pa.array(known, COUNTS.field("chain").type)], schema=COUNTS)
 
     for batch in batches:
         copies = batch["copies"].to_pylist() if "copies" in batch.schema.names else [1] * batch.num_rows
         for host, text, n in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), copies):
-            for key in page_counts(parse(text)):
+            found = page_counts(parse(text))
+            for key in found:
                 counts[host, *key] += 1 / n
+            for path, chain in chains({path: above for path, above, kind, _ in found if kind == "node"}).items():
+                chain_of.setdefault((host, path), chain)
         if len(counts) > FLUSH_KEYS:
             yield flush()
             counts.clear()
+            chain_of.clear()
     yield flush()
 
 
@@ -99,10 +118,12 @@ def with_copies(pages: DataFrame) -> DataFrame:
 
 
 def node_statistics(counts: DataFrame) -> DataFrame:
-    """One row per host and path: pages, styles, presentation and content importance (entropies to base pages).
+    """One row per host and path: chain from the top, pages, styles, presentation and content importance
+    (entropies to base pages).
 
     The copies of a page hold the same keys and count 1 / copies each, so sums are whole numbers of distinct pages.
     """
+    chain = counts.where("kind = 'node'").groupBy("host", "path").agg(F.max("chain").alias("chain"))
     counts = counts.groupBy("host", "path", "above", "kind", "value").agg(F.round(F.sum("pages")).alias("n"))
     n = F.col("n")
 
@@ -113,50 +134,50 @@ def node_statistics(counts: DataFrame) -> DataFrame:
         total("node", n).alias("pages"), total("style", n).alias("s"), total("style", n * F.log(n)).alias("s_log"),
         total("style", F.lit(1.0)).alias("styles"), total("text", n).alias("t"), total("text", n * F.log(n)).alias("t_log"))
     base = F.log(F.greatest("pages", F.lit(2.0)))
-    return rows.select(
-        "host", "path", "above", "pages", "styles", F.col("t").alias("texts"),
+    return rows.join(chain, ["host", "path"]).select(
+        "host", "path", "above", "chain", "pages", "styles", F.col("t").alias("texts"),
         F.when(F.col("pages") < 2, 1.0).when(F.col("s") > 0, (F.log("s") - F.col("s_log") / F.col("s")) / base)
         .otherwise(0.0).alias("presentation"),
         F.when(F.col("t") <= 0, 0.0).when(F.col("pages") < 2, 1.0)
         .otherwise(1 - F.col("t_log") / F.col("t") / base).alias("content"))
 
 
-def _noisy(nodes: pd.DataFrame) -> pd.DataFrame:
-    """Paths of one host with low composite importance and no varied texts below, from its merged tree."""
-    below: dict[int, list[int]] = {}
-    facts = {}
-    for row in nodes.itertuples(index=False):
-        facts[row.path] = row
-        below.setdefault(row.above, []).append(row.path)
-    score: dict[int, float] = {}
-    varied: dict[int, bool] = {}  # texts or links at or below the node vary
-    todo = list(facts)
-    while todo:
-        path = todo[-1]
-        open_ = [c for c in below.get(path, ()) if c not in score and c != path]
-        if path not in score and open_:
-            todo += open_
-            continue
-        todo.pop()
-        if path in score:
-            continue
-        row = facts[path]
-        parts = [(facts[c].pages, score[c]) for c in below.get(path, ()) if c != path]
-        varied[path] = row.texts > 0 and row.content > MAX_NOISE or any(varied[c] for c in below.get(path, ()) if c != path)
-        if row.texts > 0:
-            parts.append((row.pages, row.content))
-        weight = sum(w for w, _ in parts)
-        inner = sum(w * x for w, x in parts) / weight if weight else 0.0
-        keep = GAMMA ** row.styles if parts and row.styles > 1 else 1.0
-        score[path] = (1 - keep) * row.presentation + keep * inner
-    low = [p for p, x in score.items() if x <= MAX_NOISE and facts[p].pages >= MIN_PAGES and not varied[p]]
-    return pd.DataFrame({"host": [nodes["host"].iloc[0]] * len(low), "path": low}).astype({"host": "object", "path": "int64"})
+def composite(stats: DataFrame) -> DataFrame:
+    """(host, path, pages, score, varied): a node's importance with all that is below it.
+
+    A node's score is (1 - keep) * presentation + keep * the mean of its own
+    content and its children's scores, weighted by pages. Multiplied out, that is
+    the sum over the node and all below it of what each has of its own, times the
+    factors on the way up. A node knows its chain from the top, so the logarithms
+    of the factors add up along the chain, and one sum per node gives all scores:
+    no loop over levels, no host in one task.
+    """
+    below = stats.groupBy("host", F.col("above").alias("path")).agg(F.sum("pages").alias("below"))
+    weight = F.coalesce("below", F.lit(0.0)) + F.when(F.col("texts") > 0, F.col("pages")).otherwise(0.0)
+    facts = stats.join(below, ["host", "path"], "left").withColumn("weight", weight)
+    facts = facts.withColumn("keep", F.when((F.col("weight") > 0) & (F.col("styles") > 1), F.pow(
+        F.lit(GAMMA), F.col("styles"))).otherwise(1.0))
+    inner = F.when((F.col("weight") > 0) & (F.col("texts") > 0), F.col("pages") * F.col("content") / F.col("weight")).otherwise(0.0)
+    facts = facts.withColumns({"own": (1 - F.col("keep")) * F.col("presentation") + F.col("keep") * inner,
+                               "varies": (F.col("texts") > 0) & (F.col("content") > MAX_NOISE)})
+    upper = facts.select("host", F.col("path").alias("above"), F.try_divide("keep", "weight").alias("part"))
+    facts = staged(facts.join(upper, ["host", "above"], "left").select(
+        "host", "path", "chain", "pages", "own", "varies", F.coalesce(F.log(F.col("part") * F.col("pages")), F.lit(0.0)).alias("factor")),
+        "style-factors")
+    ways = facts.select("host", "path", F.explode("chain").alias("on"))
+    factors = facts.select("host", F.col("path").alias("on"), "factor")
+    way = staged(ways.join(factors, ["host", "on"]).groupBy("host", "path").agg(F.sum("factor").alias("way")), "style-ways")
+    known = facts.join(way, ["host", "path"])
+    sums = (known.select("host", F.explode("chain").alias("path"), (F.col("own") * F.exp("way")).alias("part"), "varies")
+            .groupBy("host", "path").agg(F.sum("part").alias("sum"), F.max("varies").alias("varied")))
+    return known.select("host", "path", "pages", "way").join(sums, ["host", "path"]).select(
+        "host", "path", "pages", (F.col("sum") / F.exp("way")).alias("score"), "varied")
 
 
 def noisy_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the low-importance nodes of every host's style tree."""
+    """(host, paths): the nodes of low composite importance of every host's style tree in which no text varies."""
     stats = staged(node_statistics(with_copies(pages).mapInArrow(_count, COUNTS_DDL)), "style-tree")
-    low = stats.groupBy("host").applyInPandas(_noisy, "host string, path long")
+    low = composite(stats).where((F.col("score") <= MAX_NOISE) & (F.col("pages") >= MIN_PAGES) & ~F.col("varied"))
     return low.groupBy("host").agg(F.collect_set("path").alias("paths"))
 
 

@@ -38,6 +38,10 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+#: Levels of the tree; deeper elements count as their ancestor at the last one.
+LEVELS = 64
+
+
 class Page:
     """Elements in page order: parent, tag, path (hash of the tags, classes and places above and at it) and judgement by name.
 
@@ -64,9 +68,11 @@ class Page:
             if bare[i]:
                 key = self.parent[i], self.tag[i]
                 number[i] = seen[key] = seen.get(key, -1) + 1
+        level = [0] * len(self.tag)
         for i in range(1, len(self.tag)):
             above = self.path[self.parent[i]]
-            if self.tag[i] in INLINE:
+            level[i] = level[self.parent[i]] + (self.tag[i] not in INLINE)
+            if self.tag[i] in INLINE or level[i] > LEVELS:
                 self.path.append(above)
                 continue
             sig = self.sig[i]

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from popflow.llm import html_extract as hx
+from popflow.llm import html_tree
 from popflow.llm.html_tree import parse
 
 
@@ -138,3 +139,55 @@ def test_bare_elements_are_told_by_their_place():
     assert few.path[2] == more.path[2] and few.path[4] == more.path[5]  # the first and the last
     alike = parse('<div><p>a</p><p>b</p><div class="c1">x</div><div class="c2">y</div><b>i</b></div>')
     assert alike.path[2] == alike.path[3] and alike.path[4] == alike.path[5] and alike.path[6] == alike.path[1]
+
+
+def scores_by_recursion(nodes):
+    """Composite importance from the leaves up, one host: {path: (score, varied)}."""
+    facts = {r.path: r for r in nodes}
+    below = {}
+    for r in nodes:
+        below.setdefault(r.above, []).append(r.path)
+
+    def walk(path):
+        r = facts[path]
+        inner = [walk(c) for c in below.get(path, ())]
+        parts = [(facts[c].pages, out[c][0]) for c in below.get(path, ())]
+        if r.texts > 0:
+            parts.append((r.pages, r.content))
+        weight = sum(w for w, _ in parts)
+        keep = hx.GAMMA ** r.styles if parts and r.styles > 1 else 1.0
+        mean = sum(w * x for w, x in parts) / weight if weight else 0.0
+        out[path] = ((1 - keep) * r.presentation + keep * mean, r.texts > 0 and r.content > hx.MAX_NOISE or any(v for _, v in inner))
+        return out[path]
+
+    out = {}
+    for r in nodes:
+        if r.above not in facts:
+            walk(r.path)
+    return out
+
+
+def test_scores_by_chains_equal_a_recursion(spark):
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF01
+
+    pages = spark.read.parquet(f"{SF01}/pages.parquet").select(
+        F.regexp_extract("url", "://([^/]*)", 1).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    stats = hx.node_statistics(hx.with_copies(pages).mapInArrow(hx._count, hx.COUNTS_DDL)).persist()
+    got = {(r.host, r.path): (r.score, r.varied) for r in hx.composite(stats).collect()}
+    hosts = {}
+    for r in stats.collect():
+        hosts.setdefault(r.host, []).append(r)
+        assert r.chain[-1] == r.path and (len(r.chain) == 1 or r.chain[-2] == r.above)
+    want = {(h, p): v for h, nodes in hosts.items() for p, v in scores_by_recursion(nodes).items()}
+    assert got.keys() == want.keys() and len(want) > 500
+    assert all(abs(got[k][0] - want[k][0]) < 1e-9 and got[k][1] == want[k][1] for k in want)
+    stats.unpersist()
+
+
+def test_elements_below_the_last_level_count_as_their_ancestor():
+    deep = parse("<div>" * 300 + "x" + "</div>" * 300)
+    assert len(set(deep.path)) == html_tree.LEVELS + 1
+    chains = hx.chains({p: a for p, a, kind, _ in hx.page_counts(deep) if kind == "node"})
+    assert max(map(len, chains.values())) == html_tree.LEVELS
