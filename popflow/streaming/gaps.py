@@ -10,6 +10,9 @@ State is two window numbers per series. Only the first event of a window within
 the watermark's delay reaches it, so its input grows with time, not with the
 events. An event that comes later than its window was emitted is no conflict:
 reads take a stretch as zeros that any data outweigh.
+
+An event behind the watermark opens no window here: the delay (``lateness``) has
+to cover the disorder of the source.
 """
 
 from __future__ import annotations
