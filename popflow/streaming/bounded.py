@@ -34,6 +34,8 @@ STATE = "points long, scored long, pops long, bonus_hits long, last_us long, lif
 TOTALS = T.StructType([T.StructField(c, T.LongType()) for c in
                        ("life", "points", "scored", "pops", "bonus_hits", "last_us")])
 TABLE = "bounded_totals"
+#: Stands for the time of an event without one.
+NO_TIME = -(1 << 63)
 
 
 def _add(keys: list[str], idle_ms: int):
@@ -45,14 +47,15 @@ def _add(keys: list[str], idle_ms: int):
         points, scored, pops, hits, last, life = state.get if state.exists else (0, 0, 0, 0, None, None)
         arrived = 0
         for part in parts:
-            arrived = max(arrived, int(part["arrived_ms"].max()))
-            points += int(part["score"].sum())
-            scored += int(part["score"].count())
+            # whole numbers without nulls: sums over plain arrays
+            arrived = max(arrived, int(part["arrived_ms"].to_numpy().max()))
+            points += int(part["score"].to_numpy().sum())
+            scored += int(part["scored"].to_numpy().sum())
+            hits += int(part["hit"].to_numpy().sum())
             pops += len(part)
-            hits += int((part["favorite_color_bonus"] == True).sum())  # noqa: E712
-            if part["us"].count():
-                latest = int(part["us"].max())
-                last = latest if last is None else max(last, latest)
+            latest = int(part["us"].to_numpy().max())
+            if latest > NO_TIME and (last is None or latest > last):
+                last = latest
         life = arrived if life is None else life
         state.update((points, scored, pops, hits, last, life))
         state.setTimeoutTimestamp(arrived + idle_ms)
@@ -72,7 +75,10 @@ def lives(events: DataFrame, keys: list[str], idle: str, salts: int = 4) -> Data
     # The function travels to the workers by value: they need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     fed = events.select(*keys, F.pmod(F.xxhash64("event_ts", "score"), F.lit(salts)).cast("int").alias("salt"),
-                        "score", "favorite_color_bonus", F.unix_micros("event_ts").alias("us"),
+                        F.coalesce("score", F.lit(0)).cast("long").alias("score"),
+                        F.col("score").isNotNull().cast("int").alias("scored"),
+                        F.coalesce("favorite_color_bonus", F.lit(False)).cast("int").alias("hit"),
+                        F.coalesce(F.unix_micros("event_ts"), F.lit(NO_TIME)).alias("us"),
                         F.current_timestamp().alias("arrived")).withWatermark("arrived", "0 seconds")
     fed = fed.withColumn("arrived_ms", F.unix_millis("arrived"))
     schema = T.StructType([*[fed.schema[k] for k in keys], fed.schema["salt"], *TOTALS.fields])
