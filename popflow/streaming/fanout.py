@@ -10,8 +10,9 @@ view), so one query can serve views of different keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,9 +32,15 @@ def fanout_writer(store: TableStore, names: Sequence[str], width: str, compact_e
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for name in names:
+            def write_one(name: str) -> None:
                 store.write_batch(name, V.from_fan(name, rows, width), batch_id, persist=False)
-                if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+
+            # Small writes are bound by commits: the tables' jobs run side by side.
+            with ThreadPoolExecutor(len(names)) as pool:
+                for done in [pool.submit(inheritable_thread_target(batch.sparkSession)(write_one), name) for name in names]:
+                    done.result()
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                for name in names:
                     store.compact(name, batch_id - 1)
         finally:
             rows.unpersist()
