@@ -336,13 +336,12 @@ def q_perf_distribution_daily(spark, d):
 
 def q_stream_color_coverage(spark, d):
     """Distinct colours per player from sketches that a stream keeps, the events dealt at random."""
-    from popflow.sources.events import StreamConfig, read_events_stream
-    from popflow.streaming.replay import stage_events
+    from popflow.streaming.replay import stage_events, staged_stream
     from popflow.streaming.sketches import start_color_sketches, stored_sketches
 
     base = stage_events(_ge(spark, d), shuffled=True)
     store = TableStore(spark, f"sketches_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
-    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    stream = staged_stream(spark, base)
     query = start_color_sketches(stream, store, f"{base}/checkpoint", trigger={"availableNow": True})
     query.awaitTermination()
     return _kept(sketches.coverage(stored_sketches(store)), store)
@@ -351,15 +350,14 @@ def q_stream_color_coverage(spark, d):
 def q_stream_window_summary(spark, d):
     """The window summary with its empty windows, both kept by a stream: the windows
     with events by the view, the stretches without any by a state per series."""
-    from popflow.sources.events import StreamConfig, read_events_stream
     from popflow.streaming.gaps import start_gaps, stored_stretches
     from popflow.streaming.pipeline import await_all, start_views
-    from popflow.streaming.replay import stage_events
+    from popflow.streaming.replay import stage_events, staged_stream
 
     name = "color_performance_trends"
     base = stage_events(_ge(spark, d))
     store = TableStore(spark, f"gaps_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
-    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    stream = staged_stream(spark, base)
     await_all({**start_views(stream, store, f"{base}/checkpoints", [name], PAGE_WIDTH, trigger={"availableNow": True}),
                # the staged slices may come in any order: the delay covers them all
                "gaps": start_gaps(stream, store, f"{base}/checkpoints/gaps", PAGE_WIDTH, lateness="366 days",
@@ -372,13 +370,12 @@ def q_stream_bounded_state(spark, d):
     """The leaderboard with state for active players only, the events dealt at random
     over the micro-batches: an idle player's total leaves the state, and what comes
     later, however late, still counts."""
-    from popflow.sources.events import StreamConfig, read_events_stream
     from popflow.streaming.bounded import bounded_totals, start_bounded
-    from popflow.streaming.replay import stage_events
+    from popflow.streaming.replay import stage_events, staged_stream
 
     base = stage_events(_ge(spark, d), shuffled=True)
     store = TableStore(spark, f"bounded_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
-    stream = read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src", max_files_per_trigger=1)).events
+    stream = staged_stream(spark, base)
     query = start_bounded(stream, store, ["player"], f"{base}/checkpoint", idle="1 second", trigger={"availableNow": True})
     query.awaitTermination()
     return _kept(bounded_totals(store, ["player"]).select(

@@ -56,6 +56,13 @@ def stage_events(events: DataFrame, n_files: int | None = None, base: str | None
     return base
 
 
+def staged_stream(spark: SparkSession, base: str, slices: int = SLICES) -> DataFrame:
+    """The accepted events of the staged files as a stream of about ``slices`` micro-batches."""
+    files = len(spark.read.text(f"{base}/src").inputFiles())
+    return read_events_stream(spark, StreamConfig(format="json", path=f"{base}/src",
+                                                  max_files_per_trigger=max(1, -(-files // slices)))).events
+
+
 def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
           compact_every: int | None = None,
           state_partitions: int | None = None,
