@@ -371,12 +371,13 @@ def q_stream_bounded_state(spark, d):
     over the micro-batches: an idle player's total leaves the state, and what comes
     later, however late, still counts."""
     from popflow.streaming.bounded import bounded_totals, start_bounded
-    from popflow.streaming.replay import stage_events, staged_stream
+    from popflow.streaming.replay import stage_events, staged_stream, state_partition_count
 
     base = stage_events(_ge(spark, d), shuffled=True)
     store = TableStore(spark, f"bounded_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
     stream = staged_stream(spark, base)
-    query = start_bounded(stream, store, ["player"], f"{base}/checkpoint", idle="1 second", trigger={"availableNow": True})
+    query = start_bounded(stream, store, ["player"], f"{base}/checkpoint", idle="1 second", trigger={"availableNow": True},
+                          state_partitions=state_partition_count(spark))
     query.awaitTermination()
     return _kept(bounded_totals(store, ["player"]).select(
         "player", "total_score", "bonus_hits", utc_wall_clock("event_ts").alias("event_ts")), store)

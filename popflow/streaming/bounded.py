@@ -10,6 +10,11 @@ state holds the keys of the last while only.
 
 A hot key is dealt over several salts, each with lives of its own: its events
 need not meet in one task.
+
+A call of the state function costs some milliseconds whatever it adds up, so the
+keys are dealt by a hash into buckets: one call, and one state row, holds the
+lives of a bucket's keys, each with its own idle time, and adds a micro-batch to
+all of them at once. Some thousands of active keys a bucket keep a state row small.
 """
 
 from __future__ import annotations
@@ -28,45 +33,65 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from popflow.operators.performance import interval_micros
 from popflow.operators.ranking import latest_by_key
 from popflow.sources.tables import TableStore
+from popflow.streaming.pipeline import state_partitions_of
 
-#: A key's totals, and when its present life began (ms).
-STATE = "points long, scored long, pops long, bonus_hits long, last_us long, life long"
+#: A bucket's lives, a column each: totals, when each life began and when its key came last (ms).
+LIVES = ("salt", "points", "scored", "pops", "bonus_hits", "last_us", "life", "arrived")
+SUMS, LATEST = ["points", "scored", "pops", "bonus_hits"], ["last_us", "arrived"]
 TOTALS = T.StructType([T.StructField(c, T.LongType()) for c in
                        ("life", "points", "scored", "pops", "bonus_hits", "last_us")])
 TABLE = "bounded_totals"
 #: Stands for the time of an event without one.
 NO_TIME = -(1 << 63)
+#: State rows that the keys are dealt over, fixed for a checkpoint.
+BUCKETS = 1024
+#: Rows of a bucket that are held before they are added up.
+ROWS_HELD = 100_000
 
 
 def _add(keys: list[str], idle_ms: int):
-    """Adds a micro-batch's events to their key's life; the timeout ends an idle one."""
+    """Adds a micro-batch's events to the lives of a bucket's keys; the timeout ends idle ones."""
+    by = [*keys, "salt"]
+    columns = [*keys, *LIVES]
+
+    def added(rows: list[pd.DataFrame]) -> pd.DataFrame:
+        groups = pd.concat(rows).groupby(by, sort=False, dropna=False)
+        out = groups[SUMS].sum()
+        out[LATEST] = groups[LATEST].max().to_numpy()  # the groups come in one order
+        out["life"] = groups["life"].min().to_numpy()
+        return out.reset_index()
+
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()  # its last row is in the table already
+        rows = [pd.DataFrame(dict(zip(columns, state.get)))] if state.exists else []
+        now, most = None, ROWS_HELD
+        for part in [] if state.hasTimedOut else parts:
+            # whole numbers without nulls, but for the keys
+            now = max(now or 0, int(part["arrived"].max()))
+            rows.append(part.assign(pops=1, life=part["arrived"])[columns])
+            if sum(map(len, rows)) > most:
+                rows = [added(rows)]
+                most = max(ROWS_HELD, 2 * len(rows[0]))
+        held = rows[0] if now is None else added(rows)
+        # idle keys leave: their last row is in the table already
+        stays = held["arrived"].to_numpy() + idle_ms >= state.getCurrentWatermarkMs()
+        if not stays.any():
+            state.remove()
             return
-        points, scored, pops, hits, last, life = state.get if state.exists else (0, 0, 0, 0, None, None)
-        arrived = 0
-        for part in parts:
-            # whole numbers without nulls: sums over plain arrays
-            arrived = max(arrived, int(part["arrived_ms"].to_numpy().max()))
-            points += int(part["score"].to_numpy().sum())
-            scored += int(part["scored"].to_numpy().sum())
-            hits += int(part["hit"].to_numpy().sum())
-            pops += len(part)
-            latest = int(part["us"].to_numpy().max())
-            if latest > NO_TIME and (last is None or latest > last):
-                last = latest
-        life = arrived if life is None else life
-        state.update((points, scored, pops, hits, last, life))
-        state.setTimeoutTimestamp(arrived + idle_ms)
-        yield pd.DataFrame(dict(zip(keys, ([k] for k in key))) | {
-            "life": [life], "points": [points], "scored": [scored], "pops": [pops], "bonus_hits": [hits],
-            "last_us": pd.array([last], dtype="Int64")})
+        held = held if stays.all() else held[stays]
+        names = {k: [None if v is None or v != v else v for v in held[k]] for k in keys}
+        state.update(tuple(names[c] if c in names else held[c].tolist() for c in columns))
+        state.setTimeoutTimestamp(int(held["arrived"].min()) + idle_ms)
+        if now is not None:
+            last = held["last_us"].to_numpy()
+            out = pd.DataFrame({**names, **{c: held[c] for c in ("salt", *TOTALS.names)},
+                                "last_us": pd.arrays.IntegerArray(last, last == NO_TIME)})
+            new = held["arrived"].to_numpy() == now
+            yield out if new.all() else out[new]
 
     return run
 
 
-def lives(events: DataFrame, keys: list[str], idle: str, salts: int = 4) -> DataFrame:
+def lives(events: DataFrame, keys: list[str], idle: str, salts: int = 4, buckets: int = BUCKETS) -> DataFrame:
     """Updated lives per (keys, salt): a stream of ``TOTALS`` rows.
 
     Time here is the events' arrival, one instant per micro-batch: the watermark
@@ -74,26 +99,35 @@ def lives(events: DataFrame, keys: list[str], idle: str, salts: int = 4) -> Data
     """
     # The function travels to the workers by value: they need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    fed = events.select(*keys, F.pmod(F.xxhash64("event_ts", "score"), F.lit(salts)).cast("int").alias("salt"),
-                        F.coalesce("score", F.lit(0)).cast("long").alias("score"),
-                        F.col("score").isNotNull().cast("int").alias("scored"),
-                        F.coalesce("favorite_color_bonus", F.lit(False)).cast("int").alias("hit"),
-                        F.coalesce(F.unix_micros("event_ts"), F.lit(NO_TIME)).alias("us"),
-                        F.current_timestamp().alias("arrived")).withWatermark("arrived", "0 seconds")
-    fed = fed.withColumn("arrived_ms", F.unix_millis("arrived"))
+    # Keys are kept as text, which holds a null beside whole numbers.
+    fed = events.select(*[F.col(k).cast("string").alias(k) for k in keys],
+                        F.pmod(F.xxhash64("event_ts", "score"), F.lit(salts)).cast("int").alias("salt"),
+                        F.coalesce("score", F.lit(0)).cast("long").alias("points"),
+                        F.col("score").isNotNull().cast("long").alias("scored"),
+                        F.coalesce("favorite_color_bonus", F.lit(False)).cast("long").alias("bonus_hits"),
+                        F.coalesce(F.unix_micros("event_ts"), F.lit(NO_TIME)).alias("last_us"),
+                        F.current_timestamp().alias("at")).withWatermark("at", "0 seconds")
+    fed = fed.withColumn("arrived", F.unix_millis("at")).withColumn(
+        "bucket", F.pmod(F.xxhash64(*keys, "salt"), F.lit(buckets)).cast("int"))
     schema = T.StructType([*[fed.schema[k] for k in keys], fed.schema["salt"], *TOTALS.fields])
-    return fed.groupBy(*keys, "salt").applyInPandasWithState(
-        _add([*keys, "salt"], interval_micros(idle) // 1000), schema, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    state = T.StructType([*[T.StructField(k, T.ArrayType(T.StringType())) for k in keys],
+                          *[T.StructField(c, T.ArrayType(T.LongType())) for c in LIVES]])
+    out = fed.groupBy("bucket").applyInPandasWithState(
+        _add(keys, interval_micros(idle) // 1000), schema, state, "update", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*[F.col(k).cast(events.schema[k].dataType).alias(k) for k in keys], "salt", *TOTALS.names)
 
 
 def start_bounded(events: DataFrame, store: TableStore, keys: list[str], checkpoint: str, idle: str = "1 day",
-                  salts: int = 4, trigger: dict | None = None) -> StreamingQuery:
+                  salts: int = 4, trigger: dict | None = None, buckets: int = BUCKETS,
+                  state_partitions: int | None = None) -> StreamingQuery:
     """Maintain the totals per ``keys`` in the store's changelog of lives.
 
     ``idle`` counts from a key's last arrival; its time runs out in the first
     micro-batch behind it. A micro-batch that is retried replaces its own rows.
+    ``buckets`` is sized to the keys that are active at a time and stays with the
+    checkpoint; ``state_partitions`` as for :func:`popflow.streaming.pipeline.start_views`.
     """
-    out = lives(events, keys, idle, salts)
+    out = lives(events, keys, idle, salts, buckets)
     store.create_namespace()
     schema = T.StructType([*out.schema.fields, T.StructField("batch_id", T.LongType())])
     store.create_table(TABLE, schema, ["batch_id"])
@@ -110,7 +144,8 @@ def start_bounded(events: DataFrame, store: TableStore, keys: list[str], checkpo
          .option("checkpointLocation", checkpoint).foreachBatch(write))
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    with state_partitions_of(events.sparkSession, state_partitions):
+        return w.start()
 
 
 def bounded_totals(store: TableStore, keys: list[str]) -> DataFrame:

@@ -10,7 +10,8 @@ materialized views do; pass ``watermark=`` to bound state in production.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -32,6 +33,20 @@ def view_frame(name: str, events: DataFrame, width: str = DEFAULT_WINDOW,
     return fn(events, width, watermark) if name in WINDOWED else fn(events)
 
 
+@contextmanager
+def state_partitions_of(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Queries started inside keep their state in ``n`` partitions (None: as the session has it)."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if n:
+        # A query takes a copy of the session conf when it starts.
+        spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def changelog_writer(store: TableStore, name: str, compact_every: int | None = None):
     """``foreachBatch`` function appending one micro-batch idempotently.
 
@@ -74,12 +89,7 @@ def start_views(events: DataFrame, store: TableStore,
     store.create_view_tables(names)
     root = checkpoint_root or shared_dir(spark, "streams", store.namespace)
     out = {}
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if state_partitions:
-        # A query takes a copy of the session conf when it starts.
-        spark.conf.set(key, str(state_partitions))
-    try:
+    with state_partitions_of(spark, state_partitions):
         for name in names or list(V.VIEWS):
             w = (view_frame(name, events, width, watermark).writeStream
                  .queryName(f"{store.namespace}.{name}")
@@ -89,8 +99,6 @@ def start_views(events: DataFrame, store: TableStore,
             if trigger:
                 w = w.trigger(**trigger)
             out[name] = w.start()
-    finally:
-        spark.conf.set(key, before)
     return out
 
 

@@ -63,6 +63,11 @@ def staged_stream(spark: SparkSession, base: str, slices: int = SLICES) -> DataF
                                                   max_files_per_trigger=max(1, -(-files // slices)))).events
 
 
+def state_partition_count(spark: SparkSession) -> int:
+    """No more state partitions than cores: one wave of commits per batch."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
           compact_every: int | None = None,
           state_partitions: int | None = None,
@@ -83,9 +88,7 @@ def drain(spark: SparkSession, base: str, names=None, width: str | None = None,
 
     timings = {} if timings is None else timings
     if state_partitions is None:
-        # no more state partitions than cores: one wave of commits per batch
-        state_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                               spark.sparkContext.defaultParallelism)
+        state_partitions = state_partition_count(spark)
     run = base.rstrip("/").rsplit("/", 1)[-1]
     store = TableStore(spark, f"replay_{run}", location=f"{base}/tables")
     n_src = len(spark.read.text(f"{base}/src").inputFiles())
@@ -140,7 +143,7 @@ def follow_log(before: DataFrame, live: DataFrame, missed: DataFrame, names, bas
     cfg = StreamConfig(format="log", path=f"{base}/log", starting_offsets="latest",
                        start_file=f"{base}/checkpoints/start.json", partitions=partitions)
     store = TableStore(spark, f"follow_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
-    state = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    state = state_partition_count(spark)
     kwargs = {"width": width} if width else {}
 
     def run(while_running: DataFrame | None) -> None:
