@@ -352,16 +352,21 @@ def q_stream_window_summary(spark, d):
     with events by the view, the stretches without any by a state per series."""
     from popflow.streaming.gaps import start_gaps, stored_stretches
     from popflow.streaming.pipeline import await_all, start_views
-    from popflow.streaming.replay import stage_events, staged_stream
+    from popflow.streaming.replay import stage_events, staged_stream, state_partition_count
 
     name = "color_performance_trends"
-    base = stage_events(_ge(spark, d))
+    held = state_partition_count(spark)
+    ge = _ge(spark, d)
+    first, last = ge.agg(F.min("event_ts"), F.max("event_ts")).first()
+    # the staged slices may come in any order: the delay covers them all
+    days = max(366, (last - first).days + 1 if first else 0)
+    base = stage_events(ge)
     store = TableStore(spark, f"gaps_{base.rsplit('/', 1)[-1]}", location=f"{base}/tables")
     stream = staged_stream(spark, base)
-    await_all({**start_views(stream, store, f"{base}/checkpoints", [name], PAGE_WIDTH, trigger={"availableNow": True}),
-               # the staged slices may come in any order: the delay covers them all
-               "gaps": start_gaps(stream, store, f"{base}/checkpoints/gaps", PAGE_WIDTH, lateness="366 days",
-                                  trigger={"availableNow": True})})
+    await_all({**start_views(stream, store, f"{base}/checkpoints", [name], PAGE_WIDTH, trigger={"availableNow": True},
+                             state_partitions=held),
+               "gaps": start_gaps(stream, store, f"{base}/checkpoints/gaps", PAGE_WIDTH, lateness=f"{days} days",
+                                  trigger={"availableNow": True}, state_partitions=held)})
     out = perf.time_window_summary(store.read_table(name), PAGE_WIDTH, stretches=stored_stretches(store))
     return _kept(out.withColumn("window_start", utc_wall_clock("window_start")), store)
 

@@ -31,6 +31,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from popflow.config import DEFAULT_WINDOW
 from popflow.operators.performance import interval_micros
 from popflow.sources.tables import TableStore
+from popflow.streaming.pipeline import state_partitions_of
 
 TABLE = "empty_windows"
 #: A stretch without events: first and last window number since 1970.
@@ -85,14 +86,19 @@ def empty_stretches(events: DataFrame, width: str = DEFAULT_WINDOW, series: str
 
 
 def start_gaps(events: DataFrame, store: TableStore, checkpoint: str, width: str = DEFAULT_WINDOW, series: str | None = None,
-               lateness: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
-    """Keep the empty stretches in the store; a retried micro-batch replaces its own."""
+               lateness: str = "1 hour", trigger: dict | None = None,
+               state_partitions: int | None = None) -> StreamingQuery:
+    """Keep the empty stretches in the store; a retried micro-batch replaces its own.
+
+    ``state_partitions`` as for :func:`popflow.streaming.pipeline.start_views`.
+    """
     store.create_namespace()
     store.create_table(TABLE, T.StructType([*STRETCH.fields, T.StructField("batch_id", T.LongType())]), ["batch_id"])
     view = f"_popflow_gaps_{store.namespace}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).createOrReplaceTempView(view)
+        # One file a batch, behind a shuffle: a coalesce would run the state partitions one after another in one task.
+        batch.repartition(1).createOrReplaceTempView(view)
         batch.sparkSession.sql(f"INSERT OVERWRITE TABLE {store.qualified(TABLE)} PARTITION (batch_id={int(batch_id)}) "
                                f"SELECT series, first, last FROM `{view}`")
         batch.sparkSession.catalog.dropTempView(view)
@@ -101,7 +107,8 @@ def start_gaps(events: DataFrame, store: TableStore, checkpoint: str, width: str
          .outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write))
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    with state_partitions_of(events.sparkSession, state_partitions):
+        return w.start()
 
 
 def stored_stretches(store: TableStore, series: str = "all") -> DataFrame:

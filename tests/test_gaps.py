@@ -1,11 +1,13 @@
 """Empty windows on the stream: between events, by timers, and beside late events."""
 
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
 
 from popflow.operators import views
 from popflow.operators.performance import time_window_summary
+from popflow.plans.registry import QUERIES
 from popflow.sources.events import StreamConfig, game_events, read_events_stream
 from popflow.sources.tables import TableStore
 from popflow.streaming.gaps import start_gaps, stored_stretches
@@ -77,3 +79,33 @@ def test_drained_stream_equals_the_summary(spark, tmp_path):
     rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert rows(time_window_summary(cpt, "1 hour", stretches=stored_stretches(store))) == rows(time_window_summary(cpt, "1 hour"))
     store.drop_namespace()
+
+
+def test_the_state_partitions_run_side_by_side(spark, tmp_path):
+    """Beside the deduplication the state function too has a task per state partition; one file a batch."""
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json").write_text("".join(json.dumps(event(h)) + "\n" for h in (0, 3, 9)))
+    store = TableStore(spark, "gaps_tasks", location=str(tmp_path / "t"))
+    stream = read_events_stream(spark, StreamConfig(format="json", path=str(src))).events
+    q = start_gaps(stream, store, str(tmp_path / "ck"), "1 hour", lateness="2 days", trigger={"availableNow": True},
+                   state_partitions=3)
+    assert q.awaitTermination(100) and q.exception() is None
+    assert stretches(store) == [(1, 2), (4, 8)]
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(str(q.runId)) for s in tracker.getJobInfo(job).stageIds]
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks.count(3) >= 2, tasks
+    assert len(store.table("empty_windows").inputFiles()) == 1
+    store.drop_namespace()
+
+
+def test_events_of_many_years_are_one_summary(spark, tmp_path):
+    """The query's delay covers the span of the events, whichever slice comes first."""
+    rows = [(i, dt.datetime(2015 + i, 1, 1, 5), i, "click", 10.0 + i, '{"k": 7}') for i in range(8)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["stream_window_summary"](spark, str(tmp_path))
+    want = QUERIES["time_window_summary_6h"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 4 * (dt.date(2022, 1, 1) - dt.date(2015, 1, 1)).days + 1
