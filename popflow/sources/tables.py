@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
+from threading import RLock
 from urllib.parse import unquote
 
 from pyspark import StorageLevel
@@ -52,6 +54,28 @@ ROWS_PER_FILE = 2_000_000
 PLAYERS_PER_FILE = 100_000
 
 
+_FOLDS = RLock()
+
+
+@contextmanager
+def fold_writes(spark: SparkSession, dynamic: bool) -> Iterator[None]:
+    """Writes of a fold, under a partition overwrite mode that no other fold changes meanwhile.
+
+    The mode is the session's, and the queries of several views fold their tables
+    side by side: in the other's mode a fold would drop partitions that stay, or
+    keep some that go.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    with _FOLDS:
+        before = spark.conf.get(key)
+        if dynamic:
+            spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class Layout:
     time_col: str            # column the time partition is derived from
@@ -459,7 +483,6 @@ class TableStore:
         columns = [f.name for f in TABLE_SCHEMAS[name]]
         keys = list(TABLE_KEYS[name])
         folded = latest_by_key(snap.select(*columns, "batch_id"), keys, ["batch_id"]).select(*columns).checkpoint(eager=True)
-        key = "spark.sql.sources.partitionOverwriteMode"
         kept = self.commits(name).join(
             self.spark.createDataFrame(old, "batch_id bigint, part string"), ["batch_id", "part"], "left_anti")
         kept = kept.where(F.col("batch_id").isin(sorted({b for b, _ in old}))).checkpoint(eager=True)
@@ -469,14 +492,11 @@ class TableStore:
                       .where(F.col("part").isNull() | ~F.col("part").isin(parts))
                       .select("part", "rows", "rejected", F.unix_micros("min_ts").alias("min_us"),
                               F.unix_micros("max_ts").alias("max_us"), "nulls").collect()]
-            before = self.spark.conf.get(key)
-            self.spark.conf.set(key, "dynamic")
-            try:
+            with fold_writes(self.spark, dynamic=True):
                 self.write_batch(name, folded, upto_batch, beside=beside)
-            finally:
-                self.spark.conf.set(key, before)
         else:
-            self.write_batch(name, folded, upto_batch)
+            with fold_writes(self.spark, dynamic=False):
+                self.write_batch(name, folded, upto_batch)
         specs = [{"batch_id": str(b), lay.time_part: p} for b, p in old]
         if self.layout == "faithful":  # a drop names every partition column
             specs = [p for p in self.partitions(name) if (int(p["batch_id"]), p[lay.time_part]) in set(old)]
@@ -493,14 +513,9 @@ class TableStore:
         left = {r.batch_id for r in measures.select("batch_id").distinct().collect()}
         measures.coalesce(1).createOrReplaceTempView(f"_popflow_commits_{name}")
         columns = ", ".join(f.name for f in COMMIT_SCHEMA)
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
+        with fold_writes(self.spark, dynamic=True):
             self.spark.sql(f"INSERT OVERWRITE TABLE {self.qualified(commits)} PARTITION (batch_id) "
                            f"SELECT {columns} FROM `_popflow_commits_{name}`")
-        finally:
-            self.spark.conf.set(key, before)
         self.spark.catalog.dropTempView(f"_popflow_commits_{name}")
         gone = [b for b in batches if b not in left]
         if gone:

@@ -1,12 +1,13 @@
 """Folds rewrite only what several batches share, and keep the sink's measures true."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from popflow.operators import quality, views
-from popflow.sources.tables import LAYOUTS, TableStore
+from popflow.sources.tables import LAYOUTS, TableStore, fold_writes
 
 
 def events(spark, rows):
@@ -93,3 +94,23 @@ def test_a_fold_that_stopped_half_way_is_finished_by_the_next(spark, tmp_path, m
     assert rows(store.read_table(name)) == state
     measures_are_true(store, name)
     store.drop_namespace()
+
+
+def test_a_fold_keeps_its_overwrite_mode_beside_another(spark):
+    """Two queries fold at once: neither writes in the other's mode, and the session's is as before."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before, seen, inside = spark.conf.get(key), [], threading.Event()
+
+    def second():
+        inside.wait(20)
+        with fold_writes(spark, dynamic=False):
+            seen.append(spark.conf.get(key))
+
+    other = threading.Thread(target=second)
+    other.start()
+    with fold_writes(spark, dynamic=True):
+        inside.set()
+        other.join(1)
+        seen.append(spark.conf.get(key))
+    other.join(20)
+    assert [v.lower() for v in seen] == ["dynamic", before.lower()] and spark.conf.get(key) == before
